@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, pieces, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +20,26 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding gives its text back."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document, and the owner-specific tokens that corpus-wide counting adds."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, with its source's size and target."""
+    return mixing.mix(table(spark, sf_dir, "documents")).taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_mix_sources": op10_mix_sources,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
