@@ -7,24 +7,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, secrets, simhash
+from . import licenses, media, mixing, neighbours, pieces, quality, secrets, simhash, tokenfile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload and record type of every page, read back from the written archives."""
+    return warc.resolve(warc.read(spark, warc.write(table(spark, sf_dir, "pages"))))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the smallest doc_id reachable over links of at most 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op1_itq_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Direct links and component of every vector."""
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings")).select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of every document's ids, read back from the written files."""
+    manifest, path = tokenfile.save(table(spark, sf_dir, "documents"))
+    return tokenfile.read(manifest, path)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether decoding gives its text back."""
     return pieces.round_trip(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own and inherited licence of every document, filed as source/lang/doc_id; every notice speaks for its directory."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(table(spark, sf_dir, "documents"), path=path, declares=F.lit(True)).withColumnRenamed("id", "doc_id")
+
+
+def op7_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by the two co-trained views and together."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
+
+
+def op8_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as a WAV file and read back, with its spectral fingerprint in short."""
+    stored = media.to_media(table(spark, sf_dir, "documents"))
+    stored = stored.select("id", "n_bytes", "media", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"))
+    read = media.analyse(stored, ["id", "n_bytes", "media_bytes", "media_sha256"])
+    feature = F.concat_ws(":", F.size("prints"), F.lower(F.lpad(F.hex(F.xxhash64("prints")), 16, "0")))
+    return read.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of every document, and the owner-specific tokens that corpus-wide counting adds."""
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
@@ -36,8 +73,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_itq_neighbours": op1_itq_neighbours,
+    "op2_token_files": op2_token_files,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_warc_archives": op4_warc_archives,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op7_quality_cotraining": op7_quality_cotraining,
+    "op8_wav_fingerprints": op8_wav_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_mix_sources": op10_mix_sources,
 }
