@@ -10,10 +10,10 @@ permutation, so shards are disjoint, and orders its blocks locally by ``shuffle_
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lookup_join, written
+from .common import let, lookup_join, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Blocks of one source in a bucket of its permutation, about; a bucket is the largest group ordered in one task.
@@ -120,8 +120,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mix_sizes(sizes: DataFrame, weights: tuple, share: float, cap: float, block_words: int, depth: int, seed: int) -> Mix:
-    """As :func:`mix`, from (id, source, size)."""
-    sized = written(sizes.withColumn("row", F.monotonically_increasing_id()), "sized")
+    """As :func:`mix`, from (id, source, size); a column ``row`` that tells rows apart may be given."""
+    sized = written(sizes if "row" in sizes.columns else sizes.withColumn("row", F.monotonically_increasing_id()), "sized")
     n_blocks = F.ceil(F.col("size") / block_words).cast("long")
     source = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.sum(n_blocks).alias("n_blocks"))
     source = written(source, "sources")
@@ -166,6 +166,24 @@ def mix_sizes(sizes: DataFrame, weights: tuple, share: float, cap: float, block_
     return Mix(documents.select("row", "id", "source", "size", "source_size", "target"), written(blocks, "blocks"))
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", chars_col: str = "n_chars", weights: tuple = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block_words: int = 1024, depth: int = 6, seed: int = 0) -> DataFrame:
+    """The mix as documents: one row, with all columns of ``docs``, for each document and pass that takes words of it.
+
+    A text that a pass takes whole stays as it is; otherwise it is the taken blocks in their order, each word with the
+    white space before it. ``chars_col`` is counted anew where ``docs`` has it. Documents without words aren't taken.
+    """
+    whole = written(docs.select(F.struct(*docs.columns).alias("doc")).withColumn("row", F.monotonically_increasing_id()), "mixable")
+    text = F.col(f"doc.{text_col}")
+    mixed = mix_sizes(whole.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{source_col}").cast("string").alias("source"), word_count(text).alias("size")), weights, share, cap, block_words, depth, seed)
+    parts = mixed.blocks.groupBy(F.col("row").alias("of"), "pass").agg(F.array_sort(F.collect_list(F.struct(F.col("first_word").cast("int").alias("first"), F.col("words").cast("int").alias("n")))).alias("parts"), F.sum("words").alias("took"))
+    parts = parts.join(mixed.documents.select(F.col("row").alias("r"), "size"), F.col("of") == F.col("r"))
+    cut = let(_pieces(text), lambda p: F.array_join(F.transform("parts", lambda b: F.array_join(F.slice(p, b.getField("first") + 1, b.getField("n")), "")), ""))
+    taken = F.when(F.col("took") == F.col("size"), text).otherwise(cut)
+    out = whole.join(parts, F.col("row") == F.col("of")).select("doc", taken.alias("taken"))
+    names = [F.col("taken").alias(c) if c == text_col else F.length("taken").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(f"doc.{c}").alias(c) for c in docs.columns]
+    return out.select(*names)
+
+
 def write_shards(mixed: Mix, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the drawn blocks' texts as one folder per shard, in the shard's local random order."""
     texts = block_texts(docs, mixed, id_col, text_col)

@@ -1,7 +1,7 @@
 """Quality classifier by co-training.
 
 Two views of a document are judged apart. The text view is naive Bayes over hashed words and word shapes, its log
-odds averaged over the words. The metadata view has Gaussian log odds of length and layout figures and the log odds
+odds averaged over the words (with some empty ones, so a few words say little). The metadata view has Gaussian log odds of length and layout figures and the log odds
 of language and source. Both start from the labelled sample and are calibrated on a part of it that they are not
 fitted on. In each round every document that one view is confident of is a pseudo-labelled example for the other;
 these statistics are sums over the whole corpus. The two calibrated views together give the score.
@@ -26,7 +26,9 @@ LABELLED, ROUNDS, CONFIDENT = 20_000, 2, 0.97
 HELD_OUT, PSEUDO_WEIGHT = 30, 1.0
 WORD_BUCKETS, SHAPE_BUCKETS, NAME_BUCKETS = 1 << 14, 1 << 10, 1 << 10
 #: Layout figures of the metadata view.
-FIGURES = ("log_chars", "log_lines", "line_mean", "line_spread", "word_mean", "upper", "digits", "marks", "repeated")
+FIGURES = ("log_chars", "log_lines", "line_mean", "line_spread", "word_mean", "upper", "digits", "marks", "repeated", "stutter")
+#: Empty words that every text is taken to hold besides its own.
+EMPTY_WORDS = 20
 TEXT_SIZE, META_SIZE = WORD_BUCKETS + SHAPE_BUCKETS + 1, 2 * NAME_BUCKETS + 2 * len(FIGURES) + 1
 _WORDS: dict[str, int] = {}
 _MAX_WORDS = 500_000
@@ -47,7 +49,7 @@ def _shape(word: str) -> str:
 def _code(word: str) -> int:
     """Bucket of a word and of its shape, in one number."""
     core = re.sub(r"[\W\d_]+", "", word.lower()) or word
-    return _hash(core, WORD_BUCKETS) * SHAPE_BUCKETS + _hash(_shape(word), SHAPE_BUCKETS)
+    return _hash(core, WORD_BUCKETS) * SHAPE_BUCKETS + 1 + _hash(_shape(word), SHAPE_BUCKETS - 1)
 
 
 def text_features(text: str) -> np.ndarray:
@@ -65,18 +67,22 @@ def text_features(text: str) -> np.ndarray:
                             _WORDS.clear()
                         _WORDS[w] = c
                 codes[i] = c
-    return np.array(codes, np.int64)
+    codes = np.array(codes, np.int64)
+    again = np.flatnonzero(codes[1:] == codes[:-1]) + 1  # a word that repeats the one before has a shape of its own
+    codes[again] -= codes[again] % SHAPE_BUCKETS
+    return codes
 
 
-def meta_features(text: str, n_words: int) -> np.ndarray:
+def meta_features(text: str, codes: np.ndarray) -> np.ndarray:
     """Length and layout figures of a whole text."""
+    n_words = len(codes)
     raw = text.encode("utf-8", "surrogatepass")
     kinds = np.bincount(_KINDS[np.frombuffer(raw, np.uint8)], minlength=4) / max(1, len(raw))
     lines = text.split("\n")
     sizes = np.array([len(x) for x in lines], np.float64)
     long_lines = [x for x in lines if x]
     repeated = 1 - len(set(long_lines)) / len(long_lines) if long_lines else 0.0
-    return np.array([math.log1p(len(text)), math.log1p(len(lines)), math.log1p(sizes.mean()), math.log1p(sizes.std()), len(text) / max(1, n_words), *np.sqrt(kinds[:3]), repeated])
+    return np.array([math.log1p(len(text)), math.log1p(len(lines)), math.log1p(sizes.mean()), math.log1p(sizes.std()), len(text) / max(1, n_words), *np.sqrt(kinds[:3]), repeated, math.sqrt(np.count_nonzero(codes % SHAPE_BUCKETS == 0) / max(1, n_words))])
 
 
 class View:
@@ -110,7 +116,7 @@ class TextView(View):
     def score(self, codes: np.ndarray) -> float:
         if not len(codes):
             return 0.0
-        return float(np.mean(self.words[codes // SHAPE_BUCKETS] + self.shapes[codes % SHAPE_BUCKETS]))
+        return float(np.sum(self.words[codes // SHAPE_BUCKETS] + self.shapes[codes % SHAPE_BUCKETS]) / (len(codes) + EMPTY_WORDS))
 
     @staticmethod
     def vector(codes: np.ndarray) -> np.ndarray:
@@ -133,41 +139,40 @@ class MetaView(View):
         self.variance = 0.8 * np.maximum(spread, 0) + 0.2 * pooled
 
     def score(self, features: tuple) -> float:
-        lang, source, x = features
+        lang, source, x, weight = features
         gauss = -((x - self.mean) ** 2) / (2 * self.variance) - np.log(self.variance) / 2
         odds = np.clip(gauss[1] - gauss[0], -8, 8).sum()
-        return float(odds + self.names[0][lang] + self.names[1][source])
+        return float(weight * (odds + self.names[0][lang] + self.names[1][source]))
 
     @staticmethod
     def vector(features: tuple) -> np.ndarray:
-        lang, source, x = features
+        lang, source, x, _ = features
         out = np.zeros(META_SIZE)
         out[lang] = out[NAME_BUCKETS + source] = out[-1] = 1.0
         out[2 * NAME_BUCKETS : -1] = np.concatenate([x, x * x])
         return out
 
 
-def _calibrate(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through scores, with a light penalty on both; the slope isn't negative."""
-    scale = max(float(np.std(scores)), 1e-6)
-    x = np.stack([scores / scale, np.ones(len(scores))], axis=1)
-    w = np.zeros(2)
+def _calibrate(scores: np.ndarray, labels: np.ndarray) -> list[float]:
+    """Slopes and offset of the logistic curve through columns of scores, lightly penalised; no slope is negative."""
+    scale = np.maximum(scores.std(axis=0), 1e-6)
+    x = np.concatenate([scores / scale, np.ones((len(scores), 1))], axis=1)
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (labels - p) - np.array([0.05, 0.05]) * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.05, 0.05])
-        step = np.linalg.solve(hess, grad)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w)), x.T @ (labels - p) - 0.05 * w)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return max(0.0, float(w[0] / scale)), float(w[1])
+    return [*np.maximum(w[:-1] / scale, 0.0).tolist(), float(w[-1])]
 
 
 class CoTrained:
-    """Both views with their calibration; ``prior`` is the log odds of a good document."""
+    """Both views with their calibration, and the curve through both calibrated log odds."""
 
-    def __init__(self, text: TextView, meta: MetaView, curves: list[tuple[float, float]], prior: float):
-        self.text, self.meta, self.curves, self.prior = text, meta, curves, prior
+    def __init__(self, text: TextView, meta: MetaView):
+        self.text, self.meta = text, meta
+        self.curves, self.joint = [[1.0, 0.0], [1.0, 0.0]], [0.5, 0.5, 0.0]
 
     def odds(self, codes: np.ndarray, features: tuple) -> tuple[float, float]:
         """Calibrated log odds of the two views."""
@@ -183,7 +188,7 @@ def _features(row: tuple) -> tuple[np.ndarray, tuple]:
     text, lang, source = row
     text = text or ""
     codes = text_features(text)
-    return codes, (_hash(f"lang {lang}", NAME_BUCKETS), _hash(f"source {source}", NAME_BUCKETS), meta_features(text, len(codes)))
+    return codes, (_hash(f"lang {lang}", NAME_BUCKETS), _hash(f"source {source}", NAME_BUCKETS), meta_features(text, codes), len(codes) / (len(codes) + EMPTY_WORDS))
 
 
 def _collected(df: DataFrame, cells) -> np.ndarray:
@@ -235,11 +240,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return [(0, row[3], TextView.vector(codes)), (1, row[3], MetaView.vector(features))]
 
     base = _collected(seen.filter("not _held").select("_t", "_l", "_s", "_label"), own)
-    total = [sizes[0, h] for h in (False, True)], [sizes[1, h] for h in (False, True)]
-    prior = math.log(sum(total[1]) / sum(total[0]))
 
     def fitted(sums) -> CoTrained:
-        model = CoTrained(TextView(), MetaView(), [(1.0, 0.0), (1.0, 0.0)], prior)
+        model = CoTrained(TextView(), MetaView())
         for view, s in zip((model.text, model.meta), sums):
             view.sums = s
             view.prepare()
@@ -254,7 +257,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         held = seen.filter("_held").select("_t", "_l", "_s", "_label").mapInArrow(raw, "a double, b double, label int").collect()  # at most ``labelled`` rows
         y = np.array([r["label"] for r in held], np.float64)
-        model.curves = [_calibrate(np.array([r[c] for r in held]), y) for c in ("a", "b")]
+        raws = np.array([[r["a"], r["b"]] for r in held])
+        model.curves = [_calibrate(raws[:, i : i + 1], y) for i in (0, 1)]
+        model.joint = _calibrate(np.clip(raws * [c[0] for c in model.curves] + [c[1] for c in model.curves], -12, 12), y)
         return model
 
     model = fitted(base)
@@ -283,14 +288,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 #: Documents with a lower probability of being good are rejected.
-KEEP = 0.5
+KEEP = 0.3
 
 
 def _judge(model: CoTrained | None, row: tuple) -> tuple[float, float, float]:
     if model is None:
         return 0.5, 0.5, 0.5
     a, b = model.odds(*_features(row))
-    return _sigmoid(a), _sigmoid(b), _sigmoid(a + b - model.prior)
+    return _sigmoid(a), _sigmoid(b), _sigmoid(model.joint[0] * a + model.joint[1] * b + model.joint[2])
 
 
 def score(docs: DataFrame, model: CoTrained | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: float = KEEP) -> DataFrame:
