@@ -1,15 +1,16 @@
-"""File audit: exact-duplicate groups, root summaries, extension counts, system files."""
+"""File audit: inventory columns, exact duplicates, root summaries, system files, ownership routing."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
+
 
 def extension_of(path: Column) -> Column:
-    """Lower-cased last suffix; names that only begin with a dot have none."""
-    name = F.element_at(F.split(path, "/"), -1)
-    suffix = F.lower(F.regexp_extract(name, r"^.*[^.].*?(\.[^.]+)$", 1))
+    """Lower-cased last suffix; a name whose only dot is its first character, or its last, has none."""
+    suffix = F.lower(F.regexp_extract(path, r"[^/.][^/]*(\.[^./]+)$", 1))
     return F.coalesce(F.nullif(suffix, F.lit("")), F.lit("[no extension]"))
 
 
@@ -18,11 +19,48 @@ def is_system_file(path: Column) -> Column:
     return F.exists(F.split(path, "/"), lambda part: (part == ".DS_Store") | part.startswith("._"))
 
 
+def inventory(files: DataFrame, include_system: bool = False) -> DataFrame:
+    """(root, relative_path, path, size_bytes, extension) of files with root, relative_path, path and size_bytes."""
+    kept = files if include_system else files.filter(~is_system_file(F.col("relative_path")))
+    return kept.select("root", "relative_path", "path", F.col("size_bytes").cast("long"), extension_of(F.col("relative_path")).alias("extension"))
+
+
 def duplicate_groups(files: DataFrame) -> DataFrame:
-    """(sha256, size_bytes, copies, files): files of the same non-zero size and content.
+    """(sha256, size_bytes, copies, files): files of the same non-zero size and content, paths in order.
 
-    ``files`` has path, size_bytes and content. Sizes that occur once are dropped before anything is hashed.
+    ``files`` has path, size_bytes and content. Contents are hashed where they are read; only hashes are moved.
     """
-    shared = files.filter("size_bytes > 0").withColumn("same", F.count("*").over(Window.partitionBy("size_bytes"))).filter("same > 1")
-    groups = shared.groupBy("size_bytes", F.sha2(F.col("content").cast("binary"), 256).alias("sha256")).agg(F.count("*").alias("copies"), F.array_join(F.array_sort(F.collect_list("path")), ",").alias("files"))
-    return groups.filter("copies > 1")
+    hashed = files.filter("size_bytes > 0").select("path", "size_bytes", F.sha2(F.col("content").cast("binary"), 256).alias("sha256"))
+    groups = hashed.groupBy("size_bytes", "sha256").agg(F.count("*").alias("copies"), F.sort_array(F.collect_list("path")).alias("files"))
+    return groups.filter("copies > 1").select("sha256", "size_bytes", "copies", "files")
+
+
+def extension_counts(files: DataFrame) -> DataFrame:
+    """(root, extension, file_count)."""
+    return files.groupBy("root", "extension").agg(F.count("*").alias("file_count"))
+
+
+def root_summary(files: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
+    """(root, file_count, total_bytes, extensions[, system_files_excluded]); extensions is an ordered map."""
+    by_extension = files.groupBy("root", "extension").agg(F.count("*").alias("n"), F.sum("size_bytes").alias("bytes"))
+    out = by_extension.groupBy("root").agg(F.sum("n").alias("file_count"), F.sum("bytes").alias("total_bytes"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("extension", "n")))).alias("extensions"))
+    if excluded is None:
+        return out
+    counted = excluded.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("system_files_excluded"))
+    return out.join(counted, F.col("root") == F.col("r"), "left").select("root", "file_count", "total_bytes", F.coalesce("system_files_excluded", F.lit(0)).alias("system_files_excluded"), "extensions")
+
+
+def totals(files: DataFrame) -> DataFrame:
+    """Counts and bytes of every root and, with a null root, of all."""
+    return files.rollup("root").agg(F.count("*").alias("file_count"), F.sum("size_bytes").alias("total_bytes"))
+
+
+def ownership(spark: SparkSession) -> DataFrame:
+    """(content, home): where each kind of content belongs."""
+    return spark.createDataFrame(list(fixed.OWNERSHIP), "content string, home string")
+
+
+def route(items: DataFrame, content_col: str = "content") -> DataFrame:
+    """Items with their home; a kind that the table lacks has none and needs review."""
+    homes = F.broadcast(ownership(items.sparkSession).select(F.col("content").alias("_kind"), "home"))  # ten rows
+    return items.join(homes, F.col(content_col) == F.col("_kind"), "left").drop("_kind").withColumn("action", F.when(F.col("home").isNull(), "needs review").otherwise("move"))

@@ -5,9 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators import audit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,18 +22,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query(
-    "audit_duplicates",
-    """
-    SELECT sha256(text) AS sha256, strlen(text) AS size_bytes, count(*) AS copies,
-           string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR)) AS files
-    FROM documents WHERE strlen(text) > 0 GROUP BY 1, 2 HAVING count(*) > 1
-    """,
-)
-def audit_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.octet_length("text").cast("long").alias("size_bytes"), F.col("text").alias("content"))
-    return audit.duplicate_groups(files).select("sha256", "size_bytes", "copies", "files")
+from . import audits, corpora, defects, layouts, texts  # noqa: E402,F401  each module registers its queries
