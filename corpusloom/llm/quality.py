@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, written
+from .common import bound_batches, scratch, written
 
 #: Labelled rows that are fitted on, first by hash; rounds; probability from which a view is confident.
 LABELLED, ROUNDS, CONFIDENT = 20_000, 2, 0.97
@@ -85,14 +85,40 @@ def meta_features(text: str, codes: np.ndarray) -> np.ndarray:
     return np.array([math.log1p(len(text)), math.log1p(len(lines)), math.log1p(sizes.mean()), math.log1p(sizes.std()), len(text) / max(1, n_words), *np.sqrt(kinds[:3]), repeated, math.sqrt(np.count_nonzero(codes % SHAPE_BUCKETS == 0) / max(1, n_words))])
 
 
-class View:
-    """Sums of both classes, and the log odds they give."""
+class Batch:
+    """Features of some documents: words of all one after the other, and one row of figures each."""
 
-    def __init__(self, size: int):
-        self.sums = np.zeros((2, size))
+    def __init__(self, lang: np.ndarray, source: np.ndarray, figures: np.ndarray, codes: np.ndarray, sizes: np.ndarray):
+        self.lang, self.source, self.figures, self.codes, self.sizes = lang, source, figures, codes, sizes
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
 
-    def prepare(self) -> None:
-        raise NotImplementedError
+    @classmethod
+    def of_rows(cls, rows) -> Batch:
+        """From (text, lang, source) rows."""
+        lang, source, figures, codes = [], [], [], []
+        for text, l, s in rows:
+            text = text or ""
+            c = text_features(text)
+            lang.append(_hash(f"lang {l}", NAME_BUCKETS))
+            source.append(_hash(f"source {s}", NAME_BUCKETS))
+            figures.append(meta_features(text, c))
+            codes.append(c)
+        sizes = np.array([len(c) for c in codes], np.int64)
+        return cls(np.array(lang, np.int64), np.array(source, np.int64), np.array(figures).reshape(-1, len(FIGURES)), np.concatenate([np.zeros(0, np.int64), *codes]), sizes)
+
+    @classmethod
+    def of_arrow(cls, batch: pa.RecordBatch) -> Batch:
+        """From rows of the features table."""
+        lang, source, figures, codes = (batch.column(batch.schema.get_field_index(n)) for n in ("lang", "source", "figures", "codes"))
+        return cls(lang.to_numpy().astype(np.int64), source.to_numpy().astype(np.int64), figures.flatten().to_numpy().reshape(-1, len(FIGURES)), codes.flatten().to_numpy().astype(np.int64), np.diff(codes.offsets.to_numpy()).astype(np.int64))
+
+    def arrow(self) -> list[pa.Array]:
+        ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+        k = np.full(len(self.sizes), len(FIGURES))
+        return [pa.array(self.lang.astype(np.int32)), pa.array(self.source.astype(np.int32)), pa.ListArray.from_arrays(ends(k), pa.array(self.figures.ravel())), pa.ListArray.from_arrays(ends(self.sizes), pa.array(self.codes.astype(np.int32)))]
+
+
+_FEATURES = "lang int, source int, figures array<double>, codes array<int>"
 
 
 def _log_odds(counts: np.ndarray, strength: float = 10.0) -> np.ndarray:
@@ -105,52 +131,46 @@ def _log_odds(counts: np.ndarray, strength: float = 10.0) -> np.ndarray:
     return np.where(whole > 0, np.nan_to_num(odds, posinf=0.0, neginf=0.0), 0.0)
 
 
-class TextView(View):
-    def __init__(self):
-        super().__init__(TEXT_SIZE)
+class TextView:
+    """Log odds of hashed words and word shapes, from the sums of both classes."""
 
-    def prepare(self) -> None:
-        self.words = _log_odds(self.sums[:, :WORD_BUCKETS])
-        self.shapes = _log_odds(self.sums[:, WORD_BUCKETS : WORD_BUCKETS + SHAPE_BUCKETS])
+    def __init__(self, sums: np.ndarray):
+        self.words = _log_odds(sums[:, :WORD_BUCKETS])
+        self.shapes = _log_odds(sums[:, WORD_BUCKETS : WORD_BUCKETS + SHAPE_BUCKETS])
 
-    def score(self, codes: np.ndarray) -> float:
-        if not len(codes):
-            return 0.0
-        return float(np.sum(self.words[codes // SHAPE_BUCKETS] + self.shapes[codes % SHAPE_BUCKETS]) / (len(codes) + EMPTY_WORDS))
+    def score(self, b: Batch) -> np.ndarray:
+        odds = self.words[b.codes // SHAPE_BUCKETS] + self.shapes[b.codes % SHAPE_BUCKETS]
+        return np.bincount(b.doc, odds, len(b.sizes)) / (b.sizes + EMPTY_WORDS)
 
     @staticmethod
-    def vector(codes: np.ndarray) -> np.ndarray:
-        """A document's share of the sums: its words weigh one in all, so long documents don't dominate."""
-        n = max(1, len(codes))
-        return np.concatenate([np.bincount(codes // SHAPE_BUCKETS, minlength=WORD_BUCKETS) / n, np.bincount(codes % SHAPE_BUCKETS, minlength=SHAPE_BUCKETS) / n, [1.0]])
-
-
-class MetaView(View):
-    def __init__(self):
-        super().__init__(META_SIZE)
-
-    def prepare(self) -> None:
-        b, k = NAME_BUCKETS, len(FIGURES)
-        self.names = [_log_odds(self.sums[:, :b]), _log_odds(self.sums[:, b : 2 * b])]
-        n = np.maximum(self.sums[:, -1:], 1.0)
-        self.mean = self.sums[:, 2 * b : 2 * b + k] / n
-        spread = self.sums[:, 2 * b + k : 2 * b + 2 * k] / n - self.mean**2
-        pooled = spread.mean(axis=0) + 1e-4
-        self.variance = 0.8 * np.maximum(spread, 0) + 0.2 * pooled
-
-    def score(self, features: tuple) -> float:
-        lang, source, x, weight = features
-        gauss = -((x - self.mean) ** 2) / (2 * self.variance) - np.log(self.variance) / 2
-        odds = np.clip(gauss[1] - gauss[0], -8, 8).sum()
-        return float(weight * (odds + self.names[0][lang] + self.names[1][source]))
+    def sums(b: Batch, chosen: np.ndarray) -> np.ndarray:
+        """Sums over the chosen documents: the words of each weigh one in all, so long documents don't dominate."""
+        word = chosen[b.doc]
+        weight = (1.0 / np.maximum(b.sizes, 1))[b.doc[word]]
+        codes = b.codes[word]
+        return np.concatenate([np.bincount(codes // SHAPE_BUCKETS, weight, WORD_BUCKETS), np.bincount(codes % SHAPE_BUCKETS, weight, SHAPE_BUCKETS), [chosen.sum()]])
+
+
+class MetaView:
+    """Gaussian log odds of the figures, and log odds of language and source."""
+
+    def __init__(self, sums: np.ndarray):
+        n_names, k = NAME_BUCKETS, len(FIGURES)
+        self.names = [_log_odds(sums[:, :n_names]), _log_odds(sums[:, n_names : 2 * n_names])]
+        n = np.maximum(sums[:, -1:], 1.0)
+        self.mean = sums[:, 2 * n_names : 2 * n_names + k] / n
+        spread = sums[:, 2 * n_names + k : 2 * n_names + 2 * k] / n - self.mean**2
+        self.variance = 0.8 * np.maximum(spread, 0) + 0.2 * (spread.mean(axis=0) + 1e-4)
+
+    def score(self, b: Batch) -> np.ndarray:
+        gauss = [-((b.figures - self.mean[c]) ** 2) / (2 * self.variance[c]) - np.log(self.variance[c]) / 2 for c in (0, 1)]
+        odds = np.clip(gauss[1] - gauss[0], -8, 8).sum(axis=1) + self.names[0][b.lang] + self.names[1][b.source]
+        return odds * b.sizes / (b.sizes + EMPTY_WORDS)
 
     @staticmethod
-    def vector(features: tuple) -> np.ndarray:
-        lang, source, x, _ = features
-        out = np.zeros(META_SIZE)
-        out[lang] = out[NAME_BUCKETS + source] = out[-1] = 1.0
-        out[2 * NAME_BUCKETS : -1] = np.concatenate([x, x * x])
-        return out
+    def sums(b: Batch, chosen: np.ndarray) -> np.ndarray:
+        x = b.figures[chosen]
+        return np.concatenate([np.bincount(b.lang[chosen], minlength=NAME_BUCKETS), np.bincount(b.source[chosen], minlength=NAME_BUCKETS), x.sum(axis=0), (x * x).sum(axis=0), [chosen.sum()]])
 
 
 def _calibrate(scores: np.ndarray, labels: np.ndarray) -> list[float]:
@@ -174,112 +194,112 @@ class CoTrained:
         self.text, self.meta = text, meta
         self.curves, self.joint = [[1.0, 0.0], [1.0, 0.0]], [0.5, 0.5, 0.0]
 
-    def odds(self, codes: np.ndarray, features: tuple) -> tuple[float, float]:
+    def odds(self, b: Batch) -> tuple[np.ndarray, np.ndarray]:
         """Calibrated log odds of the two views."""
-        out = [slope * view.score(f) + offset for view, f, (slope, offset) in zip((self.text, self.meta), (codes, features), self.curves)]
-        return float(np.clip(out[0], -12, 12)), float(np.clip(out[1], -12, 12))
-
+        return tuple(np.clip(slope * view.score(b) + offset, -12, 12) for view, (slope, offset) in zip((self.text, self.meta), self.curves))
 
-def _sigmoid(x: float) -> float:
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+    def probabilities(self, b: Batch) -> list[np.ndarray]:
+        """Probability of being good by text, by metadata, and by both."""
+        first, second = self.odds(b)
+        return [1 / (1 + np.exp(-x)) for x in (first, second, np.clip(self.joint[0] * first + self.joint[1] * second + self.joint[2], -30, 30))]
 
 
-def _features(row: tuple) -> tuple[np.ndarray, tuple]:
-    text, lang, source = row
-    text = text or ""
-    codes = text_features(text)
-    return codes, (_hash(f"lang {lang}", NAME_BUCKETS), _hash(f"source {source}", NAME_BUCKETS), meta_features(text, codes), len(codes) / (len(codes) + EMPTY_WORDS))
+def _judged(model: CoTrained | None, b: Batch) -> list[np.ndarray]:
+    return [np.full(len(b.sizes), 0.5)] * 3 if model is None else model.probabilities(b)
 
 
-def _collected(df: DataFrame, cells) -> np.ndarray:
-    """Sum the sparse vectors that ``cells`` gives for the rows of each task: (view, class, feature) by value.
+def _collected(features: DataFrame, labels_of) -> list[np.ndarray]:
+    """Sums of both classes for the text and the metadata view.
 
-    Tasks sum their rows first; one row per feature comes to the driver.
+    ``labels_of(batch, features)`` gives each document's label for either view, -1 for none. Tasks sum their rows
+    first; one row per class and feature comes to the driver, whatever the number of documents.
     """
 
     def run(batches):
         sums = [np.zeros((2, TEXT_SIZE)), np.zeros((2, META_SIZE))]
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                for view, label, vector in cells(row):
-                    sums[view][label] += vector
+            if batch.num_rows:
+                b = Batch.of_arrow(batch)
+                for view, label, s in zip((TextView, MetaView), labels_of(batch, b), sums):
+                    for c in (0, 1):
+                        s[c] += view.sums(b, label == c)
         for view, s in enumerate(sums):
             label, at = np.nonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), view, np.int32)), pa.array(label.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(s[label, at])], ["view", "label", "at", "value"])
 
     out = [np.zeros((2, TEXT_SIZE)), np.zeros((2, META_SIZE))]
-    for r in df.mapInArrow(run, "view int, label int, at int, value double").groupBy("view", "label", "at").agg(F.sum("value").alias("value")).collect():
+    for r in features.mapInArrow(run, "view int, label int, at int, value double").groupBy("view", "label", "at").agg(F.sum("value").alias("value")).collect():
         out[r["view"]][r["label"], r["at"]] = r["value"]
     return out
 
 
-def _columns(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> list:
-    return [F.col(c).cast("string").alias(n) for c, n in ((text_col, "_t"), (lang_col, "_l"), (source_col, "_s"))]
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """A written table (id, lang, source, figures, codes) of every document's features: texts are read once."""
+    bound_batches(docs.sparkSession, 500)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), *[F.col(c).cast("string").alias(n) for c, n in ((text_col, "t"), (lang_col, "l"), (source_col, "s"))])
+
+    def run(batches):
+        for batch in batches:
+            b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *b.arrow()], ["id", "lang", "source", "figures", "codes"])
 
+    path = scratch(docs.sparkSession, "features")
+    found = rows.mapInArrow(run, f"id long, {_FEATURES}")
+    found.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(found.schema).parquet(path)
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoTrained | None:
-    """Fit on at most ``labelled`` labelled rows, then exchange pseudo-labels over all of ``docs``.
+
+def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoTrained | None:
+    """Fit on at most ``labelled`` labelled rows of a features table, then exchange pseudo-labels over all of it.
 
     None if the sample lacks one of the classes. Ids labelled more than once take the largest label; null ids and
     labels are left out.
     """
-    spark = docs.sparkSession
-    bound_batches(spark, 500)
+    spark = table.sparkSession
     known = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
     known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(labelled)
     known = written(known, "labels")  # bounded by ``labelled``, so it may be broadcast
-    seen = docs.select(F.col(id_col).cast("long").alias("_doc"), *_columns(docs, text_col, lang_col, source_col)).join(F.broadcast(known), F.col("_doc") == F.col("_id"))
-    part = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(100)) < HELD_OUT
-    seen = written(seen.select("_t", "_l", "_s", "_label", part.alias("_held")), "labelled")
+    held = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(100)) < HELD_OUT
+    seen = table.join(F.broadcast(known), F.col("id") == F.col("_id")).withColumn("_held", held).drop("id", "_id")
+    seen = written(seen, "labelled")
     sizes = {(r["_label"], r["_held"]): r["n"] for r in seen.groupBy("_label", "_held").agg(F.count("*").alias("n")).collect()}
     if any(not sizes.get((c, h)) for c in (0, 1) for h in (False, True)):
         return None
+    bound_batches(spark, 500)
+    names = [c.split()[0] for c in _FEATURES.split(", ")]
 
-    def own(row):
-        codes, features = _features(row[:3])
-        return [(0, row[3], TextView.vector(codes)), (1, row[3], MetaView.vector(features))]
+    def own(batch, b):
+        label = batch.column(len(names)).to_numpy()
+        return label, label
 
-    base = _collected(seen.filter("not _held").select("_t", "_l", "_s", "_label"), own)
+    base = _collected(seen.filter("not _held").select(*names, "_label"), own)
 
     def fitted(sums) -> CoTrained:
-        model = CoTrained(TextView(), MetaView())
-        for view, s in zip((model.text, model.meta), sums):
-            view.sums = s
-            view.prepare()
+        model = CoTrained(TextView(sums[0]), MetaView(sums[1]))
 
         def raw(batches):
             for batch in batches:
-                pairs = []
-                for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    codes, features = _features(row[:3])
-                    pairs.append((model.text.score(codes), model.meta.score(features)))
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.float64()), pa.array([p[1] for p in pairs], pa.float64()), batch.column(3)], ["a", "b", "label"])
-
-        held = seen.filter("_held").select("_t", "_l", "_s", "_label").mapInArrow(raw, "a double, b double, label int").collect()  # at most ``labelled`` rows
-        y = np.array([r["label"] for r in held], np.float64)
-        raws = np.array([[r["a"], r["b"]] for r in held])
+                b = Batch.of_arrow(batch)
+                yield pa.RecordBatch.from_arrays([pa.array(model.text.score(b)), pa.array(model.meta.score(b)), batch.column(len(names))], ["a", "b", "label"])
+
+        rows = seen.filter("_held").select(*names, "_label").mapInArrow(raw, "a double, b double, label int").collect()  # at most ``labelled`` rows
+        y = np.array([r["label"] for r in rows], np.float64)
+        raws = np.array([[r["a"], r["b"]] for r in rows])
         model.curves = [_calibrate(raws[:, i : i + 1], y) for i in (0, 1)]
         model.joint = _calibrate(np.clip(raws * [c[0] for c in model.curves] + [c[1] for c in model.curves], -12, 12), y)
         return model
 
     model = fitted(base)
-    everything = docs.select(*_columns(docs, text_col, lang_col, source_col))
     limit = math.log(confident / (1 - confident))
+    sure = lambda odds: np.where(odds >= limit, 1, np.where(odds <= -limit, 0, -1))
     for _ in range(rounds):
 
-        def pseudo(row, model=model):
-            codes, features = _features(row)
-            a, b = model.odds(codes, features)
-            out = []
-            if abs(a) >= limit:
-                out.append((1, int(a > 0), MetaView.vector(features)))
-            if abs(b) >= limit:
-                out.append((0, int(b > 0), TextView.vector(codes)))
-            return out
-
-        found = _collected(everything, pseudo)
+        def pseudo(batch, b, model=model):
+            by_text, by_meta = model.odds(b)
+            return sure(by_meta), sure(by_text)  # what one view is sure of is an example for the other
+
         sums = []
-        for ours, theirs in zip(base, found):
+        for ours, theirs in zip(base, _collected(table.select(*names), pseudo)):
             # the last cell counts documents: all pseudo-labels of a class weigh as much as its labelled rows
             weight = PSEUDO_WEIGHT * ours[:, -1:] / np.maximum(theirs[:, -1:], 1.0)
             sums.append(ours + np.minimum(weight, 1.0) * theirs)
@@ -291,28 +311,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 KEEP = 0.3
 
 
-def _judge(model: CoTrained | None, row: tuple) -> tuple[float, float, float]:
-    if model is None:
-        return 0.5, 0.5, 0.5
-    a, b = model.odds(*_features(row))
-    return _sigmoid(a), _sigmoid(b), _sigmoid(model.joint[0] * a + model.joint[1] * b + model.joint[2])
-
+def score(table: DataFrame, model: CoTrained | None, keep: float = KEEP) -> DataFrame:
+    """(id, text_score, meta_score, score, keep) of every row of a features table.
 
-def score(docs: DataFrame, model: CoTrained | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: float = KEEP) -> DataFrame:
-    """(id, text_score, meta_score, score, keep) of every row. Null texts are empty, null names one more name.
-
-    Without a model everything scores one half and is kept.
+    Null texts count as empty there, null names as one more name. Without a model everything scores one half and is
+    kept.
     """
-    bound_batches(docs.sparkSession, 500)
-    rows = docs.select(F.col(id_col).alias("id"), *_columns(docs, text_col, lang_col, source_col))
+    bound_batches(table.sparkSession, 500)
 
     def run(batches):
         for batch in batches:
-            out = [_judge(model, row) for row in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
-            columns = [pa.array([round(o[i], 6) for o in out], pa.float64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array([o[2] >= keep for o in out], pa.bool_())], ["id", "text_score", "meta_score", "score", "keep"])
+            found = _judged(model, Batch.of_arrow(batch))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.round(x, 6)) for x in found), pa.array(found[2] >= keep)], ["id", "text_score", "meta_score", "score", "keep"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text_score double, meta_score double, score double, keep boolean")
+    return table.mapInArrow(run, "id long, text_score double, meta_score double, score double, keep boolean")
 
 
 def keep_good(docs: DataFrame, model: CoTrained | None, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: float = KEEP) -> DataFrame:
@@ -322,7 +334,7 @@ def keep_good(docs: DataFrame, model: CoTrained | None, text_col: str = "text",
 
     def run(batches):
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in names))
-            yield batch.filter(pa.array([_judge(model, row)[2] >= keep for row in rows], pa.bool_()))
+            b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in names)))
+            yield batch.filter(pa.array(_judged(model, b)[2] >= keep))
 
     return docs.mapInArrow(run, docs.schema)

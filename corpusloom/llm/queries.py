@@ -49,8 +49,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document by the two co-trained views and together."""
-    docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
+    found = quality.features(table(spark, sf_dir, "documents"))
+    return quality.score(found, quality.train(found, table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
 
 
 def op8_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
