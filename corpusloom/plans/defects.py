@@ -199,7 +199,7 @@ def lost_names(spark, sf_dir):
 
 @query(
     "j20_page_glossary",
-    f"""WITH {R.PAIRS} SELECT page, block, term, target FROM live, (VALUES ('and onesen', 'ones'), ('erthing', 'erthin'), ('the shre', 'ser'), ('thonst', 'santa')) AS g(term, target)
+    f"""WITH {R.PAIRS} SELECT page, block, term, target FROM live, (VALUES ('and onesen', 'ones'), ('erthing', 'erthing'), ('the shre', 'ser'), ('thonst', 'santa')) AS g(term, target)
     WHERE regexp_matches(' ' || lower(en) || ' ', '{_EDGE}' || term || '{_EDGE}') AND NOT contains(strip_accents(lower(es)), target)""",
 )
 def page_glossary(spark, sf_dir):
