@@ -36,7 +36,7 @@ def test_base_spans_equal_the_plain_version(spark):
 
 
 def test_widely_copied_values_are_examples(spark):
-    mine, copied = "token = Zq8" + "w" * 30 + "7K", "token = Ab1" + "c" * 30 + "2D"
+    mine, copied = "token = Zq8" + "w" * 30 + "7K", "token = Ab1" + "x" * 30 + "2D"
     rows = [(i, copied, f"owner{i}", "en") for i in range(5)] + [(10, mine, "owner1", "en"), (11, mine, "owner1", "fr"), (12, "no secret", None, None)]
     got = {r["id"]: r for r in secrets.digest(secrets.scan(frame(spark, rows))).collect()}
     assert got[10]["n_live"] == 2 and got[10]["n_example"] == 0 and "mixed:" in got[10]["spans"]
