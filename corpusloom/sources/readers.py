@@ -15,22 +15,25 @@ from ..functions import text as T
 LINES = "page long, page_w double, page_h double, t string, x double, y double, w double, h double, c double, type string, col string"
 
 
-def files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(root, relative_path, path, size_bytes) of all files below a folder; contents aren't read.
+def files(spark: SparkSession, root: str) -> DataFrame:
+    """(root, relative_path, path, size_bytes) of all files below a folder of any file system; contents aren't read.
 
-    Names with a leading dot or underscore, which Spark's readers skip, are not listed.
+    The listing is Hadoop's: Spark's own reader would leave out empty files and names with a leading dot or underscore.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    base = root.rstrip("/")
-    plain = F.regexp_replace("path", "^file:/*", "/")
-    bare = F.lit(base.removeprefix("file://"))
-    return reader.load(root).select(F.lit(base).alias("root"), F.substring(plain, F.length(bare) + 2, F.length(plain)).alias("relative_path"), "path", F.col("length").alias("size_bytes"))
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    top = fs.resolvePath(base).toString().rstrip("/")
+    listed, found = fs.listFiles(base, True), []
+    while listed.hasNext():
+        status = listed.next()
+        path = status.getPath().toString()
+        found.append((root.rstrip("/"), path.removeprefix(top).lstrip("/"), path, status.getLen()))
+    return spark.createDataFrame(found, "root string, relative_path string, path string, size_bytes long")
 
 
-def files_following_links(root: str, spark: SparkSession) -> DataFrame:
-    """As :func:`files`, listed on the driver where symbolic links and hidden names matter: links are left out."""
+def files_without_links(root: str, spark: SparkSession) -> DataFrame:
+    """As :func:`files` for a local folder, with symbolic links to files and folders left out."""
     base = Path(root)
     found = []
     for folder, below, names in base.walk(follow_symlinks=False):
