@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, media, mixing, neighbours, pieces, quality, secrets, simhash, tokenfile, warc
+from . import licenses, media, mixing, neighbours, oracles, pieces, quality, secrets, simhash, tokenfile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,4 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc_archives": oracles.WARC,
+    "op6_license_scan": oracles.LICENSES,
+    "op9_secret_scan": oracles.SECRETS,
+}
