@@ -27,37 +27,95 @@ LENGTH, BATCH_ROWS = 2048, 512
 #: Documents in a shard, about.
 SHARD_DOCS = 16_384
 #: Words that a worker remembers, and the longest of them.
-MAX_WORDS, MAX_WORD = 400_000, 64
+MAX_WORDS, MAX_WORD = 800_000, 64
 
-_LOADED: dict[str, tuple] = {}
+#: Punctuation that, after letters only, is a word of its own in the vocabulary's pattern.
+_MARKS = b".,;:!?%&$#*()[]{}|\"/+=_-"
 
+_LOADED: dict[str, Words] = {}
 
-def _encoder(path: str):
-    """The tokenizer at ``path`` and what is known of single words, loaded once in each worker."""
-    if path not in _LOADED:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        _LOADED[path] = (Tokenizer.from_file(path), {})
-    return _LOADED[path]
+class Words:
+    """A tokenizer, and the packed ids of parts of texts that it has seen.
 
+    The vocabulary ignores case and drops white space, and neither its normaliser nor its pattern looks across a space
+    or a line break, so the ids of a text are those of its parts in small ASCII letters. Only letters with marks after
+    them fall into two words, which are kept apart. New letter words are encoded together, as one text: each ends with
+    the one token that closes a word. Texts with something like a special token go to the library whole.
+    """
 
-def encode_text(text: str, tokenizer, known: dict[str, bytes], kind: str) -> bytes:
-    """Packed ids of a whole text.
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    The vocabulary drops white space, and neither its normaliser nor its pattern looks across a space or a line
-    break, so the text's ids are those of the parts between them; parts seen before are looked up.
-    """
-    parts = text.replace("\n", " ").split(" ")
-    out = list(map(known.get, parts))
-    if None in out:
-        new = list(dict.fromkeys(p for p, ids in zip(parts, out) if ids is None))
-        ids = {p: np.array(e.ids, kind).tobytes() for p, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False))}
-        if len(known) + len(ids) > MAX_WORDS:
-            known.clear()
-        known.update((p, v) for p, v in ids.items() if len(p) <= MAX_WORD)
-        out = [ids[p] if v is None else v for p, v in zip(parts, out)]
-    return b"".join(out)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Packed ids of words of letters."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):  # a letter that its normal form takes apart
+            return [self.whole(w) for w in words]
+        packed, width = ids.tobytes(), ids.itemsize
+        return [packed[i * width : j * width] for i, j in zip([0, *ends.tolist()], ends.tolist())]
+
+    def _learn(self, parts) -> dict[bytes, bytes]:
+        """Packed ids of parts that aren't known."""
+        split, stems, others, known = {}, {}, {}, self.known
+        for p in parts:
+            stem = p.rstrip(_MARKS)
+            if stem.isalpha() or (not stem.isascii() and stem.decode("utf-8", "surrogatepass").isalpha()):
+                tail = p[len(stem) :]
+                if tail:
+                    split[p] = (stem, tail)
+                    if tail not in known:
+                        others[tail] = tail.decode()
+                if stem not in known:
+                    stems[stem] = stem.decode("utf-8", "surrogatepass")
+            else:
+                others[p] = p.decode("utf-8", "surrogatepass")
+        found = dict(zip(stems, self._letters(list(stems.values())))) if stems else {}
+        if others:
+            found |= {p: self._pack(e.ids) for p, e in zip(others, self.tokenizer.encode_batch(list(others.values()), add_special_tokens=False))}
+        piece = lambda x: found[x] if x in found else known[x]
+        found |= {p: piece(stem) + piece(tail) for p, (stem, tail) in split.items()}
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of whole texts."""
+        known, plain = self.known, []
+        for t in texts:
+            raw = t.encode("utf-8", "surrogatepass")
+            plain.append(None if b"<|" in raw else raw.lower().replace(b"\n", b" ").split(b" "))
+        found = [None if parts is None else list(map(known.get, parts)) for parts in plain]
+        missing = {p for parts, ids in zip(plain, found) if parts is not None and None in ids for p, x in zip(parts, ids) if x is None}
+        if missing:
+            new = self._learn(missing)
+            for parts, ids in zip(plain, found):
+                if parts is not None and None in ids:
+                    ids[:] = [new[p] if x is None else x for p, x in zip(parts, ids)]
+            if len(known) + len(new) > MAX_WORDS:
+                known.clear()
+            known.update((p, v) for p, v in new.items() if len(p) <= MAX_WORD)
+        return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found)]
+
+
+def _encoder(path: str) -> Words:
+    """The tokenizer at ``path``, loaded once in each worker."""
+    if path not in _LOADED:
+        _LOADED[path] = Words(path)
+    return _LOADED[path]
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -68,9 +126,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     end = np.array([end_id], kind).tobytes()
 
     def run(batches):
-        tokenizer, known = _encoder(path)
+        words = _encoder(path)
         for batch in batches:
-            ids = [encode_text(t or "", tokenizer, known, kind) + end for t in batch.column(1).to_pylist()]
+            ids = [x + end for x in words.encode([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, ids binary")
@@ -78,8 +136,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 
 def id_type(path: str) -> str:
     """NumPy type of an id in the file: two bytes where the vocabulary allows it."""
-    tokenizer, _ = _encoder(path)
-    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+    return _encoder(path).kind
 
 
 def _open(uri: str):
