@@ -26,7 +26,7 @@ from .common import bound_batches, tokenizer_path
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Bounds of what a worker remembers: words, their length, and pairs of pieces.
-MAX_WORDS, MAX_WORD, MAX_PAIRS = 500_000, 64, 500_000
+MAX_WORDS, MAX_WORD, MAX_PAIRS = 800_000, 64, 500_000
 
 
 class Pieces:
@@ -39,11 +39,12 @@ class Pieces:
         self._lowest = min((s for _, s in scores.values()), default=0.0) - 10.0
         self._words: dict[str, bytes] = {}
         self._parts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._rows: dict[str, dict[str, bool | str]] = {}  # of each piece, which pieces may follow; "" is the piece
+        self._pairs = 0
         self._lefts: dict[str, list] = {}
         self._rights: dict[str, list] = {}
         self._standing = {p for p in scores if self.merged(p) == [p]} if merges else set()
-        self._tails = {p[i:] for p in self._standing for i in range(len(p))}
+        self._tails = {t: t in self._standing for p in self._standing for t in (p[i:] for i in range(len(p)))}
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -113,9 +114,6 @@ class Pieces:
         joint symbol wins if its level, then its score, beats the merge that takes in its left part, or equals or
         beats the one that takes in its right part (the leftmost of equal merges comes first).
         """
-        known = self._pairs.get((before, piece))
-        if known is not None:
-            return known
         lefts = self._lefts.get(before)
         if lefts is None:
             lefts = self._lefts[before] = self._edge(before, True)
@@ -131,26 +129,28 @@ class Pieces:
                 score = found[1]
                 level = min(score, came_a, came_b)
                 if (level, score) > (end_a, score_a) and (level, score) >= (end_b, score_b):
-                    known = False
-                    break
+                    return False
             if i == len(lefts) - 1 and j == len(rights) - 1:
-                known = True
-                break
+                return True
             if (end_a, score_a) >= (end_b, score_b) and i < len(lefts) - 1:
                 i += 1
             else:
                 j += 1
-        if len(self._pairs) >= MAX_PAIRS:
-            self._pairs.clear()
-        self._pairs[before, piece] = known
-        return known
+
+    def _row(self, piece: str) -> dict[str, bool | str]:
+        row = self._rows.get(piece)
+        if row is None:
+            if self._pairs >= MAX_PAIRS:
+                self._rows, self._pairs = {}, 0
+            row = self._rows[piece] = {"": piece}
+        return row
 
     def stream(self, text: str) -> Iterator[str]:
         """The pieces of an escaped text, given out as soon as they are final."""
         reach = self._reach_merged if self.merges else self._reach_best
         start, check = 0, 2 * self.longest
         back = [0]  # for each position since the last final boundary, where its last piece begins
-        state: list = ["" if self.merges else 0.0]  # the last piece, or the sum of scores, of the path to it
+        state: list = [None if self.merges else 0.0]  # what may follow the path to it, or the path's sum of scores
         for j in range(1, len(text) + 1):
             i, now = reach(text, start, j, state)
             back.append(i - start)
@@ -165,20 +165,23 @@ class Pieces:
                 check = j - start + 2 * self.longest
         yield from self._path(text, start, back, len(text) - start)
 
-    def _reach_merged(self, text: str, start: int, j: int, state: list) -> tuple[int, str]:
+    def _reach_merged(self, text: str, start: int, j: int, state: list) -> tuple[int, dict]:
         """The one piece ending at ``j`` that may follow the last piece of the path to its beginning."""
-        i, piece, pairs = j - 1, text[j - 1 : j], self._pairs
+        i, piece, tails = j - 1, text[j - 1], self._tails
         while True:
-            if i == j - 1 or piece in self._standing:
+            if i == j - 1 or tails[piece]:
                 before = state[i - start]
-                if not before:
-                    return i, piece
-                known = pairs.get((before, piece))
-                if known or (known is None and self._follows(before, piece)):
-                    return i, piece
+                if before is None:
+                    return i, self._row(piece)
+                known = before.get(piece)
+                if known is None:
+                    known = before[piece] = self._follows(before[""], piece)
+                    self._pairs += 1
+                if known:
+                    return i, self._row(piece)
             i -= 1
             piece = text[i:j]
-            if i < start or piece not in self._tails:
+            if i < start or piece not in tails:
                 raise AssertionError("every prefix has a path")
 
     def _reach_best(self, text: str, start: int, j: int, state: list) -> tuple[int, float]:
