@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
 from .common import bound_batches, written
 from .graph import components
 
@@ -94,12 +95,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(whole, rows["fp"] == whole["class_fp"]).select("id", "fp", "component")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = similar.WORDS) -> DataFrame:
     """The documents without near-duplicates: the one with the smallest id of each component stays.
 
-    A repeated id stays once; rows without an id can't be referred to and stay.
+    Near-duplicates are those of :mod:`similar`, on shingles of five words and similarity 0.8: fingerprints of such
+    pairs differ in up to about 20 bits, which no chain of segments can index. A repeated id stays once; rows without
+    an id can't be referred to and stay.
     """
-    kept = near_duplicates(docs, id_col, text_col, words).filter(F.col("id") == F.col("component")).select(F.col("id").alias("_kept_id")).distinct()
+    kept = similar.near_duplicates(docs, id_col, text_col, words).filter(F.col("id") == F.col("component")).select(F.col("id").alias("_kept_id")).distinct()
     named = docs.filter(F.col(id_col).isNotNull())
     one = named.join(kept, named[id_col].cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
     return one.unionByName(docs.filter(F.col(id_col).isNull()))
