@@ -92,14 +92,19 @@ def all_spans(text: Column) -> Column:
     return F.concat(*[_spans(text, i, *k) for i, k in enumerate(KINDS)])
 
 
-def _judged(hits: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
+def _judged(hits: DataFrame, max_owners: int, max_repos: int, once: bool = False) -> DataFrame:
     """(row, spans): the spans of each row of ``hits`` with owners, repos and live of their value's hash.
 
     ``hits`` is a written table with row, owner, repo and spans. Counting goes through distinct
-    (hash, owner, repository) rows, so a value that fills the corpus is summed before it is moved.
+    (hash, owner, repository) rows, so a value that fills the corpus is summed before it is moved. With ``once``
+    equal texts count for one owner and repository, wherever their copies lie.
     """
     each = hits.select("row", "owner", "repo", F.explode("spans").alias("s"))
-    held = each.groupBy(F.col("s.hash").alias("h"), "owner", "repo").agg(F.count("*").alias("n"))
+    if once:
+        homes = _one_place(hits).select(F.col("value").alias("h"), F.col("home.owner").alias("owner"), F.col("home.repo").alias("repo"))
+        held = homes.groupBy("h", "owner", "repo").agg(F.count("*").alias("n"))
+    else:
+        held = each.groupBy(F.col("s.hash").alias("h"), "owner", "repo").agg(F.count("*").alias("n"))
     held = held.groupBy("h", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
     counts = held.groupBy("h").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("n"))
     out = each.join(counts, F.col("s.hash") == F.col("h"))
@@ -108,6 +113,19 @@ def _judged(hits: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
     return out.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("judged"))
 
 
+def _one_place(hits: DataFrame) -> DataFrame:
+    """(value, copy, home): the (owner, repo) that a value's text counts for; ``hits`` has ``copy``, a digest of the text.
+
+    Of all places that hold the text it is the one of the owner, then the repository, with most texts of the value.
+    """
+    each = hits.select("copy", "owner", "repo", F.explode("spans.hash").alias("value")).distinct()
+    in_repo = each.groupBy("value", "owner", "repo").agg(F.count("*").alias("of_repo"))
+    in_owner = each.select("value", "owner", "copy").distinct().groupBy("value", "owner").agg(F.count("*").alias("of_owner"))
+    ranked = each.join(in_repo, ["value", "owner", "repo"]).join(in_owner, ["value", "owner"])
+    order = F.struct(-F.col("of_owner"), F.col("owner"), -F.col("of_repo"), F.col("repo"))
+    return ranked.groupBy("value", "copy").agg(F.min_by(F.struct("owner", "repo"), order).alias("home"))
+
+
 def _columns(owner: str, repo: str) -> list[Column]:
     return [F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo")]
 
@@ -145,14 +163,15 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang", mark: str = "[SECRET]", max_owners: int = 1, max_repos: int = 2) -> DataFrame:
     """All rows and columns of ``docs`` with every owner-specific value's span replaced by ``mark``.
 
-    Spans that overlap are replaced together. Widely copied examples stay. Rows without candidates pass through
+    Spans that overlap are replaced together. Widely copied examples stay; copies of one text don't make a value one,
+    as they count for one owner and repository (:func:`scan` counts every row's). Rows without candidates pass through
     unmoved; only the others are written, judged and joined. The number of characters isn't updated here.
     """
     spans = all_spans(F.col(text_col))
     clean = docs.filter(F.size(spans) == 0)
     names = docs.columns
-    hits = written(docs.filter(F.size(spans) > 0).select(F.struct(*names).alias("doc"), *_columns(owner_col, repo_col), spans.alias("spans")).withColumn("row", F.monotonically_increasing_id()), "hits")
-    judged = _judged(hits, max_owners, max_repos).select(F.col("row").alias("of"), F.filter("judged", lambda s: s.getField("live")).alias("live"))
+    hits = written(docs.filter(F.size(spans) > 0).select(F.struct(*names).alias("doc"), *_columns(owner_col, repo_col), F.sha2(F.col(text_col), 256).alias("copy"), spans.alias("spans")).withColumn("row", F.monotonically_increasing_id()), "hits")
+    judged = _judged(hits, max_owners, max_repos, once=True).select(F.col("row").alias("of"), F.filter("judged", lambda s: s.getField("live")).alias("live"))
     text = F.col(f"doc.{text_col}")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 

@@ -64,6 +64,16 @@ def test_redact_keeps_rows_and_columns(spark):
     assert alone.first()["text"] == "a [SECRET] b [SECRET]' c"
 
 
+def test_redact_counts_a_copied_text_once(spark):
+    leaked, example = "AKIA" + "L" * 16, "AKIA" + "E" * 16
+    rows = [(i, f"leak {leaked} here", f"owner{i}", lang) for i in range(4) for lang in ("en", "fr")]
+    rows += [(10, f"{leaked} again", "owner3", "en"), (11, f"{leaked} again", "owner2", "de"), (12, f"{leaked} more", "owner3", "en")]
+    rows += [(20 + i, f"text {i} shows {example}", f"owner{i}", "en") for i in range(3)]
+    out = secrets.redact(frame(spark, rows)).collect()
+    assert len(out) == len(rows) and not any(leaked in r["text"] for r in out)
+    assert sum(example in r["text"] for r in out) == 3
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert secrets.scan(df).collect() == [] and secrets.redact(df).collect() == []
