@@ -66,15 +66,22 @@ def _header(fields: list[tuple[str, object]], length: int) -> bytes:
     return CRLF.join(lines) + CRLF + CRLF
 
 
-def records(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
-    """The records of one page, without the two line ends after each."""
+def _page_record(page_id: int | None, row: int | None) -> str:
+    return record_id(f"page {page_id} row {row}")
+
+
+def records(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, segment_bytes: int = SEGMENT_BYTES, row: int | None = None, refers_row: int | None = None) -> list[bytes]:
+    """The records of one page, without the two line ends after each.
+
+    ``row`` tells apart rows with the same page_id, or none; a revisit refers to page ``refers_to`` of row ``refers_row``.
+    """
     digest = "sha1:" + hashlib.sha1(payload).hexdigest()
     url = " ".join((url or "").split()) or None
-    own = record_id(f"page {page_id}" if page_id is not None else f"{url} {digest}")
+    own = _page_record(page_id, row)
     about = [("WARC-Target-URI", url), ("WARC-Payload-Digest", digest), ("X-Page-ID", page_id)]
     head = CRLF.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Transfer-Encoding: chunked"]) + CRLF + CRLF
     if refers_to is not None:
-        fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", own), *about, ("WARC-Refers-To", record_id(f"page {refers_to}")), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("Content-Type", "application/http; msgtype=response")]
+        fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", own), *about, ("WARC-Refers-To", _page_record(refers_to, refers_row)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("Content-Type", "application/http; msgtype=response")]
         return [_header(fields, len(head)) + head]
     block = head + chunked(payload)
     parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
@@ -91,32 +98,36 @@ def records(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return out
 
 
-def revisits(pages: DataFrame, id_col: str, payload_col: str, least: int = REVISIT_BYTES) -> DataFrame:
-    """(revisit_id, refers_to): pages of at least ``least`` bytes whose payload the page with the largest id stores."""
-    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
-    small = pages.select(F.col(id_col).cast("long").alias("id"), F.octet_length(payload).alias("bytes"), F.sha1(payload).alias("sha")).filter((F.col("bytes") >= least) & F.col("id").isNotNull())
-    small = written(small, "digests")
-    shared = small.groupBy("sha", "bytes").agg(F.max("id").alias("refers_to"), F.min("id").alias("least")).filter("least < refers_to").select(F.col("sha").alias("s"), F.col("bytes").alias("b"), "refers_to")
-    return small.join(shared, (F.col("sha") == F.col("s")) & (F.col("bytes") == F.col("b")) & (F.col("id") < F.col("refers_to"))).select(F.col("id").alias("revisit_id"), "refers_to").distinct()
+def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+    """(revisit, refers_to, refers_row): rows of at least ``least`` bytes whose payload the page with the largest id stores.
+
+    ``pages`` is a written table with row, id and payload. Rows without id and all rows of the largest id are stored.
+    """
+    payload = F.col("payload").cast("binary")
+    small = written(pages.select("row", "id", F.octet_length(payload).alias("bytes"), F.sha1(payload).alias("sha")).filter((F.col("bytes") >= least) & F.col("id").isNotNull()), "digests")
+    shared = small.groupBy("sha", "bytes").agg(F.max(F.struct("id", "row")).alias("top"), F.min("id").alias("least")).filter("least < top.id").select("sha", "bytes", "top")
+    return small.join(shared, ["sha", "bytes"]).filter("id < top.id").select(F.col("row").alias("revisit"), F.col("top.id").alias("refers_to"), F.col("top.row").alias("refers_row"))
 
 
 def write(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", segment_bytes: int = SEGMENT_BYTES, file_records: int = FILE_RECORDS) -> str:
     """Write a record for every page into compressed archives under ``path``; returns the path.
 
-    Null payloads are empty, null addresses and ids are left out. Rows with the same id and payload are all stored.
+    Null payloads are empty, null addresses and ids are left out. Rows with the same id are told apart by a
+    written row number; those with the same id and payload are all stored.
     Spark's own writer commits the files, so a lost task leaves nothing behind: a row of text is a record and the
     line separator is the two line ends that close it.
     """
     path = path or scratch(pages.sparkSession, "warc")
     bound_batches(pages.sparkSession, 200)
     source = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
-    joined = source.join(revisits(pages, id_col, payload_col), F.col("id") == F.col("revisit_id"), "left").select("id", "url", "payload", "refers_to")
+    source = written(source.withColumn("row", F.monotonically_increasing_id()), "pages")
+    joined = source.join(revisits(source), F.col("row") == F.col("revisit"), "left").select("id", "url", "payload", "refers_to", "row", "refers_row")
 
     def run(batches):
         for batch in batches:
             out, size = [], 0
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                for r in records(row[0], row[1], row[2].encode("utf-8", "surrogatepass"), row[3], segment_bytes):
+                for r in records(row[0], row[1], row[2].encode("utf-8", "surrogatepass"), row[3], segment_bytes, row[4], row[5]):
                     out.append(r)
                     size += len(r)
                 if size > 8 << 20:

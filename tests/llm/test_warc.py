@@ -58,6 +58,21 @@ def test_archives(spark, segment):
     assert all((html or "").encode() == stored[i] for i, _, html, *_ in rows if i in stored)
 
 
+@pytest.mark.parametrize("segment", [300, 64 << 10])
+def test_repeated_ids_keep_every_row(spark, segment):
+    a, b, c = "a" * 1500, "b" * 1500, "c" * 200_000
+    rows = [(5, "u", a), (5, "u", b), (9, "u", a), (9, "v", a), (6, "u", c), (6, "u", c), (7, "u", c + "1"), (7, "u", c + "2"), (1, "u", c), (None, "n", c), (None, "n", c), (8, "u", "x"), (8, "u", "x"), (8, "u", "y")]
+    path = warc.write(spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA).repartition(3), segment_bytes=segment, file_records=25)
+    found = warc.read(spark, path)
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    want = [(i, len(t), sha(t), *(("revisit", 9) if (i, t) == (5, a) else ("revisit", 6) if (i, t) == (1, c) else ("response", None))) for i, _, t in rows]
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted((tuple(r) for r in warc.resolve(found).collect()), key=key) == sorted(want, key=key)
+    kept = sorted(r["payload"].decode() for r in found.filter("type = 'response'").collect())
+    assert kept == sorted(t for i, _, t in rows if (i, t) not in ((5, a), (1, c)))
+    assert found.select("record_id").distinct().count() == len(rows)
+
+
 def test_missing_segment_fails(spark, tmp_path):
     records = warc.records(1, "u", b"y" * 500, None, 100)
     for name, kept in (("whole", records[::-1]), ("broken", records[:1] + records[2:])):
