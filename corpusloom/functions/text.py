@@ -145,13 +145,10 @@ def close_markup(c: Column) -> Column:
     return F.coalesce(F.concat(F.regexp_replace(c, rx(r"\s+$"), ""), tail), c)
 
 
-_RUN_IN = r"^(\*{1,3})([^*]{2,60}?[.:])(\*{1,3})"
-
-
 def align_run_in(source: Column, target: Column) -> Column:
     """Give the target's bold lead-in the source's opening and closing marks."""
-    part = lambda c, i: F.regexp_extract(c, _RUN_IN, i)
-    both = source.rlike(_RUN_IN) & target.rlike(_RUN_IN) & ((part(source, 1) != part(target, 1)) | (part(source, 3) != part(target, 3)))
+    part = lambda c, i: F.regexp_extract(c, fixed.RUN_IN, i)
+    both = source.rlike(fixed.RUN_IN) & target.rlike(fixed.RUN_IN) & ((part(source, 1) != part(target, 1)) | (part(source, 3) != part(target, 3)))
     rest = F.substring(target, F.length(part(target, 0)) + 1, F.length(target))
     return F.when(F.coalesce(both, F.lit(False)), F.concat(part(source, 1), part(target, 2), part(source, 3), rest)).otherwise(target)
 
@@ -210,29 +207,29 @@ def is_numeric_cell(c: Column) -> Column:
 
 
 def ocr_noise(c: Column) -> Column:
-    return count_matches(c, rx(r"[|¬~^`]|[a-z]\d[a-z]|\b[Il1]{2,}\b"))
+    return count_matches(c, rx(fixed.OCR_NOISE))
 
 
 def normal_tokens(c: Column) -> Column:
     """Style tokens with their own delimiters again, whatever brackets they came back with; colours in lower case."""
-    t = F.regexp_replace(c, rx(r"[«‹<]\s*(/?)\s*(sc|g)\s*[»›>]"), "‹$1$2›")
-    colour = rx(r"[«‹<]\s*c\s*:\s*([0-9a-fA-F]{6})\s*[»›>]")
+    t = F.regexp_replace(c, rx(fixed.TOKEN_PLAIN), "‹$1$2›")
+    colour = rx(fixed.TOKEN_COLOUR)
     pieces = F.split(t, colour, -1)
     colours = find_all(t, colour, 1)
     t = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("‹c:"), F.lower(F.get(colours, i - 1)), F.lit("›"), p))), "")
-    return F.regexp_replace(t, rx(r"[«‹<]\s*/\s*c\s*[»›>]"), "‹/c›")
+    return F.regexp_replace(t, rx(fixed.TOKEN_COLOUR_END), "‹/c›")
 
 
 def repair_extraction(c: Column) -> Column:
     """Private-use digits become digits, and the space that extraction puts after a ligature goes."""
     for glyph, digits in fixed.PRIVATE_DIGITS.items():
         c = F.replace(c, F.lit(glyph), F.lit(digits))
-    return F.regexp_replace(c, rx(r"\b(?<!-)(\w*?(?:ffi|ffl|fi|fl))[ ](?=[a-z])"), "$1")
+    return F.regexp_replace(c, rx(fixed.LIGATURE), "$1")
 
 
 def small_caps_heading(source: Column, target: Column) -> Column:
     """A heading in small capitals keeps them: the target is rebuilt from the source's tokens."""
-    whole = rx(r"^\s*‹sc›(.+)‹/sc›\s*$", "s")
+    whole = rx(fixed.SMALL_CAPS_HEADING, "s")
     inner = F.regexp_extract(source, whole, 1)
     clean = F.trim(F.regexp_replace(normal_tokens(target), "‹/?sc›|‹[^›]{0,10}›|[«»]", ""))
     raised = let(clean, lambda t: F.when(t.rlike(r"^\p{Ll}") & inner.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, F.length(t)))).otherwise(t))
@@ -241,7 +238,7 @@ def small_caps_heading(source: Column, target: Column) -> Column:
 
 def small_caps_run_in(source: Column, target: Column) -> Column:
     """Wrap as many words at the target's start as the source has there in small capitals, connectors not counted."""
-    lead = rx(r"^((?:‹sc›[^‹]{1,40}‹/sc›[ ]*)+)(.{15,})$", "s")
+    lead = rx(fixed.SMALL_CAPS_LEAD, "s")
     wanted = words(strip_tokens(F.regexp_extract(source, lead, 1)))
     tokens = find_all(target, rx(r"\S+"))
     plain = F.transform(tokens, lambda w: F.lower(F.regexp_replace(w, "^[.,:;»«]+|[.,:;»«]+$", "")))
@@ -265,7 +262,7 @@ def small_caps_kept(source: Column, target: Column) -> Column:
 def unwrap_answer(c: Column) -> Column:
     """The text inside an answer that came as a serialised dictionary: its one value, or its longest string."""
     t = F.trim(c)
-    single = rx(r"^\{\s*['\"](?:traduccion|traducción|translation|text|texto)['\"]\s*:\s*['\"](.*)['\"]\s*\}$", "s")
+    single = rx(fixed.SINGLE_ANSWER, "s")
     inside = find_all(t, "['\"]([^'\"]{15,})['\"]", 1)
     longest = F.array_max(F.transform(inside, lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("first"), x.alias("x")))).getField("x")
     return F.when(t.rlike(single), F.trim(F.regexp_extract(t, single, 1))).when(t.startswith("{") & t.endswith("}") & (F.length(t) > 20), F.coalesce(F.trim(longest), t)).otherwise(t)
@@ -299,7 +296,7 @@ def break_lists(c: Column) -> Column:
 
 
 def is_definition_list(c: Column) -> Column:
-    return count_matches(c, r"\*{2,3}[^*]{2,40}?[.:]\*{2,3}") >= 3
+    return count_matches(c, fixed.DEFINITION_ENTRY) >= 3
 
 
 def glossary_root(c: Column) -> Column:
@@ -323,6 +320,27 @@ def term_variants(c: Column) -> Column:
     return F.when(F.size(kept) > 0, kept).otherwise(F.array(t))
 
 
+def term_core(c: Column) -> Column:
+    """The shortest of a term's variants: it begins all others, so a text that holds any of them holds it."""
+    return let(F.lower(c), lambda t: F.substring(t, F.lit(1), F.when(F.length(t) >= 6, F.length(t) - 2).when(F.length(t) == 5, F.lit(4)).otherwise(F.length(t))))
+
+
+def search_key(c: Column) -> Column:
+    """The first six letters of a term's last word, in lower case."""
+    return F.substring(F.element_at(find_all(F.lower(c), rx(r"\S+")), -1), F.lit(1), F.lit(6))
+
+
+def overflow_ids(line: Column) -> Column:
+    """Blocks that a line of page checks names as too long."""
+    return find_all(F.regexp_extract(line, rx(fixed.OVERFLOW_LIST), 1), rx(fixed.OVERFLOW_BLOCK), 1)
+
+
+def glossary_misses(line: Column) -> Column:
+    """Structs term, target of the missing glossary terms that a line of page checks names."""
+    pattern = rx(fixed.GLOSSARY_MISS)
+    return let(find_all(line, pattern, 2), lambda targets: F.transform(find_all(line, pattern, 1), lambda t, i: F.struct(t.alias("term"), targets[i].alias("target"))))
+
+
 def name_prefixes(c: Column) -> Column:
     """First four letters of capitalised words, in lower case, once each."""
     found = F.transform(find_all(c, rx(r"\b[A-Z][a-záéíóúñ]{3,}")), lambda w: F.lower(F.substring(w, 1, 4)))
@@ -377,8 +395,8 @@ def mark_run_ins(source: Column, target: Column) -> Column:
 
     Where the numbers of paragraphs differ, only the first is compared.
     """
-    lead = rx(r"^([A-Z][A-Za-z''\- ]{1,38}\.)\s+(?=[A-Z\"«])")
-    first = rx(r"^([A-ZÁÉÍÓÚÑ¿¡][^.:\n]{1,45}\.)\s+")
+    lead = rx(fixed.SENTENCE_TITLE)
+    first = rx(fixed.SENTENCE_FIRST)
     ours, theirs = F.split(source, "\n\n", -1), F.split(target, "\n\n", -1)
 
     def one(en: Column, es: Column) -> Column:
@@ -449,22 +467,15 @@ def html_page(c: Column) -> Column:
 def html_digital(c: Column, definitions: bool = False) -> Column:
     """Markup as HTML for digital pages: lists broken into paragraphs, colours and sizes as spans, stray tokens gone."""
     t = normal_tokens(c)
-    values = rx(r"[A-Za-zÁÉÍÓÚÑáéíóúñ]\s*\+\d")
-    t = F.when(count_matches(t, values) >= 3, F.regexp_replace(t, rx(r"(\+\d+)\s+(?=[A-ZÁÉÍÓÚÑ*])"), "$1\n\n")).otherwise(t)
-    t = F.when(count_matches(t, "a impactar") >= 2, F.regexp_replace(t, rx(r"(?<=[.,])\s+(?=\*\*[A-ZÁÉÍÓÚÑ])"), "\n\n")).otherwise(t)
-    t = F.regexp_replace(t, rx(r"(?<=[.:!?»])\s+(?=\*{2,3}[^*]{2,40}?[.:]\*{2,3})"), "\n\n")
+    t = F.when(count_matches(t, rx(fixed.VALUE_ENTRY)) >= 3, F.regexp_replace(t, rx(fixed.VALUE_BREAK), "$1\n\n")).otherwise(t)
+    t = F.when(count_matches(t, fixed.ATTACK_ENTRY) >= 2, F.regexp_replace(t, rx(fixed.ATTACK_BREAK), "\n\n")).otherwise(t)
+    t = F.regexp_replace(t, rx(fixed.DEFINITION_BREAK), "\n\n")
     t = F.regexp_replace(escape_html(t), r"(?s)\*\*(.+?)\*\*", "<b>$1</b>")
     t = F.regexp_replace(t, r"(?s)(?<!\*)\*([^*]+?)\*(?!\*)", "<i>$1</i>")
     t = replace_in_order(t, [("‹sc›", '<span style="font-variant:small-caps">'), ("‹/sc›", "</span>")])
     t = F.regexp_replace(t, "‹c:([0-9a-f]{6})›", '<span style="color:#$1">')
     t = replace_in_order(t, [("‹/c›", "</span>"), ("‹g›", '<span style="font-size:1.35em">'), ("‹/g›", "</span>")])
-    for pattern in (
-        r"‹[^›]{0,24}›?|&lt;/?(?:sc|c|g)&gt;|(?<![\w>])/(?:sc|c|g)›",
-        r"</?(?:sc|c|g)>",
-        r"&lt;/?[a-zA-Z][^&]{0,30}&gt;",
-        r"(?<![\w=\"])/(?:span|sc|c|g|p|b|i)\s*&gt;",
-        r"[‹›]\s*/?\s*(?:sc|c|g|span)\s*[‹›]?",
-    ):
+    for pattern in fixed.BROKEN_TOKENS:
         t = F.regexp_replace(t, rx(pattern), "")
     open_tag = "<p class='def'>" if definitions else "<p>"
     return _paragraphs(t, lambda p: F.concat(F.lit(open_tag), p, F.lit("</p>")))

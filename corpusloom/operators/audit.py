@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from . import joins
+
+#: Shared sizes that may be broadcast.
+SIZES = 1_000_000
 
 
 def extension_of(path: Column) -> Column:
@@ -25,13 +29,25 @@ def inventory(files: DataFrame, include_system: bool = False) -> DataFrame:
     return kept.select("root", "relative_path", "path", F.col("size_bytes").cast("long"), extension_of(F.col("relative_path")).alias("extension"))
 
 
+def duplicate_members(files: DataFrame) -> DataFrame:
+    """(sha256, size_bytes, path) of every non-zero file whose size another file shares.
+
+    ``files`` has path, size_bytes and content. Sizes are counted first, without contents, and only files of a shared
+    size are read and hashed; only hashes are moved. Where too many sizes are shared to be broadcast, all are hashed.
+    """
+    some = files.filter("size_bytes > 0")
+    shared = some.groupBy(F.col("size_bytes").alias("_size")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_size")
+    if joins.is_small(shared, SIZES):
+        some = some.join(F.broadcast(shared), F.col("size_bytes") == F.col("_size"), "left_semi")
+    return some.select(F.sha2(F.col("content").cast("binary"), 256).alias("sha256"), "size_bytes", "path")
+
+
 def duplicate_groups(files: DataFrame) -> DataFrame:
     """(sha256, size_bytes, copies, files): files of the same non-zero size and content, paths in order.
 
-    ``files`` has path, size_bytes and content. Contents are hashed where they are read; only hashes are moved.
+    A group's paths are one list here; :func:`duplicate_members` has them as rows, for copies without number.
     """
-    hashed = files.filter("size_bytes > 0").select("path", "size_bytes", F.sha2(F.col("content").cast("binary"), 256).alias("sha256"))
-    groups = hashed.groupBy("size_bytes", "sha256").agg(F.count("*").alias("copies"), F.sort_array(F.collect_list("path")).alias("files"))
+    groups = duplicate_members(files).groupBy("size_bytes", "sha256").agg(F.count("*").alias("copies"), F.sort_array(F.collect_list("path")).alias("files"))
     return groups.filter("copies > 1").select("sha256", "size_bytes", "copies", "files")
 
 
@@ -64,3 +80,35 @@ def route(items: DataFrame, content_col: str = "content") -> DataFrame:
     """Items with their home; a kind that the table lacks has none and needs review."""
     homes = F.broadcast(ownership(items.sparkSession).select(F.col("content").alias("_kind"), "home"))  # ten rows
     return items.join(homes, F.col(content_col) == F.col("_kind"), "left").drop("_kind").withColumn("action", F.when(F.col("home").isNull(), "needs review").otherwise("move"))
+
+
+def manifest(items: DataFrame) -> DataFrame:
+    """(source, destination, action, confidence, reason, hash): what is to be done with every item, before anything is.
+
+    ``items``: path, content (its kind or null), confirmed (whether it belongs to the library; null: unknown), library
+    (its owner or null), canonical (the path of which it is a byte-identical copy, or null), sha256. What doesn't
+    belong stays where it is; a copy goes once its original is named; sources go to their owner's archive; what
+    belongs and has a known home moves there; the rest waits in the inbox.
+    """
+    r = route(items)
+    action = (
+        F.when(F.col("confirmed") == F.lit(False), "leave in source")
+        .when(F.col("confirmed").isNull(), "needs review")
+        .when(F.col("canonical").isNotNull(), "trash exact duplicate")
+        .when((F.col("content") == fixed.SOURCE_KIND) & F.col("library").isNotNull(), "archive")
+        .when(F.col("home").isNotNull() & (~_owned() | F.col("library").isNotNull()), "move")
+        .otherwise("needs review")
+    )
+    planned = r.withColumn("action", action)
+    inside = F.when(_owned(), F.concat_ws("/", "library", F.element_at(F.filter(F.split("home", "`"), lambda p: F.length(p) > 0), -1))).otherwise(F.col("home"))
+    inside = F.when(F.col("home").isin("Owning game or setting", "Same adventure package"), F.col("library")).otherwise(inside)
+    review = F.when(F.col("confirmed"), F.lit(fixed.INBOX_UNASSIGNED)).otherwise(F.lit(fixed.INBOX_REVIEW))
+    destination = F.when(F.col("action").isin("move", "archive"), inside).when(F.col("action") == "trash exact duplicate", F.col("canonical")).when(F.col("action") == "needs review", review)
+    confidence = F.when(F.col("action") == "trash exact duplicate", "exact").when(F.col("action") == "needs review", "uncertain").otherwise("clear")
+    reason = F.coalesce(F.when(F.col("action") == "trash exact duplicate", F.lit("same SHA-256")), F.when(F.col("action") == "leave in source", F.lit("out of scope")), F.col("content"), F.lit("unknown content"))
+    return planned.select(F.col("path").alias("source"), destination.alias("destination"), "action", confidence.alias("confidence"), reason.alias("reason"), F.col("sha256").alias("hash"))
+
+
+def _owned() -> Column:
+    """Homes within a library that must be known."""
+    return F.col("home").rlike("^(Owning|Same adventure)")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
+from . import joins
+
 
 def _en() -> Column:
     return F.col("en")
@@ -81,21 +83,47 @@ def _quoted(term: Column) -> Column:
     return F.regexp_replace(term, r"([\\.*+?^${}()|\[\]])", r"\\$1")
 
 
+def _sweep_keys(c: Column) -> Column:
+    """Runs of ASCII letters, whole and cut before each capital: a term may end where a capital goes on."""
+    runs = T.find_all(c, "[A-Za-z]+")
+    cuts = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.when((i == F.length(w)) | F.substring(w, i + 1, F.lit(1)).rlike("[A-Z]"), F.substring(w, F.lit(1), i)))
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(runs, cuts))))
+
+
+def _word_keys(c: Column) -> Column:
+    return F.array_distinct(T.find_all(c, T.rx(r"\w+")))
+
+
+def _longest(words: Column) -> Column:
+    return F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))).getField("w")
+
+
 def occurrences(pairs: DataFrame, terms: DataFrame, boundary_left: str, boundary_right: str, lower: bool = False) -> DataFrame:
     """Pairs with each term (columns ``term``, ``target``) that occurs in ``en`` between boundaries.
 
-    A term is looked up by its first word: words of the text meet first words of terms by equality, and only these
-    candidates are matched in full. A term that doesn't begin with a letter or digit meets every text, so terms are
-    split in two and only that part, of which a glossary has few, is compared with all texts.
+    Texts and terms meet by equality of a term's longest word, which the boundaries make a whole word of the text; only
+    these candidates are matched in full. A counted, small set of terms is broadcast and nothing is moved; otherwise
+    words and keys of rows meet in a shuffle and the texts are joined to the few that match. Terms that begin with
+    neither letter nor digit, of which a glossary has few, are looked for in every text.
     """
+    word = boundary_left == r"\b"
     text = F.lower(_en()) if lower else _en()
-    word = r"[\p{L}\p{N}]+"
-    own = terms.select("term", "target", F.regexp_extract("term", f"^({word})", 1).alias("head"), F.concat(F.lit(f"(?U){boundary_left}"), _quoted(F.col("term")), F.lit(boundary_right)).alias("pattern"))
-    heads = pairs.withColumn("_text", text)
-    keyed = heads.withColumn("_head", F.explode(F.array_distinct(T.find_all(F.col("_text"), word))))
-    near = keyed.join(own.filter("head <> ''"), F.col("_head") == F.col("head")).drop("_head")
-    odd = heads.join(own.filter("head = ''"), F.col("_text").contains(F.col("term")))
-    return near.unionByName(odd).filter(F.expr("_text rlike pattern")).drop("_text", "head", "pattern")
+    start = T.rx(r"^\w") if word else "^[A-Za-z]"
+    head = _longest(T.find_all(F.col("term"), T.rx(r"\w+"))) if word else F.coalesce(_longest(T.find_all(F.col("term"), "[A-Za-z]+(?=[^A-Za-z])")), F.regexp_extract("term", "^[A-Za-z]+", 0))
+    own = terms.select("term", "target", F.when(F.col("term").rlike(start), head).otherwise("").alias("head"), F.concat(F.lit(f"(?U){boundary_left}"), _quoted(F.col("term")), F.lit(boundary_right)).alias("pattern")).distinct()
+    keys = _word_keys if word else _sweep_keys
+    plain, odd = own.filter("head <> ''"), own.filter("head = ''")
+    rows = pairs.withColumn("_text", text)
+    full = F.col("_text").contains(F.col("term")) & F.expr("_text rlike pattern")
+    few = joins.is_small(own)
+    if few:
+        near = rows.withColumn("_key", F.explode(keys(F.col("_text")))).join(F.broadcast(plain), F.col("_key") == F.col("head")).drop("_key").filter(full)
+    else:
+        row = F.struct("page", "block") if "block" in pairs.columns else F.struct("page")
+        met = rows.select(row.alias("_row"), F.explode(keys(F.col("_text"))).alias("_key")).join(plain, F.col("_key") == F.col("head")).drop("_key").distinct()
+        near = rows.join(met, row == F.col("_row")).drop("_row").filter(full)
+    apart = rows.join(F.broadcast(odd) if few else odd, full)
+    return near.unionByName(apart.select(*near.columns)).drop("_text", "head", "pattern")
 
 
 def glossary_sweep(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -126,9 +154,16 @@ def markup(pairs: DataFrame) -> DataFrame:
 
 def length_ratio(pairs: DataFrame, least: int = 60, short: float = 0.45, long: float = 2.0) -> DataFrame:
     """Translations much shorter or longer than their source."""
-    found = translated(pairs).withColumn("a", F.length(T.norm(_en()))).withColumn("b", F.length(T.norm(_es()))).filter(F.col("a") >= least)
-    kind = F.when(F.col("b") < F.col("a") * short, "CORTO").when(F.col("b") > F.col("a") * long, "LARGO")
-    return found.withColumn("kind", kind).filter("kind is not null").select("page", "block", "kind", F.concat("b", F.lit("/"), "a", F.lit(" chars: "), F.substring(_es(), 1, 60)).alias("detail"))
+    long_enough = translated(pairs).filter(F.length(_en()) >= least)  # comparable text is never longer than the text
+    sizes = F.struct(F.length(T.norm(_en())).alias("a"), F.length(T.norm(_es())).alias("b"))
+
+    def kind(s: Column) -> Column:
+        a, b = s.getField("a"), s.getField("b")
+        name = F.when(a >= least, F.when(b < a * short, "CORTO").when(b > a * long, "LARGO"))
+        return F.struct(name.alias("kind"), F.concat(b, F.lit("/"), a, F.lit(" chars: "), F.substring(_es(), 1, 60)).alias("detail"))
+
+    found = long_enough.select("page", "block", F.explode(F.filter(F.array(T.let(sizes, kind)), lambda k: k.getField("kind").isNotNull())).alias("k"))
+    return found.select("page", "block", "k.kind", "k.detail")
 
 
 def english_words(pairs: DataFrame, kept=fixed.KEPT_WORDS) -> DataFrame:
@@ -149,7 +184,7 @@ def lost_names(pairs: DataFrame, names: DataFrame) -> DataFrame:
     """Kept names of the source that the target lacks, in sources of forty characters or more."""
     words = F.array_distinct(T.find_all(T.strip_tokens(_en()), T.rx(r"\b[A-Z][a-z]{3,}\b")))
     each = translated(pairs).filter(F.length(T.norm(_en())) >= 40).select("page", "block", "es", F.explode(words).alias("word"))
-    held = each.withColumn("plain", T.norm(F.col("word"))).join(names.select(F.col("name").alias("_n")), F.col("plain") == F.col("_n"), "left_semi")
+    held = joins.looked_up(each.withColumn("plain", T.norm(F.col("word"))), names.select(F.col("name").alias("_n")), F.col("plain") == F.col("_n"), "left_semi")
     gone = held.filter(~T.norm(_es()).contains(F.col("plain")))
     return gone.groupBy("page", "block").agg(F.array_sort(F.collect_set("word")).alias("gone")).select("page", "block", F.lit("PERDIDO").alias("kind"), _shown(F.col("gone")).alias("detail"))
 
@@ -169,12 +204,21 @@ def divergent(pairs: DataFrame, least: int = 12, sites: int = 4) -> DataFrame:
 # sense
 
 
+def _sense(pairs: DataFrame, hits, first: str | None = None) -> DataFrame:
+    """(page, block, hit) for each of ``hits(en, es)``, an array of strings in which nulls don't count.
+
+    Both comparable texts are computed once for a row; ``first`` is a pattern without which a source has no hit.
+    """
+    none = F.array().cast("array<string>")
+    found = T.let(T.norm_sense(_en()), lambda en: F.when(F.lit(True) if first is None else en.rlike(first), T.let(T.norm_sense(_es()), lambda es: F.array_compact(hits(en, es)))).otherwise(none))
+    return translated(pairs).select("page", "block", F.explode(found).alias("hit"))
+
+
 def false_friends(pairs: DataFrame, rules=fixed.FALSE_FRIENDS) -> DataFrame:
     """A source word together with its cognate. Cognates with accents can't be met, as texts have none here."""
-    en, es = T.norm_sense(_en()), T.norm_sense(_es())
-    checks = F.array_compact(F.array(*[F.when(en.rlike(T.rx(rf"\b{w}\b")) & es.rlike(T.rx(rf"\b{calque}\w*\b")), F.lit(f"{w} → «{calque}» (¿{good}?)")) for w, calque, good in rules]))
-    found = translated(pairs).select("page", "block", F.explode(checks).alias("hit"))
-    return _rows(found, "FALSO-AMIGO", F.col("hit"))
+    any_word = T.rx(rf"\b(?:{T.alternatives(w for w, _, _ in rules)})\b")
+    checks = lambda en, es: F.array(*[F.when(en.rlike(T.rx(rf"\b{w}\b")) & es.rlike(T.rx(rf"\b{calque}\w*\b")), F.lit(f"{w} → «{calque}» (¿{good}?)")) for w, calque, good in rules])
+    return _rows(_sense(pairs, checks, any_word), "FALSO-AMIGO", F.col("hit"))
 
 
 def lost_negation(pairs: DataFrame) -> DataFrame:
@@ -185,32 +229,54 @@ def lost_negation(pairs: DataFrame) -> DataFrame:
 
 def wrong_condition(pairs: DataFrame, table=fixed.CONDITIONS) -> DataFrame:
     """A condition without its equivalent where another condition's stands."""
-    en, es = T.norm_sense(_en()), T.norm_sense(_es())
-    checks = []
-    for name, own in table:
-        others = F.array_compact(F.array(*[F.when(es.contains(t), F.lit(t)) for other, t in table if other != name]))
-        checks.append(F.when(en.rlike(T.rx(rf"\b{name}\b")) & ~es.contains(own) & (F.size(others) > 0), F.concat(F.lit(f"«{name}» → «"), others[0], F.lit("»"))))
-    found = translated(pairs).select("page", "block", F.explode(F.array_compact(F.array(*checks))).alias("hit"))
-    return _rows(found, "CONDICION", F.col("hit"))
+
+    def checks(en: Column, es: Column) -> Column:
+        out = []
+        for name, own in table:
+            others = F.array_compact(F.array(*[F.when(es.contains(t), F.lit(t)) for other, t in table if other != name]))
+            out.append(F.when(en.rlike(T.rx(rf"\b{name}\b")) & ~es.contains(own) & (F.size(others) > 0), F.concat(F.lit(f"«{name}» → «"), others[0], F.lit("»"))))
+        return F.array(*out)
+
+    return _rows(_sense(pairs, checks, T.rx(rf"\b(?:{T.alternatives(name for name, _ in table)})\b")), "CONDICION", F.col("hit"))
 
 
 def lost_frequency(pairs: DataFrame, table=fixed.FREQUENCIES) -> DataFrame:
     """A period of use that the target lacks."""
-    en, es = T.norm_sense(_en()), T.norm_sense(_es())
-    checks = F.array_compact(F.array(*[F.when(en.rlike(T.rx(pattern)) & ~es.rlike(T.rx(wanted)), F.lit(period)) for pattern, period, wanted in table]))
-    found = translated(pairs).select("page", "block", F.explode(checks).alias("hit"))
+    checks = lambda en, es: F.array(*[F.when(en.rlike(T.rx(pattern)) & ~es.rlike(T.rx(wanted)), F.lit(period)) for pattern, period, wanted in table])
+    found = _sense(pairs, checks, T.rx(T.alternatives(f"(?:{pattern})" for pattern, _, _ in table)))
     return _rows(found, "FRECUENCIA", F.concat(F.lit("«"), "hit", F.lit("» ausente")))
 
 
 def resource_counts(pairs: DataFrame, table=fixed.RESOURCE_PAIRS) -> DataFrame:
     """Counts of paired terms that differ by two or more in all."""
-    en, es = T.norm_sense(_en()), T.norm_sense(_es())
-    checks = []
-    for a, b, ta, tb in table:
-        na, nb, ma, mb = (T.count_matches(c, T.rx(w)) for c, w in ((en, a), (en, b), (es, ta), (es, tb)))
-        checks.append(F.when((na + nb > 0) & (F.abs(na - ma) + F.abs(nb - mb) >= 2), F.concat_ws("", F.lit("EN "), na, F.lit("/"), nb, F.lit(" vs ES "), ma, F.lit("/"), mb)))
-    found = translated(pairs).select("page", "block", F.explode(F.array_compact(F.array(*checks))).alias("hit"))
-    return _rows(found, "RECURSO", F.col("hit"))
+
+    def checks(en: Column, es: Column) -> Column:
+        out = []
+        for a, b, ta, tb in table:
+            counts = F.struct(*[T.count_matches(c, T.rx(w)).alias(n) for n, c, w in (("na", en, a), ("nb", en, b), ("ma", es, ta), ("mb", es, tb))])
+
+            def differs(k: Column) -> Column:
+                na, nb, ma, mb = (k.getField(n) for n in ("na", "nb", "ma", "mb"))
+                return F.when((na + nb > 0) & (F.abs(na - ma) + F.abs(nb - mb) >= 2), F.concat_ws("", F.lit("EN "), na, F.lit("/"), nb, F.lit(" vs ES "), ma, F.lit("/"), mb))
+
+            out.append(T.let(counts, differs))
+        return F.array(*out)
+
+    return _rows(_sense(pairs, checks, T.rx(T.alternatives(f"(?:{w})" for a, b, _, _ in table for w in (a, b)))), "RECURSO", F.col("hit"))
+
+
+def range_words(pairs: DataFrame, table=fixed.RANGE_WORDS) -> DataFrame:
+    """Ranges named in order on both sides that differ at some place: a reach that a translation has changed."""
+    english = T.rx(rf"\b(?:{T.alternatives(w for w, _ in table)})\b")
+    spanish = T.rx(rf"\b(?:{T.alternatives(t for _, t in table)})\b")
+    names = F.create_map(*[F.lit(x) for pair in table for x in pair])
+
+    def checks(en: Column, es: Column) -> Column:
+        both = F.struct(F.transform(T.find_all(en, english), lambda w: names[w]).alias("a"), T.find_all(es, spanish).alias("b"))
+        shown = lambda s: F.concat(_shown(s.getField("a")), F.lit(" vs "), _shown(s.getField("b")))
+        return F.array(T.let(both, lambda s: F.when(s.getField("a") != s.getField("b"), shown(s))))
+
+    return _rows(_sense(pairs, checks, english), "RANGO", F.col("hit"))
 
 
 def style_signals(targets: DataFrame, rules=fixed.STYLE_SIGNALS) -> DataFrame:
@@ -226,9 +292,12 @@ def _signal(pattern: str, meaning: str) -> Column:
 # whole pages: (page, en, es)
 
 
-def page_english(pages: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """(page, word, n): pages with more than one English word, and how often each occurs."""
-    allowed = set(fixed.PAGE_ALLOWED)
+def page_english(pages: DataFrame, overrides: DataFrame | None = None, names=()) -> DataFrame:
+    """(page, word, n): pages with more than one English word, and how often each occurs.
+
+    ``names``: a project's proper names, in lower case, which don't count. ``overrides`` (page): pages left out.
+    """
+    allowed = {*fixed.PAGE_ALLOWED, *names}
     stop = sorted(w for w in set(fixed.PAGE_STOPWORDS) if w not in allowed)
     word = pages.select("page", F.explode(T.find_all(F.lower(_es()), "[a-zA-Z']{3,}")).alias("word")).filter(F.col("word").isin(*stop))
     n = word.groupBy("page", "word").agg(F.count("*").alias("n"))
@@ -288,7 +357,7 @@ def misaligned(pairs: DataFrame) -> DataFrame:
     """
     names = T.name_prefixes(_en())
     es = F.lower(T.strip_accents(_es()))
-    rotated = (F.size(names) >= 2) & ~F.exists(names, lambda n: es.contains(T.strip_accents(n)))
+    rotated = T.let(F.struct(names.alias("n"), es.alias("t")), lambda s: (F.size(s.getField("n")) >= 2) & ~F.exists(s.getField("n"), lambda n: s.getField("t").contains(T.strip_accents(n))))
     english = (F.trim(_es()) == F.trim(_en())) | ((F.length(_es()) > 60) & (F.size(T.stopwords_found(_es(), fixed.ALIGN_STOPWORDS, "")) >= 4))
     chapter = F.regexp_extract(_en(), T.rx(r"CHAPTER\s+(\d+)", "i"), 1)
     footer = (F.col("type") == "footer") & (chapter != "") & ~_es().contains(chapter)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions.text import rx
+from . import joins
 
 
 def ranges(ledger: DataFrame, line_col: str = "line") -> DataFrame:
@@ -23,19 +25,31 @@ def covered(found: DataFrame) -> DataFrame:
     return found.filter("first <= last").select(F.explode(F.sequence("first", "last")).alias("page")).distinct()
 
 
-def uncovered(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """Pages that no range covers; by interval, so wide ranges aren't spelled out."""
-    r = found.filter("first <= last").select(F.col("first").alias("_a"), F.col("last").alias("_b"))
-    merged = merge(r, "_a", "_b")
-    return pages.join(F.broadcast(merged), F.col("page").between(F.col("start"), F.col("end")), "left_anti") if merged.limit(10_001).count() <= 10_000 else pages.join(covered(found).select(F.col("page").alias("_p")), F.col("page") == F.col("_p"), "left_anti")
+#: Pages that are compared with ranges together.
+BUCKET_PAGES = 1024
+
 
+def uncovered(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """Pages that no range covers.
 
-def merge(intervals: DataFrame, start: str, end: str) -> DataFrame:
-    """(start, end) of joined overlapping or touching ranges. The ledger of ranges is ordered as a whole."""
-    w = Window.orderBy(start, end)
+    Ranges are cut at buckets of pages and joined within each, so pages meet ranges by equality of the bucket and a
+    bucket has few of them, however many ranges there are and however wide they are.
+    """
+    bucket = lambda c: F.floor(c / BUCKET_PAGES).cast("long")
+    r = found.filter("first <= last").select(F.col("first").cast("long").alias("_a"), F.col("last").cast("long").alias("_b")).distinct()
+    parts = r.select("_a", "_b", F.explode(F.sequence(bucket(F.col("_a")), bucket(F.col("_b")))).alias("_bucket"))
+    parts = parts.select("_bucket", F.greatest("_a", F.col("_bucket") * BUCKET_PAGES).alias("_a"), F.least("_b", (F.col("_bucket") + 1) * BUCKET_PAGES - 1).alias("_b")).distinct()
+    within = merge(parts, "_a", "_b", ["_bucket"])
+    return pages.join(within, (bucket(F.col("page")) == F.col("_bucket")) & F.col("page").between(F.col("start"), F.col("end")), "left_anti")
+
+
+def merge(intervals: DataFrame, start: str, end: str, by: list[str] | None = None) -> DataFrame:
+    """(by, start, end) of joined overlapping or touching ranges of each group."""
+    by = by or []
+    w = Window.partitionBy(*by).orderBy(start, end)
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = intervals.withColumn("_new", F.coalesce((F.col(start) > reach + 1).cast("int"), F.lit(1)))
-    return marked.withColumn("_group", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("_group").agg(F.min(start).alias("start"), F.max(end).alias("end")).drop("_group")
+    return marked.withColumn("_group", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*by, "_group").agg(F.min(start).alias("start"), F.max(end).alias("end")).drop("_group")
 
 
 def gate(pages: DataFrame, ledger: DataFrame, line_col: str = "line", shown: int = 8) -> DataFrame:
@@ -84,6 +98,16 @@ def update_progress(progress: DataFrame, changes: DataFrame, key: str, column: s
     return out.select(*[F.coalesce(F.col(key), F.col("_k")).alias(key) if n == key else F.coalesce(F.col("_v"), F.col(column)).alias(column) if n == column else F.col(n) for n in progress.columns])
 
 
+def shared_misses(lines: DataFrame, glossary: DataFrame, line_col: str = "line") -> DataFrame:
+    """(term, wanted, target) of glossary terms that lines of page checks name as missing.
+
+    ``wanted`` is the glossary's own translation without what stands in brackets, or the term where it has none.
+    """
+    named = lines.select(F.explode(T.glossary_misses(F.col(line_col))).alias("m")).select("m.term", "m.target")
+    own = glossary.select(F.lower(F.trim("en")).alias("_en"), F.trim(F.regexp_replace("es", rx(r"\s*\([^)]*\)"), "")).alias("_es")).groupBy("_en").agg(F.max("_es").alias("_es"))
+    return joins.looked_up(named, own, F.lower("term") == F.col("_en")).select("term", F.coalesce("_es", "term").alias("wanted"), "target")
+
+
 def merge_overrides(old: Column, new: Column) -> Column:
     """Maps of overrides together: later values hold, other keys stay."""
     kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))

@@ -175,3 +175,34 @@ def page_texts(blocks: DataFrame, values: DataFrame, hulls: DataFrame) -> DataFr
     source = own.filter(live).unionByName(taken).groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s.getField("text")), " ").alias("en"))
     target = values.filter(live & F.col("t").isNotNull()).groupBy(F.col("page").alias("t_page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "t"))), lambda s: s.getField("t")), " ").alias("es"))
     return source.join(target, F.col("page") == F.col("t_page"), "full_outer").select(F.coalesce("page", "t_page").alias("page"), F.coalesce("en", F.lit("")).alias("en"), F.coalesce("es", F.lit("")).alias("es"))
+
+
+def index_entries(words: DataFrame, middle: float = 300.0, top: float = 30.0, bottom: float = 810.0) -> DataFrame:
+    """(page, column, line, title, number, x0, y0, x1, y1, limit): titles of an index page's lines.
+
+    ``words``: page, text, x0, y0, x1, y1. Words of one column whose base lines fall into the same third-point bucket
+    are a line; words that shadow layers repeat count once, and the title ends before the first leader dots or page
+    number. A number glued to a title is taken off it. ``limit`` is the left edge of the first leader or number of the
+    column to the right of the title's beginning and at its height; nulls: there is none.
+    """
+    from ..functions import fixed
+    from .folds import drop_echoed_words, until_leader
+
+    column = F.when(F.col("x0") < middle, 0).otherwise(1)
+    inside = words.filter((F.col("y1") > top) & (F.col("y1") < bottom)).withColumn("column", column)
+    line = F.bround(F.col("y1") / 3).cast("int")
+    sides = ("x0", "y0", "x1", "y1")
+    placed = inside.groupBy("page", "column", line.alias("line")).agg(F.array_sort(F.collect_list(F.struct(F.col("x0").alias("x"), "text", *sides))).alias("all"))
+    kept = placed.withColumn("all", drop_echoed_words(F.col("all")))
+    n = F.size(until_leader(F.transform("all", lambda w: w.getField("text"))))
+    kept = kept.withColumn("own", F.when(n > 0, F.slice("all", F.lit(1), n))).filter("own is not null")
+    text = F.regexp_replace(F.trim(F.array_join(F.transform("own", lambda w: w.getField("text")), " ")), T.rx(r"\s*\.+$"), "")
+    edge = lambda s: (F.array_min if s.endswith("0") else F.array_max)(F.transform("own", lambda w: w.getField(s))).alias(s)
+    titled = kept.select("page", "column", "line", text.alias("whole"), *[edge(s) for s in sides]).filter(F.col("whole").rlike("[A-Za-z]{2}"))
+    glued = F.col("whole").rlike(T.rx(fixed.INDEX_GLUED))
+    title = F.when(glued, F.regexp_replace(F.regexp_extract("whole", T.rx(fixed.INDEX_GLUED), 1), r"[ .]+$", "")).otherwise(F.col("whole"))
+    titled = titled.select("page", "column", "line", title.alias("title"), F.when(glued, F.regexp_extract("whole", T.rx(fixed.INDEX_GLUED), 2)).alias("number"), *sides)
+    stops = inside.filter(F.col("text").rlike(T.rx(fixed.INDEX_NUMBER))).select(F.col("page").alias("s_page"), F.col("column").alias("s_column"), *[F.col(s).alias(f"s_{s}") for s in sides])
+    near = (F.col("page") == F.col("s_page")) & (F.col("column") == F.col("s_column")) & (F.col("s_x0") > F.col("x0") + 10) & (F.least("y1", "s_y1") - F.greatest("y0", "s_y0") > 3)
+    own = ["page", "column", "line", "title", "number", *sides]
+    return titled.join(stops, near, "left").groupBy(*own).agg(F.min("s_x0").alias("limit"))

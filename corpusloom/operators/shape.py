@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as T
 from ..functions.text import rx
+from . import joins
 
 
 def page_class(page: Column, last: Column, words: Column) -> Column:
@@ -34,7 +35,8 @@ def line_type(width: Column, height: Column, line: dict[str, Column]) -> Column:
     caps = (F.upper(t) == t) & t.rlike(r"\p{L}")
     points = h / 300 * 72
     return (
-        F.when(y > height * 0.952, F.when(w < width * 0.06, "folio").otherwise("footer"))
+        F.when(line["red"].isNull(), "otro")  # no ink was seen
+        .when(y > height * 0.952, F.when(w < width * 0.06, "folio").otherwise("footer"))
         .when((h > width * 0.004) & (w < width * 0.035) & (h > w * 3), "credito")
         .when((y < height * 0.055) & (w < width * 0.35) & (F.abs(x + w / 2 - width / 2) < width * 0.22), "kicker")
         .when(line["ochre"], F.when(line["red"] & caps & (points >= 11), "stat_h").otherwise("stat"))
@@ -65,10 +67,25 @@ def verdict(signals: DataFrame) -> DataFrame:
 
     ``signals``: fonts, words, noisy, single_image. The median is the upper one.
     """
-    s = signals.agg(F.count("*").alias("k"), F.count_if("fonts").alias("fonts"), F.count_if(F.col("words") > 40).alias("texts"), F.count_if("single_image").alias("images"), F.count_if("noisy").alias("noisy"), F.sort_array(F.collect_list("words")).alias("all"))
+    s = signals.agg(F.count("*").alias("k"), F.count_if("fonts").alias("fonts"), F.count_if(F.col("words") > 40).alias("texts"), F.count_if("single_image").alias("images"), F.count_if("noisy").alias("noisy"))
+    middle = upper_medians(signals.select("words"), [], "words").select(F.col("middle").alias("median_words"))
     digital, text = F.col("fonts") >= F.col("k") * 0.7, F.col("texts") >= F.col("k") * 0.5
-    advice = F.array_compact(F.array(F.when(digital & ~text, F.lit("fonts but little text")), F.when(digital & (F.col("images") >= F.col("k") * 0.7), F.lit("keep the order of layers")), F.when(F.col("noisy") >= F.col("k") * 0.3, F.lit("noisy text layer"))))
-    return s.select("k", "fonts", "texts", "images", "noisy", F.get("all", F.floor(F.col("k") / 2).cast("int")).alias("median_words"), F.when(digital, "DIGITAL").when(text, "HIBRIDO").otherwise("ESCANEO").alias("verdict"), advice.alias("advice"))
+    without_text, art, noise = fixed.TRIAGE_ADVICE
+    advice = F.array_compact(F.array(F.when(digital & ~text, F.lit(without_text)), F.when(digital & (F.col("images") >= F.col("k") * 0.7), F.lit(art)), F.when(F.col("noisy") >= F.col("k") * 0.3, F.lit(noise))))
+    both = s.join(F.broadcast(middle))  # single rows
+    return both.select("k", "fonts", "texts", "images", "noisy", "median_words", F.when(digital, "DIGITAL").when(text, "HIBRIDO").otherwise("ESCANEO").alias("verdict"), advice.alias("advice"))
+
+
+def upper_medians(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, middle): the middle value of each group, the upper of two, from counts of equal values; nulls are left out.
+
+    Equal values are counted before they are moved, so a group costs as many rows as it has different values.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*by)
+    upto = F.sum("_n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_upto", upto).withColumn("_all", F.sum("_n").over(group))
+    return placed.filter(F.col("_upto") > F.floor(F.col("_all") / 2)).groupBy(*by).agg(F.min(value).alias("middle"))
 
 
 # name candidates
@@ -122,15 +139,49 @@ def spot_check(rows: DataFrame, key: str, k: int = 20) -> DataFrame:
 def page_terms(pages: DataFrame, glossary: DataFrame) -> DataFrame:
     """(page, en, es): glossary rows whose term, or the term less one or two characters, occurs in the page.
 
-    Texts and terms meet by their first four characters, then the whole variant is looked for; shorter terms, of which
-    a glossary has few, are looked for everywhere.
+    A text that holds any variant of a term holds the shortest, so only that one is looked for. Texts and terms meet by
+    equality of one word: the longest that has white space on both sides within the term. Terms of one or two words
+    have none; they are first looked for within the distinct words of all texts, which then stand for them.
     """
     t = F.lower(F.col("text"))
-    g = glossary.select("en", "es", F.explode(T.term_variants(F.col("en"))).alias("variant")).distinct()
-    starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - 3)), lambda i: F.substring(t, i, F.lit(4))))
-    near = pages.select("page", t.alias("t"), F.explode(starts).alias("start")).join(g.filter(F.length("variant") >= 4), F.col("start") == F.substring("variant", 1, 4))
-    short = pages.select("page", t.alias("t"), F.lit("").alias("start")).join(g.filter(F.length("variant") < 4), F.col("t").contains(F.col("variant")))
-    return near.unionByName(short).filter(F.col("t").contains(F.col("variant"))).select("page", "en", "es").distinct()
+    words = lambda c: T.find_all(c, r"\S+")
+    longest = lambda found: F.array_max(F.transform(found, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))).getField("w")
+    g = glossary.select("en", "es", T.term_core(F.col("en")).alias("core")).filter("core <> ''").distinct()
+    g = g.withColumn("key", longest(T.find_all(F.col("core"), r"(?<=\s)\S+(?=\s)")))
+    keys = g.filter("key is not null")
+    rest = g.filter("key is null").drop("key").withColumn("piece", longest(words(F.col("core"))))
+    if not rest.isEmpty():
+        vocabulary = pages.select(F.explode(words(t)).alias("key")).distinct()
+        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("key") - 3)), lambda i: F.substring("key", i, F.lit(4))))
+        long = rest.filter(F.length("piece") >= 4)
+        near = vocabulary.withColumn("gram", F.explode(grams)).join(long, F.col("gram") == F.substring("piece", 1, 4))
+        # pieces of up to three letters, of which a glossary has few
+        short = vocabulary.join(rest.filter(F.length("piece") < 4), F.col("key").contains(F.col("piece")))
+        keys = keys.unionByName(near.filter(F.col("key").contains(F.col("piece"))).unionByName(short, True).select("en", "es", "core", "key").distinct())
+    keys = keys.withColumnRenamed("key", "_key")
+    if joins.is_small(keys):  # nothing is moved: words are met where the text is
+        met = pages.select("page", t.alias("_t")).withColumn("_word", F.explode(F.array_distinct(words(F.col("_t"))))).join(F.broadcast(keys), F.col("_word") == F.col("_key"))
+        return met.filter(F.col("_t").contains(F.col("core"))).select("page", "en", "es").distinct()
+    met = pages.select("page", F.explode(F.array_distinct(words(t))).alias("_word")).join(keys, F.col("_word") == F.col("_key"))
+    found = met.groupBy(F.col("page").alias("_page")).agg(F.collect_set(F.struct("en", "es", "core")).alias("_found"))
+    hits = pages.join(found, F.col("page") == F.col("_page")).select("page", F.explode(F.filter("_found", lambda v: t.contains(v.getField("core")))).alias("v"))
+    return hits.select("page", "v.en", "v.es").distinct()
+
+
+def nearest_forms(glossary: DataFrame, texts: DataFrame, text_col: str = "text", k: int = 4) -> DataFrame:
+    """(en, es, forms): up to ``k`` phrases of reference texts, in order, that hold the beginning of a term's last word.
+
+    A phrase is a capitalised word with up to two small ones after it. Phrases are made distinct first; phrases and
+    terms then meet by equality of the key with a piece of the phrase of the key's length.
+    """
+    phrases = texts.select(F.explode(T.find_all(F.col(text_col), r"[A-ZÁÉÍÓÚÑ][a-záéíóúüñ]*(?:\s+[a-záéíóúüñ]+){0,2}")).alias("form")).distinct()
+    g = glossary.select("en", "es", T.search_key(F.col("es")).alias("key")).distinct()
+    piece = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("form") - n + 1)), lambda i: F.substring(F.lower("form"), i, F.lit(n)))
+    pieces = phrases.select("form", F.explode(F.array_distinct(F.concat(*[piece(n) for n in range(1, 7)]))).alias("piece"))
+    met = pieces.join(g, F.col("piece") == F.col("key")).select("en", "es", "form").distinct()
+    first = met.withColumn("_n", F.row_number().over(Window.partitionBy("en", "es").orderBy("form"))).filter(F.col("_n") <= k)
+    forms = first.groupBy(F.col("en").alias("_en"), F.col("es").alias("_es")).agg(F.array_sort(F.collect_list("form")).alias("forms"))
+    return g.select("en", "es").distinct().join(forms, (F.col("en") == F.col("_en")) & (F.col("es") == F.col("_es")), "left").select("en", "es", F.coalesce("forms", F.array().cast("array<string>")).alias("forms"))
 
 
 # sections and journals

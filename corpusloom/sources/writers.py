@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,31 @@ def pages(df: DataFrame, path: str, key: str = "page") -> None:
     df.repartition(key).write.partitionBy(key).mode("overwrite").option("partitionOverwriteMode", "dynamic").json(path)
 
 
+def page_files(df: DataFrame, path: str, name: str = "name", text: str = "text") -> int:
+    """Write one file per row under ``path``, named by ``name``; returns their number.
+
+    A file appears under its name only when it is whole; one that is there is replaced, others stay. For a store of
+    :func:`pyarrow.fs.FileSystem.from_uri`.
+    """
+    from pyarrow.fs import FileSystem
+
+    uri = path if "://" in path else f"file://{path}"
+
+    def run(batches):
+        fs, base = FileSystem.from_uri(uri)
+        for batch in batches:
+            for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                target = f"{base}/{n}"
+                fs.create_dir(target.rpartition("/")[0], recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with fs.open_output_stream(part) as f:
+                    f.write((t or "").encode("utf-8", "surrogatepass"))
+                fs.move(part, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return df.select(F.col(name).cast("string"), F.col(text).cast("string")).mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def table(df: DataFrame, path: str, sep: str = ",") -> None:
     """Rows with a heading."""
     df.write.mode("overwrite").option("header", "true").option("sep", sep).csv(path)
@@ -47,6 +75,19 @@ def defects(df: DataFrame, path: str) -> None:
     table(df.orderBy("page", "block"), path, "\t")
 
 
-def module_manifest(name: str, title: str, packs: list[str]) -> dict:
-    """Manifest of an export with its packs."""
-    return {"id": name, "title": title, "version": "0.1.0", "packs": [{"name": p, "label": f"{title} — {p}", "path": f"packs/{p}"} for p in packs]}
+#: Packs of an export: (name, label, type).
+PACKS = (("diarios", "Diarios", "JournalEntry"), ("actores", "Bestiario", "Actor"), ("tablas", "Tablas", "RollTable"), ("escenas", "Mapas", "Scene"))
+
+
+def module_manifest(name: str, title: str, author: str = "traduccion-personal", system: str | None = None, packs=PACKS, version: str = "0.2.0") -> dict:
+    """Manifest of an export with its packs; ``system`` is left out of packs where it is unknown."""
+    listed = [{"name": n, "label": f"{title} — {label}", "path": f"packs/{n}", "type": kind} | ({"system": system} if system else {}) for n, label, kind in packs]
+    return {
+        "id": name,
+        "title": f"{title} — Companion (uso personal)",
+        "description": "Diarios en español generados del pipeline de traducción personal.",
+        "version": version,
+        "compatibility": {"minimum": "12", "verified": "14"},
+        "authors": [{"name": author}],
+        "packs": listed,
+    }

@@ -35,7 +35,7 @@ def test_files_are_found(spark, tmp_path):
     (tmp_path / "link").symlink_to(tmp_path / "y.txt")
     found = readers.files(spark, f"file://{tmp_path}")
     assert {"a/x.txt", "y.txt", "z.txt"} <= {r["relative_path"] for r in found.collect()} and found.filter("size_bytes = 0").count() == 1
-    assert [r["relative_path"] for r in readers.files_without_links(str(tmp_path), spark).orderBy("relative_path").collect()] == ["a/x.txt", "y.txt", "z.txt"]
+    assert [r["relative_path"] for r in readers.files(spark, str(tmp_path)).orderBy("relative_path").collect()] == ["a/x.txt", "y.txt", "z.txt"]
     groups = audit.duplicate_groups(readers.contents(spark, f"file://{tmp_path}/*.txt").unionByName(readers.contents(spark, f"file://{tmp_path}/a")))
     assert [(r["copies"], r["size_bytes"]) for r in groups.collect()] == [(2, 4)]
 
