@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -51,6 +51,11 @@ def duplicate_groups(files: DataFrame) -> DataFrame:
     return groups.filter("copies > 1").select("sha256", "size_bytes", "copies", "files")
 
 
+def in_order(groups: DataFrame) -> DataFrame:
+    """Groups of identical files with their place in order of size, then of hash. The report is one sorted list."""
+    return groups.withColumn("place", F.row_number().over(Window.orderBy("size_bytes", "sha256")))
+
+
 def extension_counts(files: DataFrame) -> DataFrame:
     """(root, extension, file_count)."""
     return files.groupBy("root", "extension").agg(F.count("*").alias("file_count"))

@@ -86,6 +86,19 @@ def not_done(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def any_of(lists: list[DataFrame]) -> DataFrame:
+    """Keys that any of several lists names, once each: what is to be done again."""
+    out = lists[0]
+    for more in lists[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
+def last_page(pages: DataFrame) -> DataFrame:
+    """One row (last): the largest page, 0 without any."""
+    return pages.agg(F.coalesce(F.max("page"), F.lit(0)).alias("last"))
+
+
 def ready_pages(progress: DataFrame) -> DataFrame:
     """Pages that are composed and checked."""
     return progress.filter("comp = 'ok' and v4 = 'ok'").select("pdf_page")

@@ -252,7 +252,7 @@ def handout_document(art: DataFrame, title: str, slug: str) -> DataFrame:
     nth = F.row_number().over(Window.orderBy("page")) - 1  # a book's art pages
     image = F.concat(F.lit(f"modules/{slug}/assets/arte-"), page, F.lit(".webp"))
     each = art.select(nth.alias("n"), "page").select("n", F.struct(stable_id(F.lit("art"), page).alias("_id"), F.concat(F.lit("Lámina p"), page).alias("name"), F.lit("image").alias("type"), (F.col("n") * 10).alias("sort"), F.struct(F.lit(True).alias("show"), F.lit(1).alias("level")).alias("title"), image.alias("src"), _nothing().alias("image"), _nothing().alias("flags")).alias("page"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("n", "page"))), lambda p: p.getField("page"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("n", "page")), lambda a, b: a.getField("n") - b.getField("n")), lambda p: p.getField("page"))
     whole = each.agg(listed.alias("pages"))
     return whole.select(_document(_id=stable_id(F.lit("handouts"), F.lit(slug)), name=F.lit(f"{title} — Láminas y handouts"), pages=F.col("pages"), sort=F.lit(900), **_owned()).alias("document"))
 

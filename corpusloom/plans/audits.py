@@ -56,14 +56,40 @@ def links(spark, sf_dir):
     return R.table(spark, sf_dir, "pages").select("page_id", F.explode(T.find_all(F.col("html"), 'href="([^"]+)"', 1)).alias("link"))
 
 
+@query("lint_names", "SELECT 'x/' || p_name AS folder, 'name ''' || p_name || ' X'' must be lowercase hyphen-case' AS error FROM part UNION ALL SELECT 'x/' || p_name, 'name ''' || p_name || ' X'' does not match folder ''' || p_name || '''' FROM part")
+def lint_names(spark, sf_dir):
+    name = F.col("p_name")
+    folders = R.table(spark, sf_dir, "part").select(F.concat(F.lit("x/"), name).alias("folder"), F.concat(F.lit("---\nname: "), name, F.lit(" X\ndescription: d\n---\n")).alias("content"))
+    return linter.errors(folders, spark.createDataFrame([], "path string"))
+
+
+@query("g1_duplicates_in_order", f"WITH {R.FILES}, g AS (SELECT size_bytes, sha256(content) AS sha256, count(*) AS copies FROM files WHERE size_bytes > 0 GROUP BY 1, 2 HAVING count(*) > 1) SELECT row_number() OVER (ORDER BY size_bytes, sha256) AS place, size_bytes, sha256, copies FROM g")
+def duplicates_in_order(spark, sf_dir):
+    return audit.in_order(audit.duplicate_groups(R.files(spark, sf_dir).select("path", "size_bytes", "content"))).select("place", "size_bytes", "sha256", "copies")
+
+
+_CONTENT = "CASE p_partkey % 6 WHEN 0 THEN 'System-neutral GM sheets' WHEN 1 THEN 'Source ZIP, preview, obsolete release, or translation snapshot' WHEN 2 THEN 'Campaign notes, house rules, and active characters' WHEN 3 THEN 'Setting book, setting map, or licensed adaptation' END"
+_HOME = "CASE p_partkey % 6 WHEN 0 THEN '03 Shared Resources/03 Generic Sheets' WHEN 1 THEN 'Owning library `90 Archive`' WHEN 2 THEN 'Owning library `My Table`' WHEN 3 THEN 'Owning game or setting' END"
+
+
+@query("c17_routing", f"SELECT p_partkey, {_HOME} AS home, CASE WHEN {_HOME} IS NULL THEN 'needs review' ELSE 'move' END AS action FROM part")
+def routing(spark, sf_dir):
+    return audit.route(R.table(spark, sf_dir, "part").select("p_partkey", F.expr(_CONTENT).alias("content"))).select("p_partkey", "home", "action")
+
+
+_ACTION = f"CASE WHEN p_partkey % 13 = 0 THEN 'leave in source' WHEN p_partkey % 13 = 1 THEN 'needs review' WHEN p_partkey % 13 = 2 THEN 'trash exact duplicate' WHEN p_partkey % 6 = 1 AND p_partkey % 7 > 0 THEN 'archive' WHEN p_partkey % 6 = 0 OR (p_partkey % 6 IN (2, 3) AND p_partkey % 7 > 0) THEN 'move' ELSE 'needs review' END"
+
+
 @query(
-    "lint_names",
-    "SELECT p_partkey, error FROM (SELECT p_partkey, unnest([CASE WHEN NOT regexp_matches(p_name, '^[a-z0-9]+(?:-[a-z0-9]+)*$') THEN 'kebab' END, CASE WHEN p_name <> lower(p_brand) THEN 'folder' END]) AS error FROM part) WHERE error IS NOT NULL",
+    "l8_manifest",
+    f"""SELECT p_name AS source, CASE action WHEN 'leave in source' THEN NULL WHEN 'needs review' THEN CASE WHEN k = 1 THEN '00 Inbox/02 Needs Review' ELSE '00 Inbox/01 Unassigned' END WHEN 'trash exact duplicate' THEN 'lib/one' WHEN 'archive' THEN 'lib/90 Archive'
+    ELSE CASE p_partkey % 6 WHEN 0 THEN '03 Shared Resources/03 Generic Sheets' WHEN 2 THEN 'lib/My Table' ELSE 'lib' END END AS destination, action, CASE action WHEN 'trash exact duplicate' THEN 'exact' WHEN 'needs review' THEN 'uncertain' ELSE 'clear' END AS confidence,
+    CASE action WHEN 'trash exact duplicate' THEN 'same SHA-256' WHEN 'leave in source' THEN 'out of scope' ELSE coalesce({_CONTENT}, 'unknown content') END AS reason, 'h' || p_size AS hash FROM (SELECT *, p_partkey % 13 AS k, {_ACTION} AS action FROM part)""",
 )
-def lint_names(spark, sf_dir):
-    p = R.table(spark, sf_dir, "part")
-    checks = F.array_compact(F.array(F.when(~F.col("p_name").rlike(linter.NAME), F.lit("kebab")), F.when(F.col("p_name") != F.lower("p_brand"), F.lit("folder"))))
-    return p.select("p_partkey", F.explode(checks).alias("error"))
+def manifest(spark, sf_dir):
+    k = F.col("p_partkey") % 13
+    items = R.table(spark, sf_dir, "part").select(F.col("p_name").alias("path"), F.expr(_CONTENT).alias("content"), F.when(k == 0, False).when(k > 1, True).alias("confirmed"), F.when(F.col("p_partkey") % 7 > 0, "lib").alias("library"), F.when(k == 2, "lib/one").alias("canonical"), F.concat(F.lit("h"), F.col("p_size").cast("string")).alias("sha256"))
+    return audit.manifest(items)
 
 
 @query(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import geometry as G
 from ..functions import text as T
-from ..operators import folds, shape, statblock, translate
-from ..sources import readers, writers
+from ..operators import detectors, gates, pairs, shape, statblock, translate
+from ..sources import readers, shared, writers
 from . import relations as R
 from .registry import query
 
@@ -24,15 +24,30 @@ def catalogue(spark, sf_dir):
 _SIGNALS = "SELECT source, n_chars % 3 > 0 AS fonts, n_chars // 6 AS words, n_chars % 2 = 0 AS noisy, n_chars % 5 > 0 AS single FROM documents"
 
 
+_ADVICE = ", ".join(f"CASE WHEN {c} THEN '{t}' END" for c, t in zip(("fonts >= k * 0.7 AND texts < k * 0.5", "fonts >= k * 0.7 AND images >= k * 0.7", "noisy >= k * 0.3"), fixed.TRIAGE_ADVICE))
+
+
 @query(
     "c6_verdict",
-    f"SELECT count(*) AS k, count(*) FILTER (fonts) AS fonts, count(*) FILTER (words > 40) AS texts, count(*) FILTER (single) AS images, count(*) FILTER (noisy) AS noisy, list_sort(list(words))[count(*) // 2 + 1] AS median_words, CASE WHEN count(*) FILTER (fonts) >= count(*) * 0.7 THEN 'DIGITAL' WHEN count(*) FILTER (words > 40) >= count(*) * 0.5 THEN 'HIBRIDO' ELSE 'ESCANEO' END AS verdict FROM ({_SIGNALS})",
+    f"SELECT k, fonts, texts, images, noisy, median_words, verdict, array_to_string(list_filter([{_ADVICE}], lambda x: x IS NOT NULL), '|') AS advice FROM (SELECT count(*) AS k, count(*) FILTER (fonts) AS fonts, count(*) FILTER (words > 40) AS texts, count(*) FILTER (single) AS images, count(*) FILTER (noisy) AS noisy, list_sort(list(words))[count(*) // 2 + 1] AS median_words, CASE WHEN count(*) FILTER (fonts) >= count(*) * 0.7 THEN 'DIGITAL' WHEN count(*) FILTER (words > 40) >= count(*) * 0.5 THEN 'HIBRIDO' ELSE 'ESCANEO' END AS verdict FROM ({_SIGNALS}))",
 )
 def verdict(spark, sf_dir):
-    d = R.table(spark, sf_dir, "documents")
     n = F.col("n_chars")
-    s = d.select((n % 3 > 0).alias("fonts"), F.floor(n / 6).alias("words"), (n % 2 == 0).alias("noisy"), (n % 5 > 0).alias("single_image"))
-    return shape.verdict(s).drop("advice")
+    s = R.table(spark, sf_dir, "documents").select((n % 3 > 0).alias("fonts"), F.floor(n / 6).alias("words"), (n % 2 == 0).alias("noisy"), (n % 5 > 0).alias("single_image"))
+    return shape.verdict(s).withColumn("advice", F.array_join("advice", "|"))
+
+
+@query("c6_page_signals", "SELECT doc_id AS page, w AS words, w > 40 AND n > w * 0.02 AS noisy FROM (SELECT doc_id, len(regexp_extract_all(text, '\\S+')) AS w, len(regexp_extract_all(text, '[|¬~^`]|[a-z]\\d[a-z]')) + len(list_filter(regexp_split_to_array(text, '[^\\p{L}\\p{N}_]+'), lambda x: regexp_matches(x, '^[Il1]{2,}$'))) AS n FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN repeat('~ ', 20) || text ELSE text END AS text FROM documents))")
+def page_signals(spark, sf_dir):
+    d = R.table(spark, sf_dir, "documents")
+    return shape.page_signals(d.select(F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 4 == 0, F.concat(F.repeat(F.lit("~ "), F.lit(20)), "text")).otherwise(F.col("text")).alias("text")))
+
+
+@query("c7_headings", "SELECT heading, count(*) AS n FROM (SELECT 'T ' || array_to_string(list_transform(regexp_extract_all(lower(o_orderpriority), '[a-z]+|[^a-z]+'), lambda w: upper(w[1]) || lower(w[2:])), '') AS heading FROM orders WHERE o_orderstatus <> 'P') GROUP BY 1")
+def headings(spark, sf_dir):
+    o = R.table(spark, sf_dir, "orders")
+    kind = F.when(F.col("o_orderstatus") == "O", "h1").when(F.col("o_orderstatus") == "F", "titulo").otherwise("cuerpo")
+    return shape.headings(o.select(kind.alias("type"), F.concat(F.lit(" A1: t "), "o_orderpriority", F.lit(" ")).alias("t")))
 
 
 @query("g4_sample_pages", "SELECT doc_id AS page FROM documents, (SELECT count(*) AS n FROM documents) WHERE doc_id >= least(4, n) AND (doc_id - least(4, n)) % greatest(1, (n - least(4, n)) // 8) = 0 AND (doc_id - least(4, n)) // greatest(1, (n - least(4, n)) // 8) < 8")
@@ -114,12 +129,13 @@ def first_seen(spark, sf_dir):
 
 @query("e6_upper_median", "SELECT source, list_sort(list(n_chars))[count(*) // 2 + 1] AS middle FROM documents GROUP BY 1")
 def upper_median(spark, sf_dir):
-    return R.table(spark, sf_dir, "documents").groupBy("source").agg(folds.upper_median(F.collect_list("n_chars")).alias("middle"))
+    return shape.upper_medians(R.table(spark, sf_dir, "documents"), ["source"], "n_chars")
 
 
-@query("e7_median", "SELECT source, median(n_chars) AS middle FROM documents GROUP BY 1")
-def median(spark, sf_dir):
-    return R.table(spark, sf_dir, "documents").groupBy("source").agg(F.median("n_chars").alias("middle"))
+@query("g7_nearest_forms", "WITH f AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-ZÁÉÍÓÚÑ][a-záéíóúüñ]*(?:\\s+[a-záéíóúüñ]+){0,2}')) AS form FROM documents), g AS (SELECT * FROM (VALUES ('a', 'el thonst'), ('b', 'la with'), ('c', 'zzzzzz'), ('d', 'uno ing')) AS g(en, es)), m AS (SELECT en, es, form, row_number() OVER (PARTITION BY en, es ORDER BY form) AS n FROM g JOIN f ON contains(lower(form), string_split(es, ' ')[-1][:6])) SELECT g.en, g.es, coalesce(string_agg(form, '|' ORDER BY form), '') AS forms FROM g LEFT JOIN m ON m.en = g.en AND n <= 4 GROUP BY 1, 2")
+def nearest_forms(spark, sf_dir):
+    g = spark.createDataFrame([("a", "el thonst"), ("b", "la with"), ("c", "zzzzzz"), ("d", "uno ing")], "en string, es string")
+    return shape.nearest_forms(g, R.table(spark, sf_dir, "documents")).withColumn("forms", F.array_join("forms", "|"))
 
 
 @query("e8_mode", "SELECT source, lang FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS n FROM documents GROUP BY 1, 2) WHERE n = 1")
@@ -132,43 +148,64 @@ def weighted_mode(spark, sf_dir):
     return shape.weighted_mode(R.table(spark, sf_dir, "documents"), ["source"], "lang", F.col("n_chars"))
 
 
-@query("e5_conditional_counts", "SELECT source, count(*) FILTER (n_chars > 1000) AS long, avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) AS english FROM documents GROUP BY 1")
-def conditional_counts(spark, sf_dir):
-    return R.table(spark, sf_dir, "documents").groupBy("source").agg(F.count_if(F.col("n_chars") > 1000).alias("long"), F.avg((F.col("lang") == "en").cast("double")).alias("english"))
+@query("h1_blocks_and_phrases", "SELECT doc_id AS page, 'b' AS block, text AS source FROM documents UNION ALL SELECT item_id, 't', text FROM benchmark")
+def blocks_and_phrases(spark, sf_dir):
+    row = lambda t, key, block: R.table(spark, sf_dir, t).select(F.col(key).alias("page"), F.lit(block).alias("block"), F.col("text").alias("source"))
+    return pairs.blocks_and_phrases(row("documents", "doc_id", "b"), row("benchmark", "item_id", "t"))
+
+
+@query("h6_redo_list", "SELECT doc_id FROM labels WHERE quality = 0 UNION SELECT doc_id FROM labels WHERE toxic = 1 UNION SELECT doc_id FROM documents WHERE n_chars < 20")
+def redo_list(spark, sf_dir):
+    l, d = R.table(spark, sf_dir, "labels"), R.table(spark, sf_dir, "documents")
+    return gates.any_of([l.filter("quality = 0").select("doc_id"), l.filter("toxic = 1").select("doc_id"), d.filter("n_chars < 20").select("doc_id")])
+
 
+@query("e18_last_page", "SELECT coalesce(max(o_custkey), 0) AS last, 0 AS none FROM orders")
+def last_page(spark, sf_dir):
+    o = R.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"))
+    return gates.last_page(o).crossJoin(gates.last_page(o.filter("page < 0")).select(F.col("last").cast("int").alias("none")))  # single rows
 
-@query("e17_guards", "SELECT conv_id, bool_and(length(text) > 20) AS every, bool_or(length(text) > 1000) AS some, coalesce(max(turn), 0) AS last FROM conversations GROUP BY 1")
-def guards(spark, sf_dir):
-    return R.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.bool_and(F.length("text") > 20).alias("every"), F.bool_or(F.length("text") > 1000).alias("some"), F.coalesce(F.max("turn"), F.lit(0)).alias("last"))
 
+@query("k11_all_or_nothing", "SELECT p_size AS grp, bool_and(p_partkey % 7 > 0 AND p_partkey % 11 > 0) AS accepted FROM part GROUP BY 1")
+def all_or_nothing(spark, sf_dir):
+    n = F.col("p_partkey")
+    p = R.table(spark, sf_dir, "part").select(F.col("p_size").alias("grp"), F.concat(F.lit("label "), n.cast("string")).alias("text"), F.when(n % 7 == 0, None).when(n % 11 == 0, "rótulo 0x").otherwise(F.concat(F.lit("rótulo "), n.cast("string"))).alias("result"))
+    return translate.all_or_nothing(p, "grp")
 
-@query("d1_turn_pairs", "SELECT conv_id, turn, text, next FROM (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next FROM conversations) WHERE next IS NOT NULL")
-def turn_pairs(spark, sf_dir):
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return R.table(spark, sf_dir, "conversations").withColumn("next", F.lead("text").over(w)).filter("next is not null").select("conv_id", "turn", "text", "next")
 
+_SHORT = "CASE WHEN {t} * {s} <= 500 THEN {t} ELSE greatest({t} - 10, 1) END"
+_ROUNDS = "t0 AS (SELECT p_partkey, p_size * 3 AS t, 9.5 AS s FROM part), t1 AS (SELECT p_partkey, " + _SHORT.format(t="t", s="s") + " AS t, s FROM t0), t2 AS (SELECT p_partkey, " + _SHORT.format(t="t", s="s") + " AS t, s FROM t1)"
+for _i, _size in enumerate((8.5, 8.3, 8.2)):
+    _now = f"t{2 + _i}" if not _i else f"a{_i}"
+    if _i:
+        _ROUNDS += f", a{_i} AS (SELECT p_partkey, {_SHORT.format(t='t', s='s')} AS t, s FROM t{2 + _i})"
+    _ROUNDS += f", t{3 + _i} AS (SELECT p_partkey, t, CASE WHEN t * s <= 500 THEN s ELSE least(s, {_size}) END AS s FROM {_now})"
 
-@query("d3_image_lookup", "SELECT doc_id, coalesce(url, '') AS image FROM documents LEFT JOIN pages ON page_id = doc_id")
-def image_lookup(spark, sf_dir):
-    p = R.table(spark, sf_dir, "pages").select("page_id", "url")
-    return R.table(spark, sf_dir, "documents").join(p, F.col("doc_id") == F.col("page_id"), "left").select("doc_id", F.coalesce("url", F.lit("")).alias("image"))
 
+@query("k3_repair", f"WITH {_ROUNDS} SELECT p_partkey AS page, t AS length, s AS size, t * s <= 500 AS fits FROM t5")
+def repair(spark, sf_dir):
+    blocks = R.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.lit("b").alias("block"), F.repeat(F.lit("x"), F.col("p_size") * 3).alias("t"), F.lit(9.5).alias("size"))
+    fits = lambda df: df.withColumn("fits", F.length("t") * F.col("size") <= 500)
+    shorten = lambda df: df.withColumn("result", F.substring("t", F.lit(1), F.greatest(F.length("t") - 10, F.lit(1))))
+    return translate.repair(blocks, fits, shorten, ["term"], shared.written).select("page", F.length("t").alias("length"), "size", "fits")
 
-@query("h1_blocks_and_phrases", "SELECT doc_id AS id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark")
-def blocks_and_phrases(spark, sf_dir):
-    return R.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text").unionByName(R.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text"))
 
+@query("k5_postprocess", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Capítulo ' || p_size || ' | pie' WHEN 1 THEN '***Desarrollo.*** La trama de 1,900' ELSE '‹sc›l cuarto fragmento de‹/sc› la vara tan larga' END AS es, CASE WHEN p_partkey % 3 = 2 THEN 'E' END AS letter FROM part")
+def postprocess(spark, sf_dir):
+    pick = lambda *t: F.element_at(F.array(*[x if not isinstance(x, str) else F.lit(x) for x in t]), (F.col("p_partkey") % 3 + 1).cast("int"))
+    rows = R.table(spark, sf_dir, "part").select("p_partkey", pick("footer", "cuerpo", "h1").alias("type"), pick(F.concat(F.lit("CHAPTER "), F.col("p_size").cast("string")), "Development. The plot", "x").alias("en"), pick(" Capítulo | pie ", "Desarrollo. La trama de 1.900", "El cuarto fragmento de la vara tan larga").alias("es"), pick(F.lit(None).cast("string"), F.lit(None).cast("string"), "T").alias("drop_cap"))
+    return translate.postprocess(rows).select("p_partkey", "es", "letter")
 
-@query("h6_redo_list", "SELECT doc_id FROM labels WHERE quality = 0 UNION SELECT doc_id FROM labels WHERE toxic = 1 UNION SELECT doc_id FROM documents WHERE n_chars < 20")
-def redo_list(spark, sf_dir):
-    l, d = R.table(spark, sf_dir, "labels"), R.table(spark, sf_dir, "documents")
-    return l.filter("quality = 0").select("doc_id").union(l.filter("toxic = 1").select("doc_id")).union(d.filter("n_chars < 20").select("doc_id")).distinct()
+
+_CHANNEL = "(l_partkey * 65537 % 16777216 >> {s}) & 255"
+_CHANNELS = ", ".join(_CHANNEL.format(s=s) for s in (16, 8, 0))
 
 
-@query("c14_heading_level", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_quantity <= 7 THEN 'footer' WHEN l_quantity >= 18 AND l_linenumber <= 3 THEN 'h1' WHEN l_linenumber <= 2 AND l_quantity >= 10.5 THEN 'h2' ELSE 'cuerpo' END AS level FROM lineitem")
+@query("c14_heading_level", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN q <= 7 THEN 'footer' WHEN q >= 18 AND l_linenumber <= 3 THEN 'h1' WHEN caps AND greatest({_CHANNELS}) - least({_CHANNELS}) > 40 AND greatest({_CHANNELS}) > 90 AND q >= 11.6 THEN 'h1' WHEN caps AND q >= 10.5 THEN 'h2' ELSE 'cuerpo' END AS level FROM (SELECT *, l_quantity * 0.6 AS q, l_linenumber <= 2 AND l_returnflag <> 'A' AS caps FROM lineitem)")
 def heading_level(spark, sf_dir):
     li = R.table(spark, sf_dir, "lineitem")
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shape.heading_level(F.concat(F.lit("HEADING "), F.col("l_returnflag")), F.col("l_quantity"), F.lit(0), F.col("l_linenumber")).alias("level"))
+    text = F.when(F.col("l_returnflag") != "A", "HEADING *X*").otherwise("Heading")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shape.heading_level(text, F.col("l_quantity") * 0.6, (F.col("l_partkey") * 65537 % 16777216).cast("int"), F.col("l_linenumber")).alias("level"))
 
 
 @query("i34_fraction", "SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 0.25 ELSE p_size::DOUBLE END AS value FROM part")
@@ -185,14 +222,24 @@ def roll_tables(spark, sf_dir):
     return statblock.roll_tables(t).select("page", "name", "formula", F.size("results").alias("results"), total.alias("weight"))
 
 
-@query("b5_defect_summary", "SELECT o_orderstatus AS kind, count(*) AS n FROM orders GROUP BY 1")
+_FOUND = f"SELECT 'NUM' AS kind FROM live WHERE {R.decimals_sql('en')} <> {R.decimals_sql('es')} UNION ALL SELECT 'TOKEN' FROM live_swept WHERE regexp_matches(es, '‹[^›]{{0,24}}$|^[^‹]{{0,24}}›|«/|/»')"
+
+
+@query("b5_defect_summary", f"WITH {R.PAIRS} SELECT kind, count(*) AS n FROM ({_FOUND}) GROUP BY 1")
 def defect_summary(spark, sf_dir):
-    return writers.defect_summary(R.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("kind")))
+    p = R.pairs(spark, sf_dir)
+    return writers.defect_summary(detectors.union([detectors.numbers(p), detectors.stray_tokens(p)]))
 
 
-@query("b8_journal_documents")
+@query(
+    "b8_journal_documents",
+    "WITH j AS (SELECT conv_id, (p + 1) * 10 AS sort, coalesce(max(CASE WHEN h THEN text END), any_value('c' || conv_id))[:120] AS name FROM (SELECT *, sum(CASE WHEN h AND rn > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn)::BIGINT AS p FROM (SELECT *, role = 'user' AS h, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)) GROUP BY conv_id, p) "
+    "SELECT conv_id, substring(sha256(conv_id::VARCHAR), 1, 16) AS id, '!journal!' || substring(sha256(conv_id::VARCHAR), 1, 16) AS key, 'Libro — ' || conv_id AS name, arg_min(name, sort) AS first_page, '!journal.pages!' || substring(sha256(conv_id::VARCHAR), 1, 16) || '.' || substring(sha256(conv_id || chr(31) || min(sort)::BIGINT), 1, 16) AS page_key, '10' AS sort FROM j GROUP BY conv_id",
+)
 def journal_documents(spark, sf_dir):
-    return statblock.journal_document(journal_pages(spark, sf_dir), "conv_id")
+    of = lambda path: F.get_json_object("document", f"$.{path}")
+    d = statblock.journal_document(journal_pages(spark, sf_dir), "conv_id", "Libro")
+    return d.select("conv_id", "id", of("_key").alias("key"), of("name").alias("name"), of("pages[0].name").alias("first_page"), of("pages[0]._key").alias("page_key"), of("pages[0].sort").alias("sort"))
 
 
 @query("n2_translate", "SELECT CAST(item_id AS VARCHAR) AS key, regexp_replace(regexp_replace(text, '(?i)\\bthat\\b', 'eso', 'g'), '(?i)\\bthe\\b', 'la', 'g') AS result FROM benchmark")

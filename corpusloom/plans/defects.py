@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as T
 from ..operators import detectors as D
+from ..operators import gates
 from ..operators import pairs as P
 from ..operators import rules
 from . import relations as R
 from .registry import query
+from .texts import BAG
 
 _STOP = "|".join(fixed.SWEEP_STOPWORDS)
 #: A whole word for DuckDB, whose engine has no lookaround: one consumed character on either side.
@@ -137,21 +139,15 @@ _PAGES = "pages_ AS (SELECT conv_id * 1000 + turn AS page, text AS en, lead(text
 _PAGE_WORDS = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(fixed.PAGE_STOPWORDS))) + "]"
 
 
-@query("j18_page_english", f"WITH {_PAGES}, w AS (SELECT page, unnest(regexp_extract_all(lower(es), '[a-zA-Z'']{{3,}}')) AS word FROM two), k AS (SELECT page, word, count(*) AS n FROM w WHERE list_contains({_PAGE_WORDS}, word) GROUP BY 1, 2) SELECT page, word, n FROM k WHERE page IN (SELECT page FROM k GROUP BY 1 HAVING sum(n) > 1)")
+@query("j18_page_english", f"WITH {_PAGES}, w AS (SELECT page, unnest(regexp_extract_all(lower(es), '[a-zA-Z'']{{3,}}')) AS word FROM two), k AS (SELECT page, word, count(*) AS n FROM w WHERE list_contains({_PAGE_WORDS}, word) AND word NOT IN ('with', 'there') GROUP BY 1, 2) SELECT page, word, n FROM k WHERE page IN (SELECT page FROM k GROUP BY 1 HAVING sum(n) > 1) AND page % 5 > 0")
 def page_english(spark, sf_dir):
-    return D.page_english(_pages(spark, sf_dir))
-
-
-def _bag_sql(c: str) -> str:
-    t = f"regexp_replace({c}, '[’'']', '', 'g')"
-    t = f"regexp_replace({t}, '(^|[^\\p{{L}}\\p{{N}}_])[lI](d\\d)', '\\1' || '1' || '\\2', 'g')"
-    t = f"regexp_replace({t}, '(^|[^\\p{{L}}\\p{{N}}_])d(\\d+)\\b', '\\1' || '1d' || '\\2', 'g')"
-    return f"list_concat(regexp_extract_all({t}, '\\d+d\\d+'), regexp_extract_all(replace(regexp_replace({t}, '\\d+d\\d+', ' ', 'g'), ',', ''), '\\d[\\d,]*'))"
+    pages = _pages(spark, sf_dir)
+    return D.page_english(pages, pages.filter("page % 5 = 0").select("page"), ("with", "there"))
 
 
 @query(
     "j19_page_numbers",
-    f"WITH {_PAGES}, s AS (SELECT page, unnest({_bag_sql('en')}) AS number, 1 AS a, 0 AS b FROM two UNION ALL SELECT page, unnest({_bag_sql('es')}), 0, 1 FROM two) SELECT page, number, greatest(sum(a) - sum(b), 0)::BIGINT AS only_en, greatest(sum(b) - sum(a), 0)::BIGINT AS only_es FROM s GROUP BY 1, 2 HAVING sum(a) <> sum(b)",
+    f"WITH {_PAGES}, s AS (SELECT page, unnest({BAG.replace('COLUMN', 'en')}) AS number, 1 AS a, 0 AS b FROM two UNION ALL SELECT page, unnest({BAG.replace('COLUMN', 'es')}), 0, 1 FROM two) SELECT page, number, greatest(sum(a) - sum(b), 0)::BIGINT AS only_en, greatest(sum(b) - sum(a), 0)::BIGINT AS only_es FROM s GROUP BY 1, 2 HAVING sum(a) <> sum(b)",
 )
 def page_numbers(spark, sf_dir):
     return D.page_numbers(_pages(spark, sf_dir))
@@ -208,16 +204,21 @@ def page_glossary(spark, sf_dir):
     return D.page_glossary(pages, glossary).select("page.page", "page.block", "term", "target")
 
 
-@query(
-    "j23_style_signals",
-    "WITH "
-    + R.PAIRS
-    + ", s AS (SELECT page, block, unnest(list_concat("
-    + "list_transform(regexp_extract_all(es, '  +'), lambda x: 'double space'), list_transform(regexp_extract_all(es, '[a-záéíóúñA-ZÁÉÍÓÚÑ]{2,}\\.[a-záéíóúñA-ZÁÉÍÓÚÑ]'), lambda x: 'no space after a full stop'))) AS kind FROM pairs WHERE es IS NOT NULL) SELECT kind, count(*) AS n FROM s GROUP BY 1",
-)
+#: A phrase for each style rule, and the rules that it breaks, by their place.
+_PHRASES = (
+    ("salpicándote a todos", (0, 1)), ("salpicándose a ustedes", (1,)), ("eso hace sentido", (2,)), ("aplica para eso", (3,)), ("eventualmente va", (4,)), ("actualmente va, no hoy", (5,)),
+    ("realizan que va", (6,)), ("asumir eso", (7,)), ("soporta eso", (8,)), ("en orden de ir", (9,)), ("ser capaz de ir", (10,)), ("tú tienes eso", (11,)),
+    ("cerca de el lago", (12,)), ("va a el lago", (13,)), ("a  b", (14,)), ("puntos de vida", (15,)), ("un chequeo", (16,)), ("tirada de salvado", (17,)),
+    ("daño de golpeo", (18,)), ("Maestro de la mazmorra", (19,)), ("un hechizo", (20,)), ("acaba.Empieza", (21,)), ("qué?va", (22,)), ("el Reading", (23,)),
+    ("soporta mucho peso", ()), ("a el llegó", ()),
+)
+
+
+@query("j23_style_signals", "SELECT p_partkey AS page, kind, 'x ' || phrase || ' y' AS detail FROM part JOIN (VALUES " + ", ".join(f"({i}, '{p}', '{fixed.STYLE_SIGNALS[k][1]}')" for i, (p, broken) in enumerate(_PHRASES) for k in broken) + f") AS s(i, phrase, kind) ON p_partkey % {len(_PHRASES)} = i")
 def style_signals(spark, sf_dir):
-    found = D.style_signals(R.pairs(spark, sf_dir), [r for r in fixed.STYLE_SIGNALS if r[1] in ("double space", "no space after a full stop")])
-    return found.groupBy("kind").agg(F.count("*").alias("n"))
+    phrase = F.element_at(F.array(*[F.lit(p) for p, _ in _PHRASES]), (F.col("p_partkey") % len(_PHRASES) + 1).cast("int"))
+    t = R.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.lit("b").alias("block"), F.concat(F.lit("x "), phrase, F.lit(" y")).alias("es"))
+    return D.style_signals(t).select("page", "kind", "detail")
 
 
 @query("j23_style_contexts")
@@ -225,14 +226,97 @@ def style_contexts(spark, sf_dir):
     return D.style_signals(R.pairs(spark, sf_dir))
 
 
+@query("l3_range_words", f"SELECT p_partkey AS page, 'RANGO' AS kind, CASE p_partkey % 4 WHEN 1 THEN '[cuerpo a cuerpo,muy lejos] vs [cuerpo a cuerpo,lejos]' ELSE '[muy cerca] vs []' END AS detail FROM part WHERE p_partkey % 4 IN (1, 3)")
+def range_words(spark, sf_dir):
+    pick = lambda *t: F.element_at(F.array(*[F.lit(x) for x in t]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    p = R.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.lit("b").alias("block"), pick("Melee, then Very Far", "Melee, then Very Far", "no reach", "Very Close").alias("en"), pick("Cuerpo a cuerpo, luego muy lejos", "Cuerpo a cuerpo, luego lejos", "sin alcance cerca", "nada").alias("es"))
+    return D.range_words(p).select("page", "kind", "detail")
+
+
+@query("l1_orphans", f"WITH {R.LINES} SELECT page, block FROM lines WHERE block % 3 > 0 AND block % 5 > 0")
+def orphans(spark, sf_dir):
+    n = R.lines(spark, sf_dir).select("page", "block")
+    return D.orphans(n, n.filter("block % 3 = 0"), n.filter("block % 5 = 0"))
+
+
+@query("l4_canonical_versions", "SELECT l_partkey AS source, t AS target FROM (SELECT l_partkey, l_returnflag || l_linestatus AS t, row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber, l_returnflag || l_linestatus) AS n FROM lineitem) WHERE n = 1")
+def canonical_versions(spark, sf_dir):
+    li = R.table(spark, sf_dir, "lineitem")
+    return D.canonical_versions(li.select(F.col("l_partkey").alias("source"), F.concat("l_returnflag", "l_linestatus").alias("target"), F.col("l_linenumber").alias("priority")))
+
+
+@query(
+    "l6_repeated_neighbours",
+    f"WITH {R.PAIRS}, o AS (SELECT page, block, en, CASE WHEN block % 4 = 1 THEN en || ' ' || lag(en) OVER w || ' ' || lead(en) OVER w ELSE en END AS es FROM lines WINDOW w AS (PARTITION BY page ORDER BY block)), n AS (SELECT *, lag(es) OVER w AS before, lead(es) OVER w AS after FROM o WINDOW w AS (PARTITION BY page ORDER BY block)) SELECT page, block FROM n WHERE es IS NOT NULL AND trim(es) <> '' AND es <> '~' AND length({R.norm_sql('en')}) >= 60 AND length({R.norm_sql('es')}) > length({R.norm_sql('en')}) * 2.0 AND ((length(before) > 0 AND contains(es, before)) OR (length(after) > 0 AND contains(es, after)))",
+)
+def repeated_neighbours(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("page").orderBy("block")
+    n = R.lines(spark, sf_dir)
+    doubled = F.concat(F.col("en"), F.lit(" "), F.lag("en").over(w), F.lit(" "), F.lead("en").over(w))
+    return D.repeated_neighbours(n.withColumn("es", F.when(F.col("block") % 4 == 1, doubled).otherwise(F.col("en"))))
+
+
+@query(
+    "j6_gate_defect",
+    "WITH n AS (SELECT n_nationkey + 1 AS page FROM nation) SELECT 0::BIGINT AS page, '-' AS block, 'VALIDACION' AS kind, 'missing ' || (SELECT count(*) FROM n WHERE page > 12) || ' pages: ' || (SELECT string_agg(page::VARCHAR, ',' ORDER BY page) FROM (SELECT page FROM n WHERE page > 12 ORDER BY page LIMIT 8)) AS detail",
+)
+def gate_defect(spark, sf_dir):
+    pages = R.table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1).alias("page"))
+    open_ = gates.gate(pages, spark.createDataFrame([("# cobertura: 1-12",)], "line string"))
+    passed = gates.gate(pages, spark.createDataFrame([("# cobertura: 1-25",)], "line string"))
+    return gates.gate_defect(open_).unionByName(gates.gate_defect(passed))
+
+
+@query("k9_glossary_misses", "SELECT p_partkey, 't' || p_size AS term, CASE WHEN p_size % 2 = 0 THEN 'es ' || p_size ELSE 't' || p_size END AS wanted, 'r' || p_size AS target FROM part")
+def glossary_misses(spark, sf_dir):
+    p = R.table(spark, sf_dir, "part")
+    z = F.col("p_size").cast("string")
+    line = F.concat(F.lit("✗ glosario: «t"), z, F.lit("» sin «r"), z, F.lit("»; x"))
+    glossary = p.filter("p_size % 2 = 0").select(F.concat(F.lit(" T"), z).alias("en"), F.concat(F.lit("es "), z, F.lit(" (nota)")).alias("es")).distinct()
+    found = gates.shared_misses(p.select(line.alias("line")), glossary).groupBy("term", "wanted", "target").agg(F.count("*").alias("n"))
+    return p.select("p_partkey", F.concat(F.lit("t"), z).alias("t")).join(found, F.col("t") == F.col("term")).select("p_partkey", "term", "wanted", "target")
+
+
+@query("k6_apply_once", f"WITH {R.LINES} SELECT page, block, CASE WHEN contains(en, 'the!') THEN en ELSE replace(en, 'the', 'the!') END AS text FROM lines")
+def apply_once(spark, sf_dir):
+    once = rules.apply_once(F.col("en"), "the", "the!")
+    return R.lines(spark, sf_dir).select("page", "block", rules.apply_once(once, "the", "the!").alias("text"))
+
+
+@query("k7_allow_numbers", "WITH f AS (SELECT o_custkey, bool_and(o_orderstatus <> 'F') AS alone FROM orders GROUP BY 1) SELECT coalesce(c_custkey, o_custkey) AS page, array_to_string(list_filter([CASE WHEN c_custkey IS NOT NULL THEN 'nota=' || c_mktsegment END, CASE WHEN alone THEN 'numeros_ok=true' END], lambda x: x IS NOT NULL), ',') AS flags FROM (SELECT * FROM customer WHERE c_custkey % 3 = 0) FULL JOIN (SELECT * FROM f WHERE alone) ON c_custkey = o_custkey")
+def allow_numbers(spark, sf_dir):
+    fails = R.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"), F.when(F.col("o_orderstatus") != "F", "numbers").otherwise("glossary").alias("kind"))
+    old = R.table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("page"), F.create_map(F.lit("nota"), F.col("c_mktsegment")).alias("flags"))
+    return gates.allow_numbers(fails, old).select("page", F.array_join(F.transform(F.array_sort(F.map_entries("flags")), lambda e: F.concat_ws("=", e.getField("key"), e.getField("value"))), ",").alias("flags"))
+
+
+@query("b7_merge_overrides", "SELECT c_custkey, 'a=1,b=' || CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment || ',c=3' ELSE '2' END AS flags FROM customer")
+def merge_overrides(spark, sf_dir):
+    old = F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2"))
+    new = F.when(F.col("c_custkey") % 2 == 0, F.create_map(F.lit("b"), F.col("c_mktsegment"), F.lit("c"), F.lit("3"))).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    merged = gates.merge_overrides(old, new)
+    return R.table(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.transform(F.array_sort(F.map_entries(merged)), lambda e: F.concat_ws("=", e.getField("key"), e.getField("value"))), ",").alias("flags"))
+
+
+@query("d13_missing_keys", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0)")
+def missing_keys(spark, sf_dir):
+    returned = R.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderkey") % 3 == 0, "x").when(F.col("o_orderkey") % 3 == 1, " ").alias("t"))
+    return P.missing_keys(R.table(spark, sf_dir, "customer").select("c_custkey"), returned, "c_custkey")
+
+
 @query(
     "j26_misaligned",
-    f"""WITH {_PAGES} SELECT page, array_to_string(list_filter(r, lambda x: x IS NOT NULL), ',') AS reasons FROM (SELECT page, [CASE WHEN len(p) >= 2 AND len(list_filter(p, lambda x: contains(lower(strip_accents(es)), strip_accents(x)))) = 0 THEN 'names' END,
-    CASE WHEN trim(es) = trim(en) OR (length(es) > 60 AND len(regexp_extract_all(es, '\\b(the|and|with|from|that|this|are|you|is|of|for)\\b')) >= 4) THEN 'english' END] AS r
-    FROM (SELECT *, list_distinct(list_transform(regexp_extract_all(' ' || en, '[^\\p{{L}}\\p{{N}}_]([A-Z][a-záéíóúñ]{{3}})', 1), lambda x: lower(x))) AS p FROM two)) WHERE len(list_filter(r, lambda x: x IS NOT NULL)) > 0""",
+    f"""WITH {_PAGES}, t AS (SELECT page, page % 3 = 0 AS foot, CASE WHEN page % 3 = 0 THEN 'CHAPTER ' || page || ' ' || en ELSE en END AS en, CASE WHEN page % 6 = 0 THEN 'Capítulo ' || page || ' ' || es ELSE es END AS es FROM two)
+    SELECT page, array_to_string(list_filter(r, lambda x: x IS NOT NULL), ',') AS reasons FROM (SELECT page, [CASE WHEN len(p) >= 2 AND len(list_filter(p, lambda x: contains(lower(strip_accents(es)), strip_accents(x)))) = 0 THEN 'names' END,
+    CASE WHEN trim(es) = trim(en) OR (length(es) > 60 AND len(regexp_extract_all(es, '\\b(the|and|with|from|that|this|are|you|is|of|for)\\b')) >= 4) THEN 'english' END, CASE WHEN foot AND NOT contains(es, '' || page) THEN 'chapter' END] AS r
+    FROM (SELECT *, list_distinct(list_transform(regexp_extract_all(' ' || en, '[^\\p{{L}}\\p{{N}}_]([A-Z][a-záéíóúñ]{{3}})', 1), lambda x: lower(x))) AS p FROM t)) WHERE len(list_filter(r, lambda x: x IS NOT NULL)) > 0""",
 )
 def misaligned(spark, sf_dir):
-    p = _pages(spark, sf_dir).withColumn("block", F.lit("b")).withColumn("type", F.lit("cuerpo"))
+    foot, number = F.col("page") % 3 == 0, F.col("page").cast("string")
+    p = _pages(spark, sf_dir).withColumn("block", F.lit("b")).withColumn("type", F.when(foot, "footer").otherwise("cuerpo"))
+    p = p.withColumn("en", F.when(foot, F.concat(F.lit("CHAPTER "), number, F.lit(" "), "en")).otherwise(F.col("en"))).withColumn("es", F.when(F.col("page") % 6 == 0, F.concat(F.lit("Capítulo "), number, F.lit(" "), "es")).otherwise(F.col("es")))
     return D.misaligned(p).select("page", F.array_join("reasons", ",").alias("reasons"))
 
 
@@ -256,11 +340,12 @@ def page_sizes(spark, sf_dir):
     return D.page_sizes(composed, original.drop("of")).select("page")
 
 
-@query("j31_segmentation_guard", rf"WITH {R.PAIRS}, n AS (SELECT page, block, regexp_extract_all(en, '\d+d\d+|\d+') AS w, regexp_extract_all(es, '\d+d\d+|\d+') AS h, len(regexp_extract_all(replace(' ' || es || ' ', ' ', '  '), ' (the|and|with|from|that|this|are|has)[ .,!?]')) AS e FROM live) SELECT page, block, len(list_filter(w, lambda x: NOT list_contains(h, x))) <= greatest(1, floor(len(w) / 12)) AS numbers FROM n")
+_SEGMENT = "|".join(w for w in fixed.SEGMENT_STOPWORDS if w.isalpha())
+
+
+@query("j31_segmentation_guard", rf"WITH {R.PAIRS}, n AS (SELECT page, block, regexp_extract_all(en, '\d+d\d+|\d+') AS w, regexp_extract_all(es, '\d+d\d+|\d+') AS h, len(regexp_extract_all(regexp_replace(' ' || es || ' ', '({_EDGE})', '\1\1', 'g'), '{_EDGE}({_SEGMENT}){_EDGE}')) AS e FROM live) SELECT page, block, len(list_filter(w, lambda x: NOT list_contains(h, x))) <= greatest(1, floor(len(w) / 12)) AND e < 3 AS accepted FROM n")
 def segmentation_guard(spark, sf_dir):
-    wanted, have = T.dice_and_digits(F.col("en")), T.dice_and_digits(F.col("es"))
-    missing = F.size(F.filter(wanted, lambda n: ~F.array_contains(have, n)))
-    return D.translated(R.pairs(spark, sf_dir)).select("page", "block", (missing <= F.greatest(F.lit(1), F.floor(F.size(wanted) / 12))).alias("numbers"))
+    return D.translated(R.pairs(spark, sf_dir)).select("page", "block", D.segmentation_accepted(F.col("en"), F.col("es")).alias("accepted"))
 
 
 @query("d14_overrides", f"WITH {R.PAIRS} SELECT page, block FROM live WHERE NOT EXISTS (SELECT 1 FROM labels WHERE doc_id = page AND quality = block)")
@@ -292,11 +377,20 @@ def _balance(c: str) -> str:
     return _BALANCE.replace("(es,", f"({c},")
 
 
+_LEAD = r"^(\*{1,3})([^*]{2,60}?[.:])(\*{1,3})"
+_PART = lambda c, i: f"regexp_extract({c}, '{_LEAD}', {i})"
+
+
 @query(
     "k2_repair_markup",
-    f"WITH {R.PAIRS}, r AS (SELECT page, block, es, coalesce({_BALANCE}, 0) AS s, rtrim(es) || CASE coalesce({_BALANCE}, 0) WHEN 3 THEN '***' WHEN 1 THEN '**' ELSE '*' END AS f FROM live WHERE NOT regexp_matches(en, '^\\*')) SELECT page, block, CASE WHEN s = 0 OR coalesce({_balance('f')}, 0) <> 0 THEN es ELSE f END AS es FROM r",
+    f"""WITH {R.PAIRS}, l AS (SELECT page, block, CASE WHEN block % 3 = 0 THEN '***Name.*** ' || en ELSE en END AS en, CASE WHEN block % 3 = 0 THEN '**Nombre.** ' || es ELSE es END AS es FROM live),
+    a AS (SELECT page, block, es, CASE WHEN {_PART('en', 0)} <> '' AND {_PART('es', 0)} <> '' AND ({_PART('en', 1)} <> {_PART('es', 1)} OR {_PART('en', 3)} <> {_PART('es', 3)}) THEN {_PART('en', 1)} || {_PART('es', 2)} || {_PART('en', 3)} || substring(es, length({_PART('es', 0)}) + 1) ELSE es END AS m FROM l),
+    r AS (SELECT page, block, es, m, coalesce({_BALANCE}, 0) AS s, coalesce({_balance('m')}, 0) AS t FROM a),
+    c AS (SELECT page, block, es, s, CASE t WHEN 0 THEN m ELSE rtrim(m) || CASE t WHEN 3 THEN '***' WHEN 1 THEN '**' ELSE '*' END END AS f FROM r)
+    SELECT page, block, CASE WHEN s = 0 OR coalesce({_balance('f')}, 0) <> 0 THEN es ELSE f END AS es FROM c""",
 )
 def repair_markup(spark, sf_dir):
-    p = D.translated(R.pairs(spark, sf_dir)).filter(~F.col("en").rlike(r"^\*"))
-    fixed_text = T.repair_markup(F.col("en"), F.col("es"))
-    return p.select("page", "block", F.coalesce(fixed_text, F.col("es")).alias("es"))
+    led = F.col("block") % 3 == 0
+    p = D.translated(R.pairs(spark, sf_dir))
+    p = p.withColumn("en", F.when(led, F.concat(F.lit("***Name.*** "), "en")).otherwise(F.col("en"))).withColumn("es", F.when(led, F.concat(F.lit("**Nombre.** "), "es")).otherwise(F.col("es")))
+    return p.select("page", "block", F.coalesce(T.repair_markup(F.col("en"), F.col("es")), F.col("es")).alias("es"))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..operators import folds, layout
+from ..operators import folds, layout, shape
 from . import relations as R
 from .registry import query
 
@@ -18,13 +17,7 @@ def _typed(spark, sf_dir):
     return b.withColumn("page_width", F.lit(60.0)).withColumn("text", F.col("id"))
 
 
-_ONE = f"WITH {R.BOXES}, one AS (SELECT page, id, min(x0) AS x0, min(y0) AS y0, min(x1) AS x1, min(y1) AS y1, min(kind) AS kind, min(lines) AS lines FROM boxes GROUP BY 1, 2 HAVING count(*) = 1)"
-
-
-def _one(spark, sf_dir):
-    b = _typed(spark, sf_dir)
-    single = b.groupBy("page", "id").agg(F.count("*").alias("n")).filter("n = 1").select(F.col("page").alias("p"), F.col("id").alias("i"))
-    return b.join(single, (F.col("page") == F.col("p")) & (F.col("id") == F.col("i")), "left_semi")
+_ONE = f"WITH {R.BOXES}"
 
 
 @query("e10_hulls", f"WITH {R.BOXES} SELECT page, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM boxes GROUP BY 1")
@@ -32,55 +25,55 @@ def hulls(spark, sf_dir):
     return R.boxes(spark, sf_dir).groupBy("page").agg(G.hull(F.col("box")).alias("h")).select("page", "h.*")
 
 
-@query("d6_inside_panels", f"{_ONE}, h AS (SELECT page, min(x0) - 5 AS x0, min(y0) - 5 AS y0, max(x1) + 5 AS x1, max(y1) + 5 AS y1 FROM one WHERE kind = 'R' GROUP BY 1) SELECT a.page, a.id FROM one a WHERE EXISTS (SELECT 1 FROM h WHERE h.page = a.page AND (a.x0 + a.x1) / 2 BETWEEN h.x0 AND h.x1 AND (a.y0 + a.y1) / 2 BETWEEN h.y0 AND h.y1)")
+@query("d6_inside_panels", f"{_ONE}, h AS (SELECT page, min(x0) - 5 AS x0, min(y0) - 5 AS y0, max(x1) + 5 AS x1, max(y1) + 5 AS y1 FROM boxes WHERE kind = 'R' GROUP BY 1) SELECT a.page, a.id FROM boxes a WHERE EXISTS (SELECT 1 FROM h WHERE h.page = a.page AND (a.x0 + a.x1) / 2 BETWEEN h.x0 AND h.x1 AND (a.y0 + a.y1) / 2 BETWEEN h.y0 AND h.y1)")
 def inside_panels(spark, sf_dir):
-    b = _one(spark, sf_dir)
+    b = _typed(spark, sf_dir)
     return layout.inside(b, layout.panels(b, 5.0)).select("page", "id")
 
 
-@query("d7_outside_regions", f"{_ONE} SELECT a.page, a.id FROM one a WHERE NOT EXISTS (SELECT 1 FROM one b WHERE b.kind = 'R' AND b.page = a.page AND greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) > (a.x1 - a.x0) * (a.y1 - a.y0) * 0.5)")
+@query("d7_outside_regions", f"{_ONE} SELECT a.page, a.id FROM boxes a WHERE NOT EXISTS (SELECT 1 FROM boxes b WHERE b.kind = 'R' AND b.page = a.page AND greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) > (a.x1 - a.x0) * (a.y1 - a.y0) * 0.5)")
 def outside_regions(spark, sf_dir):
-    b = _one(spark, sf_dir)
+    b = _typed(spark, sf_dir)
     return layout.outside_regions(b, b.filter("kind = 'R'").select("page", "box")).select("page", "id")
 
 
-@query("d8_touching", f"{_ONE} SELECT a.page, a.id, b.id AS r_id FROM one a JOIN one b ON {_MEET} AND b.kind = 'R'")
+@query("d8_touching", f"{_ONE} SELECT a.page, a.id, b.id AS r_id FROM boxes a JOIN boxes b ON {_MEET} AND b.kind = 'R'")
 def touching(spark, sf_dir):
-    b = _one(spark, sf_dir)
+    b = _typed(spark, sf_dir)
     return layout.touching(b, b.filter("kind = 'R'").select("page", "id", "box")).select("page", "id", "r_id")
 
 
-@query("d9_nearest_column", f"""{_ONE}, c AS (SELECT page AS region, id AS "column", (x0 + x1) / 2 AS x FROM one WHERE kind = 'R'), d AS (SELECT a.page AS region, a.id, (a.x0 + a.x1) / 2 AS x, min(c.x) OVER (PARTITION BY a.page, a.id) AS least, c."column" AS col, row_number() OVER (PARTITION BY a.page, a.id ORDER BY abs((a.x0 + a.x1) / 2 - c.x), c."column") AS n FROM one a JOIN c ON c.region = a.page) SELECT region, id, CASE WHEN x < least - 15 THEN '-1' ELSE col END AS "column" FROM d WHERE n = 1""")
+@query("d9_nearest_column", f"""{_ONE}, c AS (SELECT page AS region, id AS "column", (x0 + x1) / 2 AS x FROM boxes WHERE kind = 'R'), d AS (SELECT a.page AS region, a.id, (a.x0 + a.x1) / 2 AS x, min(c.x) OVER (PARTITION BY a.page, a.id) AS least, c."column" AS col, row_number() OVER (PARTITION BY a.page, a.id ORDER BY abs((a.x0 + a.x1) / 2 - c.x), c."column") AS n FROM boxes a JOIN c ON c.region = a.page) SELECT region, id, CASE WHEN x < least - 15 THEN '-1' ELSE col END AS "column" FROM d WHERE n = 1""")
 def nearest_column(spark, sf_dir):
-    b = _one(spark, sf_dir).withColumn("region", F.col("page"))
+    b = _typed(spark, sf_dir).withColumn("region", F.col("page"))
     centres = b.filter("kind = 'R'").select("region", F.col("id").alias("column"), G.centre(F.col("box"))[0].alias("x"))
     found = layout.nearest_column(b.select("region", "id", "box"), centres.withColumn("column", F.col("column")))
     return found.withColumn("column", F.col("column").cast("string"))
 
 
-@query("d10_right_limit", f"""{_ONE}, e AS (SELECT page, coalesce(max(CASE WHEN lines > 1 THEN x1 END), max(x1)) AS edge FROM one GROUP BY 1) SELECT a.page, a.id, greatest(any_value(a.x1), least(any_value(e.edge), 192, coalesce(min(b.x0 - 4), 1e18))) AS "limit" FROM one a JOIN e USING (page) LEFT JOIN one b ON a.page = b.page AND a.id <> b.id AND b.x0 >= a.x1 - 1 AND b.y1 >= a.y0 AND b.y0 <= a.y1 GROUP BY 1, 2""")
+@query("d10_right_limit", f"""{_ONE}, e AS (SELECT page, coalesce(max(CASE WHEN lines > 1 THEN x1 END), max(x1)) AS edge FROM boxes GROUP BY 1) SELECT a.page, a.id, greatest(any_value(a.x1), least(any_value(e.edge), 192, coalesce(min(b.x0 - 4), 1e18))) AS "limit" FROM boxes a JOIN e USING (page) LEFT JOIN boxes b ON a.page = b.page AND a.id <> b.id AND b.x0 >= a.x1 - 1 AND b.y1 >= a.y0 AND b.y0 <= a.y1 GROUP BY 1, 2""")
 def right_limit(spark, sf_dir):
-    return layout.right_limit(_one(spark, sf_dir), 200.0)
+    return layout.right_limit(_typed(spark, sf_dir), 200.0)
 
 
-@query("d10_space_below", f"{_ONE} SELECT a.page, a.id, greatest(0, least(least(coalesce(min(b.y0 - 2), 1e18), 96) - any_value(a.y1), 4)) AS space FROM one a LEFT JOIN one b ON a.page = b.page AND a.id <> b.id AND b.y0 >= a.y1 - 1 AND b.x1 >= a.x0 AND b.x0 <= a.x1 GROUP BY 1, 2")
+@query("d10_space_below", f"{_ONE} SELECT a.page, a.id, greatest(0, least(least(coalesce(min(b.y0 - 2), 1e18), 96) - any_value(a.y1), 4)) AS space FROM boxes a LEFT JOIN boxes b ON a.page = b.page AND a.id <> b.id AND b.y0 >= a.y1 - 1 AND b.x1 >= a.x0 AND b.x0 <= a.x1 GROUP BY 1, 2")
 def space_below(spark, sf_dir):
-    return layout.space_below(_one(spark, sf_dir), 100.0)
+    return layout.space_below(_typed(spark, sf_dir), 100.0)
 
 
-@query("l2_overlaps", f"{_ONE} SELECT a.page, a.id AS a, b.id AS b FROM one a JOIN one b ON a.page = b.page AND a.id < b.id AND least(a.x1, b.x1) - greatest(a.x0, b.x0) > 2 AND least(a.y1, b.y1) - greatest(a.y0, b.y0) > 1")
+@query("l2_overlaps", f"{_ONE} SELECT a.page, a.id AS a, b.id AS b FROM boxes a JOIN boxes b ON a.page = b.page AND a.id < b.id AND least(a.x1, b.x1) - greatest(a.x0, b.x0) > 2 AND least(a.y1, b.y1) - greatest(a.y0, b.y0) > 1")
 def overlaps(spark, sf_dir):
-    return layout.overlaps(_one(spark, sf_dir), 2.0, 1.0)
+    return layout.overlaps(_typed(spark, sf_dir), 2.0, 1.0)
 
 
-@query("g2_panel_order", f"{_ONE} SELECT page, id, row_number() OVER (PARTITION BY page ORDER BY round_even(y0 / 40, 0), x0, id) AS place FROM one")
+@query("g2_panel_order", f"{_ONE} SELECT page, id, row_number() OVER (PARTITION BY page ORDER BY round_even(y0 / 40, 0), x0, id) AS place FROM boxes")
 def panel_order(spark, sf_dir):
-    return layout.panel_order(_one(spark, sf_dir)).select("page", "id", "place")
+    return layout.panel_order(_typed(spark, sf_dir)).select("page", "id", "place")
 
 
-@query("c19_panel_sides", f"{_ONE}, s AS (SELECT page, min((x0 + x1) / 2 - 30) AS a, max((x0 + x1) / 2 - 30) AS b FROM one WHERE kind = 'R' GROUP BY 1) SELECT page, unnest(CASE WHEN a < 0 AND b > 0 THEN ['F'] WHEN a < 0 AND b >= 0 THEN ['L', 'R'] WHEN a < 0 THEN ['L'] ELSE ['R'] END) AS side, CASE WHEN a < 0 AND b > 0 THEN 2 ELSE 1 END AS columns FROM s")
+@query("c19_panel_sides", f"{_ONE}, s AS (SELECT page, min((x0 + x1) / 2 - 30) AS a, max((x0 + x1) / 2 - 30) AS b FROM boxes WHERE kind = 'R' GROUP BY 1) SELECT page, unnest(CASE WHEN a < 0 AND b > 0 THEN ['F'] WHEN a < 0 AND b >= 0 THEN ['L', 'R'] WHEN a < 0 THEN ['L'] ELSE ['R'] END) AS side, CASE WHEN a < 0 AND b > 0 THEN 2 ELSE 1 END AS columns FROM s")
 def panel_sides(spark, sf_dir):
-    return layout.panel_sides(_one(spark, sf_dir))
+    return layout.panel_sides(_typed(spark, sf_dir))
 
 
 @query("i45_side", f"WITH {R.BOXES} SELECT page, id, CASE WHEN x1 - x0 > 6 THEN 'F' WHEN (x0 + x1) / 2 < 5 THEN 'L' ELSE 'R' END AS side FROM boxes")
@@ -95,17 +88,119 @@ def separated(spark, sf_dir):
     return layout.separated(gaps, bars).select("page", "id")
 
 
-@query("d21_ordinals", f"{_ONE} SELECT DISTINCT a.page, a.id, (a.lines) || '.º' AS text FROM one a JOIN one b ON {_MEET} AND b.kind = 'R'")
+@query("d21_ordinals", f"{_ONE} SELECT DISTINCT a.page, a.id, (a.lines) || '.º' AS text FROM boxes a JOIN boxes b ON {_MEET} AND b.kind = 'R'")
 def ordinals(spark, sf_dir):
-    b = _one(spark, sf_dir)
+    b = _typed(spark, sf_dir)
     cells = b.withColumn("text", F.concat(F.col("lines").cast("string"), F.lit("st")))
     return layout.ordinals(cells, b.filter("kind = 'R'").select("page", "box"))
 
 
-@query("d22_clip")
+# boxes cut back by the protected ones of their page, one after the other
+_CLIPPED = f"""WITH RECURSIVE {R.BOXES}, p AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY id) AS k FROM boxes WHERE kind = 'R'),
+  r AS (SELECT page, id, x0, y0, x1, y1, 0::BIGINT AS k FROM boxes UNION ALL SELECT page, id, x0, CASE WHEN graze AND b1 <= middle THEN greatest(y0, b1 + 0.25) ELSE y0 END, x1, CASE WHEN graze AND NOT b1 <= middle AND b0 >= middle THEN least(y1, b0 - 0.25) ELSE y1 END, k + 1
+    FROM (SELECT e.*, p.y0 AS b0, p.y1 AS b1, (e.y0 + e.y1) / 2 AS middle, e.x0 < p.x1 AND p.x0 < e.x1 AND e.y0 < p.y1 AND p.y0 < e.y1 AND NOT (e.x0 <= p.x0 AND e.y0 <= p.y0 AND e.x1 >= p.x1 AND e.y1 >= p.y1)
+      AND least(e.y1, p.y1) - greatest(e.y0, p.y0) <= least(e.y1 - e.y0, p.y1 - p.y0) * 0.6 AS graze FROM r e JOIN p ON p.page = e.page AND p.k = e.k + 1))
+  SELECT page, id, y0, y1 FROM (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY k DESC) AS n FROM r) WHERE n = 1"""
+
+
+@query("d22_clip", _CLIPPED)
 def clip(spark, sf_dir):
-    b = _one(spark, sf_dir)
-    return layout.clip(b.select("page", "id", "box"), b.filter("kind = 'R'").select("page", "id", "box"))
+    b = _typed(spark, sf_dir)
+    return layout.clip(b.select("page", "id", "box"), b.filter("kind = 'R'").select("page", "id", "box")).select("page", "id", "box.y0", "box.y1")
+
+
+@query(
+    "c5_line_type",
+    f"""WITH {R.BOXES}, t AS (SELECT page, id, x0 * 40 AS x, y0 * 50 AS y, x1 - x0 AS w, (y1 - y0) * 12 AS h, CASE lines % 3 WHEN 0 THEN 'AB' WHEN 1 THEN 'Abc def' ELSE 'ABC' END AS t, CASE WHEN lines % 5 > 0 THEN kind = 'R' END AS red, kind = 'A' AND lines % 2 = 0 AS ochre, kind = 'N' AND lines % 2 = 0 AS lilac, kind = 'N' AND lines % 2 = 1 AND x0 > 25 AS caption FROM boxes)
+    SELECT page, id, CASE WHEN red IS NULL THEN 'otro' WHEN y > 3400 * 0.952 THEN CASE WHEN w < 2400 * 0.06 THEN 'folio' ELSE 'footer' END WHEN h > 2400 * 0.004 AND w < 2400 * 0.035 AND h > w * 3 THEN 'credito' WHEN y < 3400 * 0.055 AND w < 2400 * 0.35 AND abs(x + w / 2 - 1200) < 2400 * 0.22 THEN 'kicker'
+      WHEN ochre THEN CASE WHEN red AND upper(t) = t AND h / 300 * 72 >= 11 THEN 'stat_h' ELSE 'stat' END WHEN lilac THEN 'readaloud' WHEN red AND h / 300 * 72 >= 20 AND length(t) <= 2 THEN 'dropcap'
+      WHEN red AND upper(t) = t THEN CASE WHEN h / 300 * 72 >= 20 THEN 'titulo' WHEN h / 300 * 72 >= 16.5 THEN 'h_mayor' WHEN h / 300 * 72 >= 12 THEN 'h1' ELSE 'h2' END WHEN caption THEN 'caption' ELSE 'cuerpo' END AS type FROM t""",
+)
+def line_type(spark, sf_dir):
+    b = R.boxes(spark, sf_dir)
+    n, kind = F.col("lines"), F.col("kind")
+    t = b.select(
+        "page",
+        "id",
+        (F.col("box.x0") * 40).alias("x"),
+        (F.col("box.y0") * 50).alias("y"),
+        G.width(F.col("box")).alias("w"),
+        (G.height(F.col("box")) * 12).alias("h"),
+        F.when(n % 3 == 0, "AB").when(n % 3 == 1, "Abc def").otherwise("ABC").alias("text"),
+        F.when(n % 5 > 0, kind == "R").alias("red"),
+        ((kind == "A") & (n % 2 == 0)).alias("ochre"),
+        ((kind == "N") & (n % 2 == 0)).alias("lilac"),
+        ((kind == "N") & (n % 2 == 1) & (F.col("box.x0") > 25)).alias("caption"),
+    )
+    line = {c: F.col(c) for c in ("x", "y", "w", "h", "text", "red", "ochre", "lilac", "caption")}
+    return t.select("page", "id", shape.line_type(F.lit(2400.0), F.lit(3400.0), line).alias("type"))
+
+
+_WIDE = "SELECT page, id, x0 * 12 AS x0, y0 * 12 + 35 AS y0, x0 * 12 + 251 + (x1 - x0) AS x1, y0 * 12 + 35 + 91 + (y1 - y0) AS y1 FROM boxes WHERE kind = 'R'"
+
+
+@query(
+    "c10_table_regions",
+    f"""WITH RECURSIVE {R.BOXES}, rects AS ({_WIDE}), words AS (SELECT page, x0 * 12 AS x0, y0 * 12 + 35 AS y0, x0 * 12 + 20 AS x1, y0 * 12 + 45 AS y1, CASE WHEN lines % 2 = 0 THEN '' || lines ELSE 'word' END AS t FROM boxes),
+    held AS (SELECT r.*, count(*) AS n, count(*) FILTER (regexp_matches(w.t, '^[0-9]+$')) AS k FROM rects r JOIN words w ON w.page = r.page AND r.x0 < w.x1 AND w.x0 < r.x1 AND r.y0 < w.y1 AND w.y0 < r.y1 GROUP BY ALL),
+    big AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY id) AS place FROM held WHERE n >= 3 AND k >= n * 0.3),
+    fold AS (SELECT page, 0::BIGINT AS place, []::STRUCT(id VARCHAR, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE)[] AS kept FROM (SELECT DISTINCT page FROM big)
+      UNION ALL SELECT f.page, f.place + 1, CASE WHEN len(list_filter(f.kept, lambda d: d.x0 < b.x1 AND b.x0 < d.x1 AND d.y0 < b.y1 AND b.y0 < d.y1)) > 0 THEN f.kept ELSE list_append(f.kept, {{'id': b.id, 'x0': b.x0, 'y0': b.y0, 'x1': b.x1, 'y1': b.y1}}) END FROM fold f JOIN big b ON b.page = f.page AND b.place = f.place + 1)
+    SELECT page, unnest(list_transform(kept, lambda d: d.id)) AS id FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY place DESC) AS n FROM fold) WHERE n = 1""",
+)
+def table_regions(spark, sf_dir):
+    b = R.boxes(spark, sf_dir)
+    x, y = F.col("box.x0") * 12, F.col("box.y0") * 12 + 35
+    rects = b.filter("kind = 'R'").select("page", "id", G.rect(x, y, x + 251 + G.width(F.col("box")), y + 91 + G.height(F.col("box"))).alias("box"))
+    words = b.select("page", G.rect(x, y, x + 20, y + 10).alias("box"), F.when(F.col("lines") % 2 == 0, F.col("lines").cast("string")).otherwise("word").alias("text"))
+    return layout.table_regions(rects, words, 3).select("page", "id")
+
+
+@query("d18_heading_above", f"{_ONE}, h AS (SELECT page, min(x0) + 70 AS x0, min(y0) + 230 AS y0, max(x1) + 70 AS x1 FROM boxes WHERE kind = 'R' GROUP BY 1), b AS (SELECT * FROM boxes WHERE kind = 'A') SELECT h.page, max_by('T' || b.id, b.id) AS title FROM h JOIN b ON b.page = h.page AND b.y1 BETWEEN h.y0 - 200 AND h.y0 + 60 AND b.x0 BETWEEN h.x0 - 60 AND h.x1 GROUP BY 1")
+def heading_above(spark, sf_dir):
+    b = _typed(spark, sf_dir).withColumn("text", F.concat(F.lit(" T"), "id", F.lit(" "))).withColumn("place", F.col("id"))
+    hull = b.filter("kind = 'R'").groupBy("page").agg(G.hull(F.col("box")).alias("h"))
+    moved = hull.select("page", G.rect(F.col("h.x0") + 70, F.col("h.y0") + 230, F.col("h.x1") + 70, F.col("h.y1") + 230).alias("box"))
+    return layout.heading_above(moved, b.drop("lines", "page_width", "kind"))
+
+
+@query(
+    "d20_page_texts",
+    f"""WITH {R.LINES}, b AS (SELECT page, lpad(block::VARCHAR, 5, '0') AS id, block, en FROM lines), x AS (SELECT DISTINCT page, lpad((block + 1)::VARCHAR, 5, '0') AS id FROM lines WHERE block % 6 = 0),
+    s AS (SELECT page, string_agg(en, ' ' ORDER BY id) AS en FROM b WHERE block % 3 = 0 OR (block % 3 = 1 AND (block <= 8 OR EXISTS (SELECT 1 FROM x WHERE x.page = b.page AND x.id = b.id))) GROUP BY 1),
+    t AS (SELECT page, string_agg('ES ' || block, ' ' ORDER BY id) AS es FROM b WHERE block % 3 = 0 GROUP BY 1) SELECT page, coalesce(en, '') AS en, coalesce(es, '') AS es FROM s FULL JOIN t USING (page)""",
+)
+def page_texts(spark, sf_dir):
+    name = lambda c: F.lpad(c.cast("string"), 5, "0")
+    n, k = R.lines(spark, sf_dir), F.col("block")
+    blocks = n.select("page", name(k).alias("id"), F.col("en").alias("text"), G.rect(F.lit(0.0), k * 10.0, F.lit(10.0), k * 10.0 + 10).alias("box"))
+    values = n.filter(k % 3 != 1).select("page", name(k).alias("block"), F.when(k % 3 == 0, "text").otherwise("erase").alias("kind"), F.concat(F.lit("ES "), k.cast("string")).alias("t"), F.when(k % 6 == 0, F.array(name(k + 1))).alias("extends"))
+    hulls = n.select("page").distinct().select("page", G.rect(F.lit(0.0), F.lit(0.0), F.lit(10.0), F.lit(90.0)).alias("box"))
+    return layout.page_texts(blocks, values, hulls)
+
+
+@query("e21_dominant_style", f"{_ONE}, u AS (SELECT a.page, a.id, b.lines AS size, b.id AS sid, row_number() OVER (PARTITION BY a.page, a.id ORDER BY b.lines DESC, b.id) AS n FROM boxes a JOIN boxes b ON {_MEET} AND b.kind = 'A') SELECT a.page, a.id, coalesce(u.size::DOUBLE, 8.0) AS size, coalesce(u.sid::INTEGER, 0) AS color, coalesce(u.size % 2 = 0, false) AS bold, u.sid IS NOT NULL AS serif FROM boxes a LEFT JOIN u ON u.page = a.page AND u.id = a.id AND u.n = 1 WHERE a.kind = 'R'")
+def dominant_style(spark, sf_dir):
+    b = R.boxes(spark, sf_dir)
+    place = F.col("id").cast("int")
+    spans = b.filter("kind = 'A'").select("page", "id", "box", place.alias("place"), F.repeat(F.lit("x"), F.col("lines")).alias("text"), F.col("lines").cast("double").alias("size"), place.alias("color"), (F.col("lines") % 2 == 0).alias("bold"), F.lit(True).alias("serif"))
+    return layout.dominant_style(b.filter("kind = 'R'").select("page", "id", "box"), spans)
+
+
+@query(
+    "f22_index_entries",
+    "SELECT p_partkey AS page, CASE WHEN p_partkey % 3 = 2 THEN 1 ELSE 0 END AS \"column\", CASE p_partkey % 3 WHEN 1 THEN 'Background' ELSE 'Chapter Alpha' END AS title, CASE WHEN p_partkey % 3 = 1 THEN '' || p_size END AS number, CASE p_partkey % 3 WHEN 1 THEN NULL WHEN 0 THEN 200.0 ELSE 500.0 END AS \"limit\" FROM part",
+)
+def index_entries(spark, sf_dir):
+    def word(text, x, y=100.0, w=30.0):
+        return F.struct(text.alias("text"), F.lit(float(x)).alias("x0"), F.lit(y - 10).alias("y0"), F.lit(x + w).alias("x1"), F.lit(y).alias("y1"))
+
+    z = F.col("p_size").cast("string")
+    line = lambda x: F.array(word(F.lit("Alpha"), x + 60), word(F.lit("Chapter"), x + 0.5), word(F.lit("Chapter"), x), word(z, x + 200, 103.0), word(F.lit("...."), x + 150), word(F.lit("Head"), x, 20.0), word(F.lit("7"), x, 500.0))
+    glued = F.array(word(F.concat(F.lit("Background"), z), 50), word(F.lit("9"), 55, 101.0))
+    k = F.col("p_partkey") % 3
+    words = R.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.explode(F.when(k == 1, glued).when(k == 0, line(50)).otherwise(line(350))).alias("w")).select("page", "w.*")
+    return layout.index_entries(words).select("page", "column", "title", "number", "limit")
 
 
 _SPANS = "s AS (SELECT l_suppkey AS k, l_extendedprice / 1000 AS x0, l_extendedprice / 1000 + l_discount AS x1 FROM lineitem)"
@@ -133,51 +228,176 @@ def cluster_1d(spark, sf_dir):
     return folds.cluster_1d(e, ["user_id"]).select("user_id", F.round("centre", 6).alias("centre"), "n")
 
 
-@query("f3_leading", "SELECT source, median(d) AS leading FROM (SELECT source, n_chars - lag(n_chars) OVER (PARTITION BY source ORDER BY doc_id) AS d FROM documents) GROUP BY 1")
+@query("f3_leading", "SELECT l_suppkey, median(d) AS leading FROM (SELECT l_suppkey, y - lag(y) OVER (PARTITION BY l_suppkey ORDER BY y) AS d FROM (SELECT l_suppkey, CAST(trunc(l_extendedprice * 100) AS BIGINT) AS y FROM lineitem)) GROUP BY 1")
 def leading(spark, sf_dir):
-    d = R.table(spark, sf_dir, "documents")
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return d.withColumn("_d", F.col("n_chars") - F.lag("n_chars").over(w)).groupBy("source").agg(F.median("_d").alias("leading"))
-
-
-@query("f1_blocks_from_lines")
+    li = R.table(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_extendedprice") * 100).cast("long").alias("y"))
+    return folds.leading(li, ["l_suppkey"])
+
+
+_TYPED = (
+    R.LINES
+    + """, v AS (SELECT page, en AS t, (block % 3) * 4.0 + CASE WHEN block % 11 = 5 THEN 300.0 ELSE 0.0 END AS x, block * 12.0 + CASE WHEN block % 9 > 6 THEN 8.0 ELSE 0.0 END AS y, 300.0 AS w, 8.0 + block % 4 AS h,
+    CASE block % 13 WHEN 4 THEN 'h1' WHEN 6 THEN 'dropcap' WHEN 8 THEN 'folio' WHEN 9 THEN 'kicker' WHEN 10 THEN 'stat' ELSE 'cuerpo' END AS type, CASE WHEN block % 10 < 5 THEN 'L' ELSE 'R' END AS col FROM lines),
+  flow AS (SELECT page, t, x, y, w, h, type, CASE WHEN type = 'kicker' THEN 'F' ELSE col END AS col FROM v WHERE type <> 'folio'),
+  o AS (SELECT *, row_number() OVER (PARTITION BY page, col ORDER BY y, x, t, h, w, type) AS k FROM flow)"""
+)
+_BLOCKS = f"""WITH RECURSIVE {_TYPED},
+  f AS (SELECT page, col, k, type, x AS left_x, y + h AS bottom, [h] AS tall, 0 AS no FROM o WHERE k = 1
+    UNION ALL SELECT page, col, k, type, CASE WHEN j THEN least(left_x, x) ELSE x END, y + h, CASE WHEN j THEN list_append(tall, h) ELSE [h] END, no + CASE WHEN j THEN 0 ELSE 1 END
+    FROM (SELECT o.page, o.col, o.k, o.type, o.x, o.y, o.h, f.left_x, f.tall, f.no, o.type = f.type AND o.type <> 'dropcap' AND o.y - f.bottom < list_aggregate(f.tall, 'median') * 0.75 AND abs(o.x - f.left_x) < 250 AS j FROM f JOIN o ON o.page = f.page AND o.col = f.col AND o.k = f.k + 1)),
+  g AS (SELECT o.*, f.no, o.y - lag(o.y) OVER (PARTITION BY o.page, o.col, f.no ORDER BY o.k) AS gap FROM o JOIN f ON f.page = o.page AND f.col = o.col AND f.k = o.k),
+  m AS (SELECT *, min(x) OVER b AS margin, median(h) OVER b AS mid, lag(t) OVER (PARTITION BY page, col, no ORDER BY k) AS before FROM g WINDOW b AS (PARTITION BY page, col, no)),
+  bl AS (SELECT page, col, no, min(type) AS type, min(x) AS x0, min(y) AS y0, max(x + w) AS x1, max(y + h) AS y1, median(h) AS tall, median(gap) AS gap,
+    string_agg(CASE WHEN before IS NULL THEN t WHEN type IN ('cuerpo', 'stat') AND x - margin > mid * 0.7 THEN chr(10) || chr(10) || t ELSE ' ' || t END, '' ORDER BY k) AS text FROM m GROUP BY 1, 2, 3),
+  p AS (SELECT *, row_number() OVER w AS place, count(*) FILTER (type = 'dropcap') OVER w AS d, max_by(CASE WHEN type = 'dropcap' THEN text END, CASE WHEN type = 'dropcap' THEN y0 * 10 + CASE col WHEN 'F' THEN 0 WHEN 'L' THEN 1 ELSE 2 END END) OVER w AS letter FROM bl WINDOW w AS (PARTITION BY page ORDER BY y0, CASE col WHEN 'F' THEN 0 WHEN 'L' THEN 1 ELSE 2 END, col, no ROWS UNBOUNDED PRECEDING)),
+  q AS (SELECT *, count(*) FILTER (type = 'cuerpo') OVER (PARTITION BY page, d ORDER BY place ROWS UNBOUNDED PRECEDING) AS nth FROM p),
+  z AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY place) - 1 AS n FROM q WHERE type <> 'dropcap')
+  SELECT page, 'b' || lpad(n::VARCHAR, greatest(2, length(n::VARCHAR))::INTEGER, '0') AS id, type, col, x0, y0, x1, y1, round_even(tall / 300 * 72, 2) AS size_pt, round_even(coalesce(gap, tall * 1.3), 1) AS leading_px, text, CASE WHEN type = 'cuerpo' AND nth = 1 THEN letter END AS dropcap FROM z"""
+
+
+@query("f1_blocks_from_lines", _BLOCKS)
 def blocks_from_lines(spark, sf_dir):
-    n = R.lines(spark, sf_dir)
-    lines = n.select("page", F.lit(1000.0).alias("page_w"), F.lit(2000.0).alias("page_h"), F.col("en").alias("t"), ((F.col("block") % 3) * 20.0).alias("x"), (F.col("block") * 12.0).alias("y"), F.lit(300.0).alias("w"), F.lit(10.0).alias("h"), F.lit("cuerpo").alias("type"), F.when(F.col("block") % 10 < 5, "L").otherwise("R").alias("col"))
+    n, k = R.lines(spark, sf_dir), F.col("block")
+    kind = F.coalesce(F.create_map(*[F.lit(v) for pair in ((4, "h1"), (6, "dropcap"), (8, "folio"), (9, "kicker"), (10, "stat")) for v in pair])[(k % 13).cast("int")], F.lit("cuerpo"))
+    x = (k % 3) * 4.0 + F.when(k % 11 == 5, 300.0).otherwise(0.0)
+    y = k * 12.0 + F.when(k % 9 > 6, 8.0).otherwise(0.0)
+    lines = n.select("page", F.lit(1000.0).alias("page_w"), F.lit(2000.0).alias("page_h"), F.col("en").alias("t"), x.alias("x"), y.alias("y"), F.lit(300.0).alias("w"), ((k % 4) + 8.0).alias("h"), kind.alias("type"), F.when(k % 10 < 5, "L").otherwise("R").alias("col"))
     return folds.blocks_from_lines(lines)
 
 
-@query("f16_proximity_clusters")
+# first-fit clusters: hulls so far are a list, a box joins the first that is near
+_NEAR = "h.x0 <= b.x1 + 5 AND h.x1 >= b.x0 - 5 AND h.y0 <= b.y1 + 5 AND h.y1 >= b.y0 - 5"
+_CLUSTERS = f"""WITH RECURSIVE {R.BOXES}, b AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY y0, x0, id) AS k FROM boxes),
+  r AS (SELECT page, k, id, 0 AS cluster, [{{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}] AS hulls FROM b WHERE k = 1
+    UNION ALL SELECT page, k, id, spot - 1, CASE WHEN spot > len(hulls) THEN list_append(hulls, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}) ELSE list_transform(hulls, lambda h, i: CASE WHEN i = spot THEN {{'x0': least(h.x0, x0), 'y0': least(h.y0, y0), 'x1': greatest(h.x1, x1), 'y1': greatest(h.y1, y1)}} ELSE h END) END
+    FROM (SELECT b.*, r.hulls, coalesce(nullif(list_position(list_transform(r.hulls, lambda h: {_NEAR}), true), 0), len(r.hulls) + 1) AS spot FROM r JOIN b ON b.page = r.page AND b.k = r.k + 1))
+  SELECT page, id, cluster::INTEGER AS cluster FROM r"""
+
+
+@query("f16_proximity_clusters", _CLUSTERS)
 def proximity_clusters(spark, sf_dir):
     return folds.proximity_clusters(R.boxes(spark, sf_dir).select("page", "id", "box"), 5.0)
 
 
-@query("f15_merge_stacked")
+@query("i52_cluster_labels", f"WITH {R.BOXES} SELECT page, lines % 2 AS cluster, replace(string_agg(trim(' w' || id || '- '), ' ' ORDER BY y0, x0, id), '- ', '') AS text FROM boxes GROUP BY 1, 2")
+def cluster_labels(spark, sf_dir):
+    b = R.boxes(spark, sf_dir).select("page", "id", "box", (F.col("lines") % 2).alias("cluster"), F.concat(F.lit(" w"), "id", F.lit("- ")).alias("text"))
+    return folds.cluster_labels(b)
+
+
+_FITS = "least(d.x1, c.x1) - greatest(d.x0, c.x0) > 0.55 * least(d.x1 - d.x0, c.x1 - c.x0) AND c.y0 - d.y1 >= -2 AND c.y0 - d.y1 < 4.5"
+_STACKED = f"""WITH RECURSIVE {R.BOXES}, c AS (SELECT page, id, x0, y0 / 2 AS y0, x1, y1 / 2 AS y1, CASE WHEN lines = 7 THEN '7 ' || id ELSE 'cell ' || id END AS text, row_number() OVER (PARTITION BY page ORDER BY lines, id) AS k FROM boxes),
+  r AS (SELECT page, k, [{{'id': id, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'text': text}}] AS done FROM c WHERE k = 1
+    UNION ALL SELECT page, k, CASE WHEN spot > len(done) THEN list_append(done, {{'id': id, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'text': text}}) ELSE list_transform(done, lambda d, i: CASE WHEN i = spot THEN {{'id': d.id, 'x0': least(d.x0, x0), 'y0': least(d.y0, y0), 'x1': greatest(d.x1, x1), 'y1': greatest(d.y1, y1), 'text': d.text || ' ' || text}} ELSE d END) END
+    FROM (SELECT c.*, r.done, coalesce(nullif(list_position(list_transform(r.done, lambda d: {_FITS}), true), 0), len(r.done) + 1) AS spot FROM r JOIN c ON c.page = r.page AND c.k = r.k + 1))
+  SELECT page, d.id AS id, d.x0 AS x0, d.y0 AS y0, d.x1 AS x1, d.y1 AS y1, d.text AS text FROM (SELECT page, unnest(done) AS d FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY k DESC) AS n FROM r) WHERE n = 1) WHERE regexp_matches(d.text, '[A-Za-z]{{2}}')"""
+
+
+@query("f15_merge_stacked", _STACKED)
 def merge_stacked(spark, sf_dir):
     b = R.boxes(spark, sf_dir)
-    return folds.merge_stacked(b.select("page", "id", F.col("lines").alias("place"), "box", F.concat(F.lit("cell "), "id").alias("text")))
+    half = G.rect(F.col("box.x0"), F.col("box.y0") / 2, F.col("box.x1"), F.col("box.y1") / 2)
+    return folds.merge_stacked(b.select("page", "id", F.col("lines").alias("place"), half.alias("box"), F.concat(F.when(F.col("lines") == 7, "7 ").otherwise("cell "), "id").alias("text")))
 
 
-@query("f7_merge_continuations")
+_OPEN = "NOT regexp_matches(regexp_replace(text, '[*›»\\s]+$', ''), '[.!?:;—]$') AND regexp_replace(text, '[*›»\\s]+$', '') <> ''"
+_MERGED = f"""WITH RECURSIVE {R.LINES}, b AS (SELECT page, block AS k, CASE WHEN block % 5 = 2 THEN 2.5 ELSE 0.0 END AS x0, block * 10.0 + CASE WHEN block % 17 = 16 THEN 9.0 ELSE 0.0 END AS y0, 100.0 AS x1, block * 10.0 + 9.04 AS y1,
+    CASE block % 4 WHEN 1 THEN lower(en) WHEN 3 THEN '*' || block || ' ' || en ELSE regexp_replace(en, '[.]$', '') || CASE WHEN block % 8 = 4 THEN '-' ELSE '' END END AS text, CASE WHEN block % 23 = 1 THEN 'Sans-Light' WHEN block % 2 = 0 THEN 'Serif-Bold' ELSE 'Serif,Italic' END AS font, 9.0 + CASE WHEN block % 19 = 3 THEN 0.5 ELSE 0.25 END AS size, block % 29 = 9 AS is_list FROM lines),
+  e AS (SELECT *, {_OPEN} AS open, regexp_matches(regexp_replace(text, '^[*‹«\\s]+', ''), '^[\\p{{Ll}}0-9]') AS small, string_split(replace(font, ',', '-'), '-')[1] AS family FROM b),
+  r AS (SELECT page, k, x0, y1, size, family, is_list, open, 0 AS no FROM e WHERE k = 0
+    UNION ALL SELECT page, k, CASE WHEN g THEN round_even(least(px, x0), 1) ELSE x0 END, CASE WHEN g THEN round_even(greatest(py, y1), 1) ELSE y1 END, CASE WHEN g THEN psize ELSE size END, CASE WHEN g THEN pfamily ELSE family END, CASE WHEN g THEN plist ELSE is_list END, open, no + CASE WHEN g THEN 0 ELSE 1 END
+    FROM (SELECT e.*, r.x0 AS px, r.y1 AS py, r.size AS psize, r.family AS pfamily, r.is_list AS plist, r.no,
+      NOT r.is_list AND NOT e.is_list AND r.open AND e.small AND r.family = e.family AND abs(r.size - e.size) <= 0.3 AND abs(r.x0 - e.x0) <= 3 AND e.y0 - r.y1 BETWEEN -2 AND r.size * 1.1 AS g FROM r JOIN e ON e.page = r.page AND e.k = r.k + 1)),
+  j AS (SELECT e.*, r.no, lag(e.text) OVER (PARTITION BY e.page, r.no ORDER BY e.k) AS before, count(*) OVER (PARTITION BY e.page, r.no) AS n FROM e JOIN r ON r.page = e.page AND r.k = e.k)
+  SELECT page, min(k) AS place, CASE WHEN any_value(n) > 1 THEN round_even(min(x0), 1) ELSE min(x0) END AS x0, CASE WHEN any_value(n) > 1 THEN round_even(max(y1), 1) ELSE max(y1) END AS y1, count(*)::INTEGER AS lines, arg_min(font, k) AS font,
+    string_agg(CASE WHEN before IS NULL THEN text WHEN regexp_matches(before, '-$') THEN text ELSE ' ' || text END, '' ORDER BY k) AS text FROM j GROUP BY page, no"""
+
+
+@query("f7_merge_continuations", _MERGED)
 def merge_continuations(spark, sf_dir):
-    n = R.lines(spark, sf_dir)
-    b = n.select("page", F.col("block").alias("place"), F.col("block").cast("string").alias("id"), F.lit(0.0).alias("x0"), (F.col("block") * 10.0).alias("y0"), F.lit(100.0).alias("x1"), (F.col("block") * 10.0 + 9).alias("y1"), F.col("en").alias("text"), F.lit("Serif-Bold").alias("font"), F.lit(9.0).alias("size"), F.lit(1).alias("lines"), F.lit(False).alias("is_list"), F.lit("").alias("dropcap"))
-    return folds.merge_continuations(b)
+    n, k = R.lines(spark, sf_dir), F.col("block")
+    text = F.when(k % 4 == 1, F.lower("en")).when(k % 4 == 3, F.concat(F.lit("*"), k.cast("string"), F.lit(" "), "en")).otherwise(F.concat(F.regexp_replace("en", "[.]$", ""), F.when(k % 8 == 4, "-").otherwise("")))
+    font = F.when(k % 23 == 1, "Sans-Light").when(k % 2 == 0, "Serif-Bold").otherwise("Serif,Italic")
+    b = n.select(
+        "page", k.alias("place"), k.cast("string").alias("id"), F.when(k % 5 == 2, 2.5).otherwise(0.0).alias("x0"), (k * 10.0 + F.when(k % 17 == 16, 9.0).otherwise(0.0)).alias("y0"), F.lit(100.0).alias("x1"), (k * 10.0 + 9.04).alias("y1"),
+        text.alias("text"), font.alias("font"), (F.when(k % 19 == 3, 0.5).otherwise(0.25) + 9.0).alias("size"), F.lit(1).alias("lines"), (k % 29 == 9).alias("is_list"), F.lit("").alias("dropcap"),
+    )
+    return folds.merge_continuations(b).select("page", "place", "x0", "y1", "lines", "font", "text")
+
 
+_FILLED = """WITH RECURSIVE h AS (SELECT l_orderkey, l_quantity AS h, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity) AS k, sum(l_quantity) OVER (PARTITION BY l_orderkey) / 3 * 1.06 AS goal FROM lineitem),
+  r AS (SELECT l_orderkey, k, goal, CASE WHEN h * 0.5 > goal THEN 1 ELSE 0 END AS col, h AS s FROM h WHERE k = 1
+    UNION ALL SELECT h.l_orderkey, h.k, h.goal, r.col + CASE WHEN r.col < 2 AND r.s + h.h * 0.5 > h.goal THEN 1 ELSE 0 END, CASE WHEN r.col < 2 AND r.s + h.h * 0.5 > h.goal THEN h.h ELSE r.s + h.h END FROM r JOIN h ON h.l_orderkey = r.l_orderkey AND h.k = r.k + 1)
+  SELECT l_orderkey, string_agg(col::VARCHAR, ',' ORDER BY k) AS columns FROM r GROUP BY 1"""
 
-@query("f20_fill_columns")
+
+@query("f20_fill_columns", _FILLED)
 def fill_columns(spark, sf_dir):
     li = R.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_quantity")).alias("heights"))
-    return li.select("l_orderkey", folds.fill_columns(F.col("heights"), 2).alias("columns"))
+    return li.select("l_orderkey", F.array_join(F.transform(folds.fill_columns(F.col("heights"), 3), lambda c: c.cast("string")), ",").alias("columns"))
 
 
-@query("f9_list_items")
+@query(
+    "f9_list_items",
+    f"WITH {R.LINES}, v AS (SELECT page, block AS y, (block % 2) * 6 AS x0, substring(en, 1, CASE WHEN page % 2 = 0 THEN 20 ELSE 60 END) AS text FROM lines), w AS (SELECT *, count(*) OVER (PARTITION BY page) AS n, row_number() OVER (PARTITION BY page ORDER BY y) AS k, min(x0) OVER (PARTITION BY page) AS edge FROM v), m AS (SELECT page, list_sort(list(length(text)))[count(*) // 2 + 1] AS mid FROM v GROUP BY 1) SELECT page, y, n >= 3 AND mid <= 30 AS is_list, sum(CASE WHEN k = 1 OR x0 <= edge + 4 THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY y)::BIGINT AS item FROM w JOIN m USING (page)",
+)
 def list_items(spark, sf_dir):
-    n = R.lines(spark, sf_dir).select("page", F.col("block").alias("y"), ((F.col("block") % 2) * 6).alias("x0"), F.col("en").alias("text"))
+    short = F.when(F.col("page") % 2 == 0, 20).otherwise(60)
+    n = R.lines(spark, sf_dir).select("page", F.col("block").alias("y"), ((F.col("block") % 2) * 6).alias("x0"), F.substring("en", F.lit(1), short).alias("text"))
     return folds.list_items(n, ["page"], y="y").select("page", "y", "is_list", "item")
 
 
-@query("f8_paragraph_starts")
+@query(
+    "f8_paragraph_starts",
+    f"WITH {R.LINES}, v AS (SELECT page, block * 10 + CASE WHEN block % 4 = 3 THEN 6 ELSE 0 END AS y FROM lines), d AS (SELECT *, y - lag(y) OVER (PARTITION BY page ORDER BY y) AS d FROM v), m AS (SELECT page, list_sort(list(d) FILTER (d IS NOT NULL))[count(d) // 2 + 1] AS mid FROM d GROUP BY 1) SELECT page, y, coalesce(d > mid * 1.28, false) AS starts FROM d JOIN m USING (page)",
+)
 def paragraph_starts(spark, sf_dir):
     n = R.lines(spark, sf_dir).select("page", (F.col("block") * 10 + F.when(F.col("block") % 4 == 3, 6).otherwise(0)).alias("y"))
     return folds.paragraph_starts(n, ["page"])
+
+
+@query("f4_carried_drop_cap", "WITH t AS (SELECT conv_id AS page, turn AS place, CASE turn % 4 WHEN 1 THEN 'dropcap' WHEN 3 THEN 'h1' ELSE 'cuerpo' END AS type, substring(text, 1, 5) AS text FROM conversations), m AS (SELECT *, count(*) FILTER (type = 'dropcap') OVER w AS d, max_by(CASE WHEN type = 'dropcap' THEN trim(text) END, CASE WHEN type = 'dropcap' THEN place END) OVER w AS letter FROM t WINDOW w AS (PARTITION BY page ORDER BY place ROWS UNBOUNDED PRECEDING)) SELECT page, place, type, CASE WHEN type = 'cuerpo' AND count(*) FILTER (type = 'cuerpo') OVER (PARTITION BY page, d ORDER BY place ROWS UNBOUNDED PRECEDING) = 1 THEN letter END AS dropcap FROM m QUALIFY type <> 'dropcap'")
+def carried_drop_cap(spark, sf_dir):
+    k = F.col("turn") % 4
+    c = R.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").alias("place"), F.when(k == 1, "dropcap").when(k == 3, "h1").otherwise("cuerpo").alias("type"), F.substring("text", 1, 5).alias("text"))
+    return folds.carried_drop_cap(c).select("page", "place", "type", "dropcap")
+
+
+def _ordered(spark, sf_dir, *fields):
+    """Line items of an order as one array, in the order of their boxes."""
+    b = R.boxes(spark, sf_dir)
+    return b.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("id", *fields))).alias("all"))
+
+
+_SEGMENTS = f"""WITH RECURSIVE {R.BOXES}, v AS (SELECT page, id::INTEGER AS k, x0 AS size, lines AS chars FROM boxes),
+  r AS (SELECT page, k, CASE WHEN chars > 1 AND size > 0 THEN size END AS prev, 0 AS seg FROM v WHERE k = 1
+    UNION ALL SELECT v.page, v.k, CASE WHEN r.prev IS NOT NULL AND chars <= 1 AND size / r.prev >= 1.4 THEN NULL WHEN chars > 1 THEN size ELSE r.prev END, seg + CASE WHEN r.prev IS NOT NULL AND ((chars <= 1 AND size / r.prev >= 1.4) OR (chars > 1 AND greatest(size, r.prev) / least(size, r.prev) >= 1.25)) THEN 1 ELSE 0 END FROM r JOIN v ON v.page = r.page AND v.k = r.k + 1)
+  SELECT page, string_agg(seg::VARCHAR, ',' ORDER BY k) AS segments FROM r GROUP BY 1"""
+
+
+@query("f6_size_segments", _SEGMENTS)
+def size_segments(spark, sf_dir):
+    o = _ordered(spark, sf_dir, F.col("box.x0").alias("size"), F.col("lines").alias("chars"))
+    return o.select("page", F.array_join(F.transform(folds.size_segments(F.col("all")), lambda s: s.cast("string")), ",").alias("segments"))
+
+
+_UNECHOED = f"""WITH RECURSIVE {R.BOXES}, v AS (SELECT page, id::INTEGER AS k, x0 AS x, kind AS t FROM boxes),
+  r AS (SELECT page, k, x, t, x AS last_x, t AS last_t, true AS keep FROM v WHERE k = 1
+    UNION ALL SELECT v.page, v.k, v.x, v.t, CASE WHEN v.t = r.last_t AND abs(v.x - r.last_x) <= 9 THEN r.last_x ELSE v.x END, CASE WHEN v.t = r.last_t AND abs(v.x - r.last_x) <= 9 THEN r.last_t ELSE v.t END, NOT (v.t = r.last_t AND abs(v.x - r.last_x) <= 9) FROM r JOIN v ON v.page = r.page AND v.k = r.k + 1)
+  SELECT page, string_agg(t || x::INTEGER, ',' ORDER BY k) AS words FROM r WHERE keep GROUP BY 1"""
+
+
+@query("f17_drop_echoed_words", _UNECHOED)
+def drop_echoed_words(spark, sf_dir):
+    o = _ordered(spark, sf_dir, F.col("box.x0").alias("x"), F.col("kind").alias("text"))
+    kept = folds.drop_echoed_words(F.transform("all", lambda w: F.struct(w.getField("x").alias("x"), w.getField("text").alias("text"))), 9.0)
+    return o.select("page", F.array_join(F.transform(kept, lambda w: F.concat(w.getField("text"), w.getField("x").cast("int").cast("string"))), ",").alias("words"))
+
+
+@query(
+    "f14_phrases",
+    f"{_ONE}, w AS (SELECT *, CASE WHEN abs(y1 - lag(y1) OVER o) >= 3 OR x0 - lag(x1) OVER o >= 7 OR lag(x1) OVER o IS NULL THEN 1 ELSE 0 END AS n FROM boxes WINDOW o AS (PARTITION BY page ORDER BY round_even(y1, 0), x0, id)), p AS (SELECT *, sum(n) OVER (PARTITION BY page ORDER BY round_even(y1, 0), x0, id ROWS UNBOUNDED PRECEDING) AS phrase FROM w) SELECT page, phrase::BIGINT AS phrase, string_agg('t' || id, ' ' ORDER BY round_even(y1, 0), x0, id) AS text, min(x0) AS x0, max(x1) AS x1 FROM p GROUP BY page, phrase",
+)
+def phrases(spark, sf_dir):
+    b = R.boxes(spark, sf_dir)
+    return folds.phrases(b.select("page", "id", F.concat(F.lit("t"), "id").alias("text"), "box.x0", "box.x1", "box.y1"))

@@ -107,8 +107,8 @@ def contents(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """(path, text): one row per file."""
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-    return (reader.option("pathGlobFilter", glob) if glob else reader).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def documented_folders(spark: SparkSession, root: str, name: str = "SKILL.md") -> DataFrame:

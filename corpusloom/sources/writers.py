@@ -59,7 +59,8 @@ def sectioned(parts: list[tuple[str, DataFrame]], n_col: str, name_col: str) ->
     out = None
     for i, (title, rows) in enumerate(parts):
         head = rows.sparkSession.createDataFrame([(i, None, f"== {title} ==")], "section int, n long, line string")
-        body = rows.select(F.lit(i).alias("section"), F.col(n_col).cast("long").alias("n"), F.concat(F.lpad(F.col(n_col).cast("string"), 4, " "), F.lit(" "), F.col(name_col)).alias("line"))
+        n = F.col(n_col).cast("string")
+        body = rows.select(F.lit(i).alias("section"), F.col(n_col).cast("long").alias("n"), F.concat(F.lpad(n, F.greatest(F.lit(4), F.length(n)), F.lit(" ")), F.lit(" "), F.col(name_col)).alias("line"))
         part = head.unionByName(body)
         out = part if out is None else out.unionByName(part)
     return out.orderBy("section", F.desc_nulls_first("n"), "line").select("line")

@@ -1,0 +1,93 @@
+"""Registered queries that SQL can't express, against plain versions over the same tables."""
+
+import collections
+import re
+
+import pytest
+
+from corpusloom.functions import fixed
+from corpusloom.plans import registry
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def run(spark, name):
+    return registry.QUERIES[name](spark, SF).collect()
+
+
+def candidates(texts):
+    """Runs of capitalised words, small words between them, that begin no sentence; and single ones inside sentences."""
+    cap = r"[A-Z][a-zA-Z'’\-]+"
+    more = re.compile(rf"\b{cap}(?:\s+(?:of|the|and|de|del)\s+{cap}|\s+{cap})+\b")
+    runs, words = collections.Counter(), collections.Counter()
+    for t in texts.values():
+        at = 0
+        while m := more.search(t, at):
+            before = t[: m.start()]
+            if not before or (len(before) > 1 and before[-1].isspace() and before[-2] in ".!?:•—"):
+                at = m.start() + 1
+                while at < len(t) and t[at - 1].isalnum():
+                    at += 1
+                continue
+            runs[m[0]] += 1
+            at = m.end()
+        for m in re.finditer(r"[A-Z][a-z'’\-]{3,}\b", t):
+            before = t[max(0, m.start() - 2) : m.start()]
+            if len(before) == 2 and before[1].isspace() and re.match("[a-z,;]", before[0]):
+                words[m[0]] += 1
+    return runs, words
+
+
+def test_names(spark, texts):
+    runs, words = candidates(texts)
+    assert {r["name"]: r["n"] for r in run(spark, "e14_name_runs")} == {k: n for k, n in runs.items() if n >= 2}
+    parts = {w for k, n in runs.items() if n >= 2 for w in k.split()}
+    want = {k: n for k, n in words.items() if n >= 4 and k not in fixed.CANDIDATE_STOPWORDS and k not in parts}
+    assert want and {r["name"]: r["n"] for r in run(spark, "e14_name_words")} == want
+
+
+def test_style_contexts(spark, texts):
+    pairs = registry.QUERIES["j23_style_contexts"]
+    from corpusloom.plans import relations
+
+    want = collections.Counter()
+    for r in relations.pairs(spark, SF).filter("es is not null").collect():
+        for pattern, meaning in fixed.STYLE_SIGNALS:
+            for m in re.finditer(pattern, r["es"], re.I):
+                a, b = m.span()
+                want[(r["page"], r["block"], meaning, r["es"][max(0, a - 35) : b + 35].replace("\n", " "))] += 1
+    got = collections.Counter(tuple(r[c] for c in ("page", "block", "kind", "detail")) for r in pairs(spark, SF).collect())
+    assert want and got == want
+
+
+def unechoed(text):
+    """Words as single characters, so that a repeated run is a pattern with a reference to itself."""
+    while True:
+        words = text.split()
+        plain = [re.sub("‹[^›]*›", "", w).replace("*", "").strip(" .,;:").lower() for w in words]
+        names = {w: chr(0x4E00 + i) for i, w in enumerate(dict.fromkeys(plain))}
+        code = "".join(names[w] for w in plain)
+        lettered = [bool(re.search("[A-Za-zÁÉÍÓÚÑáéíóúñ]", w)) for w in plain]
+        if len(words) >= 4 and re.fullmatch(r"(?:(.)\1)+", code) and any(lettered) and "" not in plain:
+            text = " ".join(words[::2])
+            continue
+        for k in range(12, 0, -1):
+            hit = next((m for m in re.finditer(rf"(?=(.{{{k}}})\1)", code) if any(lettered[m.start() : m.start() + k])), None)
+            if hit:
+                text = " ".join(words[: hit.start() + k] + words[hit.start() + 2 * k :])
+                break
+        else:
+            return text
+
+
+def test_echo(spark, texts):
+    lines = {(i, k): line for i, t in texts.items() for k, line in enumerate(t.split("\n"))}
+    got = {(r["page"], r["block"]): r["text"] for r in run(spark, "f18_remove_echo")}
+    assert got.keys() == lines.keys()
+    for (i, k), line in lines.items():
+        assert got[i, k] == unechoed(f"{line} {line}" + (f" {line[:15]}" if k % 2 == 0 else "")), line
