@@ -85,9 +85,9 @@ def _quoted(term: Column) -> Column:
 
 def _sweep_keys(c: Column) -> Column:
     """Runs of ASCII letters, whole and cut before each capital: a term may end where a capital goes on."""
-    runs = T.find_all(c, "[A-Za-z]+")
-    cuts = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.when((i == F.length(w)) | F.substring(w, i + 1, F.lit(1)).rlike("[A-Z]"), F.substring(w, F.lit(1), i)))
-    return F.array_distinct(F.array_compact(F.flatten(F.transform(runs, cuts))))
+    runs = F.array_distinct(T.find_all(c, "[A-Za-z]+"))
+    cuts = lambda w: F.filter(F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.when((i == F.length(w)) | F.substring(w, i + 1, F.lit(1)).rlike("[A-Z]"), F.substring(w, F.lit(1), i))), lambda p: p.isNotNull())
+    return F.array_distinct(F.flatten(F.transform(runs, lambda w: F.when(w.rlike("[A-Za-z][A-Z]"), cuts(w)).otherwise(F.array(w)))))
 
 
 def _word_keys(c: Column) -> Column:
