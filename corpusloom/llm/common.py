@@ -1,57 +1,37 @@
-"""Shared plumbing: the cluster's shared folder, written intermediate tables, size-checked joins."""
+"""Shared plumbing: written tables and size-checked joins of the library, Arrow batches in slices, column names."""
 
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch handed to Python; bounds the memory of a worker with long texts.
-ARROW_ROWS = 1000
-#: Largest number of rows of a side that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 50_000
+from ..operators.joins import BROADCAST_ROWS, is_small, spread  # noqa: F401
+from ..operators.joins import looked_up as lookup_join  # noqa: F401
+from ..sources.shared import clean, exists, forget, scratch, shared_dir, written  # noqa: F401
 
+#: Rows of an Arrow batch that Python works on at a time. Spark bounds a batch by its bytes (64 MB unless set otherwise).
+SLICE_ROWS = 1000
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder takes its place.
-    """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir") or spark.conf.get("corpusloom.shared.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("corpusloom.shared.dir", path)
-    return path.rstrip("/")
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of at most ``rows`` rows, without empty ones."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage durably."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path through Hadoop's file system, whatever its scheme."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Keep Arrow batches at ``rows`` rows or fewer."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def kept_names(keep: list[str], own: list[str]) -> list[str]:
+    """Names under which kept columns come out: as they are, or with ``kept_`` before those that the result has itself."""
+    out: list[str] = []
+    for name in keep:
+        while name in own or name in out:
+            name = f"kept_{name}"
+        out.append(name)
+    return out
 
 
 def let(value: Column, use) -> Column:
@@ -59,15 +39,6 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on: Column, how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a small table to a large one: broadcast if ``small`` has at most ``rows`` rows, else shuffle.
-
-    ``small`` should be cheap to count (a written table). Skew of the shuffled form is left to AQE.
-    """
-    few = small.limit(rows + 1).count() <= rows
-    return big.join(F.broadcast(small) if few else small.hint("merge"), on, how)
-
-
 def tokenizer_path(name: str) -> str:
     """Default place of a public tokenizer file; ``CORPUSLOOM_TOKENIZERS`` names another folder."""
     folder = os.environ.get("CORPUSLOOM_TOKENIZERS")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import kept_names, slices, written
 
 RATE = 8000
 #: The payload is padded to a positive multiple of this many bytes.
@@ -45,11 +45,16 @@ def padded(payload: bytes) -> bytes:
     return payload + bytes(max(PAD, -(-len(payload) // PAD) * PAD) - len(payload))
 
 
+def _frames(samples: np.ndarray) -> np.ndarray:
+    """Windows of all samples, one every ``HOP``; zeros fill up the last one, so that every sample lies in a window."""
+    n = max(0, -(-(len(samples) - WINDOW) // HOP)) + 1
+    padded = np.concatenate([samples, np.zeros((n - 1) * HOP + WINDOW - len(samples), samples.dtype)])
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::HOP]
+
+
 def _peaks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(frames, bands): the strongest bin and its log power, for all frames; a few thousand frames at a time."""
-    if len(samples) < WINDOW:
-        samples = np.concatenate([samples, np.zeros(WINDOW - len(samples), samples.dtype)])
-    frames = np.lib.stride_tricks.sliding_window_view(samples, WINDOW)[::HOP]
+    frames = _frames(samples)
     taper = np.hanning(WINDOW).astype(np.float32)
     bins, loud = [], []
     for i in range(0, len(frames), FRAMES):
@@ -82,29 +87,36 @@ def fingerprint(samples: bytes) -> np.ndarray:
 
 
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, media binary): each whole text's UTF-8 bytes, padded, as a WAV file. Null texts are empty."""
-    bound_batches(docs.sparkSession, 500)
+    """A written table (id, n_bytes, media binary): each whole text's UTF-8 bytes, padded, as a WAV file.
+
+    Null texts are empty. Repeated rows are stored each; ids may repeat or be null, other columns don't matter, and an
+    empty table gives an empty table.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 500):
             payloads = batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(p) for p in payloads], pa.int64()), pa.array([to_wav(padded(p)) for p in payloads], pa.binary())], ["id", "n_bytes", "media"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, media binary")
+    return written(rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, media binary"), "media", compression="zstd")
+
+
+_OWN = ["payload_bytes", "payload_sha256", "tail_crc32", "prints"]
 
 
 def analyse(media: DataFrame, keep: list[str], media_col: str = "media") -> DataFrame:
     """The columns ``keep`` and what is read from each WAV file: payload_bytes, payload_sha256, tail_crc32, prints.
 
-    ``prints`` is the array of time-coded peak pairs. Null media give nulls and no prints.
+    ``prints`` is the array of time-coded peak pairs. Null media give nulls and no prints; a kept column with one of
+    these names comes out with ``kept_`` before it.
     """
-    bound_batches(media.sparkSession, 500)
     rows = media.select(*[F.col(c) for c in keep], F.col(media_col).alias("_media"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[: len(keep)])
+    names = kept_names(keep, _OWN)
+    types = "".join(f"`{n}` {f.dataType.simpleString()}, " for n, f in zip(names, rows.schema[: len(keep)]))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 500):
             read = [None if m is None else from_wav(m) for m in batch.column(len(keep)).to_pylist()]
             prints = [[] if p is None else fingerprint(p) for p in read]
             ends = np.cumsum([0, *map(len, prints)]).astype(np.int32)
@@ -112,7 +124,7 @@ def analyse(media: DataFrame, keep: list[str], media_col: str = "media") -> Data
             of = lambda f, kind: pa.array([None if p is None else f(p) for p in read], kind)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(keep))), of(len, pa.int64()), of(lambda p: hashlib.sha256(p).hexdigest(), pa.string()), of(lambda p: zlib.crc32(p[-PAD:]), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                [*keep, "payload_bytes", "payload_sha256", "tail_crc32", "prints"],
+                [*names, *_OWN],
             )
 
-    return rows.mapInArrow(run, f"{types}, payload_bytes long, payload_sha256 string, tail_crc32 long, prints array<long>")
+    return rows.mapInArrow(run, f"{types}payload_bytes long, payload_sha256 string, tail_crc32 long, prints array<long>")

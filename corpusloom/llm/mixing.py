@@ -2,7 +2,7 @@
 
 Sources get word targets by weight, capped at a multiple of what they hold. Documents are cut into blocks of at most
 ``block_words`` words; each source's blocks stand in a pseudorandom permutation, and the source gives the blocks whose
-words come before its target (the last one in part; what exceeds one pass comes from a second pass). The drawn blocks
+words come before its target (the last one in part; what exceeds one pass comes from more passes). The drawn blocks
 of all sources form an urn whose colours are the sources: a binary tree splits the urn's exact counts among the output
 shards, a hypergeometric draw for each source at each node. A shard takes its own interval of each source's
 permutation, so shards are disjoint, and orders its blocks locally by ``shuffle_key``.
@@ -10,10 +10,12 @@ permutation, so shards are disjoint, and orders its blocks locally by ``shuffle_
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, lookup_join, written
+from .common import forget, let, lookup_join, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Blocks of one source in a bucket of its permutation, about; a bucket is the largest group ordered in one task.
@@ -87,7 +89,8 @@ def split_tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
             F.struct((F.col("node") * 2).alias("node"), F.transform("counts", lambda c, i: F.struct(c.getField("source_no").alias("source_no"), F.col("left")[i].alias("k"))).alias("counts")),
             F.struct((F.col("node") * 2 + 1).alias("node"), F.transform("counts", lambda c, i: F.struct(c.getField("source_no").alias("source_no"), (c.getField("k") - F.col("left")[i]).alias("k"))).alias("counts")),
         )
-        node = written(node.select(F.explode(halves).alias("h")).select("h.node", "h.counts").withColumn("total", F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c.getField("k"))), "split")
+        above, node = node, written(node.select(F.explode(halves).alias("h")).select("h.node", "h.counts").withColumn("total", F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c.getField("k"))), "split")
+        forget(above)
     each = node.select("node", F.explode("counts").alias("c")).groupBy("c.source_no").agg(F.array_sort(F.collect_list(F.struct("node", "c.k"))).alias("by"))
     return each.select("source_no", F.transform("by", lambda _, i: F.aggregate(F.slice("by", F.lit(1), i + 1), F.lit(0).cast("long"), lambda s, b: s + b.getField("k"))).alias("bounds"))
 
@@ -128,8 +131,9 @@ def mix_sizes(sizes: DataFrame, weights: tuple, share: float, cap: float, block_
     bits = F.least(F.lit(24), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.col("n_blocks"), F.lit(1)) / F.lit(float(BUCKET_BLOCKS)))).cast("int")))
     plan = targets(source.select("source", "source_size"), weights, share, cap).withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")))
     plan = plan.join(source.select(F.col("source").alias("s2"), bits.alias("bits")), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-    plan = written(plan.withColumn("words", F.round("target").cast("long")).withColumn("once", F.least("words", "source_size")), "plan")
-    planned = plan.select(F.col("source").alias("plan_source"), "source_no", "source_size", "target", "words", "once", "bits")
+    plan = written(plan.withColumn("words", F.round("target").cast("long")), "plan")
+    planned = plan.select(F.col("source").alias("plan_source"), "source_no", "source_size", "target", "words", "bits")
+    n_passes = max(1, math.ceil(cap))  # a pass takes what its source holds at most, and no target is above cap times that
     documents = lookup_join(sized, planned, F.col("source").eqNullSafe(F.col("plan_source")), "inner").drop("plan_source")
 
     # blocks in the order of their source's permutation, bucket by bucket
@@ -148,19 +152,20 @@ def mix_sizes(sizes: DataFrame, weights: tuple, share: float, cap: float, block_
         .join(bucket, (F.col("source_no") == F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
         .select("row", "id", "source_no", "block", "part", "order", (F.col("words_before") + F.col("words_in")).alias("at"), (F.col("n_before") + F.col("n_in")).alias("rank"))
     )
-    by_no = planned.select(F.col("source_no").alias("no"), F.col("plan_source").alias("source"), "once", (F.col("words") - F.col("once")).alias("again"))
+    by_no = planned.select(F.col("source_no").alias("no"), F.col("plan_source").alias("source"), F.col("source_size").alias("whole"), F.col("words").alias("wanted"))
     drawn = lookup_join(ranked, by_no, F.col("source_no") == F.col("no"), "inner")
-    takes = lambda most: F.greatest(F.lit(0), F.least(F.col("part"), F.col(most) - F.col("at"))).cast("long")
-    passes = F.array(F.struct(F.lit(1).alias("pass"), takes("once").alias("words")), F.struct(F.lit(2).alias("pass"), takes("again").alias("words")))
+    takes = lambda p: F.greatest(F.lit(0), F.least(F.col("part"), F.least(F.col("wanted") - p * F.col("whole"), F.col("whole")) - F.col("at"))).cast("long")
+    passes = F.array(*[F.struct(F.lit(p + 1).alias("pass"), takes(p).alias("words")) for p in range(n_passes)])
     drawn = drawn.select("row", "id", "source", "source_no", "block", (F.col("block") * block_words).alias("first_word"), "order", "rank", F.explode(passes).alias("p"))
     drawn = written(drawn.filter("p.words > 0").select("row", "id", "source", "source_no", "block", "first_word", "order", "rank", F.col("p.words").alias("words"), F.col("p.pass").alias("pass")), "drawn")
 
-    # exact quotas, split among the shards; a source's second pass follows its first in its sequence of draws
-    quotas = written(drawn.groupBy("source_no").agg(F.count("*").alias("quota"), F.count_if(F.col("pass") == 1).alias("first_pass")), "quotas")
+    # exact quotas, split among the shards; a source's passes follow each other in its sequence of draws
+    before_pass = F.array(*[F.count_if(F.col("pass") <= p) for p in range(n_passes)])
+    quotas = written(drawn.groupBy("source_no").agg(F.count("*").alias("quota"), before_pass.alias("before")), "quotas")
     bounds = split_tree(quotas.select("source_no", "quota"), depth, seed)
-    bounds = written(bounds.join(quotas.select(F.col("source_no").alias("q"), "first_pass"), F.col("source_no") == F.col("q")).select(F.col("source_no").alias("no"), "first_pass", "bounds"), "bounds")
+    bounds = written(bounds.join(quotas.select(F.col("source_no").alias("q"), "before"), F.col("source_no") == F.col("q")).select(F.col("source_no").alias("no"), "before", "bounds"), "bounds")
     placed = lookup_join(drawn, bounds, F.col("source_no") == F.col("no"), "inner")
-    number = F.col("rank") + F.when(F.col("pass") == 2, F.col("first_pass")).otherwise(F.lit(0))
+    number = F.col("rank") + F.get("before", F.col("pass") - 1)
     placed = placed.withColumn("number", number).withColumn("shard", F.size(F.filter("bounds", lambda b: b <= F.col("number"))))
     blocks = placed.select("row", "id", "source", "block", "first_word", "words", "pass", "shard", F.xxhash64(F.lit(seed + 1), "shard", "order", "pass").alias("shuffle_key"))
     return Mix(documents.select("row", "id", "source", "size", "source_size", "target"), written(blocks, "blocks"))

@@ -3,8 +3,15 @@
 A rotation is learned that turns centred unit vectors into balanced binary codes. Vectors of equal label and code form
 a cell; cells are looked up in four tables of 16-bit segments, each with its one-bit neighbours, and those within
 ``radius`` bits are candidates. Candidate cells are reranked with the original vectors, block against block, in double
-precision. A pair just at cosine 0.98 is 11.5 degrees apart, about 4 of 64 bits, and escapes all four tables with a
-probability of about half a percent; closer pairs with less.
+precision.
+
+A pair just at cosine 0.98 is 11.5 degrees apart, about 4 of 64 bits, and escapes all four tables with a probability
+of about half a percent; closer pairs with less. Where vectors have a large mean in common, pairs are farther apart
+once that is taken away; invented pairs at the threshold show how many the tables would miss, and as long as that is
+more than ``MISS``, codes of one more rotation are added.
+
+In a cell of more than one block, the vectors within half the threshold's angle of its first one are the cell's core:
+they all link with each other, so no pair of them is ever formed, however many they are.
 """
 
 from __future__ import annotations
@@ -14,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, written
+from .common import forget, lookup_join, slices, spread, written
 from .graph import components
 
 BITS, TABLES, WIDTH = 64, 4, 16
 #: Vectors that the rotation is fitted on, steps of fitting, bits that candidates may differ in, vectors in a block.
 SAMPLE, STEPS, RADIUS, BLOCK = 20_000, 50, 18, 512
+#: Share of invented pairs at the threshold that may be missed before a rotation is added, and most rotations.
+MISS, ROTATIONS = 0.01, 6
 
 
 class Rotation:
@@ -61,6 +70,34 @@ def fit(sample: np.ndarray, seed: int = 0, steps: int = STEPS) -> Rotation:
     return Rotation(mean, np.concatenate(parts, axis=1))
 
 
+def meet(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """Whether codes share a segment up to one bit and differ in ``radius`` bits or fewer."""
+    apart = a.view(np.uint64) ^ b.view(np.uint64)
+    segments = [np.bitwise_count((apart >> np.uint64(WIDTH * i)) & np.uint64((1 << WIDTH) - 1)) for i in range(TABLES)]
+    return (np.minimum.reduce(segments) <= 1) & (np.bitwise_count(apart) <= radius)
+
+
+def missed(rotations: list[Rotation], sample: np.ndarray, threshold: float, radius: int = RADIUS, seed: int = 0, pairs: int = 4000) -> float:
+    """Share of invented pairs at exactly ``threshold`` that no rotation's tables bring together."""
+    rng = np.random.default_rng(seed)
+    u = sample[rng.integers(len(sample), size=pairs)]
+    w = rng.standard_normal(u.shape)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    v = threshold * u + np.sqrt(1 - threshold**2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+    met = np.zeros(pairs, bool)
+    for r in rotations:
+        met |= meet(r.codes(u), r.codes(v), radius)
+    return 1.0 - float(met.mean())
+
+
+def rotations_of(sample: np.ndarray, threshold: float, radius: int = RADIUS, seed: int = 0, most: int = ROTATIONS) -> list[Rotation]:
+    """One rotation, and more while invented pairs at the threshold are missed too often."""
+    out = [fit(sample, seed)]
+    while len(out) < most and sample.shape[1] > 1 and len(sample) and missed(out, sample, threshold, radius, seed) > MISS:
+        out.append(fit(sample, seed + len(out)))
+    return out
+
+
 def _unit(raw: list[bytes]) -> np.ndarray:
     v = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
@@ -70,20 +107,22 @@ def _segment(code: Column, i: int) -> Column:
     return F.shiftrightunsigned(code, WIDTH * i).bitwiseAND(F.lit((1 << WIDTH) - 1))
 
 
-def candidates(cells: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(label, code_a, code_b, n_a, n_b) with code_a < code_b: cells of one label that share a segment up to one bit
-    and differ in ``radius`` bits or fewer; each pair once."""
+def candidates(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(group, code_a, code_b) with code_a < code_b, from distinct (group, code): codes of one group (a long) that
+    share a segment up to one bit and differ in ``radius`` bits or fewer; each pair once."""
+    n = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = codes.select("group", "code").repartition(n)  # few rows become many: spread before
     code = F.col("code")
-    plain = F.array(*[_segment(code, i).bitwiseOR(F.lit(i << WIDTH)) for i in range(TABLES)])
-    near = F.array(*[_segment(code, i).bitwiseXOR(F.lit(flip | i << WIDTH).cast("long")) for i in range(TABLES) for flip in [0, *(1 << j for j in range(WIDTH))]])
-    left = cells.select("label", F.col("code").alias("code_a"), F.col("n").alias("n_a"), F.explode(plain).alias("key"))
-    right = cells.select(F.col("label").alias("label_b"), F.col("code").alias("code_b"), F.col("n").alias("n_b"), F.explode(near).alias("key_b"))
-    met = left.join(right, (F.col("label") == F.col("label_b")) & (F.col("key") == F.col("key_b")) & (F.col("code_a") < F.col("code_b")) & (F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= radius))
-    return met.select("label", "code_a", "code_b", "n_a", "n_b").distinct()
+    plain = F.array(*[F.xxhash64("group", F.lit(i), _segment(code, i)) for i in range(TABLES)])
+    near = F.array(*[F.xxhash64("group", F.lit(i), _segment(code, i).bitwiseXOR(F.lit(flip).cast("long"))) for i in range(TABLES) for flip in [0, *(1 << j for j in range(WIDTH))]])
+    left = dealt.select("group", F.col("code").alias("code_a"), F.explode(plain).alias("key"))
+    right = dealt.select(F.col("group").alias("group_b"), F.col("code").alias("code_b"), F.explode(near).alias("key_b"))
+    met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("group") == F.col("group_b")) & (F.col("code_a") < F.col("code_b")) & (F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= radius))
+    return met.select("group", "code_a", "code_b").distinct()
 
 
-def _forest(pairs_a: np.ndarray, pairs_b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what the given pairs of positions connect, one fewer than the vectors of each group."""
+def _forest(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Links that connect what the given links connect, one fewer than the vectors of each group."""
     root: dict[int, int] = {}
 
     def find(x):
@@ -93,44 +132,168 @@ def _forest(pairs_a: np.ndarray, pairs_b: np.ndarray, ids_a: np.ndarray, ids_b:
         return x
 
     out = []
-    for a, b in zip(ids_a[pairs_a].tolist(), ids_b[pairs_b].tolist()):
-        ra, rb = find(a), find(b)
-        if ra != rb:
-            root[max(ra, rb)] = min(ra, rb)
-            out.append((a, b))
+    for x, y in zip(a, b):
+        rx, ry = find(x), find(y)
+        if rx != ry:
+            root[max(rx, ry)] = min(rx, ry)
+            out.append((x, y))
+    return out
+
+
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+
+def _members(cell) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, multiplicities, unit vectors and codes of a block (a list of structs)."""
+    rows = cell.values
+    codes = rows.field("codes").to_pylist()
+    return rows.field("row").to_numpy(zero_copy_only=False), rows.field("copies").to_numpy(zero_copy_only=False), _unit(rows.field("vector").to_pylist()), np.array(codes, np.int64).reshape(len(codes), -1)
+
+
+def _rerank(threshold: float, rotation: int, radius: int):
+    """For each pair of blocks: the multiplicity of the links of each vector (b null), and a forest of the links.
+
+    Pairs that an earlier rotation has brought together were counted there.
+    """
+
+    def run(batches):
+        for batch in slices(batches, 1):
+            same = batch.column(0)[0].as_py()
+            rows_a, many_a, x, codes_a = _members(batch.column(1)[0])
+            rows_b, many_b, y, codes_b = (rows_a, many_a, x, codes_a) if same else _members(batch.column(2)[0])
+            i, j = np.nonzero(x @ y.T >= threshold)
+            if same:
+                i, j = i[i < j], j[i < j]
+            for r in range(rotation):
+                new = ~meet(codes_a[i, r], codes_b[j, r], radius)
+                i, j = i[new], j[new]
+            if not len(i):
+                continue
+            counts = [(rows_a, np.bincount(i, many_b[j], len(rows_a))), (rows_b, np.bincount(j, many_a[i], len(rows_b)))]
+            links = _forest(rows_a[i].tolist(), rows_b[j].tolist())
+            a = [*(v for who, n in counts for v in who[n > 0].tolist()), *(p for p, _ in links)]
+            n = [*(int(v) for _, n in counts for v in n[n > 0].tolist()), *([0] * len(links))]
+            b = [*([None] * (len(a) - len(links))), *(q for _, q in links)]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], schema=_FOUND)
+
+    return run
+
+
+def _encoder(fitted: dict[int, list[Rotation]], seed: int):
+    """Kind (length and label), codes and bytes of vectors, those of one length together."""
+
+    def run(batches):
+        for batch in slices(batches, 4096):
+            lists = batch.column("v")
+            at = lists.offsets.to_numpy()
+            values, sizes = lists.values.to_numpy(zero_copy_only=False), np.diff(at)
+            codes: list = [None] * batch.num_rows
+            raw: list = [None] * batch.num_rows
+            for size in np.unique(sizes):
+                own = np.flatnonzero(sizes == size)
+                x = values[at[own][:, None] + np.arange(size)].astype("<f8")
+                if size not in fitted:
+                    fitted[size] = [fit(np.zeros((0, size)), seed)]
+                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+                found = np.stack([r.codes(unit) for r in fitted[size]], axis=1).tolist()
+                for k, i in enumerate(own.tolist()):
+                    codes[i], raw[i] = found[k], x[k].tobytes()
+            kind = [f"{size}:{label}" for size, label in zip(sizes.tolist(), batch.column("label").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), batch.column("row"), batch.column("copies"), pa.array(codes, pa.list_(pa.int64())), pa.array(raw, pa.binary())], ["label", "row", "copies", "codes", "vector"])
+
+    return run
+
+
+def _core(threshold: float):
+    """The angle of each vector to its cell's first one, where that is given and at most half the threshold's angle."""
+    half = np.arccos(threshold) / 2 - 1e-6
+
+    def run(batches):
+        for batch in slices(batches, 4096):
+            angle: list = [None] * batch.num_rows
+            for i, (v, p) in enumerate(zip(batch.column("vector").to_pylist(), batch.column("pivot").to_pylist())):
+                if p is not None:
+                    x, y = _unit([v, p])
+                    turn = float(np.arccos(np.clip(x @ y, -1.0, 1.0)))
+                    angle[i] = turn if turn <= half else None
+            names = [n for n in batch.schema.names if n != "pivot"]  # in the order of the table
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(angle, pa.float64())], [*names, "angle"])
+
+    return run
+
+
+def _linked(coded: DataFrame, rotation: int, threshold: float, radius: int, block: int) -> list[DataFrame]:
+    """Written tables (a, b, n) of what one rotation finds: n more links of row a (b null), or a link of rows a and b."""
+    mine = coded.filter(F.size("codes") > rotation).withColumn("code", F.col("codes")[rotation])
+    counted = written(mine.groupBy("label", "code").agg(F.count("*").alias("n"), F.min("row").alias("first")), "cells")
+    large = counted.filter(F.col("n") > block)
+    here = (F.col("label") == F.col("l")) & (F.col("code") == F.col("c"))
+    sized = lookup_join(mine, large.select(F.col("label").alias("l"), F.col("code").alias("c"), "n"), here).drop("l", "c").withColumn("angle", F.lit(None).cast("double"))
+    cored = rotation == 0 and not large.isEmpty()  # later rotations must tell apart pair by pair what was met before
+    if cored:
+        pivots = lookup_join(mine.select("row", "vector"), large.select(F.col("label").alias("l"), F.col("code").alias("c"), "first"), F.col("row") == F.col("first"), "inner")
+        pivots = written(pivots.select("l", "c", F.col("vector").alias("pivot")), "pivots")
+        sized = lookup_join(sized.drop("angle"), pivots, here).drop("l", "c").mapInArrow(_core(threshold), "label string, row long, copies long, codes array<long>, vector binary, code long, n long, angle double")
+    core = F.col("angle").isNotNull()
+    salt = F.pmod(F.xxhash64("row"), F.coalesce(F.ceil(F.col("n") / block), F.lit(1))).cast("int")
+    sized = sized.select("label", "code", core.alias("core"), salt.alias("no"), "angle", "row", "copies", "codes", "vector")
+    member = F.struct("row", "copies", "vector", F.slice("codes", 1, rotation).alias("codes"))
+    blocks = written(sized.groupBy("label", "code", "core", "no").agg(F.collect_list(member).alias("members"), F.sum("copies").alias("total"), F.min("row").alias("least"), F.max("angle").alias("angle")), "blocks")
+
+    group = F.xxhash64("label")
+    own = counted.filter("n > 1").select(group.alias("group"), F.col("code").alias("code_a"), F.col("code").alias("code_b"))
+    pairs = own.unionByName(candidates(counted.select(group.alias("group"), "code"), radius))
+    side = lambda s: blocks.select(F.col("label").alias(f"label_{s}"), F.xxhash64("label").alias(f"g_{s}"), F.col("code").alias(f"c_{s}"), F.col("core").alias(f"core_{s}"), F.col("no").alias(f"no_{s}"))
+    on = lambda s: (F.col("group") == F.col(f"g_{s}")) & (F.col(f"code_{s}") == F.col(f"c_{s}"))
+    met = pairs.join(side("a"), on("a")).join(side("b"), on("b")).filter("label_a = label_b")
+    within = F.col("code_a") == F.col("code_b")
+    order = lambda s: F.struct(f"core_{s}", f"no_{s}")
+    met = met.filter(~within | ((order("a") <= order("b")) & ~(F.col("core_a") & F.col("core_b"))))
+    met = met.select("label_a", "code_a", "core_a", "no_a", "code_b", "core_b", "no_b", (within & (order("a") == order("b"))).alias("same"))
+
+    out = []
+    if cored:
+        # cores as a whole: what their members have in common, and pairs of cores that all link, or not at all
+        cores = blocks.filter("core").groupBy("label", "code").agg(F.sum("total").alias("total"), F.min("least").alias("least"), F.max("angle").alias("angle"))
+        cores = written(cores.join(pivots, here).drop("l", "c"), "cores")
+        two = lambda s: cores.select(F.xxhash64("label").alias(f"g_{s}"), F.col("label").alias(f"label_{s}"), F.col("code").alias(f"c_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("total", "least", "angle", "pivot")])
+        near = pairs.filter(~within).join(two("a"), on("a")).join(two("b"), on("b")).filter("label_a = label_b")
+        near = written(near.mapInArrow(_decided(float(np.arccos(threshold))), "label_a string, code_a long, code_b long, joined boolean, total_a long, total_b long, least_a long, least_b long"), "decided")
+        done = near.select(F.col("label_a").alias("d_label"), F.col("code_a").alias("d_a"), F.col("code_b").alias("d_b"))
+        both = F.col("core_a") & F.col("core_b") & (F.col("label_a") == F.col("d_label")) & (F.col("code_a") == F.col("d_a")) & (F.col("code_b") == F.col("d_b"))
+        met = met.join(done, both, "left_anti")
+        linked = near.filter("joined")
+        more = linked.select(F.col("label_a").alias("l"), F.col("code_a").alias("c"), F.col("total_b").alias("more")).unionByName(linked.select(F.col("label_a").alias("l"), F.col("code_b").alias("c"), F.col("total_a").alias("more")))
+        more = more.groupBy("l", "c").agg(F.sum("more").alias("more"))
+        whole = lookup_join(cores, more, here).select(F.col("label").alias("k_label"), F.col("code").alias("k_code"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("others"), F.col("least").alias("k_least"))
+        inside = lookup_join(sized.filter("core").select("label", "code", "row", "copies"), written(whole, "core-counts"), (F.col("label") == F.col("k_label")) & (F.col("code") == F.col("k_code")), "inner")
+        inside = written(inside.select("row", "k_least", (F.col("others") - F.col("copies")).alias("n")), "core-links")
+        null, zero = F.lit(None).cast("long").alias("b"), F.lit(0).cast("long").alias("n")
+        out += [inside.select(F.col("row").alias("a"), null, "n"), inside.filter("row <> k_least").select(F.col("row").alias("a"), F.col("k_least").alias("b"), zero), linked.select(F.col("least_a").alias("a"), F.col("least_b").alias("b"), zero)]
+
+    full = lambda s: blocks.select(F.col("label").alias(f"l_{s}"), F.col("code").alias(f"d_{s}"), F.col("core").alias(f"k_{s}"), F.col("no").alias(f"n_{s}"), F.col("members").alias(f"m_{s}"))
+    at = lambda s: (F.col("label_a") == F.col(f"l_{s}")) & (F.col(f"code_{s}") == F.col(f"d_{s}")) & (F.col(f"core_{s}") == F.col(f"k_{s}")) & (F.col(f"no_{s}") == F.col(f"n_{s}"))
+    both = met.join(full("a"), at("a")).join(full("b"), at("b"))
+    found = both.select("same", "m_a", F.when(~F.col("same"), F.col("m_b")).alias("m_b")).mapInArrow(_rerank(threshold, rotation, radius), "a long, b long, n long")
+    out.append(written(found, "links"))
+    forget(counted)
     return out
 
 
-def _rerank(threshold: float):
-    """For each pair of blocks: the multiplicity of the links of each vector, and a forest of the links."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+def _decided(angle: float):
+    """Pairs of cores whose members all link, or none of them: by the angle of their first vectors and their radii."""
 
     def run(batches):
-        for batch in batches:
-            a, b, n = [], [], []
-            for same, left, right in zip(*(c.to_pylist() for c in batch.columns)):
-                right = left if same else right
-                ids = [np.array([m["id"] for m in side], np.int64) for side in (left, right)]
-                many = [np.array([m["copies"] for m in side], np.int64) for side in (left, right)]
-                x, y = (_unit([m["vector"] for m in side]) for side in (left, right))
-                hit = x @ y.T >= threshold
-                if same:
-                    np.fill_diagonal(hit, False)
-                rows, cols = np.nonzero(np.triu(hit) if same else hit)
-                if not len(rows):
-                    continue
-                sums = [(ids[0], hit @ many[1])] + ([] if same else [(ids[1], many[0] @ hit)])
-                for who, count in sums:
-                    some = count > 0
-                    a += who[some].tolist()
-                    b += [None] * int(some.sum())
-                    n += count[some].tolist()
-                links = _forest(rows, cols, ids[0], ids[1])
-                a += [p for p, _ in links]
-                b += [q for _, q in links]
-                n += [0] * len(links)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], schema=schema)
+        for batch in slices(batches):
+            rows = []
+            for r in batch.to_pylist():
+                x, y = _unit([r["pivot_a"], r["pivot_b"]])
+                between, reach = float(np.arccos(np.clip(x @ y, -1.0, 1.0))), r["angle_a"] + r["angle_b"]
+                if between + reach <= angle - 1e-6 or between - reach > angle + 1e-6:
+                    rows.append((r["label_a"], r["code_a"], r["code_b"], between + reach <= angle, r["total_a"], r["total_b"], r["least_a"], r["least_b"]))
+            if rows:
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["label_a", "code_a", "code_b", "joined", "total_a", "total_b", "least_a", "least_b"])
 
     return run
 
@@ -141,63 +304,44 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     Vectors link if their labels are equal and not null and their cosine in double precision is ``threshold`` or
     more. A vector that is null, empty, zero or has null or non-finite components, and one without id or label, links
     with nothing. Copies are counted as one vector with a multiplicity and so never paired; vectors of different
-    length never link. Repeated ids are vectors of their own. The rotation is fitted on ``sample`` vectors, first by
-    hash; every vector is indexed.
+    length never link. Repeated ids are vectors of their own, other columns don't matter, and an empty table gives an
+    empty table. The rotation is fitted on ``sample`` vectors, first by hash; every vector is indexed.
     """
-    spark = table.sparkSession
     v = F.col(vector_col).cast("array<double>")
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), v.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.size("v") > 0, F.lit(False)) & ~F.coalesce(bad, F.lit(True))
-    rows = written(rows.select("id", "label", F.when(good & (F.coalesce(length, F.lit(0.0)) > 0), F.col("v")).alias("v")), "vectors")
+    good = good & (F.coalesce(length, F.lit(0.0)) > 0)
+    rows = rows.select("id", "label", F.when(good, F.col("v")).alias("v")).withColumn("row", F.monotonically_increasing_id())
+    digest = F.when(F.col("v").isNotNull(), F.concat(F.hex(F.xxhash64("label", "v")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), "v", "label"))))
+    rows = written(rows.withColumn("digest", digest), "vectors")
     usable = rows.filter(F.col("v").isNotNull())
 
-    # copies: one vector each, named by its smallest id
-    single = usable.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    chosen = single.orderBy(F.xxhash64("v"), "label").limit(sample).select("v").collect()  # at most ``sample`` vectors
+    # copies: one vector each, that of the smallest id
+    classes = written(usable.groupBy("digest").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies")), "classes")
+    single = usable.join(classes.select(F.col("first.row").alias("first_row"), "copies"), F.col("row") == F.col("first_row")).select("label", "row", "copies", "v", "digest")
+    single = written(single, "single")
+    chosen = single.orderBy("digest").limit(sample).select("v").collect()  # at most ``sample`` vectors
     by_size: dict[int, list] = {}
     for r in chosen:
         by_size.setdefault(len(r["v"]), []).append(r["v"])
     fitted = {}
     for size, found in by_size.items():
         x = np.array(found, np.float64)
-        fitted[size] = fit(x / np.linalg.norm(x, axis=1, keepdims=True), seed)
-    bound_batches(spark)
-
-    def encode(batches):
-        for b in batches:
-            vectors = [np.array(x, np.float64) for x in b.column(1).to_pylist()]
-            codes = []
-            for x in vectors:
-                how = fitted.get(len(x)) or fitted.setdefault(len(x), fit(np.zeros((0, len(x))), seed))
-                codes.append(int(how.codes((x / np.linalg.norm(x))[None, :])[0]))
-            kind = pa.array([f"{len(x)}:{l}" for x, l in zip(vectors, b.column(0).to_pylist())])
-            yield pa.RecordBatch.from_arrays([kind, pa.array(codes, pa.int64()), b.column(2), b.column(3), pa.array([x.astype("<f8").tobytes() for x in vectors], pa.binary())], ["label", "code", "id", "copies", "vector"])
-
-    coded = written(single.select("label", "v", "id", "copies").mapInArrow(encode, "label string, code long, id long, copies long, vector binary"), "codes")
-    cells = coded.groupBy("label", "code").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
-    cells = written(cells, "cells")
-    sized = coded.join(cells.select(F.col("label").alias("l"), F.col("code").alias("c"), "n"), (F.col("label") == F.col("l")) & (F.col("code") == F.col("c")))
-    blocks = sized.groupBy("label", "code", F.pmod(F.xxhash64("id"), F.col("n")).cast("int").alias("no")).agg(F.collect_list(F.struct("id", "copies", "vector")).alias("members"))
-    blocks = written(blocks, "blocks")
-
-    own = cells.filter("n > 0").select("label", F.col("code").alias("code_a"), F.col("code").alias("code_b"), F.col("n").alias("n_a"), F.col("n").alias("n_b"))
-    pairs = own.unionByName(candidates(cells, radius))
-    pairs = pairs.withColumn("no_a", F.explode(F.sequence(F.lit(0), F.col("n_a") - 1))).withColumn("no_b", F.explode(F.sequence(F.lit(0), F.col("n_b") - 1)))
-    same = (F.col("code_a") == F.col("code_b")) & (F.col("no_a") == F.col("no_b"))
-    pairs = pairs.filter((F.col("code_a") != F.col("code_b")) | (F.col("no_a") <= F.col("no_b"))).withColumn("same", same)
-    side = lambda s: blocks.select(F.col("label").alias(f"l_{s}"), F.col("code").alias(f"c_{s}"), F.col("no").alias(f"k_{s}"), F.col("members").alias(f"m_{s}"))
-    on = lambda s: (F.col("label") == F.col(f"l_{s}")) & (F.col(f"code_{s}") == F.col(f"c_{s}")) & (F.col(f"no_{s}") == F.col(f"k_{s}"))
-    both = pairs.join(side("a"), on("a")).join(side("b"), on("b"))
-    bound_batches(spark, 64)
-    found = written(both.select("same", "m_a", F.when(~F.col("same"), F.col("m_b")).alias("m_b")).mapInArrow(_rerank(threshold), "a long, b long, n long"), "links")
-    bound_batches(spark)
-
-    counts = found.filter("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("others"))
-    parts = components(found.filter("b is not null"), "a", "b")
-    classes = single.select(F.col("label").alias("s_label"), F.col("v").alias("s_v"), F.col("id").alias("rep"), "copies")
-    known = classes.join(counts, F.col("rep") == F.col("of"), "left").join(parts, F.col("rep") == F.col("node"), "left")
-    known = known.select("s_label", "s_v", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("top"))
-    linked = usable.join(known, (F.col("label") == F.col("s_label")) & (F.col("v") == F.col("s_v"))).select("id", F.col("links").cast("long").alias("n_links"), F.col("top").alias("component"))
+        fitted[size] = rotations_of(x / np.linalg.norm(x, axis=1, keepdims=True), threshold, radius, seed)
+    coded = written(single.select("label", "row", "copies", "v").mapInArrow(_encoder(fitted, seed), "label string, row long, copies long, codes array<long>, vector binary"), "codes")
+    forget(single)
+
+    found = [t for r in range(max([1, *map(len, fitted.values())])) for t in _linked(coded, r, threshold, radius, block)]
+    both = found[0]
+    for t in found[1:]:
+        both = both.unionByName(t)
+    counts = both.filter("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("others"))
+    parts = written(components(both.filter("b is not null"), "a", "b"), "parts")
+    least = parts.join(classes.select(F.col("first.row").alias("r"), F.col("first.id").alias("i")), F.col("node") == F.col("r")).groupBy(F.col("component").alias("of_part")).agg(F.min("i").alias("top"), F.count("*").alias("size"))
+    tops = spread(parts, written(least, "tops"), "component", "of_part", "size").select("node", "top")
+    known = classes.select("digest", "first", "copies").join(counts, F.col("first.row") == F.col("of"), "left").join(tops, F.col("first.row") == F.col("node"), "left")
+    known = known.select(F.col("digest").alias("of_digest"), "copies", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("top", F.col("first.id")).alias("top"))
+    linked = spread(usable.select("id", "digest"), written(known, "known"), "digest", "of_digest", "copies").select("id", F.col("links").cast("long").alias("n_links"), F.col("top").alias("component"))
     return linked.unionByName(rows.filter(F.col("v").isNull()).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component")))

@@ -44,19 +44,24 @@ FROM documents d LEFT JOIN told t ON d.doc_id = t.doc_id
 
 _TERM = _quoted(licenses.TERM)
 _TEMPLATES = ", ".join(f"({i}, {_quoted(n)}, {_quoted(t)})" for i, (n, t) in enumerate(licenses.TEMPLATES))
+_END = _quoted(licenses.SENTENCE_END)
 LICENSES = f"""
 WITH template AS (SELECT * FROM (VALUES {_TEMPLATES}) AS t(tid, licence, body)),
-wanted AS (SELECT DISTINCT tid, licence, unnest(regexp_extract_all(lower(body), {_TERM})) AS term FROM template),
-line AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line, unnest(string_split(text, chr(10))) AS passage FROM documents),
-passage AS (SELECT doc_id, line, list_distinct(regexp_extract_all(lower(passage), {_TERM})) AS terms FROM line),
-total AS (SELECT count(*) AS n FROM passage WHERE len(terms) > 0),
-each AS (SELECT doc_id, line, len(terms) AS size, unnest(terms) AS term FROM passage),
-held AS (SELECT e.* FROM each e WHERE term IN (SELECT term FROM wanted)),
-weight AS (SELECT w.term, power(ln((n + 1) / (count(h.term) + 1)) + 1, 2) AS w FROM (SELECT DISTINCT term FROM wanted) w CROSS JOIN total LEFT JOIN held h ON h.term = w.term GROUP BY w.term, n),
-norm AS (SELECT doc_id, line, sum(w) + (any_value(size) - count(*)) * power(ln((any_value(n) + 1)::DOUBLE) + 1, 2) AS norm FROM held JOIN weight USING (term) CROSS JOIN total GROUP BY 1, 2),
-own_norm AS (SELECT tid, sum(w) AS own FROM wanted JOIN weight USING (term) GROUP BY tid),
-cosine AS (SELECT h.doc_id, h.line, w.licence, round(sum(k.w) / (sqrt(any_value(n.norm)) * sqrt(any_value(o.own))), 6) AS score
-           FROM held h JOIN wanted w USING (term) JOIN weight k USING (term) JOIN norm n ON n.doc_id = h.doc_id AND n.line = h.line JOIN own_norm o ON o.tid = w.tid GROUP BY h.doc_id, h.line, w.tid, w.licence),
+wanted AS (SELECT tid, licence, term, count(*) AS k FROM (SELECT tid, licence, unnest(regexp_extract_all(lower(body), {_TERM})) AS term FROM template) GROUP BY 1, 2, 3),
+size AS (SELECT tid, sum(k) AS length FROM wanted GROUP BY 1),
+line AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line, unnest(string_split(text, chr(10))) AS t FROM documents),
+piece AS (SELECT doc_id, line, generate_subscripts(p, 1) AS part, unnest(p) AS t FROM (SELECT doc_id, line, string_split(regexp_replace(lower(t), {_END}, '\\1' || chr(1), 'g'), chr(1)) AS p FROM line)),
+unit AS (SELECT doc_id, line, terms, len(terms) AS n, row_number() OVER w AS pos, sum(len(terms)) OVER w - len(terms) AS before FROM (SELECT doc_id, line, part, regexp_extract_all(t, {_TERM}) AS terms FROM piece) WHERE len(terms) > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY line, part ROWS UNBOUNDED PRECEDING)),
+known AS (SELECT doc_id, pos, term FROM (SELECT doc_id, pos, unnest(terms) AS term FROM unit) WHERE term IN (SELECT term FROM wanted)),
+total AS (SELECT count(*) AS n FROM documents),
+weight AS (SELECT v.term, power(ln((n + 1) / (count(DISTINCT doc_id) + 1)) + 1, 2) AS w FROM (SELECT DISTINCT term FROM wanted) v CROSS JOIN total LEFT JOIN known ON known.term = v.term GROUP BY v.term, n),
+own AS (SELECT tid, sum(k * k * w) AS norm FROM wanted JOIN weight USING (term) GROUP BY tid),
+start AS (SELECT DISTINCT doc_id, pos, tid FROM known JOIN wanted USING (term)),
+passage AS (SELECT s.doc_id, s.pos, s.tid, any_value(a.line) AS line, max(b.pos) AS last, sum(b.n) AS total FROM start s JOIN size USING (tid) JOIN unit a ON a.doc_id = s.doc_id AND a.pos = s.pos JOIN unit b ON b.doc_id = s.doc_id AND b.pos >= s.pos AND b.before < a.before + length GROUP BY 1, 2, 3),
+held AS (SELECT p.doc_id, p.pos, p.tid, k.term, count(*) AS n FROM passage p JOIN known k ON k.doc_id = p.doc_id AND k.pos BETWEEN p.pos AND p.last GROUP BY 1, 2, 3, 4),
+sums AS (SELECT h.doc_id, h.pos, h.tid, sum(h.n * coalesce(w.k, 0) * g.w) AS dot, sum(h.n * h.n * g.w) AS norm, sum(h.n) AS n FROM held h JOIN weight g ON g.term = h.term LEFT JOIN wanted w ON w.tid = h.tid AND w.term = h.term GROUP BY 1, 2, 3),
+cosine AS (SELECT p.doc_id, p.line, t.licence, round(s.dot / (sqrt(o.norm) * sqrt(s.norm + (p.total - s.n) * power(ln((c.n + 1)::DOUBLE) + 1, 2))), 6) AS score
+           FROM passage p JOIN sums s ON s.doc_id = p.doc_id AND s.pos = p.pos AND s.tid = p.tid JOIN own o ON o.tid = p.tid JOIN template t ON t.tid = p.tid CROSS JOIN total c),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence DESC, line) AS k FROM cosine WHERE score >= {licenses.THRESHOLD}) WHERE k = 1),
 doc AS (SELECT d.doc_id, concat_ws('/', source, lang, d.doc_id) AS path, concat_ws('/', source, lang) AS dir, licence AS own, score, line FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id),
 said AS (SELECT dir, own FROM (SELECT dir, own, row_number() OVER (PARTITION BY dir ORDER BY count(*) DESC, own) AS k FROM doc WHERE own IS NOT NULL GROUP BY dir, own) WHERE k = 1)

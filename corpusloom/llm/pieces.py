@@ -4,11 +4,13 @@ Text is read position by position. At each position the best way to reach it is
 positions within the longest piece can still be extended, so they are the window. Whenever the backpointer paths of
 all positions in the window meet in one boundary, the ids before it are final: they are given out and forgotten.
 
+A whole text goes through one stream. Where no piece of a model goes on after white space, no path crosses the beginning
+of a word, so all surviving paths meet there: the stream commits the word, and the lattice begins anew with the next.
+The ids of a stretch between two such boundaries depend on it alone; those of stretches seen before are kept.
+
 Unigram models take the path with the largest sum of scores (Viterbi). For BPE models the sum of scores would give
 other ids than the library's merges; there a piece may follow another only if merging the two pieces' joint text
 gives just these two pieces, which leaves exactly one path to each position: the library's own ids.
-
-Where no piece of a model goes on after white space, a text falls apart into words, and words seen before are looked up.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, tokenizer_path
+from .common import kept_names, slices, tokenizer_path
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -145,8 +147,30 @@ class Pieces:
             row = self._rows[piece] = {"": piece}
         return row
 
+    def stretches(self, text: str) -> list[str]:
+        """An escaped text cut where all paths must meet: before words, if pieces never cross into one."""
+        return self._parts(text) if self.words_part else [text]
+
     def stream(self, text: str) -> Iterator[str]:
-        """The pieces of an escaped text, given out as soon as they are final."""
+        """The pieces of a whole escaped text, given out as soon as they are final."""
+        for stretch in self.stretches(text):
+            yield from self._lattice(stretch)
+
+    def commits(self, text: str) -> Iterator[bytes]:
+        """The ids of a whole escaped text, in the stretches in which the stream commits them, as packed 32-bit integers."""
+        words = self._words
+        for stretch in self.stretches(text):
+            ids = words.get(stretch)
+            if ids is None:
+                ids = np.array(self._ids(self._lattice(stretch)), np.int32).tobytes()
+                if len(stretch) <= MAX_WORD:
+                    if len(words) >= MAX_WORDS:
+                        words.clear()
+                    words[stretch] = ids
+            yield ids
+
+    def _lattice(self, text: str) -> Iterator[str]:
+        """The pieces of one stretch, position by position, given out whenever all paths in the window meet."""
         reach = self._reach_merged if self.merges else self._reach_best
         start, check = 0, 2 * self.longest
         back = [0]  # for each position since the last final boundary, where its last piece begins
@@ -227,24 +251,7 @@ class Pieces:
         """Ids of a whole text; none for an empty one."""
         if not text:
             return np.zeros(0, np.int32)
-        text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        if not self.words_part:
-            return np.array(self._ids(self.stream(text)), np.int32)
-        words = self._words
-        found = self._parts(text)
-        out = list(map(words.get, found))
-        if None in out:
-            for i, w in enumerate(found):
-                if out[i] is None:
-                    ids = words.get(w)
-                    if ids is None:
-                        ids = np.array(self._ids(self.stream(w)), np.int32).tobytes()
-                        if len(w) <= MAX_WORD:
-                            if len(words) >= MAX_WORDS:
-                                words.clear()
-                            words[w] = ids
-                    out[i] = ids
-        return np.frombuffer(b"".join(out), np.int32)
+        return np.frombuffer(b"".join(self.commits((SPACE if self.prefix else "") + text.replace(" ", SPACE))), np.int32)
 
     def decode(self, ids) -> str:
         """The text of ids: pieces' bytes, without the one space that encoding puts in front."""
@@ -270,12 +277,11 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
     """(id, ids array<int>) for every row. Null and empty texts have no ids; ids of rows may repeat or be null."""
     path = model or tokenizer_path(MODEL)
-    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         vocabulary = pieces(path)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists([vocabulary.encode(t or "") for t in batch.column(1).to_pylist()])], ["id", "ids"])
 
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, ids array<int>")
@@ -284,32 +290,36 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 def decode(rows: DataFrame, id_col: str = "id", ids_col: str = "ids", model: str | None = None) -> DataFrame:
     """(id, text) from rows with ids. Null ids give an empty text; bytes that aren't UTF-8 become U+FFFD."""
     path = model or tokenizer_path(MODEL)
-    bound_batches(rows.sparkSession)
     rows = rows.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
 
     def run(batches):
         vocabulary = pieces(path)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([vocabulary.decode(ids or ()) for ids in batch.column(1).to_pylist()], pa.string())], ["id", "text"])
 
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string")
 
 
+_OWN = ["ids", "n_ids", "decoded_sha256", "same"]
+
+
 def round_trip(docs: DataFrame, keep: list[str], text_col: str = "text", model: str | None = None) -> DataFrame:
     """The columns ``keep``, ids, n_ids, decoded_sha256 and same: each text encoded and decoded again in one pass.
 
     ``same`` is false only for texts with U+2581, which the format can't tell from a space; null is taken as empty.
+    Repeated rows stay, an empty table gives an empty table, and a kept column with one of the new names comes out with
+    ``kept_`` before it.
     """
     import hashlib
 
     path = model or tokenizer_path(MODEL)
-    bound_batches(docs.sparkSession)
     docs = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema[: len(keep)])
+    names = kept_names(keep, _OWN)
+    types = "".join(f"`{n}` {f.dataType.simpleString()}, " for n, f in zip(names, docs.schema[: len(keep)]))
 
     def run(batches):
         vocabulary = pieces(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids, digests, same = [], [], []
             for t in batch.column(len(keep)).to_pylist():
                 found = vocabulary.encode(t)
@@ -318,6 +328,6 @@ def round_trip(docs: DataFrame, keep: list[str], text_col: str = "text", model:
                 digests.append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
                 same.append(back == t)
             arrays = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*arrays, _lists(ids), pa.array([len(x) for x in ids], pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], [*keep, "ids", "n_ids", "decoded_sha256", "same"])
+            yield pa.RecordBatch.from_arrays([*arrays, _lists(ids), pa.array([len(x) for x in ids], pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], [*names, *_OWN])
 
-    return docs.mapInArrow(run, f"{types}, ids array<int>, n_ids long, decoded_sha256 string, same boolean")
+    return docs.mapInArrow(run, f"{types}ids array<int>, n_ids long, decoded_sha256 string, same boolean")

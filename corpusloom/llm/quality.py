@@ -15,10 +15,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, scratch, written
+from .common import forget, slices, written
 
 #: Labelled rows that are fitted on, first by hash; rounds; probability from which a view is confident.
 LABELLED, ROUNDS, CONFIDENT = 20_000, 2, 0.97
@@ -29,6 +29,8 @@ WORD_BUCKETS, SHAPE_BUCKETS, NAME_BUCKETS = 1 << 14, 1 << 10, 1 << 10
 FIGURES = ("log_chars", "log_lines", "line_mean", "line_spread", "word_mean", "upper", "digits", "marks", "repeated", "stutter")
 #: Empty words that every text is taken to hold besides its own.
 EMPTY_WORDS = 20
+#: Figures above MOST count as MOST in sums; documents after which a task gives out its sums.
+MOST, FLUSH = 1 << 10, 1 << 16
 TEXT_SIZE, META_SIZE = WORD_BUCKETS + SHAPE_BUCKETS + 1, 2 * NAME_BUCKETS + 2 * len(FIGURES) + 1
 _WORDS: dict[str, int] = {}
 _MAX_WORDS = 500_000
@@ -132,7 +134,9 @@ def _log_odds(counts: np.ndarray, strength: float = 10.0) -> np.ndarray:
 
 
 class TextView:
-    """Log odds of hashed words and word shapes, from the sums of both classes."""
+    """Log odds of hashed words and word shapes, from the sums of both classes (in whole 1 / UNIT)."""
+
+    UNIT = 1 << 36
 
     def __init__(self, sums: np.ndarray):
         self.words = _log_odds(sums[:, :WORD_BUCKETS])
@@ -144,15 +148,20 @@ class TextView:
 
     @staticmethod
     def sums(b: Batch, chosen: np.ndarray) -> np.ndarray:
-        """Sums over the chosen documents: the words of each weigh one in all, so long documents don't dominate."""
-        word = chosen[b.doc]
-        weight = (1.0 / np.maximum(b.sizes, 1))[b.doc[word]]
+        """Sums over the chosen documents: the words of each weigh one in all, so long documents don't dominate.
+
+        Whole numbers, so that the sums don't depend on the order of documents.
+        """
+        unit, word = TextView.UNIT, chosen[b.doc]
+        weight = np.rint(unit / np.maximum(b.sizes, 1))[b.doc[word]]
         codes = b.codes[word]
-        return np.concatenate([np.bincount(codes // SHAPE_BUCKETS, weight, WORD_BUCKETS), np.bincount(codes % SHAPE_BUCKETS, weight, SHAPE_BUCKETS), [chosen.sum()]])
+        return np.concatenate([np.bincount(codes // SHAPE_BUCKETS, weight, WORD_BUCKETS), np.bincount(codes % SHAPE_BUCKETS, weight, SHAPE_BUCKETS), [chosen.sum() * unit]]).astype(np.int64)
 
 
 class MetaView:
-    """Gaussian log odds of the figures, and log odds of language and source."""
+    """Gaussian log odds of the figures, and log odds of language and source, from sums in whole 1 / UNIT."""
+
+    UNIT = 1 << 20
 
     def __init__(self, sums: np.ndarray):
         n_names, k = NAME_BUCKETS, len(FIGURES)
@@ -169,8 +178,11 @@ class MetaView:
 
     @staticmethod
     def sums(b: Batch, chosen: np.ndarray) -> np.ndarray:
-        x = b.figures[chosen]
-        return np.concatenate([np.bincount(b.lang[chosen], minlength=NAME_BUCKETS), np.bincount(b.source[chosen], minlength=NAME_BUCKETS), x.sum(axis=0), (x * x).sum(axis=0), [chosen.sum()]])
+        """Sums over the chosen documents; figures count up to ``MOST``."""
+        unit, x = MetaView.UNIT, np.minimum(b.figures[chosen], MOST)
+        whole = lambda v: np.rint(v * unit).astype(np.int64).sum(axis=0)
+        names = [np.bincount(n[chosen], minlength=NAME_BUCKETS) * unit for n in (b.lang, b.source)]
+        return np.concatenate([*names, whole(x), whole(x * x), [chosen.sum() * unit]]).astype(np.int64)
 
 
 def _calibrate(scores: np.ndarray, labels: np.ndarray) -> list[float]:
@@ -212,77 +224,105 @@ def _collected(features: DataFrame, labels_of) -> list[np.ndarray]:
     """Sums of both classes for the text and the metadata view.
 
     ``labels_of(batch, features)`` gives each document's label for either view, -1 for none. Tasks sum their rows
-    first; one row per class and feature comes to the driver, whatever the number of documents.
+    first; one row per class and feature comes to the driver, whatever the number of documents. Sums are of whole
+    numbers, so that they don't depend on how rows are dealt to tasks.
     """
+    sizes = (TEXT_SIZE, META_SIZE)
 
-    def run(batches):
-        sums = [np.zeros((2, TEXT_SIZE)), np.zeros((2, META_SIZE))]
-        for batch in batches:
-            if batch.num_rows:
-                b = Batch.of_arrow(batch)
-                for view, label, s in zip((TextView, MetaView), labels_of(batch, b), sums):
-                    for c in (0, 1):
-                        s[c] += view.sums(b, label == c)
+    def told(sums):
         for view, s in enumerate(sums):
             label, at = np.nonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), view, np.int32)), pa.array(label.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(s[label, at])], ["view", "label", "at", "value"])
 
-    out = [np.zeros((2, TEXT_SIZE)), np.zeros((2, META_SIZE))]
-    for r in features.mapInArrow(run, "view int, label int, at int, value double").groupBy("view", "label", "at").agg(F.sum("value").alias("value")).collect():
-        out[r["view"]][r["label"], r["at"]] = r["value"]
+    def run(batches):
+        sums, seen = [np.zeros((2, n), np.int64) for n in sizes], 0
+        for batch in slices(batches, 4096):
+            b = Batch.of_arrow(batch)
+            for view, label, s in zip((TextView, MetaView), labels_of(batch, b), sums):
+                for c in (0, 1):
+                    s[c] += view.sums(b, label == c)
+            seen += batch.num_rows
+            if seen >= FLUSH:
+                yield from told(sums)
+                sums, seen = [np.zeros((2, n), np.int64) for n in sizes], 0
+        yield from told(sums)
+
+    out = [np.zeros((2, n)) for n in sizes]
+    total = F.sum(F.col("value").cast("decimal(38,0)")).alias("value")
+    for r in features.mapInArrow(run, "view int, label int, at int, value long").groupBy("view", "label", "at").agg(total).collect():
+        out[r["view"]][r["label"], r["at"]] = float(r["value"]) / (TextView, MetaView)[r["view"]].UNIT
     return out
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """A written table (id, lang, source, figures, codes) of every document's features: texts are read once."""
-    bound_batches(docs.sparkSession, 500)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), *[F.col(c).cast("string").alias(n) for c, n in ((text_col, "t"), (lang_col, "l"), (source_col, "s"))])
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: bool = False) -> DataFrame:
+    """A written table (row, id, lang, source, figures, codes) of every document's features: texts are read once.
+
+    Null texts count as empty, null names as one more name; ids may repeat or be null, and an empty table gives an
+    empty table. With ``keep`` also ``doc``, all columns of the document, for :func:`keep_good`.
+    """
+    columns = [F.col(id_col).cast("long").alias("id"), *[F.col(c).cast("string").alias(n) for c, n in ((text_col, "t"), (lang_col, "l"), (source_col, "s"))]]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *columns, *([F.struct(*docs.columns).alias("doc")] if keep else []))
+    kind = f", doc {rows.schema['doc'].dataType.simpleString()}" if keep else ""
 
     def run(batches):
-        for batch in batches:
-            b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *b.arrow()], ["id", "lang", "source", "figures", "codes"])
+        for batch in slices(batches, 500):
+            b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *b.arrow(), *(batch.column(i) for i in range(5, batch.num_columns))], ["row", "id", "lang", "source", "figures", "codes", *(["doc"] if keep else [])])
 
-    path = scratch(docs.sparkSession, "features")
-    found = rows.mapInArrow(run, f"id long, {_FEATURES}")
-    found.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(found.schema).parquet(path)
+    return written(rows.mapInArrow(run, f"row long, id long, {_FEATURES}{kind}"), "features", compression="zstd")
 
 
-def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoTrained | None:
-    """Fit on at most ``labelled`` labelled rows of a features table, then exchange pseudo-labels over all of it.
+_NAMES = [c.split()[0] for c in _FEATURES.split(", ")]
 
-    None if the sample lacks one of the classes. Ids labelled more than once take the largest label; null ids and
-    labels are left out.
+
+def _sample(table: DataFrame, labels: DataFrame, id_col: str, label_col: str, labelled: int) -> DataFrame | None:
+    """A written table of at most ``labelled`` rows: features, _label, and _held for three in ten of each class.
+
+    A class of which a single row is labelled has it in both parts; None if a class has none. An id of several rows
+    counts with the first of them.
     """
-    spark = table.sparkSession
     known = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
     known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(labelled)
     known = written(known, "labels")  # bounded by ``labelled``, so it may be broadcast
-    held = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(100)) < HELD_OUT
-    seen = table.join(F.broadcast(known), F.col("id") == F.col("_id")).withColumn("_held", held).drop("id", "_id")
-    seen = written(seen, "labelled")
-    sizes = {(r["_label"], r["_held"]): r["n"] for r in seen.groupBy("_label", "_held").agg(F.count("*").alias("n")).collect()}
-    if any(not sizes.get((c, h)) for c in (0, 1) for h in (False, True)):
+    first = table.select("id", "row").join(F.broadcast(known), F.col("id") == F.col("_id")).groupBy("_id", "_label").agg(F.min("row").alias("_row"))
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id", F.lit(7)), "_id")  # at most ``labelled`` rows
+    first = written(first.withColumn("_n", F.row_number().over(order)), "first")
+    counts = {r["_label"]: r["n"] for r in first.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    if any(not counts.get(c) for c in (0, 1)):
+        return None
+    held = (F.col("_n") % 10).isin(2, 5, 8)
+    single = F.array(*[F.lit(c) for c, n in counts.items() if n == 1]).cast("array<int>")
+    parts = F.when(F.array_contains(single, F.col("_label")), F.array(F.lit(True), F.lit(False))).otherwise(F.array(held))
+    dealt = first.select("_row", "_label", F.explode(parts).alias("_held"))
+    seen = table.join(F.broadcast(dealt), F.col("row") == F.col("_row"))
+    return written(seen.select(*_NAMES, "_label", "_held"), "labelled")
+
+
+def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoTrained | None:
+    """Fit on at most ``labelled`` labelled rows of a features table, then exchange pseudo-labels over all of it.
+
+    None only if a class has no labelled document. Ids labelled more than once take the largest label; null ids and
+    labels are left out.
+    """
+    seen = _sample(table, labels, id_col, label_col, labelled)
+    if seen is None:
         return None
-    bound_batches(spark, 500)
-    names = [c.split()[0] for c in _FEATURES.split(", ")]
 
     def own(batch, b):
-        label = batch.column(len(names)).to_numpy()
+        label = batch.column(len(_NAMES)).to_numpy()
         return label, label
 
-    base = _collected(seen.filter("not _held").select(*names, "_label"), own)
+    base = _collected(seen.filter("not _held").select(*_NAMES, "_label"), own)
 
     def fitted(sums) -> CoTrained:
         model = CoTrained(TextView(sums[0]), MetaView(sums[1]))
 
         def raw(batches):
-            for batch in batches:
+            for batch in slices(batches, 4096):
                 b = Batch.of_arrow(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(model.text.score(b)), pa.array(model.meta.score(b)), batch.column(len(names))], ["a", "b", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array(model.text.score(b)), pa.array(model.meta.score(b)), batch.column(len(_NAMES))], ["a", "b", "label"])
 
-        rows = seen.filter("_held").select(*names, "_label").mapInArrow(raw, "a double, b double, label int").collect()  # at most ``labelled`` rows
+        rows = seen.filter("_held").select(*_NAMES, "_label").mapInArrow(raw, "a double, b double, label int").orderBy("a", "b", "label").collect()  # at most ``labelled`` rows
         y = np.array([r["label"] for r in rows], np.float64)
         raws = np.array([[r["a"], r["b"]] for r in rows])
         model.curves = [_calibrate(raws[:, i : i + 1], y) for i in (0, 1)]
@@ -299,11 +339,12 @@ def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
             return sure(by_meta), sure(by_text)  # what one view is sure of is an example for the other
 
         sums = []
-        for ours, theirs in zip(base, _collected(table.select(*names), pseudo)):
+        for ours, theirs in zip(base, _collected(table.select(*_NAMES), pseudo)):
             # the last cell counts documents: all pseudo-labels of a class weigh as much as its labelled rows
             weight = PSEUDO_WEIGHT * ours[:, -1:] / np.maximum(theirs[:, -1:], 1.0)
             sums.append(ours + np.minimum(weight, 1.0) * theirs)
         model = fitted(sums)
+    forget(seen)
     return model
 
 
@@ -311,30 +352,31 @@ def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
 KEEP = 0.3
 
 
+def _kept(found: list[np.ndarray], keep: float) -> np.ndarray:
+    """Whether the score, rounded as it is told, reaches ``keep``."""
+    return np.round(found[2], 6) >= keep
+
+
 def score(table: DataFrame, model: CoTrained | None, keep: float = KEEP) -> DataFrame:
     """(id, text_score, meta_score, score, keep) of every row of a features table.
 
-    Null texts count as empty there, null names as one more name. Without a model everything scores one half and is
-    kept.
+    Without a model everything scores one half and is kept.
     """
-    bound_batches(table.sparkSession, 500)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 4096):
             found = _judged(model, Batch.of_arrow(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.round(x, 6)) for x in found), pa.array(found[2] >= keep)], ["id", "text_score", "meta_score", "score", "keep"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.round(x, 6)) for x in found), pa.array(_kept(found, keep))], ["id", "text_score", "meta_score", "score", "keep"])
 
-    return table.mapInArrow(run, "id long, text_score double, meta_score double, score double, keep boolean")
+    return table.select("id", *_NAMES).mapInArrow(run, "id long, text_score double, meta_score double, score double, keep boolean")
 
 
-def keep_good(docs: DataFrame, model: CoTrained | None, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: float = KEEP) -> DataFrame:
-    """The rows of ``docs``, all columns, that the model does not reject."""
-    bound_batches(docs.sparkSession, 500)
-    names = [docs.columns.index(c) for c in (text_col, lang_col, source_col)]
+def keep_good(table: DataFrame, model: CoTrained | None, keep: float = KEEP) -> DataFrame:
+    """The documents, all columns, that the model does not reject, from a features table with ``doc``."""
 
     def run(batches):
-        for batch in batches:
-            b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in names)))
-            yield batch.filter(pa.array(_judged(model, b)[2] >= keep))
+        for batch in slices(batches, 4096):
+            good = pa.array(_kept(_judged(model, Batch.of_arrow(batch)), keep))
+            yield pa.RecordBatch.from_arrays([batch.column(batch.num_columns - 1).filter(good)], ["doc"])
 
-    return docs.mapInArrow(run, docs.schema)
+    return table.select(*_NAMES, "doc").mapInArrow(run, f"doc {table.schema['doc'].dataType.simpleString()}").select("doc.*")

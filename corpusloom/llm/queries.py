@@ -54,12 +54,12 @@ def op7_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document stored as a WAV file and read back, with its spectral fingerprint in short."""
+    """Every document stored as a WAV file and read back, with its spectral fingerprint, whole and in short."""
     stored = media.to_media(table(spark, sf_dir, "documents"))
     stored = stored.select("id", "n_bytes", "media", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"))
     read = media.analyse(stored, ["id", "n_bytes", "media_bytes", "media_sha256"])
     feature = F.concat_ws(":", F.size("prints"), F.lower(F.lpad(F.hex(F.xxhash64("prints")), 16, "0")))
-    return read.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+    return read.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "prints")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import let, spread, written
 
 # The base patterns, in the order in which kinds with equal starts are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,29 +92,37 @@ def all_spans(text: Column) -> Column:
     return F.concat(*[_spans(text, i, *k) for i, k in enumerate(KINDS)])
 
 
-def _judged(hits: DataFrame, max_owners: int, max_repos: int, once: bool = False) -> DataFrame:
-    """(row, spans): the spans of each row of ``hits`` with owners, repos and live of their value's hash.
+def _counted(places: DataFrame, once: bool = False) -> DataFrame:
+    """(value, owners, repos) of each value's hash, from places (owner, repo, spans; ``copy``, a digest of the text).
 
-    ``hits`` is a written table with row, owner, repo and spans. Counting goes through distinct
-    (hash, owner, repository) rows, so a value that fills the corpus is summed before it is moved. With ``once``
-    equal texts count for one owner and repository, wherever their copies lie.
+    Counting goes through distinct (hash, owner, repository) rows, so a value that fills the corpus is summed before
+    it is moved. With ``once`` equal texts count for one owner and repository, wherever their copies lie.
     """
-    each = hits.select("row", "owner", "repo", F.explode("spans").alias("s"))
     if once:
-        homes = _one_place(hits).select(F.col("value").alias("h"), F.col("home.owner").alias("owner"), F.col("home.repo").alias("repo"))
-        held = homes.groupBy("h", "owner", "repo").agg(F.count("*").alias("n"))
+        homes = _one_place(places).select("value", F.col("home.owner").alias("owner"), F.col("home.repo").alias("repo")).distinct()
     else:
-        held = each.groupBy(F.col("s.hash").alias("h"), "owner", "repo").agg(F.count("*").alias("n"))
-    held = held.groupBy("h", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
-    counts = held.groupBy("h").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("n"))
-    out = each.join(counts, F.col("s.hash") == F.col("h"))
+        homes = places.select(F.explode("spans.hash").alias("value"), "owner", "repo").distinct()
+    held = homes.groupBy("value", "owner").agg(F.count("*").alias("repos"))
+    return held.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+
+
+def _judged(hits: DataFrame, counts: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
+    """(row, judged): the spans of each row of ``hits`` with owners, repos and live of their value's hash.
+
+    ``hits`` is a written table with row and spans. A value that the counted places lack has one owner. The spans of a
+    value that fills the corpus stay where they are: it is broadcast, with the other heavy ones.
+    """
+    each = hits.select("row", F.explode("spans").alias("s")).withColumn("hash", F.col("s.hash"))
+    weight = each.groupBy(F.col("hash").alias("h")).agg(F.count("*").alias("n"))
+    known = weight.join(counts, F.col("h") == F.col("value"), "left").select("h", "n", F.coalesce("owners", F.lit(1)).alias("owners"), F.coalesce("repos", F.lit(1)).alias("repos"))
+    out = spread(each, written(known, "values"), "hash", "h", "n")
     live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
     span = F.struct(*[F.col(f"s.{c}").alias(c) for c in ("start", "ord", "kind", "end", "hash")], F.col("owners"), F.col("repos"), live.alias("live"))
     return out.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("judged"))
 
 
 def _one_place(hits: DataFrame) -> DataFrame:
-    """(value, copy, home): the (owner, repo) that a value's text counts for; ``hits`` has ``copy``, a digest of the text.
+    """(value, copy, home): the (owner, repo) that a value's text counts for.
 
     Of all places that hold the text it is the one of the owner, then the repository, with most texts of the value.
     """
@@ -135,11 +143,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
     A span has start, ord, kind, end, hash (SHA-256 of the value), owners, repos and live. Base kinds are all
     reported; spans of kind ``mixed`` only where their value is owner-specific. A repository is a pair of owner
-    and repository name; nulls are one more name. Null texts are empty, repeated rows are scanned each.
+    and repository name; nulls are one more name. Null texts are empty, repeated rows are scanned each, other columns
+    don't matter, and an empty table gives an empty table.
     """
     found = written(docs.select(F.col(id_col).alias("id"), *_columns(owner_col, repo_col), all_spans(F.col(text_col)).alias("spans")).withColumn("row", F.monotonically_increasing_id()), "spans")
     some = found.filter(F.size("spans") > 0)
-    judged = _judged(some, max_owners, max_repos).select(F.col("row").alias("of"), F.filter("judged", lambda s: s.getField("kind").isin(*BASE) | s.getField("live")).alias("spans"))
+    judged = _judged(some, _counted(some), max_owners, max_repos).select(F.col("row").alias("of"), F.filter("judged", lambda s: s.getField("kind").isin(*BASE) | s.getField("live")).alias("spans"))
     with_spans = some.select("id", "row").join(judged, F.col("row") == F.col("of")).select("id", "spans")
     none = found.filter(F.size("spans") == 0).select("id", F.array().cast(with_spans.schema["spans"].dataType).alias("spans"))
     return with_spans.unionByName(none)
@@ -160,19 +169,22 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang", mark: str = "[SECRET]", max_owners: int = 1, max_repos: int = 2) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang", mark: str = "[SECRET]", max_owners: int = 1, max_repos: int = 2, corpus: DataFrame | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with every owner-specific value's span replaced by ``mark``.
 
-    Spans that overlap are replaced together. Widely copied examples stay; copies of one text don't make a value one,
-    as they count for one owner and repository (:func:`scan` counts every row's). Rows without candidates pass through
-    unmoved; only the others are written, judged and joined. The number of characters isn't updated here.
+    Owners are counted over ``corpus``, a table with the same columns, or over ``docs``: a corpus from before its copies
+    were dropped shows who else held a value. Equal texts count for one owner and repository there (:func:`scan` counts
+    every row's), so copies of one text don't make a value a widely copied example. Spans that overlap are replaced
+    together; null and empty texts stay, repeated rows are kept, an empty table gives an empty table. The number of
+    characters isn't updated here. Each text is searched once; only those with spans are judged and joined.
     """
-    spans = all_spans(F.col(text_col))
-    clean = docs.filter(F.size(spans) == 0)
-    names = docs.columns
-    hits = written(docs.filter(F.size(spans) > 0).select(F.struct(*names).alias("doc"), *_columns(owner_col, repo_col), F.sha2(F.col(text_col), 256).alias("copy"), spans.alias("spans")).withColumn("row", F.monotonically_increasing_id()), "hits")
-    judged = _judged(hits, max_owners, max_repos, once=True).select(F.col("row").alias("of"), F.filter("judged", lambda s: s.getField("live")).alias("live"))
     text = F.col(f"doc.{text_col}")
+    names = docs.columns
+    places = lambda df: [*_columns(owner_col, repo_col), F.sha2(F.col(text_col).cast("string"), 256).alias("copy"), all_spans(F.col(text_col)).alias("spans")]
+    found = written(docs.select(F.struct(*names).alias("doc"), *places(docs)).withColumn("row", F.monotonically_increasing_id()), "searched", compression="zstd")
+    hits = found.filter(F.size("spans") > 0)
+    held = hits if corpus is None else written(corpus.select(*places(corpus)).filter(F.size("spans") > 0), "places")
+    judged = _judged(hits, _counted(held, once=True), max_owners, max_repos).select(F.col("row").alias("of"), F.filter("judged", lambda s: s.getField("live")).alias("live"))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -182,4 +194,4 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", r
 
     clear = F.aggregate("live", start, step, lambda a: F.concat(a.getField("out"), F.substring(text, a.getField("at").cast("int") + 1, F.length(text))))
     done = hits.join(judged, F.col("row") == F.col("of"), "left").select(*[(F.when(F.size("live") > 0, clear).otherwise(text).alias(c) if c == text_col else F.col(f"doc.{c}").alias(c)) for c in names])
-    return clean.unionByName(done)
+    return found.filter(F.size("spans") == 0).select("doc.*").unionByName(done)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
-from .common import bound_batches, written
+from .common import slices, spread, written
 from .graph import components
 
 SEGMENTS, WIDTH, MAX_BITS = 4, 16, 3
@@ -47,10 +47,9 @@ def fingerprint(text: str | None, words: int) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id long, fp long) for every row; null texts count as empty."""
-    bound_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["id", "fp"])
 
@@ -67,6 +66,8 @@ def _key(i: int, first: Column, second: Column) -> Column:
 
 def links(classes: DataFrame) -> DataFrame:
     """(a, b): representatives of every two classes (rep, fp) whose fingerprints differ in 1 to 3 bits."""
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = classes.select("rep", "fp").repartition(n)  # few rows become many: spread before
     fp = F.col("fp")
     plain = F.array(*[F.struct(F.lit(i).alias("i"), _key(i, _segment(fp, i), _segment(fp, i + 1)).alias("key")) for i in range(SEGMENTS)])
     near = F.array(*[F.struct(_key(i, _segment(fp, i), _segment(fp, i + 1).bitwiseXOR(F.lit(flip).cast("long"))).alias("key")) for i in range(SEGMENTS) for flip in [0, *(1 << j for j in range(WIDTH))]])
@@ -89,10 +90,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint 0 and are linked like any other. An empty table gives an empty table; repeated rows stay.
     """
     rows = written(fingerprints(docs, id_col, text_col, words), "simhash")
-    classes = written(rows.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
+    classes = written(rows.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
     parts = components(links(classes.filter(F.col("rep").isNotNull())), "a", "b")
-    whole = classes.join(parts, classes["rep"] == parts["node"], "left").select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component"))
-    return rows.join(whole, rows["fp"] == whole["class_fp"]).select("id", "fp", "component")
+    whole = classes.join(parts, classes["rep"] == parts["node"], "left").select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component"), "n")
+    return spread(rows, written(whole, "whole"), "fp", "class_fp", "n").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = similar.WORDS) -> DataFrame:

@@ -1,13 +1,15 @@
 """Token ids as Arrow files of fixed-size-list batches.
 
-Documents are encoded, dealt out by ranges of their id, and written in ascending id order. Each range is one shard:
-a data file whose rows are sequences of equal length (``input_ids`` and ``attention_mask`` as fixed-size lists, the
-last row padded), in record batches of an equal number of rows, and an index file with each document's place. Arrow's
-file format is not compressed, so that a sequence of any number is a slice of the mapped file, without a copy.
+Documents are encoded, dealt out by ranges of their id that hold about as much text each, and written in ascending id
+order. A range is a shard, or several if it is long: a data file whose rows are sequences of equal length (``input_ids``
+and ``attention_mask`` as fixed-size lists of whole bytes, the last row padded), in record batches of an equal number of
+rows, and an index file with each document's place. Arrow's file format is not compressed, so that ids and mask of a
+sequence of any number are slices of the mapped file, without a copy.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -18,14 +20,16 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, scratch, tokenizer_path, written
+from .common import scratch, slices, tokenizer_path, written
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Ids in a sequence, and sequences in a record batch.
 LENGTH, BATCH_ROWS = 2048, 512
-#: Documents in a shard, about.
-SHARD_DOCS = 16_384
+#: Documents and bytes of text in a range, about; ranges at most; ids after which a range goes on in another shard.
+SHARD_DOCS, SHARD_BYTES, RANGES, SHARD_IDS = 16_384, 64 << 20, 16_384, 1 << 28
+#: Shards that a range may have: shard numbers are range * SHARDS + place.
+SHARDS = 10_000
 #: Words that a worker remembers, and the longest of them.
 MAX_WORDS, MAX_WORD = 800_000, 64
 
@@ -35,13 +39,34 @@ _MARKS = b".,;:!?%&$#*()[]{}|\"/+=_-"
 _LOADED: dict[str, Words] = {}
 
 
+#: Steps of a tokenizer under which the parts of a text can be encoded apart: it ignores case, drops white space, and
+#: neither its normaliser nor its pattern looks across a space or a line break; each word ends with a closing token.
+_PARTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "model": {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False},
+}
+
+
+def _parted(path: str) -> bool:
+    """Whether a tokenizer works in the steps of ``_PARTED``; others get whole texts."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = steps[0].get("pattern", {}).get("Regex"), steps[0].get("behavior"), steps[0].get("invert")
+    rest = [(s.get("type"), s.get("add_prefix_space"), s.get("use_regex")) for s in steps[1:]]
+    added = all(t["content"].startswith("<|") and not t.get("normalized") for t in spec.get("added_tokens", []))
+    model = {k: spec["model"].get(k) for k in _PARTED["model"]}
+    return spec.get("normalizer") == _PARTED["normalizer"] and split == (_PARTED["pattern"], "Removed", True) and rest == [("ByteLevel", False, False)] and model == _PARTED["model"] and added
+
+
 class Words:
     """A tokenizer, and the packed ids of parts of texts that it has seen.
 
-    The vocabulary ignores case and drops white space, and neither its normaliser nor its pattern looks across a space
-    or a line break, so the ids of a text are those of its parts in small ASCII letters. Only letters with marks after
-    them fall into two words, which are kept apart. New letter words are encoded together, as one text: each ends with
-    the one token that closes a word. Texts with something like a special token go to the library whole.
+    Where the vocabulary lets parts of a text be encoded apart (:func:`_parted`), the ids of a text are those of its
+    parts in small ASCII letters. Only letters with marks after them fall into two words, which are kept apart. New
+    letter words are encoded together, as one text: each ends with the one token that closes a word. Texts with
+    something like a special token, and all texts of other vocabularies, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -49,6 +74,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.parted = _parted(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -94,6 +120,8 @@ class Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts."""
+        if not self.parted:
+            return [self._pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         known, plain = self.known, []
         for t in texts:
             raw = t.encode("utf-8", "surrogatepass")
@@ -118,20 +146,30 @@ def _encoder(path: str) -> Words:
     return _LOADED[path]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(id, ids binary): each whole text's ids and the end id, as little-endian unsigned integers of the file's width."""
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, bounds: list[int] | None = None) -> DataFrame:
+    """(id, ids binary): each whole text's ids and the end id, as little-endian unsigned integers of the file's width.
+
+    With ``bounds``, the ascending first ids of all ranges but the first, also ``part``, the id's range; null ids are in
+    the first.
+    """
     path = vocabulary or tokenizer_path(VOCABULARY)
     kind = id_type(path)
-    bound_batches(docs.sparkSession)
     end = np.array([end_id], kind).tobytes()
+    firsts = None if bounds is None else np.array(bounds, np.int64)
 
     def run(batches):
         words = _encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [x + end for x in words.encode([t or "" for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+            out = [batch.column(0), pa.array(ids, pa.binary())]
+            if firsts is not None:
+                first = np.iinfo(np.int64).min
+                numbers = np.array([first if i is None else i for i in batch.column(0).to_pylist()], np.int64)
+                out.append(pa.array(np.searchsorted(firsts, numbers, side="right").astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(out, ["id", "ids", "part"][: len(out)])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, ids binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "id long, ids binary" + (", part int" if bounds is not None else ""))
 
 
 def id_type(path: str) -> str:
@@ -146,7 +184,7 @@ def _open(uri: str):
 
 def _schema(kind: str, length: int) -> pa.Schema:
     ids = pa.uint16() if kind == "<u2" else pa.uint32()
-    return pa.schema([("input_ids", pa.list_(ids, length)), ("attention_mask", pa.list_(pa.bool_(), length))])
+    return pa.schema([("input_ids", pa.list_(ids, length)), ("attention_mask", pa.list_(pa.uint8(), length))])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -158,7 +196,7 @@ class _Writer:
     def __init__(self, uri: str, shard: int, kind: str, length: int, batch_rows: int):
         self.fs, base = _open(uri)
         self.fs.create_dir(base, recursive=True)
-        self.names = [f"{base}/shard-{shard:06d}.arrow", f"{base}/shard-{shard:06d}.index.arrow"]
+        self.shard, self.names = shard, [f"{base}/{_name(shard)}.arrow", f"{base}/{_name(shard)}.index.arrow"]
         self.parts = [f"{x}.{uuid.uuid4().hex}.part" for x in self.names]
         self.kind, self.length, self.batch_rows, self.schema = kind, length, batch_rows, _schema(kind, length)
         self.files = [self.fs.open_output_stream(x) for x in self.parts]
@@ -186,8 +224,8 @@ class _Writer:
         while len(stream) - at >= step or (last and at < len(stream)):
             piece = stream[at : at + step]
             rows = -(-len(piece) // self.length)
-            ids, mask = np.zeros(rows * self.length, self.kind), np.zeros(rows * self.length, bool)
-            ids[: len(piece)], mask[: len(piece)] = piece, True
+            ids, mask = np.zeros(rows * self.length, self.kind), np.zeros(rows * self.length, np.uint8)
+            ids[: len(piece)], mask[: len(piece)] = piece, 1
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (ids, mask)]
             self.data.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
             at += len(piece)
@@ -203,39 +241,53 @@ class _Writer:
             self.fs.move(part, name)
 
 
-def write(encoded: DataFrame, path: str, bounds: list[int], kind: str = "<u2", length: int = LENGTH, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Write (id, ids) under ``path``; returns the manifest (shard, n_docs, n_ids), a written table.
+def _name(shard: int) -> str:
+    return f"shard-{shard // SHARDS:06d}-{shard % SHARDS:04d}"
 
-    ``bounds`` are the ascending first ids of all shards but the first. Null ids come first; equal ids follow each
-    other in the order of their ids' bytes. A shard that a lost executor leaves unfinished is written anew under
-    another temporary name; a finished one is replaced by the same bytes.
+
+_MANIFEST = "shard long, n_docs long, n_ids long"
+
+
+def write(encoded: DataFrame, path: str, ranges: int, kind: str = "<u2", length: int = LENGTH, batch_rows: int = BATCH_ROWS, shard_ids: int = SHARD_IDS) -> DataFrame:
+    """Write (id, ids, part) under ``path``; returns the manifest (shard, n_docs, n_ids), a written table.
+
+    Each of the ``ranges`` parts is one task, which begins another shard after a document that fills ``shard_ids``.
+    Null ids come first; equal ids follow each other in the order of their ids' bytes. A shard that a lost executor
+    leaves unfinished is written anew under another temporary name; a finished one is replaced by the same bytes.
+    Temporary files that are left over are deleted at the end.
     """
-    bound_batches(encoded.sparkSession)
-    n = len(bounds) + 1
-    shard = F.coalesce(F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col("id"))), F.lit(0)) if bounds else F.lit(0)
-    if n > 64:  # a long literal array would be scanned for every row
-        step = -(-n // 64)
-        coarse = bounds[step - 1 :: step]
-        pick = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in coarse]), lambda b: b <= F.col("id")))
-        groups = F.array(*[F.array(*[F.lit(b).cast("long") for b in bounds[i * step : (i + 1) * step]]) for i in range(len(coarse) + 1)])
-        shard = F.coalesce(pick * step + F.size(F.filter(groups[pick], lambda b: b <= F.col("id"))), F.lit(0))
-        shard = F.least(shard, F.lit(n - 1))
-    dealt = encoded.withColumn("shard", shard.cast("int")).repartitionById(n, F.col("shard")).sortWithinPartitions(F.asc_nulls_first("id"), "ids")
+    dealt = encoded.repartitionById(ranges, F.col("part")).sortWithinPartitions(F.asc_nulls_first("id"), "ids")
 
     def run(batches):
-        out = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                number = batch.column(2)[0].as_py()
-                out = _Writer(path, number, kind, length, batch_rows)
-            out.add(batch.column(0), batch.column(1).to_pylist())
+        out, done, number = None, [], None
+        for batch in slices(batches):
+            if number is None:
+                number = batch.column(2)[0].as_py() * SHARDS
+            at = 0
+            while at < batch.num_rows:
+                if out is None:
+                    out = _Writer(path, number, kind, length, batch_rows)
+                ids = batch.column(1).slice(at).to_pylist()
+                sizes = np.cumsum([len(x) for x in ids]) // np.dtype(kind).itemsize
+                n = min(len(ids), int(np.searchsorted(sizes, shard_ids - out.total)) + 1)
+                out.add(batch.column(0).slice(at, n), ids[:n])
+                at += n
+                if out.total >= shard_ids:
+                    out.close()
+                    done.append(out)
+                    out, number = None, number + 1
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([out.docs], pa.int64()), pa.array([out.total], pa.int64())], ["shard", "n_docs", "n_ids"])
+            done.append(out)
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array([getattr(w, c) for w in done], pa.int64()) for c in ("shard", "docs", "total")], ["shard", "n_docs", "n_ids"])
 
-    return written(dealt.select("id", "ids", "shard").mapInArrow(run, "shard int, n_docs long, n_ids long"), "manifest")
+    manifest = written(dealt.select("id", "ids", "part").mapInArrow(run, _MANIFEST), "manifest")
+    fs, base = _open(path)
+    for f in fs.get_file_info(pa.fs.FileSelector(base, allow_not_found=True)):
+        if f.base_name.endswith(".part"):
+            fs.delete_file(f.path)
+    return manifest
 
 
 class Shard:
@@ -243,7 +295,7 @@ class Shard:
 
     def __init__(self, uri: str, shard: int):
         self.fs, base = _open(uri)
-        data, index = f"{base}/shard-{shard:06d}.arrow", f"{base}/shard-{shard:06d}.index.arrow"
+        data, index = f"{base}/{_name(shard)}.arrow", f"{base}/{_name(shard)}.index.arrow"
         local = isinstance(self.fs, pa.fs.LocalFileSystem)
         take = pa.memory_map if local else self.fs.open_input_file
         self.data, self.index = pa.ipc.open_file(take(data)), pa.ipc.open_file(take(index))
@@ -254,10 +306,10 @@ class Shard:
         return self.data.get_batch(batch).column(column).values
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of the ``i``-th sequence; the ids are a view of the file."""
+        """Ids and mask (1 and 0) of the ``i``-th sequence; both are views of the file."""
         b, r = divmod(i, self.rows)
         at = slice(r * self.length, (r + 1) * self.length)
-        return self._values(b, 0).to_numpy()[at], self._values(b, 1)[at].to_numpy(zero_copy_only=False)
+        return self._values(b, 0).to_numpy()[at], self._values(b, 1).to_numpy()[at]
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from the ``start``-th on, over the borders of sequences and batches."""
@@ -290,24 +342,34 @@ def read(manifest: DataFrame, path: str) -> DataFrame:
                     sums = [zlib.crc32(shard.ids(s, k).astype("<u4").tobytes()) for s, k in zip(starts, sizes)]
                     yield pa.RecordBatch.from_arrays([place.column(0), pa.array([s + offset for s in starts], pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.repartitionById(n, F.col("shard") % n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    place = (F.row_number().over(Window.orderBy("shard")) - 1).alias("place")  # one row per shard
+    return shards.select("shard", "first", place).repartitionById(n, F.col("place")).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
 
+def range_bounds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_docs: int = SHARD_DOCS, shard_bytes: int = SHARD_BYTES) -> list[int]:
+    """First ids of all ranges but the first, so that ranges hold about as many documents and bytes of text together.
 
-def shard_bounds(docs: DataFrame, id_col: str = "doc_id", shard_docs: int = SHARD_DOCS) -> list[int]:
-    """First ids of all shards but the first, from a scan of the id column alone."""
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
-    n = -(-ids.count() // shard_docs)
+    A document counts once, and once more for every ``shard_bytes / shard_docs`` bytes; the bounds are quantiles of the
+    ids so weighted. At most ``RANGES`` ranges, so the bounds are bounded too.
+    """
+    unit = max(1, shard_bytes // shard_docs)
+    size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0))
+    weighted = docs.select(F.col(id_col).cast("long").alias("id"), (1 + F.floor(size / unit)).cast("int").alias("w"))
+    n = min(RANGES, -(-(weighted.agg(F.sum("w").alias("w")).first()["w"] or 0) // shard_docs))
     if n < 2:
         return []
-    at = ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000)).first()[0]
+    each = weighted.select(F.explode(F.array_repeat("id", F.col("w"))).alias("id"))
+    at = each.agg(F.percentile_approx("id", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0]
     return sorted(set(at or []))
 
 
-def save(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, length: int = LENGTH, batch_rows: int = BATCH_ROWS, shard_docs: int = SHARD_DOCS) -> tuple[DataFrame, str]:
+def save(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, length: int = LENGTH, batch_rows: int = BATCH_ROWS, shard_docs: int = SHARD_DOCS, shard_bytes: int = SHARD_BYTES, shard_ids: int = SHARD_IDS) -> tuple[DataFrame, str]:
     """Encode all of ``docs`` and write the files; returns the manifest and the folder.
 
-    Null and empty texts hold the end id alone. An empty table writes no shard. Repeated ids keep all their rows.
+    Null and empty texts hold the end id alone. An empty table writes no shard. Repeated ids keep all their rows; other
+    columns don't matter.
     """
     path = path or scratch(docs.sparkSession, "tokens")
     kind = id_type(vocabulary or tokenizer_path(VOCABULARY))
-    return write(encode(docs, id_col, text_col, vocabulary, end_id), path, shard_bounds(docs, id_col, shard_docs), kind, length, batch_rows), path
+    bounds = range_bounds(docs, id_col, text_col, shard_docs, shard_bytes)
+    return write(encode(docs, id_col, text_col, vocabulary, end_id, bounds), path, len(bounds) + 1, kind, length, batch_rows, shard_ids), path

@@ -18,7 +18,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, scratch, written
+from .common import exists, forget, lookup_join, scratch, slices, spread, written
 
 CRLF = b"\r\n"
 VERSION = b"WARC/1.1"
@@ -28,7 +28,6 @@ SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 64 << 10, 8 << 10, 5000
 REVISIT_BYTES = 1000
 DATE = b"2000-01-01T00:00:00Z"
 _NAMESPACE = uuid.UUID(int=0)
-_PARSED = "record_id string, type string, page_id long, uri string, refers_to string, digest string, origin string, segment int, total long, block binary"
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -99,48 +98,113 @@ def records(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """(revisit, refers_to, refers_row): rows of at least ``least`` bytes whose payload the page with the largest id stores.
+    """(sha, bytes, top): payloads of at least ``least`` bytes that rows of several ids hold, with the row of the largest.
 
-    ``pages`` is a written table with row, id and payload. Rows without id and all rows of the largest id are stored.
+    ``pages`` is a written table with row, id, sha and bytes. Rows without id are stored, and so are all of the largest.
     """
-    payload = F.col("payload").cast("binary")
-    small = written(pages.select("row", "id", F.octet_length(payload).alias("bytes"), F.sha1(payload).alias("sha")).filter((F.col("bytes") >= least) & F.col("id").isNotNull()), "digests")
-    shared = small.groupBy("sha", "bytes").agg(F.max(F.struct("id", "row")).alias("top"), F.min("id").alias("least")).filter("least < top.id").select("sha", "bytes", "top")
-    return small.join(shared, ["sha", "bytes"]).filter("id < top.id").select(F.col("row").alias("revisit"), F.col("top.id").alias("refers_to"), F.col("top.row").alias("refers_row"))
+    big = pages.filter((F.col("bytes") >= least) & F.col("id").isNotNull())
+    return big.groupBy("sha", "bytes").agg(F.max(F.struct("id", "row")).alias("top"), F.min("id").alias("least")).filter("least < top.id").select("sha", "bytes", "top")
+
+
+class _Archives:
+    """The archives of one task: each record is a compressed member of its own, after a first one about the file.
+
+    Names hold a token of the attempt, so a lost task's files never stand where those of the one that counts do.
+    """
+
+    def __init__(self, uri: str, part: int, file_records: int):
+        self.fs, self.base = pa.fs.FileSystem.from_uri(uri)
+        self.fs.create_dir(self.base, recursive=True)
+        self.stem, self.most = f"part-{part:05d}-{uuid.uuid4().hex[:12]}", file_records
+        self.done: list[tuple[str, int, int]] = []
+        self.file = None
+
+    def add(self, records: list[bytes]) -> None:
+        """The records of one page; a file is closed between pages."""
+        if self.file is None:
+            self.name, self.n, self.size = f"{self.stem}-{len(self.done):04d}.warc.gz", 0, 0
+            self.file = self.fs.open_output_stream(f"{self.base}/{self.name}", compression=None)
+            self._write(_info(self.name))
+        for r in records:
+            self._write(r)
+        self.n += len(records)
+        if self.n >= self.most:
+            self.close()
+
+    def _write(self, record: bytes) -> None:
+        member = gzip.compress(record + CRLF + CRLF, 6, mtime=0)
+        self.file.write(member)
+        self.size += len(member)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+            self.done.append((self.name, self.n, self.size))
+            self.file = None
+
+
+def _info(name: str) -> bytes:
+    body = b"software: corpusloom" + CRLF + b"format: WARC File Format 1.1" + CRLF
+    fields = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(f"file {name}")), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")]
+    return _header(fields, len(body)) + body
+
+
+_MANIFEST = "name string, records long, bytes long"
 
 
 def write(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", segment_bytes: int = SEGMENT_BYTES, file_records: int = FILE_RECORDS) -> str:
     """Write a record for every page into compressed archives under ``path``; returns the path.
 
-    Null payloads are empty, null addresses and ids are left out. Rows with the same id are told apart by a
-    written row number; those with the same id and payload are all stored.
-    Spark's own writer commits the files, so a lost task leaves nothing behind: a row of text is a record and the
-    line separator is the two line ends that close it.
+    Null payloads are empty, null addresses and ids are left out, other columns don't matter. Rows with the same id
+    are told apart by a written row number; those with the same id and payload are all stored. An empty table gives no
+    archive. The table ``_manifest`` beside the archives names those that count; what lost tasks have left is deleted.
     """
-    path = path or scratch(pages.sparkSession, "warc")
-    bound_batches(pages.sparkSession, 200)
-    source = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
-    source = written(source.withColumn("row", F.monotonically_increasing_id()), "pages")
-    joined = source.join(revisits(source), F.col("row") == F.col("revisit"), "left").select("id", "url", "payload", "refers_to", "row", "refers_row")
+    spark = pages.sparkSession
+    path = path or scratch(spark, "warc")
+    uri = _uri(path)
+    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
+    source = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
+    source = source.select("*", F.octet_length("payload").cast("long").alias("bytes"), F.sha1(F.col("payload").cast("binary")).alias("sha"), F.monotonically_increasing_id().alias("row"))
+    source = written(source, "pages", compression="zstd")
+    again = written(revisits(source), "revisits").select(F.col("sha").alias("s"), F.col("bytes").alias("b"), "top")
+    joined = lookup_join(source, again, (F.col("sha") == F.col("s")) & (F.col("bytes") == F.col("b")))
+    refers = F.col("id") < F.col("top.id")
+    joined = joined.select("id", "url", "payload", F.when(refers, F.col("top.id")).alias("refers_to"), "row", F.when(refers, F.col("top.row")).alias("refers_row"))
 
     def run(batches):
-        for batch in batches:
-            out, size = [], 0
+        from pyspark import TaskContext
+
+        out = _Archives(uri, TaskContext.get().partitionId(), file_records)
+        for batch in slices(batches, 200):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                for r in records(row[0], row[1], row[2].encode("utf-8", "surrogatepass"), row[3], segment_bytes, row[4], row[5]):
-                    out.append(r)
-                    size += len(r)
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-                    out, size = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
-
-    rows = joined.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-    rows.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+                out.add(records(row[0], row[1], row[2].encode("utf-8", "surrogatepass"), row[3], segment_bytes, row[4], row[5]))
+        out.close()
+        if out.done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out.done), (pa.string(), pa.int64(), pa.int64()))], ["name", "records", "bytes"])
+
+    joined.mapInArrow(run, _MANIFEST).write.parquet(f"{path}/_manifest")
+    _sweep(spark, path)
+    forget(source, again)
     return path
 
 
+def _sweep(spark: SparkSession, path: str) -> None:
+    """Delete archives that the manifest doesn't name."""
+    uri, manifest = _uri(path), spark.read.schema(_MANIFEST).parquet(f"{path}/_manifest")
+    if manifest.isEmpty():
+        return
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"))
+
+    def run(batches):
+        fs, base = pa.fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                fs.delete_file(f"{base}/{name}")
+            yield batch
+
+    there.join(manifest.select("name"), "name", "left_anti").mapInArrow(run, "name string").count()
+
+
 def _uri(path: str) -> str:
     return path if "://" in path else "file://" + path.removeprefix("file:")
 
@@ -166,29 +230,36 @@ def parse(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
-def _archives(spark: SparkSession, path: str) -> list[str]:
-    fs, base = pa.fs.FileSystem.from_uri(_uri(path))
-    found = fs.get_file_info(pa.fs.FileSelector(base, recursive=True))
-    return sorted(f.path for f in found if f.type == pa.fs.FileType.File and not f.base_name.startswith(("_", ".")))
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    """(name) of the archives to read: those of the manifest, or all files of a folder without one."""
+    if exists(spark, f"{path}/_manifest"):
+        named = spark.read.schema(_MANIFEST).parquet(f"{path}/_manifest").select("name")
+        return named.repartition(max(1, min(named.count(), 20_000)))
+    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
-def _scan(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
-    """Records of all archives under ``path``: those cut into segments, or the others. Memory is that of a few records."""
-    names = _archives(spark, path)
-    listing = spark.createDataFrame([(i, x) for i, x in enumerate(names)], "n int, name string").repartitionById(max(1, len(names)), F.col("n"))
-    schema = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("page_id", pa.int64()), ("uri", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """Records of all archives under ``path``, each parsed once; ``data`` is the block of a segment, and the payload of a
+    whole response (null for revisits). Memory is that of a few records."""
+    uri = _uri(path)
+    schema = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("page_id", pa.int64()), ("uri", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("data", pa.binary())])
     whole = lambda x: int(x) if x is not None else None
 
+    def row(f: dict[str, str], block: bytes) -> tuple:
+        segment = whole(f.get("warc-segment-number"))
+        data = block if segment is not None else None if f["warc-type"] == "revisit" else payload_of(block)
+        return f.get("warc-record-id"), f["warc-type"], whole(f.get("x-page-id")), f.get("warc-target-uri"), f.get("warc-refers-to"), f.get("warc-payload-digest"), f.get("warc-segment-origin-id") or f.get("warc-record-id"), segment, whole(f.get("warc-segment-total-length")), data
+
     def run(batches):
-        fs, _ = pa.fs.FileSystem.from_uri(_uri(path))
+        fs, base = pa.fs.FileSystem.from_uri(uri)
         for batch in batches:
-            for name in batch.column(1).to_pylist():
+            for name in batch.column(0).to_pylist():
                 rows, size = [], 0
-                with fs.open_input_stream(name, compression=None) as raw, gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw as stream:
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as raw, gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw as stream:
                     for f, block in parse(stream):
-                        if ("warc-segment-number" in f) != segmented or f["warc-type"] not in ("response", "revisit", "continuation", "resource"):
+                        if f["warc-type"] not in ("response", "revisit", "continuation", "resource"):
                             continue
-                        rows.append((f.get("warc-record-id"), f["warc-type"], whole(f.get("x-page-id")), f.get("warc-target-uri"), f.get("warc-refers-to"), f.get("warc-payload-digest"), f.get("warc-segment-origin-id") or f.get("warc-record-id"), whole(f.get("warc-segment-number")), whole(f.get("warc-segment-total-length")), block))
+                        rows.append(row(f, block))
                         size += len(block)
                         if size > 8 << 20 or len(rows) >= 1000:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
@@ -196,7 +267,7 @@ def _scan(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
-    return listing.mapInArrow(run, _PARSED)
+    return _archives(spark, path).mapInArrow(run, "record_id string, type string, page_id long, uri string, refers_to string, digest string, origin string, segment int, total long, data binary")
 
 
 def payload_of(block: bytes) -> bytes:
@@ -207,11 +278,11 @@ def payload_of(block: bytes) -> bytes:
     return body
 
 
-def _decode(rows: DataFrame) -> DataFrame:
-    """(record_id, type, page_id, uri, refers_to, digest, payload) from rows with ``blocks`` in order and ``total``."""
+def _joined(rows: DataFrame) -> DataFrame:
+    """(record_id, page_id, uri, refers_to, digest, type, payload) from rows with ``blocks`` in order and ``total``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 50):
             out = []
             *names, blocks, total, kind = (c.to_pylist() for c in batch.columns)
             for parts, length, what in zip(blocks, total, kind):
@@ -229,27 +300,33 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """All responses and revisits of the archives under ``path``, segments put together.
 
     Columns: record_id, page_id, uri, refers_to (record id), digest, type, payload (null for revisits). Fails where a
-    segment is missing, repeated with other bytes, or the total length is wrong. No archive gives no row.
+    segment is missing, repeated with other bytes, or the total length is wrong. No archive gives no row. Archives are
+    read once, into a written table from which whole records and segments go their ways.
     """
-    bound_batches(spark, 200)
-    single = _decode(_scan(spark, path, False).select("*", F.array("block").alias("blocks")))
-    cut = _scan(spark, path, True).groupBy("origin").agg(
+    found = written(_scan(spark, path), "records", compression="zstd")
+    single = found.filter("segment is null").select("record_id", "page_id", "uri", "refers_to", "digest", "type", F.col("data").alias("payload"))
+    cut = found.filter("segment is not null").groupBy("origin").agg(
         *[F.max(c).alias(c) for c in ("page_id", "uri", "refers_to", "digest", "total")],
         F.max(F.when(F.col("type") != "continuation", F.col("type"))).alias("type"),
-        F.array_sort(F.array_distinct(F.collect_list(F.struct("segment", "block")))).alias("segments"),
+        F.array_sort(F.array_distinct(F.collect_list(F.struct("segment", F.col("data").alias("block"))))).alias("segments"),
     )
     ordered = F.forall(F.transform("segments", lambda s, i: s.getField("segment") == i + 1), lambda x: x)
     good = F.when(ordered & F.col("type").isNotNull() & F.col("total").isNotNull(), F.transform("segments", lambda s: s.getField("block"))).otherwise(F.raise_error(F.concat(F.lit("segments missing of "), F.col("origin"))))
-    return single.unionByName(_decode(cut.select(F.col("origin").alias("record_id"), "type", "page_id", "uri", "refers_to", "digest", "total", good.alias("blocks"))))
+    return single.unionByName(_joined(cut.select(F.col("origin").alias("record_id"), "type", "page_id", "uri", "refers_to", "digest", "total", good.alias("blocks"))))
 
 
 def resolve(read_back: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits resolved through the response they name."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits resolved through the response they name.
+
+    A revisit whose response isn't there has nulls. A response that very many revisits name is broadcast to them.
+    """
     light = read_back.select("record_id", "page_id", "type", "refers_to", F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("sha"))
-    light = written(light, "records")
-    stored = light.filter("type <> 'revisit'")
-    named = stored.select(F.col("record_id").alias("r"), F.col("page_id").alias("response_page"), F.col("bytes").alias("response_bytes"), F.col("sha").alias("response_sha")).dropDuplicates(["r"])
-    back = light.filter("type = 'revisit'").join(named, F.col("refers_to") == F.col("r"), "left")
+    light = written(light, "light")
+    stored, back = light.filter("type <> 'revisit'"), light.filter("type = 'revisit'")
+    named = back.groupBy(F.col("refers_to").alias("r")).agg(F.count("*").alias("n"))
+    response = stored.select("record_id", F.col("page_id").alias("response_page"), F.col("bytes").alias("response_bytes"), F.col("sha").alias("response_sha")).dropDuplicates(["record_id"])
+    named = written(named.join(response, F.col("r") == F.col("record_id"), "left").drop("record_id"), "named")
+    joined = spread(back, named, "refers_to", "r", "n")
     return stored.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("sha").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).unionByName(
-        back.select("page_id", F.col("response_bytes").alias("payload_bytes"), F.col("response_sha").alias("payload_digest"), F.lit("revisit").alias("record_type"), F.col("response_page").alias("refers_to"))
+        joined.select("page_id", F.col("response_bytes").alias("payload_bytes"), F.col("response_sha").alias("payload_digest"), F.lit("revisit").alias("record_type"), F.col("response_page").alias("refers_to"))
     )

@@ -31,7 +31,7 @@ def test_held_out_accuracy_and_filter(spark):
     unseen = [i for i in truth if i >= 200]
     assert sum(got[i]["keep"] == bool(truth[i]) for i in unseen) >= 0.97 * len(unseen)
     assert all(got[i]["keep"] for i in unseen if truth[i])
-    kept = quality.keep_good(docs, model)
+    kept = quality.keep_good(quality.features(docs, keep=True), model)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["keep"]}
 
@@ -59,9 +59,9 @@ def test_without_labels_everything_stays(spark):
     table = quality.features(docs)
     assert quality.train(table, spark.createDataFrame([(1, 1)], "doc_id long, quality int")) is None
     assert [r["keep"] for r in quality.score(table, None).collect()] == [True] * 4
-    assert quality.keep_good(docs, None).count() == 4
+    assert quality.keep_good(quality.features(docs, keep=True), None).count() == 4
     empty = spark.createDataFrame([], SCHEMA)
-    assert quality.score(quality.features(empty), None).collect() == [] and quality.keep_good(empty, None).collect() == []
+    assert quality.score(quality.features(empty), None).collect() == [] and quality.keep_good(quality.features(empty, keep=True), None).collect() == []
 
 
 def test_texts_without_words_score_like_the_prior(spark):

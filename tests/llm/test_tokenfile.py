@@ -54,8 +54,8 @@ def test_places_and_checksums(spark, tokenizer, shard_docs):
         for k in (0, 5, len(stream) // 16):
             ids, mask = shard.sequence(k)
             want = stream[k * 16 : k * 16 + 16]
-            assert ids[: len(want)].tolist() == want and mask.tolist() == [True] * len(want) + [False] * (16 - len(want))
-            assert not ids.flags.owndata
+            assert ids[: len(want)].tolist() == want and mask.tolist() == [1] * len(want) + [0] * (16 - len(want))
+            assert not ids.flags.owndata and not mask.flags.owndata
 
 
 def test_repeated_and_null_ids_and_empty_table(spark):
