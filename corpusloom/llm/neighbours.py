@@ -242,7 +242,7 @@ def _linked(coded: DataFrame, rotation: int, threshold: float, radius: int, bloc
 
     group = F.xxhash64("label")
     own = counted.filter("n > 1").select(group.alias("group"), F.col("code").alias("code_a"), F.col("code").alias("code_b"))
-    pairs = own.unionByName(candidates(counted.select(group.alias("group"), "code"), radius))
+    pairs = written(own.unionByName(candidates(counted.select(group.alias("group"), "code"), radius)), "pairs")
     side = lambda s: blocks.select(F.col("label").alias(f"label_{s}"), F.xxhash64("label").alias(f"g_{s}"), F.col("code").alias(f"c_{s}"), F.col("core").alias(f"core_{s}"), F.col("no").alias(f"no_{s}"))
     on = lambda s: (F.col("group") == F.col(f"g_{s}")) & (F.col(f"code_{s}") == F.col(f"c_{s}"))
     met = pairs.join(side("a"), on("a")).join(side("b"), on("b")).filter("label_a = label_b")
