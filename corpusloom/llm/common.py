@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import BROADCAST_ROWS, is_small, spread  # noqa: F401
 from ..operators.joins import looked_up as lookup_join  # noqa: F401
-from ..sources.shared import clean, exists, forget, scratch, shared_dir, written  # noqa: F401
+from ..sources import shared
+from ..sources.shared import clean, exists, forget, scratch, shared_dir  # noqa: F401
 
-#: Rows of an Arrow batch that Python works on at a time. Spark bounds a batch by its bytes (64 MB unless set otherwise).
+#: Rows of an Arrow batch that Python works on at a time. Spark bounds a batch by its bytes (64 MB unless set otherwise);
+#: tables written here are made of smaller batches, as two tasks' batches would fill much of an executor.
 SLICE_ROWS = 1000
 
 
@@ -24,6 +27,24 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(i, rows)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = SLICE_ROWS):
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside; the session's own setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """A written table in the shared folder, as :func:`shared.written`, made of small Arrow batches."""
+    with small_batches(df.sparkSession):
+        return shared.written(df, name, **options)
+
+
 def kept_names(keep: list[str], own: list[str]) -> list[str]:
     """Names under which kept columns come out: as they are, or with ``kept_`` before those that the result has itself."""
     out: list[str] = []

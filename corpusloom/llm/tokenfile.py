@@ -71,10 +71,12 @@ class Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parted = _parted(path)
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer, self.letters.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.CharDelimiterSplit(" ")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -87,56 +89,56 @@ class Words:
     def whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Packed ids of words of letters."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+    def _letters(self, words: list[str], plain: bool) -> list[bytes]:
+        """Packed ids of words of letters; plain ones, of small ASCII letters, need neither normal form nor pattern."""
+        tokenizer = self.letters if plain else self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(words):  # a letter that its normal form takes apart
             return [self.whole(w) for w in words]
-        packed, width = ids.tobytes(), ids.itemsize
-        return [packed[i * width : j * width] for i, j in zip([0, *ends.tolist()], ends.tolist())]
+        packed, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+        return [packed[i:j] for i, j in zip([0, *ends], ends)]
 
     def _learn(self, parts) -> dict[bytes, bytes]:
         """Packed ids of parts that aren't known."""
-        split, stems, others, known = {}, {}, {}, self.known
-        for p in parts:
-            stem = p.rstrip(_MARKS)
-            if stem.isalpha() or (not stem.isascii() and stem.decode("utf-8", "surrogatepass").isalpha()):
-                tail = p[len(stem) :]
-                if tail:
-                    split[p] = (stem, tail)
-                    if tail not in known:
-                        others[tail] = tail.decode()
-                if stem not in known:
-                    stems[stem] = stem.decode("utf-8", "surrogatepass")
-            else:
-                others[p] = p.decode("utf-8", "surrogatepass")
-        found = dict(zip(stems, self._letters(list(stems.values())))) if stems else {}
+        known, found = self.known, {}
+        stems = [p.rstrip(_MARKS) for p in parts]
+        plain = {s for s in stems if s.isalpha()}
+        wide = {s for s in stems if s and not s.isascii() and s.decode("utf-8", "surrogatepass").isalpha()}
+        ends = {p[len(s) :] for p, s in zip(parts, stems) if len(s) < len(p) and (s in plain or s in wide)}
+        others = [p for p, s in zip(parts, stems) if s not in plain and s not in wide] + [e for e in ends if e not in known]
+        for words, ascii_only in ((plain, True), (wide, False)):
+            new = [s for s in words if s not in known]
+            if new:
+                found |= zip(new, self._letters([s.decode("utf-8", "surrogatepass") for s in new], ascii_only))
         if others:
-            found |= {p: self._pack(e.ids) for p, e in zip(others, self.tokenizer.encode_batch(list(others.values()), add_special_tokens=False))}
+            found |= zip(others, (self._pack(e.ids) for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in others], add_special_tokens=False)))
         piece = lambda x: found[x] if x in found else known[x]
-        found |= {p: piece(stem) + piece(tail) for p, (stem, tail) in split.items()}
+        found |= {p: piece(s) + piece(p[len(s) :]) for p, s in zip(parts, stems) if len(s) < len(p) and (s in plain or s in wide)}
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts."""
         if not self.parted:
-            return [self._pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        known, plain = self.known, []
+            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        known, plain, distinct = self.known, [], set()
         for t in texts:
             raw = t.encode("utf-8", "surrogatepass")
-            plain.append(None if b"<|" in raw else raw.lower().replace(b"\n", b" ").split(b" "))
-        found = [None if parts is None else list(map(known.get, parts)) for parts in plain]
-        missing = {p for parts, ids in zip(plain, found) if parts is not None and None in ids for p, x in zip(parts, ids) if x is None}
+            parts = None if b"<|" in raw else raw.lower().replace(b"\n", b" ").split(b" ")
+            plain.append(parts)
+            if parts is not None:
+                distinct.update(parts)
+        missing = distinct.difference(known)
+        if len(known) + len(missing) > MAX_WORDS:
+            known.clear()
+            missing = distinct
         if missing:
-            new = self._learn(missing)
-            for parts, ids in zip(plain, found):
-                if parts is not None and None in ids:
-                    ids[:] = [new[p] if x is None else x for p, x in zip(parts, ids)]
-            if len(known) + len(new) > MAX_WORDS:
-                known.clear()
-            known.update((p, v) for p, v in new.items() if len(p) <= MAX_WORD)
-        return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found)]
+            known.update(self._learn(list(missing)))
+        find = known.__getitem__
+        out = [self.whole(t) if parts is None else b"".join(map(find, parts)) for t, parts in zip(texts, plain)]
+        for p in [p for p in missing if len(p) > MAX_WORD]:
+            del known[p]
+        return out
 
 
 def _encoder(path: str) -> Words:

@@ -18,7 +18,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import exists, forget, lookup_join, scratch, slices, spread, written
+from .common import exists, forget, lookup_join, scratch, slices, small_batches, spread, written
 
 CRLF = b"\r\n"
 VERSION = b"WARC/1.1"
@@ -182,7 +182,8 @@ def write(pages: DataFrame, path: str | None = None, id_col: str = "page_id", ur
         if out.done:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out.done), (pa.string(), pa.int64(), pa.int64()))], ["name", "records", "bytes"])
 
-    joined.mapInArrow(run, _MANIFEST).write.parquet(f"{path}/_manifest")
+    with small_batches(spark):
+        joined.mapInArrow(run, _MANIFEST).write.parquet(f"{path}/_manifest")
     _sweep(spark, path)
     forget(source, again)
     return path
