@@ -16,6 +16,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -117,28 +118,43 @@ class Words:
         found |= {p: piece(s) + piece(p[len(s) :]) for p, s in zip(parts, stems) if len(s) < len(p) and (s in plain or s in wide)}
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of whole texts."""
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Packed ids of whole texts.
+
+        Texts are cut into parts and these made distinct by Arrow, so that only distinct parts become Python's; the ids
+        of all parts are then gathered from theirs.
+        """
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not self.parted:
-            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        known, plain, distinct = self.known, [], set()
-        for t in texts:
-            raw = t.encode("utf-8", "surrogatepass")
-            parts = None if b"<|" in raw else raw.lower().replace(b"\n", b" ").split(b" ")
-            plain.append(parts)
-            if parts is not None:
-                distinct.update(parts)
-        missing = distinct.difference(known)
+            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        special = pc.match_substring(texts, "<|")
+        plain = pc.replace_substring(pc.ascii_lower(pc.if_else(special, "", texts)), "\n", " ")
+        parts = pc.split_pattern(plain, " ")
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        known = self.known
+        missing = [w for w in words if w not in known]
         if len(known) + len(missing) > MAX_WORDS:
             known.clear()
-            missing = distinct
+            missing = words
         if missing:
-            known.update(self._learn(list(missing)))
-        find = known.__getitem__
-        out = [self.whole(t) if parts is None else b"".join(map(find, parts)) for t, parts in zip(texts, plain)]
-        for p in [p for p in missing if len(p) > MAX_WORD]:
-            del known[p]
-        return out
+            known.update(self._learn(missing))
+        packed = [known[w] for w in words]
+        for w in missing:
+            if len(w) > MAX_WORD:
+                del known[w]
+        width = np.dtype(self.kind).itemsize
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // width
+        places = np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy()
+        n = sizes[word]
+        after = np.concatenate([[0], np.cumsum(n)])
+        ids = np.frombuffer(b"".join(packed), self.kind)[np.repeat(places[word] - after[:-1], n) + np.arange(after[-1])]
+        edges = after[np.concatenate([[0], np.cumsum(parts.value_lengths().to_numpy())])].tolist()
+        found = [ids[i:j].tobytes() for i, j in zip(edges, edges[1:])]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            found[i] = self.whole(texts[i].as_py())
+        return found
 
 
 def _encoder(path: str) -> Words:
@@ -162,7 +178,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     def run(batches):
         words = _encoder(path)
         for batch in slices(batches):
-            ids = [x + end for x in words.encode([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [x + end for x in words.encode(batch.column(1).fill_null(""))]
             out = [batch.column(0), pa.array(ids, pa.binary())]
             if firsts is not None:
                 first = np.iinfo(np.int64).min
