@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,20 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded():
+    """The paths of the tables that are written inside."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.pop()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, through Hadoop's file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -52,6 +67,8 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.options(**options).parquet(path)
+    for paths in _RECORDS:
+        paths.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._corpusloom_path = path
     return out
