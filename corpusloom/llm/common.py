@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import BROADCAST_ROWS, is_small, spread  # noqa: F401
 from ..operators.joins import looked_up as lookup_join  # noqa: F401
 from ..sources import shared
-from ..sources.shared import clean, exists, forget, scratch, shared_dir  # noqa: F401
+from ..sources.shared import clean, exists, forget, recorded, remove, scratch, shared_dir  # noqa: F401
 
 #: Rows of an Arrow batch that Python works on at a time. Spark bounds a batch by its bytes (64 MB unless set otherwise);
 #: tables written here are made of smaller batches, as two tasks' batches would fill much of an executor.
