@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -27,6 +27,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(i, rows)
 
 
+#: What empties the words that an operator has kept in this worker, by operator.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps_words(operator: str, empty: Callable[[], None]) -> None:
+    """Tell how an operator's kept words are emptied, and empty those of all others: a worker serves many stages."""
+    for name, other in list(_KEPT.items()):
+        if name != operator:
+            other()
+            del _KEPT[name]
+    _KEPT[operator] = empty
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = SLICE_ROWS):
     """Arrow batches of at most ``rows`` rows for the jobs that run inside; the session's own setting comes back."""

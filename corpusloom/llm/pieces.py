@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_names, slices, tokenizer_path
+from .common import keeps_words, kept_names, slices, tokenizer_path
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Bounds of what a worker remembers: words, their length, and pairs of pieces.
-MAX_WORDS, MAX_WORD, MAX_PAIRS = 800_000, 64, 500_000
+MAX_WORDS, MAX_WORD, MAX_PAIRS = 600_000, 64, 300_000
 
 
 class Pieces:
@@ -264,6 +264,7 @@ _LOADED: dict[str, Pieces] = {}
 
 def pieces(path: str) -> Pieces:
     """The vocabulary at ``path``, loaded once in each worker."""
+    keeps_words("pieces", _LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = Pieces.load(path)
     return _LOADED[path]

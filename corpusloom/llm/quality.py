@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import forget, slices, written
+from .common import forget, keeps_words, slices, written
 
 #: Labelled rows that are fitted on, first by hash; rounds; probability from which a view is confident.
 LABELLED, ROUNDS, CONFIDENT = 20_000, 2, 0.97
@@ -33,7 +33,7 @@ EMPTY_WORDS = 20
 MOST, FLUSH = 1 << 10, 1 << 16
 TEXT_SIZE, META_SIZE = WORD_BUCKETS + SHAPE_BUCKETS + 1, 2 * NAME_BUCKETS + 2 * len(FIGURES) + 1
 _WORDS: dict[str, int] = {}
-_MAX_WORDS = 500_000
+_MAX_WORDS = 400_000
 _KINDS = np.full(256, 3, np.uint8)  # of bytes: upper, digit, mark, other
 _KINDS[65:91], _KINDS[48:58] = 0, 1
 _KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,;:'\"()-"]] = 2
@@ -265,6 +265,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     kind = f", doc {rows.schema['doc'].dataType.simpleString()}" if keep else ""
 
     def run(batches):
+        keeps_words("quality", _WORDS.clear)
         for batch in slices(batches, 500):
             b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *b.arrow(), *(batch.column(i) for i in range(5, batch.num_columns))], ["row", "id", "lang", "source", "figures", "codes", *(["doc"] if keep else [])])

@@ -21,7 +21,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, slices, tokenizer_path, written
+from .common import keeps_words, scratch, slices, tokenizer_path, written
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -159,6 +159,7 @@ class Words:
 
 def _encoder(path: str) -> Words:
     """The tokenizer at ``path``, loaded once in each worker."""
+    keeps_words("tokens", _LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = Words(path)
     return _LOADED[path]
