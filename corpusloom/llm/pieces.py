@@ -213,7 +213,7 @@ class Pieces:
         for i in range(j - 1, max(start, j - self.longest) - 1, -1):
             found = self.scores.get(text[i:j])
             score = found[1] if found else self._lowest if i == j - 1 else None
-            if score is not None and (best is None or state[i - start] + score > best[1]):
+            if score is not None and (best is None or state[i - start] + score >= best[1]):  # the longest of equal ones
                 best = i, state[i - start] + score
         return best
 
