@@ -171,7 +171,9 @@ def _glossary(spark, sf_dir=None):
     return spark.createDataFrame(list(_GLOSSARY), "en string, es string")
 
 
-_GLOSSARY_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _GLOSSARY) + ") AS g(term, target)"
+#: The sweep also has terms of two common words, which lines do hold.
+_SWEPT = (*_GLOSSARY, ("of the", "propio de"), ("by the", "junto a"), ("with the", "with tal"))
+_GLOSSARY_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _SWEPT) + ") AS g(term, target)"
 
 
 @query(
@@ -181,7 +183,7 @@ _GLOSSARY_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _GLOSSARY)
     WHERE NOT contains(lower(es), lower(term)) AND len(list_filter(regexp_split_to_array(lower(core), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: length(w) > 3 AND NOT contains(lower(es), w))) > 0""",
 )
 def glossary_sweep(spark, sf_dir):
-    return D.glossary_sweep(R.pairs(spark, sf_dir), _glossary(spark))
+    return D.glossary_sweep(R.pairs(spark, sf_dir), spark.createDataFrame(list(_SWEPT), "en string, es string"))
 
 
 @query(
