@@ -182,7 +182,7 @@ for _i, _size in enumerate((8.5, 8.3, 8.2)):
     _ROUNDS += f", t{3 + _i} AS (SELECT p_partkey, t, CASE WHEN t * s <= 500 THEN s ELSE least(s, {_size}) END AS s FROM {_now})"
 
 
-@query("k3_repair", f"WITH {_ROUNDS} SELECT p_partkey AS page, t AS length, s AS size, t * s <= 500 AS fits FROM t5")
+@query("k3_repair", f"WITH {_ROUNDS} SELECT p_partkey AS page, t AS length, CAST(s AS DOUBLE) AS size, t * s <= 500 AS fits FROM t5")
 def repair(spark, sf_dir):
     blocks = R.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page"), F.lit("b").alias("block"), F.repeat(F.lit("x"), F.col("p_size") * 3).alias("t"), F.lit(9.5).alias("size"))
     fits = lambda df: df.withColumn("fits", F.length("t") * F.col("size") <= 500)

@@ -198,7 +198,7 @@ _ACTORS = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY number ORDE
 
 @query(
     "i34_actors",
-    f"SELECT p_partkey AS page, 'Jefe ' || number AS name, p_size AS ac, p_partkey AS hp, '6d6' AS formula, 0.25 AS cr, 'fly=' || p_size || ',walk=30' AS movement, 'str=' || p_size AS abilities, 'Golpe: <p><em>(acción)</em></p><p>Pega <em>' || p_size || '</em>.</p>' AS items, 'tipo ' || p_size AS kind, 'jefe-' || number || '.json' AS file, substring(sha256('jefe ' || number), 1, 16) AS id FROM ({_ACTORS})",
+    f"SELECT p_partkey AS page, 'Jefe ' || number AS name, p_size AS ac, p_partkey AS hp, '6d6' AS formula, CAST(0.25 AS DOUBLE) AS cr, 'fly=' || p_size || ',walk=30' AS movement, 'str=' || p_size AS abilities, 'Golpe: <p><em>(acción)</em></p><p>Pega <em>' || p_size || '</em>.</p>' AS items, 'tipo ' || p_size AS kind, 'jefe-' || number || '.json' AS file, substring(sha256('jefe ' || number), 1, 16) AS id FROM ({_ACTORS})",
 )
 def actors(spark, sf_dir):
     shown = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e.getField("key"), e.getField("value"))), ",")
@@ -282,7 +282,7 @@ _VALUE = ["NULL", "'\"~\"'", "'\"hola ' || p_size || '\"'", "'{\"t\": \"x\", \"s
     "c18_dispatch",
     "SELECT p_size AS page, CAST(p_partkey AS VARCHAR) AS block, "
     + "CASE WHEN p_partkey % 7 = 6 THEN 'keep' ELSE CASE p_partkey % 6 WHEN 1 THEN 'erase' WHEN 2 THEN 'replace' WHEN 3 THEN 'replace with options' ELSE 'keep' END END AS action, "
-    + "CASE WHEN p_partkey % 7 < 6 AND p_partkey % 6 = 3 THEN 8.0 ELSE 9.0 END AS size, CASE WHEN p_partkey % 7 < 6 AND p_partkey % 6 = 3 THEN '1.0,2.0,3.0,' || p_size || '.0' ELSE '0.0' END AS box, p_name AS source FROM part",
+    + "CAST(CASE WHEN p_partkey % 7 < 6 AND p_partkey % 6 = 3 THEN 8.0 ELSE 9.0 END AS DOUBLE) AS size, CASE WHEN p_partkey % 7 < 6 AND p_partkey % 6 = 3 THEN '1.0,2.0,3.0,' || p_size || '.0' ELSE '0.0' END AS box, p_name AS source FROM part",
 )
 def dispatch(spark, sf_dir):
     p = R.table(spark, sf_dir, "part").withColumn("page", F.col("p_size")).withColumn("block", F.col("p_partkey").cast("string"))

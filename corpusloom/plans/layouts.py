@@ -189,7 +189,7 @@ def dominant_style(spark, sf_dir):
 
 @query(
     "f22_index_entries",
-    "SELECT p_partkey AS page, CASE WHEN p_partkey % 3 = 2 THEN 1 ELSE 0 END AS \"column\", CASE p_partkey % 3 WHEN 1 THEN 'Background' ELSE 'Chapter Alpha' END AS title, CASE WHEN p_partkey % 3 = 1 THEN '' || p_size END AS number, CASE p_partkey % 3 WHEN 1 THEN NULL WHEN 0 THEN 200.0 ELSE 500.0 END AS \"limit\" FROM part",
+    "SELECT p_partkey AS page, CASE WHEN p_partkey % 3 = 2 THEN 1 ELSE 0 END AS \"column\", CASE p_partkey % 3 WHEN 1 THEN 'Background' ELSE 'Chapter Alpha' END AS title, CASE WHEN p_partkey % 3 = 1 THEN '' || p_size END AS number, CAST(CASE p_partkey % 3 WHEN 1 THEN NULL WHEN 0 THEN 200.0 ELSE 500.0 END AS DOUBLE) AS \"limit\" FROM part",
 )
 def index_entries(spark, sf_dir):
     def word(text, x, y=100.0, w=30.0):
@@ -252,7 +252,7 @@ _BLOCKS = f"""WITH RECURSIVE {_TYPED},
   p AS (SELECT *, row_number() OVER w AS place, count(*) FILTER (type = 'dropcap') OVER w AS d, max_by(CASE WHEN type = 'dropcap' THEN text END, CASE WHEN type = 'dropcap' THEN y0 * 10 + CASE col WHEN 'F' THEN 0 WHEN 'L' THEN 1 ELSE 2 END END) OVER w AS letter FROM bl WINDOW w AS (PARTITION BY page ORDER BY y0, CASE col WHEN 'F' THEN 0 WHEN 'L' THEN 1 ELSE 2 END, col, no ROWS UNBOUNDED PRECEDING)),
   q AS (SELECT *, count(*) FILTER (type = 'cuerpo') OVER (PARTITION BY page, d ORDER BY place ROWS UNBOUNDED PRECEDING) AS nth FROM p),
   z AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY place) - 1 AS n FROM q WHERE type <> 'dropcap')
-  SELECT page, 'b' || lpad(n::VARCHAR, greatest(2, length(n::VARCHAR))::INTEGER, '0') AS id, type, col, x0, y0, x1, y1, round_even(tall / 300 * 72, 2) AS size_pt, round_even(coalesce(gap, tall * 1.3), 1) AS leading_px, text, CASE WHEN type = 'cuerpo' AND nth = 1 THEN letter END AS dropcap FROM z"""
+  SELECT page, 'b' || lpad(n::VARCHAR, greatest(2, length(n::VARCHAR))::INTEGER, '0') AS id, type, col, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1, round_even(tall / 300 * 72, 2)::DOUBLE AS size_pt, round_even(coalesce(gap, tall * 1.3), 1)::DOUBLE AS leading_px, text, CASE WHEN type = 'cuerpo' AND nth = 1 THEN letter END AS dropcap FROM z"""
 
 
 @query("f1_blocks_from_lines", _BLOCKS)
@@ -309,7 +309,7 @@ _MERGED = f"""WITH RECURSIVE {R.LINES}, b AS (SELECT page, block AS k, CASE WHEN
     FROM (SELECT e.*, r.x0 AS px, r.y1 AS py, r.size AS psize, r.family AS pfamily, r.is_list AS plist, r.no,
       NOT r.is_list AND NOT e.is_list AND r.open AND e.small AND r.family = e.family AND abs(r.size - e.size) <= 0.3 AND abs(r.x0 - e.x0) <= 3 AND e.y0 - r.y1 BETWEEN -2 AND r.size * 1.1 AS g FROM r JOIN e ON e.page = r.page AND e.k = r.k + 1)),
   j AS (SELECT e.*, r.no, lag(e.text) OVER (PARTITION BY e.page, r.no ORDER BY e.k) AS before, count(*) OVER (PARTITION BY e.page, r.no) AS n FROM e JOIN r ON r.page = e.page AND r.k = e.k)
-  SELECT page, min(k) AS place, CASE WHEN any_value(n) > 1 THEN round_even(min(x0), 1) ELSE min(x0) END AS x0, CASE WHEN any_value(n) > 1 THEN round_even(max(y1), 1) ELSE max(y1) END AS y1, count(*)::INTEGER AS lines, arg_min(font, k) AS font,
+  SELECT page, min(k) AS place, (CASE WHEN any_value(n) > 1 THEN round_even(min(x0), 1) ELSE min(x0) END)::DOUBLE AS x0, (CASE WHEN any_value(n) > 1 THEN round_even(max(y1), 1) ELSE max(y1) END)::DOUBLE AS y1, count(*)::INTEGER AS lines, arg_min(font, k) AS font,
     string_agg(CASE WHEN before IS NULL THEN text WHEN regexp_matches(before, '-$') THEN text ELSE ' ' || text END, '' ORDER BY k) AS text FROM j GROUP BY page, no"""
 
 
