@@ -260,15 +260,19 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     Null texts count as empty, null names as one more name; ids may repeat or be null, and an empty table gives an
     empty table. With ``keep`` also ``doc``, all columns of the document, for :func:`keep_good`.
     """
-    columns = [F.col(id_col).cast("long").alias("id"), *[F.col(c).cast("string").alias(n) for c, n in ((text_col, "t"), (lang_col, "l"), (source_col, "s"))]]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *columns, *([F.struct(*docs.columns).alias("doc")] if keep else []))
+    read = [text_col, lang_col, source_col]
+    inside = keep and all(dict(docs.dtypes).get(c) == "string" for c in read)  # then they are read out of doc, not sent twice
+    columns = [] if inside else [F.col(c).cast("string").alias(n) for c, n in zip(read, "tls")]
+    doc = [F.struct(*docs.columns).alias("doc")] if keep else []
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), *doc, *columns)
     kind = f", doc {rows.schema['doc'].dataType.simpleString()}" if keep else ""
 
     def run(batches):
         keeps_words("quality", _WORDS.clear)
         for batch in slices(batches, 500):
-            b = Batch.of_rows(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *b.arrow(), *(batch.column(i) for i in range(5, batch.num_columns))], ["row", "id", "lang", "source", "figures", "codes", *(["doc"] if keep else [])])
+            texts = [batch.column(2).field(c) for c in read] if inside else batch.columns[-3:]
+            b = Batch.of_rows(zip(*(c.to_pylist() for c in texts)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *b.arrow(), *([batch.column(2)] if keep else [])], ["row", "id", "lang", "source", "figures", "codes", *(["doc"] if keep else [])])
 
     return written(rows.mapInArrow(run, f"row long, id long, {_FEATURES}{kind}"), "features", compression="zstd")
 
