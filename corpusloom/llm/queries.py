@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, media, mixing, neighbours, oracles, pieces, quality, secrets, simhash, tokenfile, warc
+from . import late, licenses, media, mixing, neighbours, oracles, packing, pieces, quality, secrets, simhash, tokenfile, trie, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,29 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie over all rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_late_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the layout of all sales, of which only the days that late rows change were written twice."""
+    sales = table(spark, sf_dir, "sales")
+    h = F.crc32(F.col("sale_id").cast("string").cast("binary"))
+    again = sales.filter((h % 3 == 0) & (late.day_of(sales, "sold_at") % 7 == 0))
+    days = lambda n: F.make_dt_interval(days=n.cast("int"))
+    again = again.withColumns({"total": F.col("total") + 1, "sold_at": F.col("sold_at") + days(h % 2), "arrived_at": F.col("arrived_at") + days(1 + h % 97)})
+    rows = sales.unionByName(again)
+    early = F.coalesce(F.col("arrived_at") < F.lit("2024-04-10 00:00:00").cast(sales.schema["arrived_at"].dataType), F.lit(False))
+    layout = late.write(rows.filter(early), 1 + sales.count() // 700)
+    return late.digests(late.overwrite(spark, layout, rows.filter(~early)))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence and offset of every piece of every document."""
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids").withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_itq_neighbours": op1_itq_neighbours,
     "op2_token_files": op2_token_files,
@@ -83,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_wav_fingerprints": op8_wav_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_mix_sources": op10_mix_sources,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_late_overwrite": op12_late_overwrite,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
