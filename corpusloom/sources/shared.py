@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,18 +41,19 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-_RECORDS: list[list[str]] = []
+#: Lists of the blocks that record written tables, innermost last; each thread has its own.
+_RECORDS: ContextVar[tuple[list[str], ...]] = ContextVar("corpusloom_records", default=())
 
 
 @contextmanager
 def recorded():
-    """The paths of the tables that are written inside."""
+    """The paths of the tables that this thread writes inside."""
     paths: list[str] = []
-    _RECORDS.append(paths)
+    before = _RECORDS.set((*_RECORDS.get(), paths))
     try:
         yield paths
     finally:
-        _RECORDS.pop()
+        _RECORDS.reset(before)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -67,7 +69,7 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    for paths in _RECORDS:
+    for paths in _RECORDS.get():
         paths.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._corpusloom_path = path
