@@ -27,6 +27,8 @@ KINDS = (
     ("mixed", MIXED, 0, 20, MIXED),
 )
 BASE = ("assign", "access", "hex")
+#: Owners and repositories up to which a value is taken for leaked, not for an example, where texts are redacted.
+REDACT_OWNERS, REDACT_REPOS = 5, 10
 _SPAN = "array<struct<start:bigint,ord:int,kind:string,end:bigint,hash:string>>"
 
 
@@ -169,11 +171,12 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang", mark: str = "[SECRET]", max_owners: int = 1, max_repos: int = 2, corpus: DataFrame | None = None) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang", mark: str = "[SECRET]", max_owners: int = REDACT_OWNERS, max_repos: int = REDACT_REPOS, corpus: DataFrame | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with every owner-specific value's span replaced by ``mark``.
 
     Owners are counted over ``corpus``, a table with the same columns, or over ``docs``: a corpus from before its copies
-    were dropped shows who else held a value. Equal texts count for one owner and repository there (:func:`scan` counts
+    were dropped shows who else held a value. A key may have leaked to some owners, so a value is left in as an example
+    only beyond ``max_owners`` or ``max_repos``, well above the bounds of :func:`scan`. Equal texts count for one owner and repository there (:func:`scan` counts
     every row's), so copies of one text don't make a value a widely copied example. Spans that overlap are replaced
     together; null and empty texts stay, repeated rows are kept, an empty table gives an empty table. The number of
     characters isn't updated here. Each text is searched once; only those with spans are judged and joined.

@@ -24,7 +24,7 @@ def test_stages(spark):
     assert sum(labels[i] == 1 and i not in good for i in labels) <= 0.02 * len(labels)
     rejected = [i for i in before if i not in good]
     assert rejected and sum(labels.get(i, 0) == 0 for i in rejected) >= 0.9 * len(rejected)
-    single = {r["doc_id"]: r for r in out["simhash near-dedup"]}
+    single = {r["doc_id"]: r for r in out["near-dedup by shingles"]}
     assert len({r["text"] for r in single.values()}) == len({r["text"] for r in good.values()} & {r["text"] for r in single.values()})
     first = {}
     for i in sorted(good):
@@ -48,6 +48,24 @@ def test_run_and_queries_are_registered(spark):
     import __spark_entry__
 
     found = __spark_entry__.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
     assert found["pipeline"] is corpus_pipeline.run and set(queries.QUERIES) <= set(found)
     assert quality.LABELLED == 20_000
+
+
+def test_runs_leave_each_others_results(spark, tmp_path):
+    """Two runs one after the other, and two in threads of their own."""
+    import threading
+
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{t}.parquet").filter("doc_id < 40").write.parquet(f"{tmp_path}/{t}.parquet")
+    first = corpus_pipeline.run(spark, str(tmp_path))
+    second = corpus_pipeline.run(spark, str(tmp_path))
+    results = []
+    threads = [threading.Thread(target=lambda: results.append(corpus_pipeline.run(spark, str(tmp_path)))) for _ in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    rows = [sorted(map(str, df.collect())) for df in (first, second, *results)]
+    assert len(rows) == 4 and rows[0] and all(r == rows[0] for r in rows)

@@ -54,7 +54,7 @@ def test_redact_keeps_rows_and_columns(spark):
     key = "AKIA" + "Q" * 16
     rows = [(1, f"a {key} b token='{'z' * 9}' c", "s", "en"), (2, "plain", "s", "en"), (2, "plain", "s", "en"), (None, None, None, None), (4, f"é token={key}", "t", "en")]
     df = frame(spark, rows)
-    out = secrets.redact(df)
+    out = secrets.redact(df, max_owners=1, max_repos=2)
     assert out.columns == df.columns and out.count() == 5
     texts = {(r["doc_id"], r["text"]) for r in out.collect()}
     assert (2, "plain") in texts and (None, None) in texts
@@ -68,10 +68,20 @@ def test_redact_counts_a_copied_text_once(spark):
     leaked, example = "AKIA" + "L" * 16, "AKIA" + "E" * 16
     rows = [(i, f"leak {leaked} here", f"owner{i}", lang) for i in range(4) for lang in ("en", "fr")]
     rows += [(10, f"{leaked} again", "owner3", "en"), (11, f"{leaked} again", "owner2", "de"), (12, f"{leaked} more", "owner3", "en")]
-    rows += [(20 + i, f"text {i} shows {example}", f"owner{i}", "en") for i in range(3)]
+    rows += [(20 + i, f"text {i} shows {example}", f"owner{i}", "en") for i in range(6)]
     out = secrets.redact(frame(spark, rows)).collect()
     assert len(out) == len(rows) and not any(leaked in r["text"] for r in out)
-    assert sum(example in r["text"] for r in out) == 3
+    assert sum(example in r["text"] for r in out) == 6
+
+
+def test_redact_takes_a_key_of_several_owners_for_leaked(spark):
+    leaked, repos = "AKIA" + "K" * 16, "AKIA" + "R" * 16
+    rows = [(i, f"text {i} has {leaked}", f"owner{i}", "en") for i in range(secrets.REDACT_OWNERS)]
+    rows += [(100 + i, f"text {i} has {repos}", "owner", f"lang{i}") for i in range(secrets.REDACT_REPOS + 1)]
+    out = secrets.redact(frame(spark, rows)).collect()
+    assert not any(leaked in r["text"] for r in out) and sum(repos in r["text"] for r in out) == secrets.REDACT_REPOS + 1
+    scanned = secrets.digest(secrets.scan(frame(spark, rows))).collect()  # the query's own bounds are narrower
+    assert all(r["n_live"] == 0 and r["n_access"] == 1 for r in scanned)
 
 
 def test_empty_table(spark):

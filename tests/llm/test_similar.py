@@ -65,3 +65,25 @@ def test_stage_drops_copies_that_differ_in_many_bits(spark):
     out = corpus_pipeline.without_near_duplicates(spark, df, "")
     assert out.columns == corpus_pipeline.COLUMNS
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(want.values()))
+
+
+def test_a_common_header_makes_no_pairs(spark, monkeypatch):
+    """Texts that share a header longer than their own part, yet are no near-duplicates, with groups that are."""
+    counted, links = [], similar._links
+
+    def count(pairs, *rest):
+        counted.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(similar, "_links", count)
+    made = {}
+    for n in (300, 3000):
+        header = " ".join(f"h{i}" for i in range(60))
+        texts = [f"{header} " + " ".join(f"t{n}x{i}x{k}" for k in range(9 + i % 12)) for i in range(n)]
+        texts += [t + " end" for t in texts[:50]]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        counted.clear()
+        got = {r["id"]: r["component"] for r in similar.near_duplicates(df).collect()}
+        made[n] = sum(counted)
+        assert got == {i: i - n if i >= n else i for i in range(n + 50)}
+    assert made[3000] <= 12 * made[300]
