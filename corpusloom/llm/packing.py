@@ -99,7 +99,8 @@ def slots(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     """The columns of :func:`pieces` with ``sequence_id`` and ``offset``: the slot of each piece.
 
     The driver gets the histogram (at most ``length`` numbers), the tasks the plan, whose size it bounds. The ranks come
-    from counts by task and length, so a length that most pieces have is ranked without being gathered.
+    from counts by task and length, so a length that most pieces have is ranked without being gathered. All columns of
+    ``cut`` are moved: leave out ``ids`` where only the slots are wanted.
     """
     spark = cut.sparkSession
     each = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
@@ -109,7 +110,7 @@ def slots(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = spark.sparkContext.broadcast(runs[np.lexsort((runs[:, 1], runs[:, 0]))])
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counted.select(F.col("task").alias("of_task"), F.col("length").alias("of_length"), F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("first"))
-    ranked = cut.join(firsts, (F.col("task") == F.col("of_task")) & (F.col("length") == F.col("of_length")))
+    ranked = cut.join(firsts.hint("merge"), (F.col("task") == F.col("of_task")) & (F.col("length") == F.col("of_length")))
     names = [c for c in cut.columns if c not in ("task", "place")]
 
     def run(batches):

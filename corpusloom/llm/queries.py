@@ -92,7 +92,7 @@ def op12_late_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequence and offset of every piece of every document."""
-    return packing.pack(table(spark, sf_dir, "documents")).drop("ids").withColumnRenamed("id", "doc_id")
+    return packing.slots(packing.pieces(table(spark, sf_dir, "documents")).drop("ids")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
