@@ -56,6 +56,31 @@ def norm_sense(c: Column) -> Column:
     return F.lower(strip_accents(F.regexp_replace(strip_tokens(c), r"\*", "")))
 
 
+def grams(c: Column, n: int) -> Column:
+    """Distinct runs of ``n`` characters, from one pass over the characters; none of a shorter text."""
+    joined = lambda chars: F.transform(chars, lambda x, i: F.concat(x, *[F.get(chars, i + k) for k in range(1, n)]))
+    return F.array_distinct(F.array_compact(let(F.split(c, "", -1), joined)))
+
+
+def running_sums(lengths: Column) -> Column:
+    """For each element of an array of whole numbers the sum of all before it.
+
+    Sums of blocks of about the square root of the number of elements come first, so an element adds two short slices.
+    """
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
+
+    def over(d: Column) -> Column:
+        def by(step: Column) -> Column:
+            count = F.ceil(F.size(d) / step).cast("int")
+            sums = F.transform(F.sequence(F.lit(0), count - 1), lambda b: total(F.slice(d, b * step + 1, step)))
+            before = lambda s: F.transform(s, lambda _, b: total(F.slice(s, F.lit(1), b)))
+            return let(sums, lambda s: let(before(s), lambda base: F.transform(d, lambda _, k: base[F.floor(k / step).cast("int")] + total(F.slice(d, (k - k % step) + 1, k % step)))))
+
+        return let(F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(d))).cast("int")), by)
+
+    return F.when(F.size(lengths) > 0, let(lengths, over)).otherwise(F.array().cast("array<bigint>"))
+
+
 def find_all(c: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
@@ -357,12 +382,12 @@ def context_snippets(c: Column, pattern: str, around: int = 35) -> Column:
         gaps, found = f.getField("gaps"), f.getField("found")
         steps = F.transform(found, lambda m, i: F.length(gaps[i]) + F.length(m))
 
-        def cut(step: Column) -> Column:
-            start = lambda i: F.aggregate(F.slice(step, F.lit(1), i), F.lit(0), lambda s, n: s + n) + F.length(gaps[i])
+        def cut(before: Column) -> Column:
+            start = lambda i: (before[i] + F.length(gaps[i])).cast("int")
             spans = F.transform(found, lambda m, i: F.struct(F.greatest(F.lit(0), start(i) - around).alias("at"), (start(i) + F.length(m) + around).alias("end")))
             return F.transform(spans, lambda s: F.regexp_replace(F.substring(c, s.getField("at") + 1, s.getField("end") - s.getField("at")), "\n", " "))
 
-        return let(steps, cut)
+        return let(running_sums(steps), cut)
 
     found = F.struct(F.split(c, pattern, -1).alias("gaps"), find_all(c, pattern).alias("found"))
     return F.when(c.rlike(pattern), let(found, located)).otherwise(F.array().cast("array<string>"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from . import joins
+from ..sources import opened
+from ..sources import shared as shared_tables
+from . import joins, ranking
 
-#: Shared sizes that may be broadcast.
-SIZES = 1_000_000
+#: Shared sizes that may be broadcast; bytes of a file that are hashed at a time.
+SIZES, CHUNK = 1_000_000, 1 << 20
 
 
 def extension_of(path: Column) -> Column:
@@ -32,14 +34,44 @@ def inventory(files: DataFrame, include_system: bool = False) -> DataFrame:
 def duplicate_members(files: DataFrame) -> DataFrame:
     """(sha256, size_bytes, path) of every non-zero file whose size another file shares.
 
-    ``files`` has path, size_bytes and content. Sizes are counted first, without contents, and only files of a shared
-    size are read and hashed; only hashes are moved. Where too many sizes are shared to be broadcast, all are hashed.
+    ``files`` has path, size_bytes and content. Sizes are counted first, without contents. Where few are shared they are
+    broadcast and only files of these are read and hashed; where too many are, every file is hashed in place, and the
+    hashes meet the shared sizes in a shuffle. The rows are the same, and contents are moved in neither case.
     """
     some = files.filter("size_bytes > 0")
     shared = some.groupBy(F.col("size_bytes").alias("_size")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_size")
+    hashed = lambda df: df.select(F.sha2(F.col("content").cast("binary"), 256).alias("sha256"), "size_bytes", "path")
+    on = F.col("size_bytes") == F.col("_size")
     if joins.is_small(shared, SIZES):
-        some = some.join(F.broadcast(shared), F.col("size_bytes") == F.col("_size"), "left_semi")
-    return some.select(F.sha2(F.col("content").cast("binary"), 256).alias("sha256"), "size_bytes", "path")
+        return hashed(some.join(F.broadcast(shared), on, "left_semi"))
+    return hashed(some).join(shared.hint("merge"), on, "left_semi")
+
+
+def cascade(files: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(path, size_bytes, sha256, bytes_read, error) of files that may have copies, a written table.
+
+    ``files`` has path and size_bytes; contents are read by the tasks, a chunk at a time, so a file may be of any size.
+    Files of a size of their own aren't opened. Of the others the first chunk is hashed, and only those that share it
+    with a file of their size are read to the end; the rest has no ``sha256``. A file that can't be read has an ``error``.
+    """
+    some = files.select("path", F.col("size_bytes").cast("long")).filter("size_bytes > 0")
+    sizes = some.groupBy(F.col("size_bytes").alias("_size")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_size")
+    shared = joins.looked_up(some, sizes, F.col("size_bytes") == F.col("_size"), "left_semi", SIZES)
+    first = shared_tables.written(opened.digests(shared, chunk, chunk), "heads")
+    heads = first.filter("error IS NULL").groupBy(F.col("size_bytes").alias("_size"), F.col("digest").alias("_head")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_size", "_head")
+    both = joins.looked_up(first, heads.withColumn("_again", F.lit(True)), (F.col("size_bytes") == F.col("_size")) & (F.col("digest") == F.col("_head"))).drop("_size", "_head")
+    again = F.coalesce("_again", F.lit(False))
+    out = lambda df, sha, read: df.select("path", "size_bytes", sha.alias("sha256"), read.alias("bytes_read"), "error")
+    done = out(both.filter(~again | (F.col("size_bytes") <= chunk)), F.when(again, F.col("digest")), F.col("bytes_read"))
+    longer = both.filter(again & (F.col("size_bytes") > chunk)).select("path", "size_bytes", F.col("bytes_read").alias("_read"))
+    whole = opened.digests(longer, chunk)
+    return shared_tables.written(done.unionByName(out(whole, F.col("digest"), F.col("bytes_read") + F.col("_read"))), "hashed")
+
+
+def copies(members: DataFrame) -> DataFrame:
+    """(sha256, size_bytes, copies, path) of every file with a hash that another has: a group's members as rows."""
+    same = members.filter("sha256 IS NOT NULL").groupBy(F.col("size_bytes").alias("_size"), F.col("sha256").alias("_sha")).agg(F.count("*").alias("copies")).filter("copies > 1")
+    return joins.looked_up(members, same, (F.col("size_bytes") == F.col("_size")) & (F.col("sha256") == F.col("_sha")), "inner").select("sha256", "size_bytes", "copies", "path")
 
 
 def duplicate_groups(files: DataFrame) -> DataFrame:
@@ -52,8 +84,8 @@ def duplicate_groups(files: DataFrame) -> DataFrame:
 
 
 def in_order(groups: DataFrame) -> DataFrame:
-    """Groups of identical files with their place in order of size, then of hash. The report is one sorted list."""
-    return groups.withColumn("place", F.row_number().over(Window.orderBy("size_bytes", "sha256")))
+    """Groups of identical files with their place in order of size, then of hash."""
+    return ranking.placed(groups, ["size_bytes", "sha256"], "place")
 
 
 def extension_counts(files: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -73,6 +73,10 @@ def stray_tokens(pairs: DataFrame) -> DataFrame:
     return _rows(translated(swept(pairs)).filter(_es().rlike("‹[^›]{0,24}$|^[^‹]{0,24}›|«/|/»")), "TOKEN", F.substring(_es(), 1, 60))
 
 
+#: Characters by which terms without a whole word meet texts.
+GRAM = 3
+
+
 def strong_terms(glossary: DataFrame) -> DataFrame:
     """Glossary rows (en, es) that are specific enough: several words or a capital, over three characters, not the same."""
     return glossary.filter(((T.words(F.col("en")) > 1) | F.col("en").rlike(r"^\p{Lu}")) & (F.length("en") > 3) & (F.col("en") != F.col("es")))
@@ -101,29 +105,32 @@ def _longest(words: Column) -> Column:
 def occurrences(pairs: DataFrame, terms: DataFrame, boundary_left: str, boundary_right: str, lower: bool = False) -> DataFrame:
     """Pairs with each term (columns ``term``, ``target``) that occurs in ``en`` between boundaries.
 
-    Texts and terms meet by equality of a term's longest word, which the boundaries make a whole word of the text; only
-    these candidates are matched in full. A counted, small set of terms is broadcast and nothing is moved; otherwise
-    words and keys of rows meet in a shuffle and the texts are joined to the few that match. Terms that begin with
-    neither letter nor digit, of which a glossary has few, are looked for in every text.
+    Texts and terms meet by equality of a term's longest word, which the boundaries make a whole word of the text, or,
+    for terms that begin with neither letter nor digit, of their first characters with a run of as many; only these
+    candidates are matched in full. A counted, small set of terms is broadcast and nothing is moved; otherwise words,
+    runs and keys of rows meet in a shuffle and the texts are joined to the few that match.
     """
     word = boundary_left == r"\b"
     text = F.lower(_en()) if lower else _en()
     start = T.rx(r"^\w") if word else "^[A-Za-z]"
     head = _longest(T.find_all(F.col("term"), T.rx(r"\w+"))) if word else F.coalesce(_longest(T.find_all(F.col("term"), "[A-Za-z]+(?=[^A-Za-z])")), F.regexp_extract("term", "^[A-Za-z]+", 0))
-    own = terms.select("term", "target", F.when(F.col("term").rlike(start), head).otherwise("").alias("head"), F.concat(F.lit(f"(?U){boundary_left}"), _quoted(F.col("term")), F.lit(boundary_right)).alias("pattern")).distinct()
+    own = terms.filter("term <> ''").select("term", "target", F.when(F.col("term").rlike(start), F.nullif(head, F.lit(""))).alias("head"), F.concat(F.lit(f"(?U){boundary_left}"), _quoted(F.col("term")), F.lit(boundary_right)).alias("pattern")).distinct()
+    gram = F.concat(F.lit("\x00"), F.substring("term", 1, GRAM))  # no word has this mark
+    own = own.withColumn("head", F.coalesce("head", gram))
+    few = joins.is_small(own)
+    odd = [r["n"] for r in own.filter(F.col("head").startswith("\x00")).select((F.length("head") - 1).alias("n")).distinct().collect()]  # lengths up to GRAM
     keys = _word_keys if word else _sweep_keys
-    plain, odd = own.filter("head <> ''"), own.filter("head = ''")
+    runs = [F.transform(T.grams(F.col("_text"), n), lambda g: F.concat(F.lit("\x00"), g)) for n in sorted(odd)]
     rows = pairs.withColumn("_text", text)
+    each = F.explode(F.concat(keys(F.col("_text")), *runs) if runs else keys(F.col("_text"))).alias("_key")
     full = F.col("_text").contains(F.col("term")) & F.expr("_text rlike pattern")
-    few = joins.is_small(own)
     if few:
-        near = rows.withColumn("_key", F.explode(keys(F.col("_text")))).join(F.broadcast(plain), F.col("_key") == F.col("head")).drop("_key").filter(full)
+        near = rows.select("*", each).join(F.broadcast(own), F.col("_key") == F.col("head")).drop("_key").filter(full)
     else:
         row = F.struct("page", "block") if "block" in pairs.columns else F.struct("page")
-        met = rows.select(row.alias("_row"), F.explode(keys(F.col("_text"))).alias("_key")).join(plain, F.col("_key") == F.col("head")).drop("_key").distinct()
-        near = rows.join(met, row == F.col("_row")).drop("_row").filter(full)
-    apart = rows.join(F.broadcast(odd) if few else odd, full)
-    return near.unionByName(apart.select(*near.columns)).drop("_text", "head", "pattern")
+        met = rows.select(row.alias("_row"), each).join(own.hint("merge"), F.col("_key") == F.col("head")).drop("_key").distinct()
+        near = rows.join(met.hint("merge"), row == F.col("_row")).drop("_row").filter(full)
+    return near.drop("_text", "head", "pattern")
 
 
 def glossary_sweep(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
@@ -192,13 +199,18 @@ def lost_names(pairs: DataFrame, names: DataFrame) -> DataFrame:
 def divergent(pairs: DataFrame, least: int = 12, sites: int = 4) -> DataFrame:
     """Sources that are translated in more than one way, with their first sites.
 
-    Distinct translations are found before sites, and of the sites only the first few of each source are kept.
+    Sources and translations are grouped by their digests; of a source's sites only the first few are kept by a ranked
+    limit, which starts before the shuffle, so a passage with countless translations costs no more than any other.
     """
-    k = translated(pairs).select("page", "block", T.norm(_en()).alias("source"), T.norm(_es()).alias("target"), "es").filter(F.length("source") >= least)
-    versions = k.groupBy("source", "target").agg(F.min(F.struct("page", "block", "es")).alias("first"))
-    many = versions.groupBy("source").agg(F.count("*").alias("versions"), F.slice(F.array_sort(F.collect_list("first")), 1, sites).alias("sites")).filter("versions > 1")
-    shown = F.array_join(F.transform("sites", lambda s: F.concat(F.lit("p"), s.getField("page"), F.lit(":"), s.getField("block"), F.lit("="), F.substring(s.getField("es"), 1, 40))), " | ")
-    return many.select(F.col("sites")[0]["page"].alias("page"), F.col("sites")[0]["block"].alias("block"), F.lit("DIVERGE").alias("kind"), F.concat(F.substring("source", 1, 40), F.lit(" → "), shown).alias("detail"))
+    k = translated(pairs).select("page", "block", T.norm(_en()).alias("source"), T.norm(_es()).alias("target"), F.substring(_es(), 1, 40).alias("es")).filter(F.length("source") >= least)
+    keyed = k.select(F.md5("source").alias("key"), F.md5("target").alias("target"), F.struct("page", "block", "es", F.substring("source", 1, 40).alias("source")).alias("site"))
+    versions = keyed.groupBy("key", "target").agg(F.min("site").alias("first"))
+    many = versions.groupBy("key").agg(F.count("*").alias("versions")).filter("versions > 1").select(F.col("key").alias("_many"))
+    ranked = versions.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("first"))).filter(F.col("_n") <= sites)
+    some = ranked.join(many, F.col("key") == F.col("_many")).groupBy("key").agg(F.array_sort(F.collect_list("first")).alias("sites"))
+    shown = F.array_join(F.transform("sites", lambda s: F.concat(F.lit("p"), s.getField("page"), F.lit(":"), s.getField("block"), F.lit("="), s.getField("es"))), " | ")
+    top = F.col("sites")[0]
+    return some.select(top["page"].alias("page"), top["block"].alias("block"), F.lit("DIVERGE").alias("kind"), F.concat(top["source"], F.lit(" → "), shown).alias("detail"))
 
 
 # sense

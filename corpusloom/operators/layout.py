@@ -1,17 +1,48 @@
-"""Joins of boxes on a page. The page is always an equality key; distances are the residual condition.
+"""Joins of boxes on a page. Page and tile are equality keys; the exact condition is the residual one.
 
-Boxes have page, id and a rectangle ``box``; regions and panels likewise.
+Boxes have page, id and a rectangle ``box``; regions and panels likewise. Boxes that meet have a tile of a grid in
+common, so a page's boxes are compared only with those nearby; of the tiles that a pair has in common the one with the
+first corner of what both cover counts. Where a box looks along one direction, the grid has strips across it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as T
 
 
+#: Side of a tile, and height or width of a strip, in points. Any size gives the same rows; boxes should cover few tiles.
+TILE, STRIP = 50.0, 16.0
+
+
+def _tile(c: Column, size: float) -> Column:
+    return F.floor(c / F.lit(size)).cast("long")
+
+
+def _cut(low: Column, high: Column, size: float) -> Column:
+    """The tiles from one coordinate to another; one for a range that is turned round."""
+    return F.sequence(_tile(low, size), F.greatest(_tile(low, size), _tile(high, size)))
+
+
+def _tiled(boxes: DataFrame, box: str, tag: str, size: float) -> DataFrame:
+    """A row for each tile that a box covers, in ``tag``_tx and ``tag``_ty."""
+    sides = [F.col(f"{box}.{n}") for n in ("x0", "x1", "y0", "y1")]
+    wide = boxes.select("*", F.explode(_cut(*sides[:2], size)).alias(f"{tag}_tx"))
+    return wide.select("*", F.explode(_cut(*sides[2:], size)).alias(f"{tag}_ty"))
+
+
+def _meeting(boxes: DataFrame, other: DataFrame, tag: str, size: float = TILE) -> DataFrame:
+    """Every pair of a box and one of ``other`` (columns named by ``tag``) of its page that intersect, once."""
+    a, b = _tiled(boxes, "box", "a", size), _tiled(other, f"{tag}_box", tag, size)
+    box, against = F.col("box"), F.col(f"{tag}_box")
+    first = (F.col("a_tx") == _tile(F.greatest(box.getField("x0"), against.getField("x0")), size)) & (F.col("a_ty") == _tile(F.greatest(box.getField("y0"), against.getField("y0")), size))
+    near = (F.col("page") == F.col(f"{tag}_page")) & (F.col("a_tx") == F.col(f"{tag}_tx")) & (F.col("a_ty") == F.col(f"{tag}_ty"))
+    return a.join(b, near & first & G.intersects(box, against)).drop("a_tx", "a_ty", f"{tag}_tx", f"{tag}_ty")
+
+
 def _other(boxes: DataFrame, tag: str = "o") -> DataFrame:
     return boxes.select(*[F.col(c).alias(f"{tag}_{c}") for c in boxes.columns])
 
@@ -23,9 +54,10 @@ def panels(boxes: DataFrame, slack: float = 30.0) -> DataFrame:
 
 def inside(boxes: DataFrame, hulls: DataFrame) -> DataFrame:
     """Boxes whose centre lies in a hull of their page."""
-    h = _other(hulls, "h")
+    h = _tiled(_other(hulls, "h"), "h_box", "h", TILE)
     x, y = G.centre(F.col("box"))
-    return boxes.join(h, (F.col("page") == F.col("h_page")) & G.contains_point(F.col("h_box"), x, y), "left_semi")
+    here = (F.col("page") == F.col("h_page")) & (_tile(x, TILE) == F.col("h_tx")) & (_tile(y, TILE) == F.col("h_ty"))
+    return boxes.join(h, here & G.contains_point(F.col("h_box"), x, y), "left_semi")
 
 
 def panel_order(boxes: DataFrame) -> DataFrame:
@@ -35,15 +67,15 @@ def panel_order(boxes: DataFrame) -> DataFrame:
 
 
 def outside_regions(boxes: DataFrame, regions: DataFrame, share: float = 0.5) -> DataFrame:
-    """Boxes that no region covers by more than ``share``."""
-    r = _other(regions, "r")
-    return boxes.join(r, (F.col("page") == F.col("r_page")) & (G.area(G.intersection(F.col("box"), F.col("r_box"))) > G.area(F.col("box")) * share), "left_anti")
+    """Boxes that no region covers by more than ``share``; ids are unique on a page."""
+    met = _meeting(boxes.select("page", "id", "box"), _other(regions, "r"), "r")
+    covered = met.filter(G.area(G.intersection(F.col("box"), F.col("r_box"))) > G.area(F.col("box")) * share).select(F.col("page").alias("_page"), F.col("id").alias("_id")).distinct()
+    return boxes.join(covered, F.col("page").eqNullSafe(F.col("_page")) & F.col("id").eqNullSafe(F.col("_id")), "left_anti")
 
 
 def touching(boxes: DataFrame, regions: DataFrame) -> DataFrame:
     """(box, region) pairs of a page that intersect."""
-    r = _other(regions, "r")
-    return boxes.join(r, (F.col("page") == F.col("r_page")) & G.intersects(F.col("box"), F.col("r_box")))
+    return _meeting(boxes, _other(regions, "r"), "r")
 
 
 def table_regions(rects: DataFrame, cells: DataFrame, least: int = 25, share: float = 0.3) -> DataFrame:
@@ -52,8 +84,7 @@ def table_regions(rects: DataFrame, cells: DataFrame, least: int = 25, share: fl
     The choice among overlapping ones follows their order on the page, a fold over the few of each page.
     """
     sized = rects.filter(G.width(F.col("box")).between(250.0001, 569.9999) & G.height(F.col("box")).between(90.0001, 719.9999) & (F.col("box.y0") > 30))
-    word = _other(cells, "w")
-    held = sized.join(word, (F.col("page") == F.col("w_page")) & G.intersects(F.col("w_box"), F.col("box")))
+    held = _meeting(sized, _other(cells, "w"), "w")
     counted = held.groupBy("page", "id", "box").agg(F.count("*").alias("n"), F.count_if(T.is_numeric_cell(F.col("w_text"))).alias("numbers")).filter((F.col("n") >= least) & (F.col("numbers") >= F.col("n") * share))
     pages = counted.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("id", "box"))).alias("all"))
     none = F.filter("all", lambda r: F.lit(False))
@@ -64,12 +95,22 @@ def table_regions(rects: DataFrame, cells: DataFrame, least: int = 25, share: fl
 def nearest_column(cells: DataFrame, centres: DataFrame, margin: float = 15.0) -> DataFrame:
     """Words with the number of the nearest column centre; -1 left of the first centre by more than ``margin``.
 
-    ``centres`` has region, column and x; words have region. Of equally near centres the first holds.
+    ``centres`` has region, column and x; words have region and a unique id. Of equally near centres the first holds.
+    Words and centres of a region stand in one order, in which the nearest centre is the last one before or the first
+    one after a word.
     """
-    c = _other(centres, "c")
     x = G.centre(F.col("box"))[0]
-    best = cells.join(c, F.col("region") == F.col("c_region")).groupBy("region", "id").agg(F.min(F.struct(F.abs(x - F.col("c_x")).alias("d"), F.col("c_column").alias("column"))).alias("best"), F.first(x).alias("x"), F.min("c_x").alias("least"))
-    return best.select("region", "id", F.when(F.col("x") < F.col("least") - margin, F.lit(-1).cast(centres.schema["column"].dataType)).otherwise(F.col("best.column")).alias("column"))
+    kind = centres.schema["column"].dataType
+    word = cells.select("region", "id", x.alias("x"), F.lit(None).cast(kind).alias("column"), F.lit(1).alias("word"))
+    centre = centres.filter("x IS NOT NULL").groupBy("region", F.col("x").cast("double").alias("x")).agg(F.min("column").alias("column")).select("region", F.lit(None).cast(cells.schema["id"].dataType).alias("id"), "x", "column", F.lit(0).alias("word"))
+    held = word.unionByName(centre).withColumn("c", F.when(F.col("word") == 0, F.struct("x", "column")))
+    region = Window.partitionBy("region")
+    upto = region.orderBy("x", "word").rowsBetween(Window.unboundedPreceding, 0)
+    after = region.orderBy(F.desc("x"), F.desc("word")).rowsBetween(Window.unboundedPreceding, -1)
+    both = held.select("region", "id", "x", "word", F.last("c", True).over(upto).alias("left"), F.last("c", True).over(after).alias("right"), F.min("c.x").over(region).alias("least"))
+    nearer = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col("x") - F.col(f"{c}.x")).alias("d"), F.col(f"{c}.column").alias("column")))
+    best = both.filter("word = 1 AND least IS NOT NULL").select("region", "id", "x", F.least(nearer("left"), nearer("right")).alias("best"), "least")
+    return best.select("region", "id", F.when(F.col("x") < F.col("least") - margin, F.lit(-1).cast(kind)).otherwise(F.col("best.column")).alias("column"))
 
 
 def right_limit(boxes: DataFrame, page_right: float) -> DataFrame:
@@ -78,17 +119,21 @@ def right_limit(boxes: DataFrame, page_right: float) -> DataFrame:
     The column ends at the furthest right side of boxes of several lines, or of all if there are none.
     """
     edge = boxes.groupBy(F.col("page").alias("e_page")).agg(F.coalesce(F.max(F.when(F.col("lines") > 1, F.col("box.x1"))), F.max("box.x1")).alias("edge"))
-    o = _other(boxes.select("page", "id", "box"))
-    near = (F.col("page") == F.col("o_page")) & (F.col("id") != F.col("o_id")) & (F.col("o_box.x0") >= F.col("box.x1") - 1) & (F.col("o_box.y1") >= F.col("box.y0")) & (F.col("o_box.y0") <= F.col("box.y1"))
-    free = boxes.select("page", "id", "box").join(o, near, "left").groupBy("page", "id", F.col("box.x1").alias("x1")).agg(F.min(F.col("o_box.x0") - 4).alias("next"))
+    one = boxes.select("page", "id", "box")
+    strip = lambda df, box, tag: df.select("*", F.explode_outer(_cut(F.col(f"{box}.y0"), F.col(f"{box}.y1"), STRIP)).alias(tag))
+    one, o = strip(one, "box", "strip"), strip(_other(one), "o_box", "o_strip")
+    near = (F.col("page") == F.col("o_page")) & (F.col("strip") == F.col("o_strip")) & (F.col("id") != F.col("o_id")) & (F.col("o_box.x0") >= F.col("box.x1") - 1) & (F.col("o_box.y1") >= F.col("box.y0")) & (F.col("o_box.y0") <= F.col("box.y1"))
+    free = one.join(o, near, "left").groupBy("page", "id", F.col("box.x1").alias("x1")).agg(F.min(F.col("o_box.x0") - 4).alias("next"))
     return free.join(edge, F.col("page") == F.col("e_page")).select("page", "id", F.greatest("x1", F.least("edge", F.lit(page_right - 8), "next")).alias("limit"))
 
 
 def space_below(boxes: DataFrame, page_height: float, most: float = 4.0) -> DataFrame:
     """(page, id, space): free height below a box, at most ``most``."""
-    o = _other(boxes.select("page", "id", "box"))
-    near = (F.col("page") == F.col("o_page")) & (F.col("id") != F.col("o_id")) & (F.col("o_box.y0") >= F.col("box.y1") - 1) & (F.col("o_box.x1") >= F.col("box.x0")) & (F.col("o_box.x0") <= F.col("box.x1"))
-    free = boxes.select("page", "id", "box").join(o, near, "left").groupBy("page", "id", F.col("box.y1").alias("y1")).agg(F.min(F.col("o_box.y0") - 2).alias("next"))
+    one = boxes.select("page", "id", "box")
+    strip = lambda df, box, tag: df.select("*", F.explode_outer(_cut(F.col(f"{box}.x0"), F.col(f"{box}.x1"), STRIP)).alias(tag))
+    one, o = strip(one, "box", "strip"), strip(_other(one), "o_box", "o_strip")
+    near = (F.col("page") == F.col("o_page")) & (F.col("strip") == F.col("o_strip")) & (F.col("id") != F.col("o_id")) & (F.col("o_box.y0") >= F.col("box.y1") - 1) & (F.col("o_box.x1") >= F.col("box.x0")) & (F.col("o_box.x0") <= F.col("box.x1"))
+    free = one.join(o, near, "left").groupBy("page", "id", F.col("box.y1").alias("y1")).agg(F.min(F.col("o_box.y0") - 2).alias("next"))
     return free.select("page", "id", F.greatest(F.lit(0.0), F.least(F.least("next", F.lit(page_height - 4)) - F.col("y1"), F.lit(most))).alias("space"))
 
 
@@ -133,10 +178,10 @@ def ordinals(cells: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def overlaps(boxes: DataFrame, least_width: float = 40.0, least_height: float = 12.0) -> DataFrame:
-    """(page, a, b): boxes of a page that overlap by more than a minimum in both directions."""
-    o = _other(boxes.select("page", "id", "box"))
+    """(page, a, b): boxes of a page that overlap by more than a minimum, not below 0, in both directions."""
     common = G.intersection(F.col("box"), F.col("o_box"))
-    return boxes.join(o, (F.col("page") == F.col("o_page")) & (F.col("id") < F.col("o_id")) & (G.width(common) > least_width) & (G.height(common) > least_height)).select("page", F.col("id").alias("a"), F.col("o_id").alias("b"))
+    met = _meeting(boxes.select("page", "id", "box"), _other(boxes.select("page", "id", "box")), "o")
+    return met.filter((F.col("id") < F.col("o_id")) & (G.width(common) > least_width) & (G.height(common) > least_height)).select("page", F.col("id").alias("a"), F.col("o_id").alias("b"))
 
 
 def clip(boxes: DataFrame, fixed_boxes: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as T
 from ..functions.text import rx
-from . import joins
+from . import joins, ranking
 
 
 def page_class(page: Column, last: Column, words: Column) -> Column:
@@ -79,8 +79,11 @@ def verdict(signals: DataFrame) -> DataFrame:
 def upper_medians(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """(by, middle): the middle value of each group, the upper of two, from counts of equal values; nulls are left out.
 
-    Equal values are counted before they are moved, so a group costs as many rows as it has different values.
+    Equal values are counted before they are moved, so a group costs as many rows as it has different values. Without
+    groups the one median is found by refining a histogram, so no task holds all different values.
     """
+    if not by:
+        return ranking.nth(rows, value).withColumnRenamed(value, "middle")
     counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     group = Window.partitionBy(*by)
     upto = F.sum("_n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
@@ -136,6 +139,10 @@ def spot_check(rows: DataFrame, key: str, k: int = 20) -> DataFrame:
     return rows.orderBy(F.sha2(F.col(key).cast("string"), 256), key).limit(k)
 
 
+#: Characters by which terms without a word between spaces meet words.
+GRAM = 4
+
+
 def page_terms(pages: DataFrame, glossary: DataFrame) -> DataFrame:
     """(page, en, es): glossary rows whose term, or the term less one or two characters, occurs in the page.
 
@@ -150,14 +157,12 @@ def page_terms(pages: DataFrame, glossary: DataFrame) -> DataFrame:
     g = g.withColumn("key", longest(T.find_all(F.col("core"), r"(?<=\s)\S+(?=\s)")))
     keys = g.filter("key is not null")
     rest = g.filter("key is null").drop("key").withColumn("piece", longest(words(F.col("core"))))
-    if not rest.isEmpty():
+    if not rest.isEmpty():  # a word holds a piece if a run of the word's characters is the piece, or its beginning
         vocabulary = pages.select(F.explode(words(t)).alias("key")).distinct()
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("key") - 3)), lambda i: F.substring("key", i, F.lit(4))))
-        long = rest.filter(F.length("piece") >= 4)
-        near = vocabulary.withColumn("gram", F.explode(grams)).join(long, F.col("gram") == F.substring("piece", 1, 4))
-        # pieces of up to three letters, of which a glossary has few
-        short = vocabulary.join(rest.filter(F.length("piece") < 4), F.col("key").contains(F.col("piece")))
-        keys = keys.unionByName(near.filter(F.col("key").contains(F.col("piece"))).unionByName(short, True).select("en", "es", "core", "key").distinct())
+        short = [r["n"] for r in rest.select(F.least(F.length("piece"), F.lit(GRAM)).alias("n")).distinct().collect()]  # lengths up to GRAM
+        gram = F.explode(F.concat(*[T.grams(F.col("key"), n) for n in sorted(short)]))
+        near = vocabulary.withColumn("gram", gram).join(rest, F.col("gram") == F.substring("piece", 1, GRAM))
+        keys = keys.unionByName(near.filter(F.col("key").contains(F.col("piece"))).select("en", "es", "core", "key").distinct())
     keys = keys.withColumnRenamed("key", "_key")
     if joins.is_small(keys):  # nothing is moved: words are met where the text is
         met = pages.select("page", t.alias("_t")).withColumn("_word", F.explode(F.array_distinct(words(F.col("_t"))))).join(F.broadcast(keys), F.col("_word") == F.col("_key"))
@@ -176,9 +181,11 @@ def nearest_forms(glossary: DataFrame, texts: DataFrame, text_col: str = "text",
     """
     phrases = texts.select(F.explode(T.find_all(F.col(text_col), r"[A-ZÁÉÍÓÚÑ][a-záéíóúüñ]*(?:\s+[a-záéíóúüñ]+){0,2}")).alias("form")).distinct()
     g = glossary.select("en", "es", T.search_key(F.col("es")).alias("key")).distinct()
-    piece = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("form") - n + 1)), lambda i: F.substring(F.lower("form"), i, F.lit(n)))
-    pieces = phrases.select("form", F.explode(F.array_distinct(F.concat(*[piece(n) for n in range(1, 7)]))).alias("piece"))
-    met = pieces.join(g, F.col("piece") == F.col("key")).select("en", "es", "form").distinct()
+    lengths = [r["n"] for r in g.select(F.length("key").alias("n")).filter("n > 0").distinct().collect()]  # at most six
+    if not lengths:
+        return g.select("en", "es").distinct().withColumn("forms", F.array().cast("array<string>"))
+    pieces = phrases.select("form", F.explode(F.concat(*[T.grams(F.lower("form"), n) for n in sorted(lengths)])).alias("piece"))
+    met = joins.looked_up(pieces, g, F.col("piece") == F.col("key"), "inner").select("en", "es", "form").distinct()
     first = met.withColumn("_n", F.row_number().over(Window.partitionBy("en", "es").orderBy("form"))).filter(F.col("_n") <= k)
     forms = first.groupBy(F.col("en").alias("_en"), F.col("es").alias("_es")).agg(F.array_sort(F.collect_list("form")).alias("forms"))
     return g.select("en", "es").distinct().join(forms, (F.col("en") == F.col("_en")) & (F.col("es") == F.col("_es")), "left").select("en", "es", F.coalesce("forms", F.array().cast("array<string>")).alias("forms"))

@@ -132,6 +132,11 @@ def upper_median(spark, sf_dir):
     return shape.upper_medians(R.table(spark, sf_dir, "documents"), ["source"], "n_chars")
 
 
+@query("e6_median_of_all", "SELECT list_sort(list(l_extendedprice))[count(*) // 2 + 1] AS middle FROM lineitem")
+def median_of_all(spark, sf_dir):
+    return shape.upper_medians(R.table(spark, sf_dir, "lineitem").select("l_extendedprice"), [], "l_extendedprice")
+
+
 @query("g7_nearest_forms", "WITH f AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-ZÁÉÍÓÚÑ][a-záéíóúüñ]*(?:\\s+[a-záéíóúüñ]+){0,2}')) AS form FROM documents), g AS (SELECT * FROM (VALUES ('a', 'el thonst'), ('b', 'la with'), ('c', 'zzzzzz'), ('d', 'uno ing')) AS g(en, es)), m AS (SELECT en, es, form, row_number() OVER (PARTITION BY en, es ORDER BY form) AS n FROM g JOIN f ON contains(lower(form), string_split(es, ' ')[-1][:6])) SELECT g.en, g.es, coalesce(string_agg(form, '|' ORDER BY form), '') AS forms FROM g LEFT JOIN m ON m.en = g.en AND n <= 4 GROUP BY 1, 2")
 def nearest_forms(spark, sf_dir):
     g = spark.createDataFrame([("a", "el thonst"), ("b", "la with"), ("c", "zzzzzz"), ("d", "uno ing")], "en string, es string")

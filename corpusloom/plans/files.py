@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import gates, rules
-from ..sources import readers, shared, writers
+from ..operators import audit, gates, rules
+from ..sources import named, readers, shared, writers
 from . import relations as R
 from .registry import query
 
@@ -75,6 +75,60 @@ def parsed_rules(spark, sf_dir):
     return spark.createDataFrame(rows, "place int, pattern string, replacement string, reason string")
 
 
+#: Bytes that the audit of written documents hashes at a time: small, so that most of them have several chunks.
+CHUNK = 1024
+
+
+def _written_documents(spark, sf_dir):
+    """Documents as files of a new folder, and the list of them."""
+    root = _folder(spark, "documents")
+    named.write(R.files(spark, sf_dir).select(F.col("path").alias("name"), F.col("content").alias("text")), root)
+    return root, readers.files(spark, root)
+
+
+@query(
+    "i40_hash_cascade",
+    f"WITH {R.FILES} SELECT sha256(content) AS sha256, size_bytes, count(*) AS copies, string_agg(path, ',' ORDER BY path) AS files FROM files WHERE size_bytes > 0 GROUP BY 1, 2 HAVING count(*) > 1",
+)
+def hash_cascade(spark, sf_dir):
+    root, listed = _written_documents(spark, sf_dir)
+    same = audit.copies(audit.cascade(listed, CHUNK))
+    name = F.substring("path", F.lit(len(root.removeprefix("file://")) + 2), F.length("path"))
+    return same.groupBy("sha256", "size_bytes", "copies").agg(F.array_join(F.array_sort(F.collect_list(name)), ",").alias("files"))
+
+
+@query(
+    "a1_unreadable",
+    f"WITH {R.FILES}, s AS (SELECT size_bytes FROM files GROUP BY 1 HAVING count(*) > 1) SELECT doc_id % 7 = 0 AS lost, count(*) AS files FROM documents WHERE strlen(text) > 0 AND strlen(text) IN (SELECT size_bytes FROM s) GROUP BY 1",
+)
+def unreadable(spark, sf_dir):
+    """Files that are gone when they are opened come out beside the others, with the reason."""
+    root, listed = _written_documents(spark, sf_dir)
+    gone = F.regexp_extract("path", r"(\d+)\.[^/]*$", 1).cast("long") % 7 == 0
+    moved = listed.withColumn("path", F.when(gone, F.concat("path", F.lit(".gone"))).otherwise(F.col("path")))
+    return audit.cascade(moved, CHUNK).groupBy((F.col("error") == "FileNotFoundError").alias("lost")).agg(F.count("*").alias("files")).withColumn("lost", F.coalesce("lost", F.lit(False)))
+
+
+@query("a15_page_range", "SELECT doc_id::INTEGER AS page, sha256(coalesce(text, '')) AS sha256 FROM documents WHERE doc_id >= 100")
+def page_range(spark, sf_dir):
+    """Documents written as page files; a range of pages is read, the files before it aren't opened."""
+    d = R.table(spark, sf_dir, "documents")
+    root = _folder(spark, "pages")
+    named.write(d.select(F.concat(F.lit("pag-"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".txt")).alias("name"), "text"), root)
+    return named.read(spark, root, first=100).select("page", F.sha2("text", 256).alias("sha256"))
+
+
+@query("b8_export", "SELECT source || '/' || lang || '/' || doc_id || '.json' AS name, doc_id, coalesce(text, '') AS text FROM documents")
+def export(spark, sf_dir):
+    """Every document as a named JSON file, published together, and read back."""
+    d = R.table(spark, sf_dir, "documents")
+    root = _folder(spark, "export")
+    name = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".json")))
+    named.write(d.select(name.alias("name"), F.to_json(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"))).alias("text")), root)
+    read = named.read(spark, root).select("name", F.from_json("text", "doc_id long, text string").alias("j"))
+    return read.select("name", "j.doc_id", "j.text")
+
+
 @query("a8_overrides", "SELECT CAST(s_suppkey AS VARCHAR) AS page, unnest(['b1', 'b' || s_nationkey]) AS block FROM supplier WHERE s_suppkey % 3 > 0")
 def overrides(spark, sf_dir):
     s = R.table(spark, sf_dir, "supplier")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import named
+
 
 def json_report(df: DataFrame, path: str) -> None:
     """One JSON value per row, keys in order."""
@@ -24,29 +23,9 @@ def pages(df: DataFrame, path: str, key: str = "page") -> None:
     df.repartition(key).write.partitionBy(key).mode("overwrite").option("partitionOverwriteMode", "dynamic").json(path)
 
 
-def page_files(df: DataFrame, path: str, name: str = "name", text: str = "text") -> int:
-    """Write one file per row under ``path``, named by ``name``; returns their number.
-
-    A file appears under its name only when it is whole; one that is there is replaced, others stay. For a store of
-    :func:`pyarrow.fs.FileSystem.from_uri`.
-    """
-    from pyarrow.fs import FileSystem
-
-    uri = path if "://" in path else f"file://{path}"
-
-    def run(batches):
-        fs, base = FileSystem.from_uri(uri)
-        for batch in batches:
-            for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                target = f"{base}/{n}"
-                fs.create_dir(target.rpartition("/")[0], recursive=True)
-                part = f"{target}.{uuid.uuid4().hex}.part"
-                with fs.open_output_stream(part) as f:
-                    f.write((t or "").encode("utf-8", "surrogatepass"))
-                fs.move(part, target)
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
-
-    return df.select(F.col(name).cast("string"), F.col(text).cast("string")).mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+def page_files(df: DataFrame, path: str, name: str = "name", text: str = "text") -> None:
+    """One file per row under ``path``, named by ``name``; they appear together, or none does (:mod:`named`)."""
+    named.write(df, path, name, text)
 
 
 def table(df: DataFrame, path: str, sep: str = ",") -> None:
