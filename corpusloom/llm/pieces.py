@@ -4,9 +4,10 @@ Text is read position by position. At each position the best way to reach it is
 positions within the longest piece can still be extended, so they are the window. Whenever the backpointer paths of
 all positions in the window meet in one boundary, the ids before it are final: they are given out and forgotten.
 
-A whole text goes through one stream. Where no piece of a model goes on after white space, no path crosses the beginning
-of a word, so all surviving paths meet there: the stream commits the word, and the lattice begins anew with the next.
-The ids of a stretch between two such boundaries depend on it alone; those of stretches seen before are kept.
+A whole text goes through one stream. Where no piece of a model goes on after white space, no piece that goes on beyond
+the beginning of a word begins before it, so one path survives there: the stream commits the word, and the lattice goes
+on with the next, holding nothing. What it commits between two such boundaries depends on the word alone, so words that
+it has passed are looked up the next time.
 
 Unigram models take the path with the largest sum of scores (Viterbi). For BPE models the sum of scores would give
 other ids than the library's merges; there a piece may follow another only if merging the two pieces' joint text
@@ -41,6 +42,7 @@ class Pieces:
         self._lowest = min((s for _, s in scores.values()), default=0.0) - 10.0
         self._words: dict[str, bytes] = {}
         self._parts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+        self._crossed = re.compile(f"[^{SPACE}]{SPACE}").search
         self._rows: dict[str, dict[str, bool | str]] = {}  # of each piece, which pieces may follow; "" is the piece
         self._pairs = 0
         self._lefts: dict[str, list] = {}
@@ -147,47 +149,61 @@ class Pieces:
             row = self._rows[piece] = {"": piece}
         return row
 
-    def stretches(self, text: str) -> list[str]:
-        """An escaped text cut where all paths must meet: before words, if pieces never cross into one."""
-        return self._parts(text) if self.words_part else [text]
-
     def stream(self, text: str) -> Iterator[str]:
         """The pieces of a whole escaped text, given out as soon as they are final."""
-        for stretch in self.stretches(text):
-            yield from self._lattice(stretch)
+        at = 0
+        while at < len(text):
+            for at, final in self.committed(text, at):  # noqa: B020
+                yield from final
 
     def commits(self, text: str) -> Iterator[bytes]:
-        """The ids of a whole escaped text, in the stretches in which the stream commits them, as packed 32-bit integers."""
-        words = self._words
-        for stretch in self.stretches(text):
-            ids = words.get(stretch)
-            if ids is None:
-                ids = np.array(self._ids(self._lattice(stretch)), np.int32).tobytes()
-                if len(stretch) <= MAX_WORD:
+        """The ids of a whole escaped text, as packed 32-bit integers, in the order in which the stream commits them.
+
+        Where a word begins, the lattice holds nothing, so what it commits up to the next such place depends on the
+        word alone: words that it has passed before are looked up. One that it passes must end where the word does.
+        """
+        words, parts = self._words, self._parts(text) if self.words_part else [text]
+        at = last = 0
+        for k, ids in enumerate([words.get(word) for word in parts]):
+            if ids is None and (ids := words.get(parts[k])) is None:
+                at += sum(map(len, parts[last:k]))
+                word, last, end, found = parts[k], k, at, []
+                for end, final in self.committed(text, at):  # noqa: B020
+                    found += final
+                if end != at + len(word):
+                    raise AssertionError("paths met elsewhere than where a word begins")
+                ids = np.array(self._ids(found), np.int32).tobytes()
+                if len(word) <= MAX_WORD:
                     if len(words) >= MAX_WORDS:
                         words.clear()
-                    words[stretch] = ids
+                    words[word] = ids
             yield ids
 
-    def _lattice(self, text: str) -> Iterator[str]:
-        """The pieces of one stretch, position by position, given out whenever all paths in the window meet."""
+    def committed(self, text: str, start: int = 0) -> Iterator[tuple[int, list[str]]]:
+        """Boundaries in which all surviving paths meet, each with the pieces that are final there, from ``start``, where
+        the text or a word begins, up to the first boundary that no piece crosses: the end or the next word.
+
+        A path survives while a later piece can begin where it ends. These places are the window: as many as the longest
+        piece has characters, or, before the beginning of a word, this place alone.
+        """
         reach = self._reach_merged if self.merges else self._reach_best
-        start, check = 0, 2 * self.longest
+        check = start + 2 * self.longest
         back = [0]  # for each position since the last final boundary, where its last piece begins
         state: list = [None if self.merges else 0.0]  # what may follow the path to it, or the path's sum of scores
-        for j in range(1, len(text) + 1):
+        ends = self._crossed(text, start) if self.words_part else None
+        stop = ends.start() + 1 if ends else len(text)  # here one path survives
+        for j in range(start + 1, stop + 1):
             i, now = reach(text, start, j, state)
             back.append(i - start)
             state.append(now)
-            if j - start >= check:
-                cut = self._meeting(back, max(0, j - start + 1 - self.longest))
+            if j == stop or j >= check:
+                cut = self._meeting(back, j - start if j == stop else max(0, j - start + 1 - self.longest))
                 if cut:
-                    yield from self._path(text, start, back, cut)
+                    yield start + cut, self._path(text, start, back, cut)
                     start += cut
                     back = [0] + [b - cut for b in back[cut + 1 :]]
                     state = state[cut:]
-                check = j - start + 2 * self.longest
-        yield from self._path(text, start, back, len(text) - start)
+                check = j + 2 * self.longest
 
     def _reach_merged(self, text: str, start: int, j: int, state: list) -> tuple[int, dict]:
         """The one piece ending at ``j`` that may follow the last piece of the path to its beginning."""

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import pytest
 
@@ -55,6 +56,33 @@ def test_stream_gives_pieces_before_the_end(vocabulary):
     assert seen and len("".join(seen)) < len(text)
 
 
+def test_commits_come_from_convergence(vocabulary, library):
+    """Every word ends with a commit of the lattice, and only long words have others; looked-up words change nothing."""
+    rng = random.Random(6)
+    letters = "aaabbtheron   \n.é日xX01🙂"
+    for text in ["".join(rng.choices(letters, k=rng.randrange(1, 400))) for _ in range(200)] + ["the quick  brown " + "f0x/" * 100 + " jumps", " ", "  ", "end   "]:
+        escaped = "▁" + text.replace(" ", "▁")
+        words = [m.end() for m in re.finditer("▁*[^▁]+|▁+", escaped)]
+        ends, meetings, at, pieces_of, meeting = [], [], 0, [], vocabulary._meeting
+
+        def counted(back, first):
+            meetings.append(first)
+            return meeting(back, first)
+
+        vocabulary._meeting = counted
+        while at < len(escaped):
+            for at, final in vocabulary.committed(escaped, at):
+                ends.append(at)
+                pieces_of += final
+        del vocabulary._meeting
+        assert set(words) <= set(ends) and len(ends) == len(set(ends)) and len(meetings) >= len(ends)
+        if max(b - a for a, b in zip([0, *words], words)) < 2 * vocabulary.longest:
+            assert ends == words
+        assert "".join(pieces_of) == escaped and vocabulary._ids(pieces_of) == library.encode(text)
+        vocabulary._words.clear()
+        assert [x for _ in range(2) for x in [b"".join(vocabulary.commits(escaped))]] == [vocabulary.encode(text).tobytes()] * 2
+
+
 def test_unigram_takes_the_best_path():
     rng = random.Random(4)
     scores = {p: (i, rng.uniform(-8, -1)) for i, p in enumerate(["a", "b", "c", "ab", "bc", "abc", "ca", "aa", "cab", "bb"])}
