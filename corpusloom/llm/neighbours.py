@@ -8,7 +8,7 @@ precision.
 A pair just at cosine 0.98 is 11.5 degrees apart, about 4 of 64 bits, and escapes all four tables with a probability
 of about half a percent; closer pairs with less. Where vectors have a large mean in common, pairs are farther apart
 once that is taken away; invented pairs at the threshold show how many the tables would miss, and as long as that is
-more than ``MISS``, codes of one more rotation are added.
+more than ``MISS``, codes of one more rotation are added. Where ``ROTATIONS`` don't suffice, all pairs are compared.
 
 In a cell of more than one block, the vectors within half the threshold's angle of its first one are the cell's core:
 they all link with each other, so no pair of them is ever formed, however many they are.
@@ -29,6 +29,8 @@ BITS, TABLES, WIDTH = 64, 4, 16
 SAMPLE, STEPS, RADIUS, BLOCK = 20_000, 50, 18, 512
 #: Share of invented pairs at the threshold that may be missed before a rotation is added, and most rotations.
 MISS, ROTATIONS = 0.01, 6
+#: Blocks that a block is compared with in one task.
+FOLLOWERS = 256
 
 
 class Rotation:
@@ -90,10 +92,12 @@ def missed(rotations: list[Rotation], sample: np.ndarray, threshold: float, radi
     return 1.0 - float(met.mean())
 
 
-def rotations_of(sample: np.ndarray, threshold: float, radius: int = RADIUS, seed: int = 0, most: int = ROTATIONS) -> list[Rotation]:
-    """One rotation, and more while invented pairs at the threshold are missed too often."""
+def rotations_of(sample: np.ndarray, threshold: float, radius: int = RADIUS, seed: int = 0, most: int = ROTATIONS) -> list[Rotation] | None:
+    """One rotation, and more while invented pairs at the threshold are missed too often; none if ``most`` don't suffice."""
     out = [fit(sample, seed)]
-    while len(out) < most and sample.shape[1] > 1 and len(sample) and missed(out, sample, threshold, radius, seed) > MISS:
+    while sample.shape[1] > 1 and len(sample) and missed(out, sample, threshold, radius, seed) > MISS:
+        if len(out) == most:
+            return None
         out.append(fit(sample, seed + len(out)))
     return out
 
@@ -151,16 +155,22 @@ def _members(cell) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _rerank(threshold: float, rotation: int, radius: int):
-    """For each pair of blocks: the multiplicity of the links of each vector (b null), and a forest of the links.
+    """For each left block and those that follow it: the multiplicity of the links of each vector (b null), and a forest
+    of the links.
 
-    Pairs that an earlier rotation has brought together were counted there.
+    A left block comes first (``turn`` 0) and is held while the blocks that it is compared with pass; one that is null
+    is the left block itself. Pairs that an earlier rotation has brought together were counted there.
     """
 
     def run(batches):
+        left = None
         for batch in slices(batches, 1):
-            same = batch.column(0)[0].as_py()
-            rows_a, many_a, x, codes_a = _members(batch.column(1)[0])
-            rows_b, many_b, y, codes_b = (rows_a, many_a, x, codes_a) if same else _members(batch.column(2)[0])
+            if batch.column("turn")[0].as_py() == 0:
+                left = _members(batch.column("members")[0])
+                continue
+            rows_a, many_a, x, codes_a = left
+            same = not batch.column("members")[0].is_valid
+            rows_b, many_b, y, codes_b = left if same else _members(batch.column("members")[0])
             i, j = np.nonzero(x @ y.T >= threshold)
             if same:
                 i, j = i[i < j], j[i < j]
@@ -179,6 +189,40 @@ def _rerank(threshold: float, rotation: int, radius: int):
     return run
 
 
+def _compared(blocks: DataFrame, met: DataFrame, threshold: float, rotation: int, radius: int) -> DataFrame:
+    """What :func:`_rerank` finds among pairs of blocks (label_a, code_a, core_a, no_a, code_b, core_b, no_b, same).
+
+    Only the second block of a pair is sent for each pair. The first one is sent once for every ``FOLLOWERS`` pairs, so
+    that one which is compared with very many isn't a single task's.
+    """
+    key = ["label_a", "code_a", "core_a", "no_a"]
+    many = met.groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(F.ceil(F.count("*") / FOLLOWERS).cast("int").alias("shares"))
+    at = lambda s: (F.col("label_a") == F.col(f"l_{s}")) & (F.col(f"code_{s}") == F.col(f"d_{s}")) & (F.col(f"core_{s}") == F.col(f"k_{s}")) & (F.col(f"no_{s}") == F.col(f"n_{s}"))
+    full = lambda s: blocks.select(F.col("label").alias(f"l_{s}"), F.col("code").alias(f"d_{s}"), F.col("core").alias(f"k_{s}"), F.col("no").alias(f"n_{s}"), F.col("members").alias(f"m_{s}"))
+    own = [F.col(c) == F.col(f"_{c}") for c in key]
+    share = F.pmod(F.xxhash64("code_b", "core_b", "no_b"), F.col("shares")).cast("int").alias("share")
+    pairs = met.join(many, own).select(*key, "code_b", "core_b", "no_b", "same", share)
+    lead = many.select(*[F.col(f"_{c}").alias(c) for c in key], F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")).join(full("a"), at("a")).select(*key, "share", F.lit(0).alias("turn"), F.col("m_a").alias("members"))
+    alone = pairs.filter("same").select(*key, "share", F.lit(1).alias("turn"), F.lit(None).cast(blocks.schema["members"].dataType).alias("members"))
+    others = pairs.filter("NOT same").join(full("b"), at("b")).select(*key, "share", F.lit(1).alias("turn"), F.col("m_b").alias("members"))
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*key, "share"]
+    return lead.unionByName(alone).unionByName(others).repartition(n, *order).sortWithinPartitions(*order, "turn").select("turn", "members").mapInArrow(_rerank(threshold, rotation, radius), "a long, b long, n long")
+
+
+def _exact(coded: DataFrame, threshold: float, block: int) -> DataFrame:
+    """As :func:`_linked`, of all pairs of vectors of a label, block against block: for where codes can't tell."""
+    sized = coded.groupBy(F.col("label").alias("l")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    dealt = lookup_join(coded, sized, F.col("label") == F.col("l"), "inner").withColumn("no", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    member = F.struct("row", "copies", "vector", F.slice("codes", 1, 0).alias("codes"))
+    blocks = written(dealt.groupBy("label", "no").agg(F.collect_list(member).alias("members")).withColumns({"code": F.lit(0).cast("long"), "core": F.lit(False)}), "blocks")
+    numbers = blocks.select("label", "no")
+    pairs = numbers.select(F.col("label").alias("label_a"), F.col("no").alias("no_a")).join(numbers.select("label", F.col("no").alias("no_b")), (F.col("label_a") == F.col("label")) & (F.col("no_a") <= F.col("no_b")))
+    zero, no = F.lit(0).cast("long"), F.lit(False)
+    met = pairs.select("label_a", zero.alias("code_a"), no.alias("core_a"), "no_a", zero.alias("code_b"), no.alias("core_b"), "no_b", (F.col("no_a") == F.col("no_b")).alias("same"))
+    return written(_compared(blocks, met, threshold, 0, 0), "links")
+
+
 def _encoder(fitted: dict[int, list[Rotation]], seed: int):
     """Kind (length and label), codes and bytes of vectors, those of one length together."""
 
@@ -271,11 +315,7 @@ def _linked(coded: DataFrame, rotation: int, threshold: float, radius: int, bloc
         null, zero = F.lit(None).cast("long").alias("b"), F.lit(0).cast("long").alias("n")
         out += [inside.select(F.col("row").alias("a"), null, "n"), inside.filter("row <> k_least").select(F.col("row").alias("a"), F.col("k_least").alias("b"), zero), linked.select(F.col("least_a").alias("a"), F.col("least_b").alias("b"), zero)]
 
-    full = lambda s: blocks.select(F.col("label").alias(f"l_{s}"), F.col("code").alias(f"d_{s}"), F.col("core").alias(f"k_{s}"), F.col("no").alias(f"n_{s}"), F.col("members").alias(f"m_{s}"))
-    at = lambda s: (F.col("label_a") == F.col(f"l_{s}")) & (F.col(f"code_{s}") == F.col(f"d_{s}")) & (F.col(f"core_{s}") == F.col(f"k_{s}")) & (F.col(f"no_{s}") == F.col(f"n_{s}"))
-    both = met.join(full("a"), at("a")).join(full("b"), at("b"))
-    found = both.select("same", "m_a", F.when(~F.col("same"), F.col("m_b")).alias("m_b")).mapInArrow(_rerank(threshold, rotation, radius), "a long, b long, n long")
-    out.append(written(found, "links"))
+    out.append(written(_compared(blocks, met, threshold, rotation, radius), "links"))
     forget(counted)
     return out
 
@@ -298,7 +338,20 @@ def _decided(angle: float):
     return run
 
 
-def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, radius: int = RADIUS, sample: int = SAMPLE, block: int = BLOCK, seed: int = 0) -> DataFrame:
+def _sampled(single: DataFrame, most: int) -> dict[int, np.ndarray]:
+    """Unit vectors by length, ``most`` of them at most, first by hash; they come as Arrow, not as Python's numbers."""
+    out: dict[int, list[np.ndarray]] = {}
+    lists = single.orderBy("digest").limit(most).select("v").toArrow().column("v")
+    for chunk in lists.chunks:
+        at, values = chunk.offsets.to_numpy(), chunk.values.to_numpy(zero_copy_only=False)
+        for size in np.unique(np.diff(at)).tolist():
+            own = np.flatnonzero(np.diff(at) == size)
+            out.setdefault(size, []).append(values[at[own][:, None] + np.arange(size)])
+    whole = {size: np.concatenate(found).astype(np.float64) for size, found in out.items()}
+    return {size: x / np.linalg.norm(x, axis=1, keepdims=True) for size, x in whole.items()}
+
+
+def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, radius: int = RADIUS, sample: int = SAMPLE, block: int = BLOCK, seed: int = 0, exact: bool = False) -> DataFrame:
     """One row per input row: id, n_links (other vectors linked directly), component (smallest id reachable).
 
     Vectors link if their labels are equal and not null and their cosine in double precision is ``threshold`` or
@@ -306,6 +359,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     with nothing. Copies are counted as one vector with a multiplicity and so never paired; vectors of different
     length never link. Repeated ids are vectors of their own, other columns don't matter, and an empty table gives an
     empty table. The rotation is fitted on ``sample`` vectors, first by hash; every vector is indexed.
+
+    With ``exact``, and for vectors of a length for which ``ROTATIONS`` rotations still miss more than ``MISS`` of the
+    invented pairs, all pairs of a label are compared, block against block: no link is lost, at a quadratic cost.
     """
     v = F.col(vector_col).cast("array<double>")
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
@@ -322,18 +378,20 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     classes = written(usable.groupBy("digest").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies")), "classes")
     single = usable.join(classes.select(F.col("first.row").alias("first_row"), "copies"), F.col("row") == F.col("first_row")).select("label", "row", "copies", "v", "digest")
     single = written(single, "single")
-    chosen = single.orderBy("digest").limit(sample).select("v").collect()  # at most ``sample`` vectors
-    by_size: dict[int, list] = {}
-    for r in chosen:
-        by_size.setdefault(len(r["v"]), []).append(r["v"])
-    fitted = {}
-    for size, found in by_size.items():
-        x = np.array(found, np.float64)
-        fitted[size] = rotations_of(x / np.linalg.norm(x, axis=1, keepdims=True), threshold, radius, seed)
+    fitted, unfit = {}, []
+    for size, vectors in _sampled(single, 0 if exact else sample).items():
+        some = rotations_of(vectors, threshold, radius, seed)
+        if some is None:
+            unfit.append(size)
+        else:
+            fitted[size] = some
     coded = written(single.select("label", "row", "copies", "v").mapInArrow(_encoder(fitted, seed), "label string, row long, copies long, codes array<long>, vector binary"), "codes")
     forget(single)
 
-    found = [t for r in range(max([1, *map(len, fitted.values())])) for t in _linked(coded, r, threshold, radius, block)]
+    plain = F.lit(True) if exact else F.substring_index("label", ":", 1).cast("int").isin(unfit) if unfit else F.lit(False)
+    found = [] if exact else [t for r in range(max([1, *map(len, fitted.values())])) for t in _linked(coded.filter(~plain) if unfit else coded, r, threshold, radius, block)]
+    if exact or unfit:
+        found.append(_exact(coded.filter(plain), threshold, block))
     both = found[0]
     for t in found[1:]:
         both = both.unionByName(t)

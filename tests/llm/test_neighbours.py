@@ -84,3 +84,19 @@ def test_other_lengths(spark, d):
     links, _ = brute(rows)
     got = {r["id"]: r["n_links"] for r in neighbours.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert sum(got.values()) >= 0.9 * sum(links.values())
+
+
+def test_all_pairs_where_codes_cannot_tell(spark, monkeypatch):
+    """A mean so large that six rotations still miss pairs: nothing is lost, as in exact mode."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((40, 32))
+    rows = [(i, [float(x) for x in np.float32(centres[rng.integers(40)] * 0.2 + 6 + rng.standard_normal(32) * 1.1)], int(rng.integers(2)), "x", 1) for i in range(500)]
+    x = np.array([v for _, v, *_ in rows])
+    assert neighbours.rotations_of(x / np.linalg.norm(x, axis=1, keepdims=True), 0.98) is None
+    links, top = brute(rows)
+    assert sum(links.values()) > 200
+    monkeypatch.setattr(neighbours, "FOLLOWERS", 2)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for some in (neighbours.near_duplicates(df, block=64), neighbours.near_duplicates(df, block=64, exact=True)):
+        got = {r["id"]: (r["n_links"], r["component"]) for r in some.collect()}
+        assert got == {i: (links[i], top[i]) for i in links}
