@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.text import rx
+from ..sources import shared
 from . import joins
 
 
@@ -111,6 +112,30 @@ def update_progress(progress: DataFrame, changes: DataFrame, key: str, column: s
     return out.select(*[F.coalesce(F.col(key), F.col("_k")).alias(key) if n == key else F.coalesce(F.col("_v"), F.col(column)).alias(column) if n == column else F.col(n) for n in progress.columns])
 
 
+def write_keyed(rows: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """A table that :func:`update_in_place` can change: a folder for each bucket of keys."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    rows.select("*", bucket).repartition(buckets, "bucket").write.partitionBy("bucket").parquet(path)
+
+
+def update_in_place(spark: SparkSession, path: str, changes: DataFrame, key: str, column: str, schema: str, buckets: int = 64) -> DataFrame:
+    """Set ``column`` of the rows of a keyed table that ``changes`` (key, column) names, adding those it lacks.
+
+    Only the buckets of changed keys are read and written anew; Spark swaps them in when all of them are written. The
+    same changes again give the same table, so a run that was broken off is begun again. Of several changes of a key the
+    largest holds; null keys are left out. Returns the table.
+    """
+    table = lambda: spark.read.schema(f"{schema}, bucket int").parquet(path)
+    own = changes.filter(F.col(key).isNotNull()).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    touched = sorted(r["_bucket"] for r in own.select("_bucket").distinct().collect())  # at most ``buckets``
+    if touched:
+        new = update_progress(table().filter(F.col("bucket").isin(touched)).drop("bucket"), own.drop("_bucket"), key, column)
+        new = shared.written(new, "updated")  # what is read is about to be replaced
+        dealt = new.select("*", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")).repartition(len(touched), "bucket")
+        dealt.write.partitionBy("bucket").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    return table().drop("bucket")
+
+
 def shared_misses(lines: DataFrame, glossary: DataFrame, line_col: str = "line") -> DataFrame:
     """(term, wanted, target) of glossary terms that lines of page checks name as missing.
 

@@ -6,18 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Options of a control record that have a meaning here, with their types.
+OPTIONS = (("t", "string"), ("type", "string"), ("dropcap", "string"), ("extiende", "string"), ("size", "double"), ("caja", "array<double>"), ("lineas", "int"), ("centrado", "boolean"), ("alin", "string"))
+
+
+def option(record: Column, path: str, kind: str) -> Column:
+    """A value inside an open record (VARIANT) by its path; null where it is missing or of another kind."""
+    return F.try_variant_get(record, path, kind)
+
+
 def values(translations: DataFrame, json_col: str = "value") -> DataFrame:
-    """Normalise (page, block, value JSON text) to (page, block, kind, t, opts).
+    """Normalise (page, block, value JSON text) to (page, block, kind, t, opts, record).
 
     kind: ``keep`` for null, ``erase`` for "~", ``text`` for a string, ``control`` for an object with its text and
-    options. A block without a row is absent: joins leave its kind null.
+    options. ``opts`` holds the known options, ``record`` (VARIANT) the whole object, whatever keys it has, at any depth.
+    An option of another type than its own is null; text that is no JSON is taken as it stands. A block without a row is
+    absent: joins leave its kind null.
     """
     v = F.col(json_col)
     is_object, is_null = F.trim(v).startswith("{"), v.isNull() | (F.trim(v) == "null")
     plain = F.when(F.trim(v).startswith('"'), F.get_json_object(F.concat(F.lit('{"x":'), v, F.lit("}")), "$.x")).otherwise(v)
-    opts = F.from_json(v, "t string, type string, dropcap string, extiende string, size double, caja array<double>, lineas int, centrado boolean, alin string")
-    kind = F.when(is_null, "keep").when(is_object, "control").when(plain == "~", "erase").otherwise("text")
-    return translations.select("page", "block", kind.alias("kind"), F.when(is_object, opts.getField("t")).when(is_null, None).otherwise(plain).alias("t"), F.when(is_object, opts).alias("opts"))
+    record = F.when(is_object, F.try_parse_json(v))
+    read = translations.select("page", "block", v.alias("_v"), is_object.alias("_object"), is_null.alias("_null"), plain.alias("_plain"), record.alias("record"))
+    opts = F.struct(*[option(F.col("record"), f"$.{name}", kind).alias(name) for name, kind in OPTIONS])
+    kind = F.when(F.col("_null"), "keep").when(F.col("_object"), "control").when(F.col("_plain") == "~", "erase").otherwise("text")
+    t = F.when(F.col("_object"), option(F.col("record"), "$.t", "string")).when(F.col("_null"), None).otherwise(F.col("_plain"))
+    return read.select("page", "block", kind.alias("kind"), t.alias("t"), F.when(F.col("_object"), opts).alias("opts"), "record")
 
 
 def blocks_and_phrases(blocks: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -26,8 +40,8 @@ def blocks_and_phrases(blocks: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 def joined(source: DataFrame, target: DataFrame, overrides: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    """(page, block, source, kind, t, opts); ``overrides`` (page, block) are left out. ``left`` keeps absent blocks."""
-    t = target.select(F.col("page").alias("_p"), F.col("block").alias("_b"), "kind", "t", "opts")
+    """(page, block, source, kind, t, opts, and record where there is one); ``overrides`` (page, block) are left out. ``left`` keeps absent blocks."""
+    t = target.select(F.col("page").alias("_p"), F.col("block").alias("_b"), "kind", "t", "opts", *[c for c in ("record",) if c in target.columns])
     out = source.join(t, (F.col("page") == F.col("_p")) & (F.col("block") == F.col("_b")), how).drop("_p", "_b")
     return without(out, overrides) if overrides is not None else out
 

@@ -6,6 +6,8 @@ A translator is any object with ``translate(batch: dict[str, str]) -> dict[str,
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -14,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from . import detectors, gates
+from ..sources import shared
+from . import detectors, gates, joins
 
 
 class Translator(Protocol):
@@ -93,6 +96,33 @@ def with_cache(rows: DataFrame, cache: DataFrame, make: Callable[[], Translator]
     return known.select(text, "result").unionByName(request(asked, make, "key", "_source", **how).select(F.col("key").alias(text), "result"))
 
 
+def with_store(rows: DataFrame, store: str, make: Callable[[], Translator], text: str = "text", rounds: int = 8, **how) -> DataFrame:
+    """(text, result): answers from the folder ``store``, to which those that it lacks are first added.
+
+    Sources are asked for once each, in ``rounds`` parts by their digest, and each part's answers are appended as soon as
+    they are there: a run that is broken off, or a later one, asks only for what the store lacks. A null text counts as
+    empty. Unanswered sources aren't stored and have a null result. Of answers to one source that two runs have stored
+    the first by time and name of its run holds.
+    """
+    spark = rows.sparkSession
+    schema = "digest string, result string, run string"
+    stored = lambda: spark.read.schema(schema).parquet(store) if shared.exists(spark, store) else spark.createDataFrame([], schema)
+    source = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    wanted = rows.select(source.alias("_source")).distinct().select("_source", F.sha2("_source", 256).alias("digest"))
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    known = lambda: stored().select(F.col("digest").alias("_d"))
+    missing = shared.written(joins.looked_up(wanted, known().distinct(), F.col("digest") == F.col("_d"), "left_anti"), "asked")
+    part = F.pmod(F.xxhash64("digest"), F.lit(rounds))
+    for r in range(rounds):
+        here = missing.filter(part == r)
+        if here.isEmpty():
+            continue
+        got = request(here.select("digest", "_source"), make, "digest", "_source", **how).filter("result IS NOT NULL")
+        got.select("digest", "result", F.lit(run).alias("run")).write.mode("append").parquet(store)
+    answers = stored().groupBy(F.col("digest").alias("_d")).agg(F.min_by("result", "run").alias("result"))
+    return wanted.join(answers, F.col("digest") == F.col("_d"), "left").select(F.col("_source").alias(text), "result")
+
+
 def all_or_nothing(answers: DataFrame, group: str, source: str = "text", target: str = "result") -> DataFrame:
     """(group, accepted): groups of which every answer is there and keeps its numbers."""
     good = F.col(target).isNotNull() & (F.trim(target) != "") & (T.digits_sorted(F.col(source)) == T.digits_sorted(F.col(target)))

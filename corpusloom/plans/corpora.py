@@ -260,6 +260,41 @@ def with_cache(spark, sf_dir):
     return translate.with_cache(b, cache, lambda: translate.GlossaryTranslator({}))
 
 
+_ASKED = "regexp_replace(regexp_replace(coalesce(text, ''), '(?i)\\bthat\\b', 'eso', 'g'), '(?i)\\bthe\\b', 'la', 'g')"
+
+
+@query("k5_store", f"SELECT sha256(t) AS source, sha256(r) AS result, r = r2 AS same FROM (SELECT DISTINCT coalesce(text, '') AS t, trim({_ASKED}) AS r, trim({_ASKED}) AS r2 FROM conversations) WHERE r <> ''")
+def durable_answers(spark, sf_dir):
+    """Every text of the conversations answered once; the second run, whose model can't answer, asks for nothing."""
+    rows = R.table(spark, sf_dir, "conversations").select("text")
+    store = shared.scratch(spark, "answers")
+    first = translate.with_store(rows, store, lambda: translate.GlossaryTranslator({"the": "la", "that": "eso"}))
+    again = translate.with_store(rows, store, lambda: None).select(F.col("text").alias("t"), F.col("result").alias("r"))
+    both = first.join(again, F.col("text") == F.col("t")).filter("result IS NOT NULL")
+    return both.select(F.sha2("text", 256).alias("source"), F.sha2("result", 256).alias("result"), (F.col("result") == F.col("r")).alias("same"))
+
+
+@query("c18_open_options", "SELECT doc_id AS block, CASE WHEN text IS NULL THEN 'keep' ELSE 'replace with options' END AS action, sha256(text) AS text, CASE WHEN text IS NULL THEN 9.0 ELSE n_chars / 2.0 END AS size, CASE WHEN text IS NOT NULL THEN lang END AS language, CASE WHEN text IS NOT NULL THEN n_chars::INTEGER END AS second FROM documents WHERE text IS NULL OR trim(text) <> ''")
+def open_options(spark, sf_dir):
+    """Whole documents as control records with an option that nothing knows, of which inner values are read."""
+    d = R.table(spark, sf_dir, "documents").filter("text IS NULL OR trim(text) <> ''")
+    new = F.struct(F.col("lang").alias("idioma"), F.array(F.lit(1).cast("long"), F.col("n_chars")).alias("partes"))
+    value = F.when(F.col("text").isNotNull(), F.to_json(F.struct(F.col("text").alias("t"), (F.col("n_chars") / 2).alias("size"), new.alias("nuevo"))))
+    values = pairs.values(d.select(F.lit(1).alias("page"), F.col("doc_id").alias("block"), value.alias("value")))
+    done = pairs.dispatch(values.withColumn("box", F.array(F.lit(0.0))).withColumn("size", F.lit(9.0)))
+    return done.select("block", "action", F.sha2("t", 256).alias("text"), "size", pairs.option(F.col("record"), "$.nuevo.idioma", "string").alias("language"), pairs.option(F.col("record"), "$.nuevo.partes[1]", "int").alias("second"))
+
+
+@query("b6_update_in_place", "SELECT client_id, CASE WHEN n IS NOT NULL THEN n ELSE city END AS city FROM clients LEFT JOIN (SELECT client_id AS c, max(city) AS n FROM client_changes WHERE city IS NOT NULL AND client_id IN (SELECT client_id FROM clients) GROUP BY 1) ON client_id = c WHERE client_id IS NOT NULL")
+def keyed_update(spark, sf_dir):
+    """The clients' table with the cities that changes name, only the touched buckets written anew."""
+    clients = R.table(spark, sf_dir, "clients").filter("client_id IS NOT NULL").select("client_id", "city")
+    path = shared.scratch(spark, "clients")
+    gates.write_keyed(clients, path, "client_id")
+    changes = R.table(spark, sf_dir, "client_changes").filter("city IS NOT NULL").select("client_id", "city").join(clients.select(F.col("client_id").alias("c")).distinct(), F.col("client_id") == F.col("c"), "left_semi")
+    return gates.update_in_place(spark, path, changes, "client_id", "city", "client_id long, city string")
+
+
 @query("i43_box_measures", f"WITH {R.BOXES} SELECT page, id, (x1 - x0) * (y1 - y0) AS area, (x0 + x1) / 2 AS cx FROM boxes")
 def box_measures(spark, sf_dir):
     return R.boxes(spark, sf_dir).select("page", "id", G.area(F.col("box")).alias("area"), G.centre(F.col("box"))[0].alias("cx"))
