@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from . import audits, corpora, defects, fields, files, layouts, texts  # noqa: E402,F401  each module registers its queries
+from . import audits, corpora, defects, fields, files, layouts, texts, whole  # noqa: E402,F401  each module registers its queries

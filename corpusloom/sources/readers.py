@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
+from .opened import located
 
 LINES = "page long, page_w double, page_h double, t string, x double, y double, w double, h double, c double, type string, col string"
 
@@ -174,6 +175,15 @@ class Project:
 
     @classmethod
     def load(cls, path: str) -> Project:
+        """The settings of a file, on this machine or in a store that Arrow knows; none if it isn't there."""
+        if "://" in path:
+            from pyarrow.fs import FileType
+
+            fs, at = located(path)
+            if fs.get_file_info(at).type != FileType.File:
+                return cls({}, path.rpartition("/")[0])
+            with fs.open_input_stream(at) as f:
+                return cls(json.loads(f.read()), path.rpartition("/")[0])
         p = Path(path)
         return cls(json.loads(p.read_text()) if p.exists() else {}, str(p.parent))
 

@@ -11,7 +11,7 @@ from corpusloom.plans import registry
 
 SF = "/root/testdata/sf0.001"
 #: Queries without SQL; test_plain.py compares them with plain versions.
-PLAIN = {"e14_name_words", "e14_name_runs", "f18_remove_echo", "j23_style_contexts"}
+PLAIN = {"e14_name_words", "e14_name_runs", "f18_remove_echo", "j23_style_contexts", "i7_drop_cap_whole", "i11_normal_tokens_whole", "i15_same_as_source_whole", "i17_break_lists_whole", "d15_align_damage_whole"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 
 
