@@ -109,7 +109,7 @@ def analyse(media: DataFrame, keep: list[str], media_col: str = "media") -> Data
     """The columns ``keep`` and what is read from each WAV file: payload_bytes, payload_sha256, tail_crc32, prints.
 
     ``prints`` is the array of time-coded peak pairs. Null media give nulls and no prints; a kept column with one of
-    these names comes out with ``kept_`` before it.
+    these names comes out with ``kept_`` before it; an empty table gives an empty table.
     """
     rows = media.select(*[F.col(c) for c in keep], F.col(media_col).alias("_media"))
     names = kept_names(keep, _OWN)

@@ -175,7 +175,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix as documents: one row, with all columns of ``docs``, for each document and pass that takes words of it.
 
     A text that a pass takes whole stays as it is; otherwise it is the taken blocks in their order, each word with the
-    white space before it. ``chars_col`` is counted anew where ``docs`` has it. Documents without words aren't taken.
+    white space before it. ``chars_col`` is counted anew where ``docs`` has it. Documents without words aren't taken; an
+    empty table gives an empty table.
     """
     whole = written(docs.select(F.struct(*docs.columns).alias("doc")).withColumn("row", F.monotonically_increasing_id()), "mixable")
     text = F.col(f"doc.{text_col}")

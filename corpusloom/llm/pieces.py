@@ -292,7 +292,10 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
-    """(id, ids array<int>) for every row. Null and empty texts have no ids; ids of rows may repeat or be null."""
+    """(id, ids array<int>) for every row. Null and empty texts have no ids; ids of rows may repeat or be null.
+
+    An empty table gives an empty table.
+    """
     path = model or tokenizer_path(MODEL)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -305,7 +308,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 
 def decode(rows: DataFrame, id_col: str = "id", ids_col: str = "ids", model: str | None = None) -> DataFrame:
-    """(id, text) from rows with ids. Null ids give an empty text; bytes that aren't UTF-8 become U+FFFD."""
+    """(id, text) from rows with ids. Null ids give an empty text; bytes that aren't UTF-8 become U+FFFD.
+
+    An empty table gives an empty table.
+    """
     path = model or tokenizer_path(MODEL)
     rows = rows.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
 

@@ -345,7 +345,8 @@ class Shard:
 def read(manifest: DataFrame, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files of a manifest.
 
-    ``start`` counts the ids of all documents before it, in all shards; the checksum is over 32-bit ids.
+    ``start`` counts the ids of all documents before it, in all shards; the checksum is over 32-bit ids. A manifest
+    without shards, as an empty table leaves it, gives an empty table.
     """
     first = F.coalesce(F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
     shards = manifest.select("shard", first.alias("first"))

@@ -3,7 +3,8 @@
 A conversation c belongs to the family of its base, c - c % 5, and is rebuilt from the first h turns of the base and its
 own turns after the first h (h from a checksum of c, at most 8). Turns are reduced to digests, and a family's meet by its
 base id with the base's turns first, so a task needs the base's first 8 turns and the family's small trie and nothing
-else. Only these tries' nodes are shuffled, and merged to those of the whole. A node is named by its depth and the sum of
+else. Only these tries' nodes are shuffled, and merged to those of the whole. A conversation of more than ``LONG`` turns
+is split into sorted ranges. A node is named by its depth and the sum of
 the digests of its turns, each mixed with its place.
 
 Of a subtree whose top only one conversation passes everything is known: it is a chain. So only shared nodes are summed
@@ -17,13 +18,15 @@ import hashlib
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import forget, lookup_join, spread, written
 
 #: Conversations of a family, and the number of turns that a checksum picks: 0 to PREFIX - 1.
 FAMILY, PREFIX = 5, 9
+#: Turns from which a conversation is split among tasks.
+LONG = 1 << 20
 #: Nodes that a task holds of one family; a larger trie is given out in parts.
 NODES = 200_000
 #: Bytes of a list of ids that are put together before they are hashed.
@@ -86,6 +89,10 @@ class _Family:
         self.last, self.depth, self.total = self.node, self.depth + 1, (self.total + _mixed(turn, self.depth)) & _MASK
         self._pass(_node(self.depth, self.total), size)
 
+    def begins_with(self, turn: bytes, size: int) -> None:
+        """A turn of the base, where the base itself is built elsewhere."""
+        self.head.append((turn, size))
+
     def turn(self, turn: bytes, size: int) -> None:
         if self.conv == self.base and self.rank < PREFIX - 1:
             self.head.append((turn, size))
@@ -105,18 +112,23 @@ class _Family:
 
 def family_nodes(found: DataFrame) -> DataFrame:
     """The nodes of each family's trie: node, parent, depth, bytes of the last text, smallest member, members, and those
-    that end there. Turns are ordered by number, null first, and those of one number by their digests."""
+    that end there. Turns are ordered by number, null first, and those of one number by their digests. Rows with ``head``
+    are a long base's first turns: the family's conversations begin with them, they are no conversation here."""
 
     def run(batches):
         family, out = _Family(), []
         for batch in batches:
-            for base, conv, turn, size in zip(*(batch.column(c).to_pylist() for c in ("base", "conv", "digest", "bytes"))):
+            for base, conv, turn, size, head in zip(*(batch.column(c).to_pylist() for c in ("base", "conv", "digest", "bytes", "head"))):
+                if conv != family.conv and family.conv is not None:
+                    family.end()
+                    family.conv = None
+                if base != family.base:
+                    out += family.rows()
+                    family.base, family.head = base, []
+                if head:
+                    family.begins_with(turn, size)
+                    continue
                 if conv != family.conv:
-                    if family.conv is not None:
-                        family.end()
-                    if base != family.base:
-                        out += family.rows()
-                        family.base, family.head = base, []
                     family.begin(conv)
                 family.turn(turn, size)
                 if len(family.nodes) > NODES:
@@ -135,6 +147,130 @@ def family_nodes(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, _NODES)
 
 
+def _order(found: DataFrame) -> DataFrame:
+    """Turns with ``rank``, from 0, within their conversation, and ``part``: the sorted range that holds them.
+
+    The ranges are counted, so no conversation is ordered by one task; a conversation has a few numbers a range.
+    """
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = written(found.withColumn("salt", F.monotonically_increasing_id()), "long")  # equal turns are dealt apart
+    columns = ["conv", F.asc_nulls_first("turn"), "digest", "salt"]
+    ranged = written(apart.repartitionByRange(n, *columns).sortWithinPartitions(*columns).withColumn("at", F.monotonically_increasing_id()), "ranged")
+    ranged = ranged.withColumn("part", F.shiftright("at", 33).cast("int"))
+    counts = ranged.groupBy(F.col("part").alias("p"), F.col("conv").alias("c")).agg(F.count("*").alias("n"), F.min("at").alias("least"))
+    before = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(counts.select("p", "c", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least")).alias("shift")), "starts")
+    return lookup_join(ranged, starts, (F.col("part") == F.col("p")) & (F.col("conv") == F.col("c")), "inner").withColumn("rank", F.col("at") + F.col("shift")).drop("p", "c", "shift", "salt")
+
+
+def _first_turns(ordered: DataFrame) -> DataFrame:
+    """(of_base, head): the first turns of each conversation of (conv, rank, digest, bytes), in order."""
+    some = ordered.filter(F.col("rank") < PREFIX - 1)
+    return some.groupBy(F.col("conv").alias("of_base")).agg(F.array_sort(F.collect_list(F.struct("rank", "digest", "bytes"))).alias("head"))
+
+
+def long_nodes(found: DataFrame, long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes of the conversations in ``long`` (long_conv), each split among tasks; and first turns of those that are bases.
+
+    A node's name is a sum, so sums of the ranges' turns, added up in order, say where each range begins.
+    """
+    own = lookup_join(found, long, F.col("conv") == F.col("long_conv"), "left_semi")
+    ordered = written(_order(own), "ordered")
+    bases = own.select(F.col("base").alias("b")).distinct()
+    others = lookup_join(lookup_join(found.filter("conv = base"), bases, F.col("conv") == F.col("b"), "left_semi"), long, F.col("conv") == F.col("long_conv"), "left_anti")
+    number = F.row_number().over(Window.partitionBy("conv").orderBy(F.asc_nulls_first("turn"), "digest")) - 1  # fewer than LONG
+    heads = written(_first_turns(ordered.filter("conv = base")).unionByName(_first_turns(others.withColumn("rank", number))), "heads")
+    info = own.select("base", "conv").distinct().join(heads, F.col("base") == F.col("of_base"), "left")
+    skip = F.when(F.col("conv") == F.col("base"), 0).otherwise(F.crc32(F.col("conv").cast("string").cast("binary")) % PREFIX).cast("int")
+    none = F.array().cast(heads.schema["head"].dataType)
+    info = info.select(F.col("conv").alias("i_conv"), skip.alias("skip"), F.when(skip > 0, F.slice(F.coalesce("head", none), F.lit(1), skip)).otherwise(none).alias("head"))
+    last = ordered.groupBy(F.col("conv").alias("l_conv")).agg(F.max("rank").alias("last"))
+    info = written(info.join(last, F.col("i_conv") == F.col("l_conv")).drop("l_conv"), "info")
+    taken = lookup_join(ordered, info, F.col("conv") == F.col("i_conv"), "inner").filter("rank >= skip").withColumn("place", F.size("head") + F.col("rank") - F.col("skip"))
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = taken.select("conv", "part", "place", "digest", "bytes", (F.col("rank") == F.col("last")).alias("end")).repartition(n, "conv", "part").sortWithinPartitions("conv", "part", "place")
+    dealt = written(dealt, "dealt")
+
+    def beginnings(batches):
+        """Nodes from the root to the end of the turns that a long conversation takes over; those of a turnless rest end there."""
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                total, node, depth = 0, _node(0, 0), 0
+                walked = [(node, None, 0, 0)]
+                for h in r["head"]:
+                    total, depth = (total + _mixed(h["digest"], depth)) & _MASK, depth + 1
+                    walked.append((_node(depth, total), node, depth, h["bytes"]))
+                    node = walked[-1][0]
+                ends = r["last"] < r["skip"]
+                rows += [(*w, r["i_conv"], 1, [r["i_conv"]] if ends and w[0] == node else []) for w in walked]
+            if rows:
+                yield _batch(rows)
+
+    def sums(batches):
+        key, total = None, 0
+        for batch in batches:
+            for conv, part, place, digest in zip(*(batch.column(c).to_pylist() for c in ("conv", "part", "place", "digest"))):
+                if (conv, part) != key:
+                    if key:
+                        yield pa.RecordBatch.from_pydict({"s_conv": [key[0]], "s_part": pa.array([key[1]], pa.int32()), "total": [total.to_bytes(16, "big")]})
+                    key, total = (conv, part), 0
+                total = (total + _mixed(digest, place)) & _MASK
+        if key:
+            yield pa.RecordBatch.from_pydict({"s_conv": [key[0]], "s_part": pa.array([key[1]], pa.int32()), "total": [total.to_bytes(16, "big")]})
+
+    def running(batches):
+        """Where each range of a conversation begins: the sum of its head and of all ranges before it."""
+        conv, total = None, 0
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if r["s_conv"] != conv:
+                    conv, total = r["s_conv"], 0
+                    for place, h in enumerate(r["head"]):
+                        total = (total + _mixed(h["digest"], place)) & _MASK
+                out.append((r["s_conv"], r["s_part"], total.to_bytes(16, "big")))
+                total = (total + int.from_bytes(r["total"], "big")) & _MASK
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["s_conv", "s_part", "start"])
+
+    def walked(batches):
+        key = node = None
+        for batch in batches:
+            rows = []
+            for conv, part, place, digest, size, end, start in zip(*(batch.column(c).to_pylist() for c in ("conv", "part", "place", "digest", "bytes", "end", "start"))):
+                if (conv, part) != key:
+                    key, total = (conv, part), int.from_bytes(start, "big")
+                    node = _node(place, total)
+                total = (total + _mixed(digest, place)) & _MASK
+                before, node = node, _node(place + 1, total)
+                rows.append((node, before, place + 1, size, conv, 1, [conv] if end else []))
+            if rows:
+                yield _batch(rows)
+
+    ranges = dealt.select("conv", "part", "place", "digest").mapInArrow(sums, "s_conv long, s_part int, total binary")
+    ranges = ranges.join(info.select("i_conv", "head"), F.col("s_conv") == F.col("i_conv")).select("s_conv", "s_part", "total", "head")
+    starts = written(ranges.repartition(n, "s_conv").sortWithinPartitions("s_conv", "s_part").mapInArrow(running, "s_conv long, s_part int, start binary"), "sums")
+    begun = lookup_join(dealt, starts, (F.col("conv") == F.col("s_conv")) & (F.col("part") == F.col("s_part")), "inner")
+    begun = begun.repartition(n, "conv", "part").sortWithinPartitions("conv", "part", "place")
+    nodes = begun.mapInArrow(walked, _NODES).unionByName(info.select("i_conv", "skip", "head", "last").mapInArrow(beginnings, _NODES))
+    first = heads.select(F.col("of_base").alias("base"), F.explode("head").alias("h")).select("base", F.col("base").alias("conv"), F.col("h.rank").alias("turn"), "h.digest", "h.bytes")
+    return written(nodes, "long-nodes"), lookup_join(first, long, F.col("conv") == F.col("long_conv"), "left_semi")
+
+
+def _family_tries(found: DataFrame) -> DataFrame:
+    """Nodes of all families, a written table; conversations of more than ``LONG`` turns are split, the others are not."""
+    whole = F.lit(False).alias("head")
+    long = written(found.groupBy("conv").agg(F.count("*").alias("n")).filter(F.col("n") > LONG).select(F.col("conv").alias("long_conv")), "long")
+    if long.isEmpty():
+        return written(family_nodes(found.select("*", whole)), "families")
+    nodes, first = long_nodes(found, long)
+    short = lookup_join(found, long, F.col("conv") == F.col("long_conv"), "left_anti")
+    kind = found.schema["turn"].dataType
+    rows = short.select("*", whole).unionByName(first.withColumn("turn", F.col("turn").cast(kind)).select(*found.columns, F.lit(True).alias("head")))
+    return written(family_nodes(rows).unionByName(nodes), "families")
+
+
 def _lists(ends: DataFrame) -> DataFrame:
     """(of, ends_sha256): the hash of each node's ascending, comma-joined ids, from (node, conv).
 
@@ -205,7 +341,7 @@ def prefix_trie(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
     end there). Rows without a conversation are left out; null roles and texts count as empty; repeated rows are turns
     of their own; other columns don't matter; an empty table has no node, not even the root.
     """
-    family = written(family_nodes(turns(conversations, conv_col, turn_col, role_col, text_col)), "families")
+    family = _family_tries(turns(conversations, conv_col, turn_col, role_col, text_col))
     merged = family.groupBy("node", "parent", "depth", "bytes").agg(F.min("conv").alias("conv_id"), F.sum("n").alias("n_convs"))
     merged = written(merged, "nodes")
     below = merged.filter("depth > 0").groupBy(F.col("parent").alias("of")).agg(F.count("*").alias("n_children"), F.count_if(F.col("n_convs") == 1).alias("single"))

@@ -319,7 +319,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def resolve(read_back: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits resolved through the response they name.
 
-    A revisit whose response isn't there has nulls. A response that very many revisits name is broadcast to them.
+    A revisit whose response isn't there has nulls. A response that very many revisits name is broadcast to them. An
+    empty table gives an empty table.
     """
     light = read_back.select("record_id", "page_id", "type", "refers_to", F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("sha"))
     light = written(light, "light")

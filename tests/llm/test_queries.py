@@ -294,3 +294,18 @@ def test_op7(spark, documents):
 
 def test_queries_leave_nothing_on_the_driver():
     assert not [f for f in os.listdir(".") if f.endswith(".part")]
+
+
+def test_empty_tables(spark, tmp_path):
+    """Every registered query, and the pipeline stage by stage, over tables without rows."""
+    import corpus_pipeline
+
+    for t in ("documents", "embeddings", "pages", "labels", "conversations", "sales", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    for name, query in queries.QUERIES.items():
+        assert query(spark, str(tmp_path)).collect() == [], name
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

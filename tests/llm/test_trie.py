@@ -76,6 +76,9 @@ def test_planted(spark, monkeypatch):
     monkeypatch.setattr(trie, "NODES", 3)
     assert got(trie.prefix_trie(df.filter("conv_id IS NULL OR conv_id >= 0"))) == want
     assert trie.prefix_trie(df).filter("conv_id = -3 AND depth = 0").count() == 1
+    for least in (5, 0):  # conversations beyond are split among tasks, long bases and short ones, of short and long families
+        monkeypatch.setattr(trie, "LONG", least)
+        assert got(trie.prefix_trie(df.filter("conv_id IS NULL OR conv_id >= 0"))) == want
 
 
 def test_equal_turns_and_an_empty_table(spark):
