@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ class Pieces:
     def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: list[int] | None, unknown: int, merges: bool, text_of: list[bytes], prefix: bool = True):
         self.scores, self.byte_ids, self.unknown, self.merges, self.text_of, self.prefix = scores, byte_ids, unknown, merges, text_of, prefix
         self.longest = max(map(len, scores), default=1)
+        self.check = 2 * self.longest  # positions after which the window's paths are looked at again
         self.words_part = not any(SPACE in p.lstrip(SPACE) for p in scores)
         self._lowest = min((s for _, s in scores.values()), default=0.0) - 10.0
         self._words: dict[str, bytes] = {}
@@ -163,15 +165,21 @@ class Pieces:
         word alone: words that it has passed before are looked up. One that it passes must end where the word does.
         """
         words, parts = self._words, self._parts(text) if self.words_part else [text]
-        at = last = 0
-        for k, ids in enumerate([words.get(word) for word in parts]):
+        known = list(map(words.get, parts))
+        if None not in known:
+            yield from known
+            return
+        ends = list(accumulate(map(len, parts)))
+        for k, ids in enumerate(known):
             if ids is None and (ids := words.get(parts[k])) is None:
-                at += sum(map(len, parts[last:k]))
-                word, last, end, found = parts[k], k, at, []
-                for end, final in self.committed(text, at):  # noqa: B020
-                    found += final
-                if end != at + len(word):
+                word = parts[k]
+                at, end = ends[k] - len(word), self._alone(text, ends[k] - len(word))
+                if end != ends[k]:
                     raise AssertionError("paths met elsewhere than where a word begins")
+                if end - at < self.check:
+                    found = self._walked(text, at, end)
+                else:
+                    found = [p for _, final in self.committed(text, at) for p in final]
                 ids = np.array(self._ids(found), np.int32).tobytes()
                 if len(word) <= MAX_WORD:
                     if len(words) >= MAX_WORDS:
@@ -179,6 +187,20 @@ class Pieces:
                     words[word] = ids
             yield ids
 
+    def _alone(self, text: str, start: int) -> int:
+        """The first place after ``start`` where one path survives: before the next word, or the end."""
+        ends = self._crossed(text, start) if self.words_part else None
+        return ends.start() + 1 if ends else len(text)
+
+    def _walked(self, text: str, start: int, stop: int) -> list[str]:
+        """The pieces from ``start`` to a place where one path survives, too near for the window to be looked at before."""
+        reach, back, state = self._reach_merged if self.merges else self._reach_best, [0], [None if self.merges else 0.0]
+        for j in range(start + 1, stop + 1):
+            i, now = reach(text, start, j, state)
+            back.append(i - start)
+            state.append(now)
+        return self._path(text, start, back, stop - start)
+
     def committed(self, text: str, start: int = 0) -> Iterator[tuple[int, list[str]]]:
         """Boundaries in which all surviving paths meet, each with the pieces that are final there, from ``start``, where
         the text or a word begins, up to the first boundary that no piece crosses: the end or the next word.
@@ -186,12 +208,14 @@ class Pieces:
         A path survives while a later piece can begin where it ends. These places are the window: as many as the longest
         piece has characters, or, before the beginning of a word, this place alone.
         """
+        stop = self._alone(text, start)
+        if stop - start < self.check:
+            yield stop, self._walked(text, start, stop)
+            return
         reach = self._reach_merged if self.merges else self._reach_best
-        check = start + 2 * self.longest
+        check = start + self.check
         back = [0]  # for each position since the last final boundary, where its last piece begins
         state: list = [None if self.merges else 0.0]  # what may follow the path to it, or the path's sum of scores
-        ends = self._crossed(text, start) if self.words_part else None
-        stop = ends.start() + 1 if ends else len(text)  # here one path survives
         for j in range(start + 1, stop + 1):
             i, now = reach(text, start, j, state)
             back.append(i - start)
@@ -203,7 +227,7 @@ class Pieces:
                     start += cut
                     back = [0] + [b - cut for b in back[cut + 1 :]]
                     state = state[cut:]
-                check = j + 2 * self.longest
+                check = j + self.check
 
     def _reach_merged(self, text: str, start: int, j: int, state: list) -> tuple[int, dict]:
         """The one piece ending at ``j`` that may follow the last piece of the path to its beginning."""
