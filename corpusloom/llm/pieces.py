@@ -17,6 +17,7 @@ gives just these two pieces, which leaves exactly one path to each position: the
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -41,6 +42,7 @@ class Pieces:
         self.longest = max(map(len, scores), default=1)
         self.check = 2 * self.longest  # positions after which the window's paths are looked at again
         self.words_part = not any(SPACE in p.lstrip(SPACE) for p in scores)
+        self._id_of = {p: i for p, (i, _) in scores.items()}.get
         self._lowest = min((s for _, s in scores.values()), default=0.0) - 10.0
         self._words: dict[str, bytes] = {}
         self._parts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
@@ -166,96 +168,96 @@ class Pieces:
         """
         words, parts = self._words, self._parts(text) if self.words_part else [text]
         known = list(map(words.get, parts))
-        if None not in known:
-            yield from known
-            return
-        ends = list(accumulate(map(len, parts)))
-        for k, ids in enumerate(known):
-            if ids is None and (ids := words.get(parts[k])) is None:
+        missing = known.count(None)
+        if missing:
+            ends, done, k = list(accumulate(map(len, parts))), 0, -1
+            for _ in range(missing):
+                k = known.index(None, k + 1)
                 word = parts[k]
-                at, end = ends[k] - len(word), self._alone(text, ends[k] - len(word))
-                if end != ends[k]:
-                    raise AssertionError("paths met elsewhere than where a word begins")
-                if end - at < self.check:
-                    found = self._walked(text, at, end)
-                else:
-                    found = [p for _, final in self.committed(text, at) for p in final]
-                ids = np.array(self._ids(found), np.int32).tobytes()
-                if len(word) <= MAX_WORD:
-                    if len(words) >= MAX_WORDS:
-                        words.clear()
-                    words[word] = ids
-            yield ids
+                if (ids := words.get(word)) is None:
+                    at = ends[k] - len(word)
+                    if self._alone(text, at) != ends[k]:
+                        raise AssertionError("paths met elsewhere than where a word begins")
+                    ids = self._packed([p for _, final in self.committed(text, at, ends[k]) for p in final])
+                    if len(word) <= MAX_WORD:
+                        if len(words) >= MAX_WORDS:
+                            words.clear()
+                        words[word] = ids
+                yield from known[done:k]
+                yield ids
+                done = k + 1
+            known = known[done:]
+        yield from known
 
     def _alone(self, text: str, start: int) -> int:
         """The first place after ``start`` where one path survives: before the next word, or the end."""
         ends = self._crossed(text, start) if self.words_part else None
         return ends.start() + 1 if ends else len(text)
 
-    def _walked(self, text: str, start: int, stop: int) -> list[str]:
-        """The pieces from ``start`` to a place where one path survives, too near for the window to be looked at before."""
-        reach, back, state = self._reach_merged if self.merges else self._reach_best, [0], [None if self.merges else 0.0]
-        for j in range(start + 1, stop + 1):
-            i, now = reach(text, start, j, state)
-            back.append(i - start)
-            state.append(now)
-        return self._path(text, start, back, stop - start)
-
-    def committed(self, text: str, start: int = 0) -> Iterator[tuple[int, list[str]]]:
+    def committed(self, text: str, start: int = 0, stop: int | None = None) -> Iterator[tuple[int, list[str]]]:
         """Boundaries in which all surviving paths meet, each with the pieces that are final there, from ``start``, where
-        the text or a word begins, up to the first boundary that no piece crosses: the end or the next word.
+        the text or a word begins, up to the first boundary that no piece crosses: the end or the next word (``stop``,
+        where it is known).
 
         A path survives while a later piece can begin where it ends. These places are the window: as many as the longest
         piece has characters, or, before the beginning of a word, this place alone.
         """
-        stop = self._alone(text, start)
-        if stop - start < self.check:
-            yield stop, self._walked(text, start, stop)
-            return
+        if stop is None:
+            stop = self._alone(text, start)
         reach = self._reach_merged if self.merges else self._reach_best
-        check = start + self.check
         back = [0]  # for each position since the last final boundary, where its last piece begins
         state: list = [None if self.merges else 0.0]  # what may follow the path to it, or the path's sum of scores
-        for j in range(start + 1, stop + 1):
-            i, now = reach(text, start, j, state)
+        at = start
+        while at < stop:
+            before, at = at, min(stop, at + self.check)
+            reach(text, start, before, at, back, state)
+            cut = at - start if at == stop else self._meeting(back, max(0, at - start + 1 - self.longest))
+            if cut:
+                yield start + cut, self._path(text, start, back, cut)
+                start += cut
+                back = [0] + [b - cut for b in back[cut + 1 :]]
+                state = state[cut:]
+
+    def _reach_merged(self, text: str, start: int, at: int, stop: int, back: list, state: list) -> None:
+        """For each position after ``at``: the one piece ending there that may follow the last piece of the path to its
+        beginning."""
+        tails, rows = self._tails, self._rows
+        for j in range(at + 1, stop + 1):
+            i = j - 1
+            piece, stands = text[i], True
+            while True:
+                if stands:
+                    before = state[i - start]
+                    if before is None:
+                        break
+                    known = before.get(piece)
+                    if known is None:
+                        known = before[piece] = self._follows(before[""], piece)
+                        self._pairs += 1
+                    if known:
+                        break
+                i -= 1
+                piece = text[i:j]
+                stands = tails.get(piece)
+                if i < start or stands is None:
+                    raise AssertionError("every prefix has a path")
             back.append(i - start)
-            state.append(now)
-            if j == stop or j >= check:
-                cut = self._meeting(back, j - start if j == stop else max(0, j - start + 1 - self.longest))
-                if cut:
-                    yield start + cut, self._path(text, start, back, cut)
-                    start += cut
-                    back = [0] + [b - cut for b in back[cut + 1 :]]
-                    state = state[cut:]
-                check = j + self.check
-
-    def _reach_merged(self, text: str, start: int, j: int, state: list) -> tuple[int, dict]:
-        """The one piece ending at ``j`` that may follow the last piece of the path to its beginning."""
-        i, piece, tails = j - 1, text[j - 1], self._tails
-        while True:
-            if i == j - 1 or tails[piece]:
-                before = state[i - start]
-                if before is None:
-                    return i, self._row(piece)
-                known = before.get(piece)
-                if known is None:
-                    known = before[piece] = self._follows(before[""], piece)
-                    self._pairs += 1
-                if known:
-                    return i, self._row(piece)
-            i -= 1
-            piece = text[i:j]
-            if i < start or piece not in tails:
-                raise AssertionError("every prefix has a path")
-
-    def _reach_best(self, text: str, start: int, j: int, state: list) -> tuple[int, float]:
-        best = None
-        for i in range(j - 1, max(start, j - self.longest) - 1, -1):
-            found = self.scores.get(text[i:j])
-            score = found[1] if found else self._lowest if i == j - 1 else None
-            if score is not None and (best is None or state[i - start] + score >= best[1]):  # the longest of equal ones
-                best = i, state[i - start] + score
-        return best
+            row = rows.get(piece)
+            if row is None:
+                row = self._row(piece)
+                rows = self._rows
+            state.append(row)
+
+    def _reach_best(self, text: str, start: int, at: int, stop: int, back: list, state: list) -> None:
+        for j in range(at + 1, stop + 1):
+            best = None
+            for i in range(j - 1, max(start, j - self.longest) - 1, -1):
+                found = self.scores.get(text[i:j])
+                score = found[1] if found else self._lowest if i == j - 1 else None
+                if score is not None and (best is None or state[i - start] + score >= best[1]):  # the longest of equal ones
+                    best = i, state[i - start] + score
+            back.append(best[0] - start)
+            state.append(best[1])
 
     @staticmethod
     def _meeting(back: list[int], first: int) -> int:
@@ -287,6 +289,11 @@ class Pieces:
                 out.append(self.unknown)
         return out
 
+    def _packed(self, pieces: list[str]) -> bytes:
+        """Ids of pieces as packed 32-bit integers."""
+        ids = list(map(self._id_of, pieces))
+        return array("i", self._ids(pieces) if None in ids else ids).tobytes()
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text; none for an empty one."""
         if not text:
