@@ -20,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import accumulate
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ class Pieces:
         self.words_part = not any(SPACE in p.lstrip(SPACE) for p in scores)
         self._id_of = {p: i for p, (i, _) in scores.items()}.get
         self._lowest = min((s for _, s in scores.values()), default=0.0) - 10.0
+        self._held = {p[i : i + 2] for p in scores for i in range(len(p) - 1)}  # pairs of characters within pieces
         self._words: dict[str, bytes] = {}
         self._parts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         self._crossed = re.compile(f"[^{SPACE}]{SPACE}").search
@@ -178,17 +180,39 @@ class Pieces:
                     at = ends[k] - len(word)
                     if self._alone(text, at) != ends[k]:
                         raise AssertionError("paths met elsewhere than where a word begins")
-                    ids = self._packed([p for _, final in self.committed(text, at, ends[k]) for p in final])
-                    if len(word) <= MAX_WORD:
-                        if len(words) >= MAX_WORDS:
-                            words.clear()
-                        words[word] = ids
+                    ids = self._passed(word)
+                    self._remember(word, ids)
                 yield from known[done:k]
                 yield ids
                 done = k + 1
             known = known[done:]
         yield from known
 
+    def _passed(self, word: str) -> bytes:
+        """The packed ids of a word that isn't known, one stretch after the other.
+
+        Stretches part between two characters that no piece holds side by side. No path crosses such a place, so all
+        paths meet there, and a stretch that the lattice has passed in another word is looked up as well.
+        """
+        words, held, out, begin = self._words, self._held, [], 0
+        cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in held]
+        for end in (*cuts, len(word)):
+            stretch = word[begin:end]
+            ids = words.get(stretch)
+            if ids is None:
+                ids = self._packed([p for _, final in self.committed(word, begin, end) for p in final])
+                if cuts:
+                    self._remember(stretch, ids)
+            out.append(ids)
+            begin = end
+        return b"".join(out)
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        if len(word) <= MAX_WORD:
+            if len(self._words) >= MAX_WORDS:
+                self._words.clear()
+            self._words[word] = ids
+
     def _alone(self, text: str, start: int) -> int:
         """The first place after ``start`` where one path survives: before the next word, or the end."""
         ends = self._crossed(text, start) if self.words_part else None

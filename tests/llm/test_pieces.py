@@ -76,6 +76,21 @@ def test_commits_come_from_convergence(vocabulary, library):
         assert [x for _ in range(2) for x in [b"".join(vocabulary.commits(escaped))]] == [vocabulary.encode(text).tobytes()] * 2
 
 
+def test_words_part_where_no_piece_crosses(vocabulary, library):
+    """Stretches of a word are encoded apart just where the whole word's path has a boundary; what was met is looked up."""
+    for text in ["quick,", "end.\nNext", "(a)***", "çç..ñó", "é日🙂x,", "x" * 300 + ",y", "a,b" * 100, ",", "quick,quick"]:
+        word = "▁" + text
+        vocabulary._words.clear()
+        found = vocabulary._passed(word)
+        whole = [p for _, final in vocabulary.committed(word) for p in final]
+        assert vocabulary._packed(whole) == found == vocabulary._passed(word) and vocabulary._ids(whole) == library.encode(text)
+        ends = set(itertools.accumulate(map(len, whole)))
+        assert {i for i in range(1, len(word)) if not any(word[i - 1 : i + 1] in p for p in vocabulary.scores)} <= ends
+    vocabulary._words.clear()
+    vocabulary._passed("▁quick,")
+    assert "▁quick" in vocabulary._words and "," in vocabulary._words
+
+
 def test_unigram_takes_the_best_path():
     rng = random.Random(4)
     scores = {p: (i, rng.uniform(-8, -1)) for i, p in enumerate(["a", "b", "c", "ab", "bc", "abc", "ca", "aa", "cab", "bb"])}
