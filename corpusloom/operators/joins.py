@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Largest number of rows of a side that may be broadcast; beyond it a join shuffles.
 BROADCAST_ROWS = 50_000
+#: Rows of a partition that a task sorts for a window.
+PART_ROWS = 500_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -22,6 +24,15 @@ def looked_up(big: DataFrame, small: DataFrame, on: Column | str | list[str], ho
     return big.join(F.broadcast(small) if is_small(small, rows) else small.hint("merge"), on, how)
 
 
+def dealt(df: DataFrame, *keys: str, rows: int = PART_ROWS) -> DataFrame:
+    """``df`` dealt by keys over partitions of about ``rows`` rows, so that what a task sorts doesn't grow with the table.
+
+    ``df`` is counted. A table of so many rows or fewer stays as it is. No key is cut, so one partition may hold more.
+    """
+    parts = -(-df.count() // rows)
+    return df if parts <= 1 else df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def spread(big: DataFrame, small: DataFrame, key: str, of_key: str, weight: str, keys: int = 1000) -> DataFrame:
     """Inner join on ``big.key = small.of_key`` that never gathers a heavy key in one task.
 

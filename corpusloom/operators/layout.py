@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as T
+from . import joins
 
 
 #: Side of a tile, and height or width of a strip, in points. Any size gives the same rows; boxes should cover few tiles.
@@ -103,7 +104,7 @@ def nearest_column(cells: DataFrame, centres: DataFrame, margin: float = 15.0) -
     kind = centres.schema["column"].dataType
     word = cells.select("region", "id", x.alias("x"), F.lit(None).cast(kind).alias("column"), F.lit(1).alias("word"))
     centre = centres.filter("x IS NOT NULL").groupBy("region", F.col("x").cast("double").alias("x")).agg(F.min("column").alias("column")).select("region", F.lit(None).cast(cells.schema["id"].dataType).alias("id"), "x", "column", F.lit(0).alias("word"))
-    held = word.unionByName(centre).withColumn("c", F.when(F.col("word") == 0, F.struct("x", "column")))
+    held = joins.dealt(word.unionByName(centre), "region").withColumn("c", F.when(F.col("word") == 0, F.struct("x", "column")))
     region = Window.partitionBy("region")
     upto = region.orderBy("x", "word").rowsBetween(Window.unboundedPreceding, 0)
     after = region.orderBy(F.desc("x"), F.desc("word")).rowsBetween(Window.unboundedPreceding, -1)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..operators import joins
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,13 +80,19 @@ def shown_sql(c: str) -> str:
 _BOX_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag")
 
 
-def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page, id, box, kind, lines): line items as boxes of their order, numbered within it; the return flag stands for a type."""
+def boxes(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
+    """(page, id, box, kind, lines): line items as boxes of their order, numbered within it; the return flag stands for a type.
+
+    Without numbers there is no id, and nothing is moved.
+    """
     li = table(spark, sf_dir, "lineitem")
+    if numbered:
+        li = joins.dealt(li, "l_orderkey")
     x, y = F.col("l_quantity"), F.col("l_linenumber") * 10.0
     n = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_BOX_ORDER))
     box = G.rect(x, y, x + F.col("l_discount") * 100 + 1, y + F.col("l_tax") * 100 + 1)
-    return li.select(F.col("l_orderkey").alias("page"), F.lpad(n.cast("string"), 4, "0").alias("id"), box.alias("box"), F.col("l_returnflag").alias("kind"), F.col("l_linenumber").alias("lines"))
+    own = [F.lpad(n.cast("string"), 4, "0").alias("id")] if numbered else []
+    return li.select(F.col("l_orderkey").alias("page"), *own, box.alias("box"), F.col("l_returnflag").alias("kind"), F.col("l_linenumber").alias("lines"))
 
 
 BOXES = f"boxes AS (SELECT l_orderkey AS page, lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_BOX_ORDER)}) AS VARCHAR), 4, '0') AS id, CAST(l_quantity AS DOUBLE) AS x0, l_linenumber * 10.0::DOUBLE AS y0, l_quantity + l_discount * 100 + 1 AS x1, l_linenumber * 10.0::DOUBLE + l_tax * 100 + 1 AS y1, l_returnflag AS kind, l_linenumber AS lines FROM lineitem)"
