@@ -17,6 +17,8 @@ from . import joins
 
 #: Side of a tile, and height or width of a strip, in points. Any size gives the same rows; boxes should cover few tiles.
 TILE, STRIP = 50.0, 16.0
+#: Side of a tile for rectangles of 250 points and more: most of them cover two or three.
+WIDE_TILE = 250.0
 
 
 def _tile(c: Column, size: float) -> Column:
@@ -85,8 +87,9 @@ def table_regions(rects: DataFrame, cells: DataFrame, least: int = 25, share: fl
     The choice among overlapping ones follows their order on the page, a fold over the few of each page.
     """
     sized = rects.filter(G.width(F.col("box")).between(250.0001, 569.9999) & G.height(F.col("box")).between(90.0001, 719.9999) & (F.col("box.y0") > 30))
-    held = _meeting(sized, _other(cells, "w"), "w")
-    counted = held.groupBy("page", "id", "box").agg(F.count("*").alias("n"), F.count_if(T.is_numeric_cell(F.col("w_text"))).alias("numbers")).filter((F.col("n") >= least) & (F.col("numbers") >= F.col("n") * share))
+    marked = cells.select("page", "box", F.coalesce(T.is_numeric_cell(F.col("text")), F.lit(False)).alias("number"))  # texts aren't moved
+    held = _meeting(sized.select("page", "id", "box"), _other(marked, "w"), "w", WIDE_TILE)
+    counted = held.groupBy("page", "id", "box").agg(F.count("*").alias("n"), F.count_if("w_number").alias("numbers")).filter((F.col("n") >= least) & (F.col("numbers") >= F.col("n") * share))
     pages = counted.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("id", "box"))).alias("all"))
     none = F.filter("all", lambda r: F.lit(False))
     kept = F.aggregate("all", none, lambda done, r: F.when(F.exists(done, lambda d: G.intersects(d.getField("box"), r.getField("box"))), done).otherwise(F.concat(done, F.array(r))))
