@@ -273,14 +273,19 @@ def styled_text(spans: DataFrame, by: list[str]) -> DataFrame:
     """(by, text): spans (place, text, bold, italic, font, color, size) as marked-up text.
 
     Bold, italic and small capitals come from the font; what departs from the group's usual colour or size is wrapped.
+    Spans and both usual values of a group come from one aggregate, so no table of groups is joined or broadcast.
     """
-    s = spans.filter(F.trim("text") != "")
-    usual_colour = weighted_mode(s, by, "color", F.lit(1)).select(*[F.col(c).alias(f"_c_{c}") for c in by], F.col("color").alias("_color"))
-    usual_size = weighted_mode(s.withColumn("_rounded", F.bround("size")), by, "_rounded", F.lit(1)).select(*[F.col(c).alias(f"_s_{c}") for c in by], F.col("_rounded").alias("_size"))
-    on = lambda t: [F.col(c) == F.col(f"_{t}_{c}") for c in by]
-    j = s.join(usual_colour, on("c")).join(usual_size, on("s"))
-    star = F.concat(F.when(F.col("bold"), "**").otherwise(""), F.when(F.col("italic"), "*").otherwise(""))
     small = F.col("font").rlike(r"(?i)smallcaps|_sc\b|-sc\b")
+    star = F.concat(F.when(F.col("bold"), "**").otherwise(""), F.when(F.col("italic"), "*").otherwise(""))
     body = F.concat(F.when(small, "‹sc›").otherwise(""), star, F.trim("text"), F.reverse(star), F.when(small, "‹/sc›").otherwise(""))
-    wrapped = F.when(F.col("color") != F.col("_color"), F.concat(F.lit("‹c:"), F.lower(F.lpad(F.hex("color"), 6, "0")), F.lit("›"), body, F.lit("‹/c›"))).when(F.bround("size") >= F.col("_size") * 1.35, F.concat(F.lit("‹g›"), body, F.lit("‹/g›"))).otherwise(body)
-    return j.withColumn("_t", wrapped).groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "_t"))), lambda x: x.getField("_t")), " ").alias("text"))
+    usual = lambda c: F.mode(F.struct(c.alias("v")), True).getField("v")  # noqa: E731  the smaller of equals; nulls count
+    rounded = F.bround("size")
+    span = F.struct("place", body.alias("body"), "color", rounded.alias("size"))
+    groups = spans.filter(F.trim("text") != "").groupBy(*by).agg(usual(F.col("color")).alias("_color"), usual(rounded).alias("_size"), F.array_sort(F.collect_list(span)).alias("_all"))
+
+    def wrapped(s: Column) -> Column:
+        own, colour = s.getField("body"), s.getField("color")
+        coloured = F.concat(F.lit("‹c:"), F.lower(F.lpad(F.hex(colour), 6, "0")), F.lit("›"), own, F.lit("‹/c›"))
+        return F.when(colour != F.col("_color"), coloured).when(s.getField("size") >= F.col("_size") * 1.35, F.concat(F.lit("‹g›"), own, F.lit("‹/g›"))).otherwise(own)
+
+    return groups.select(*by, F.array_join(F.transform("_all", wrapped), " ").alias("text"))

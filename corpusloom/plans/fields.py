@@ -269,7 +269,7 @@ def styled_text(spark, sf_dir):
         span(4, F.lit("e"), size=F.when(F.col("p_partkey") % 2 == 0, F.lit(14.0)).otherwise(F.lit(13.0))),
         span(5, F.lit("  "), color=99),
     )
-    each = R.table(spark, sf_dir, "part").select("p_partkey", F.explode(spans).alias("s")).select("p_partkey", "s.*")
+    each = R.dealt_table(spark, sf_dir, "part").select("p_partkey", F.explode(spans).alias("s")).select("p_partkey", "s.*")
     return shape.styled_text(each, ["p_partkey"])
 
 
