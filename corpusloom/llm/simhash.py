@@ -99,11 +99,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = similar.WORDS) -> DataFrame:
     """The documents without near-duplicates: the one with the smallest id of each component stays.
 
-    Near-duplicates are those of :mod:`similar`, on shingles of five words and similarity 0.8: fingerprints of such
-    pairs differ in up to about 20 bits, which no chain of segments can index. A repeated id stays once; rows without
-    an id can't be referred to and stay.
+    Near-duplicates are those that :func:`near_duplicates` links by fingerprint, and those of :mod:`similar`, on shingles
+    of five words and similarity 0.8: fingerprints of such pairs differ in up to about 20 bits, which no chain of
+    segments can index. A component goes over links of both. A repeated id stays once; rows without an id can't be
+    referred to and stay.
     """
-    kept = similar.near_duplicates(docs, id_col, text_col, words).filter(F.col("id") == F.col("component")).select(F.col("id").alias("_kept_id")).distinct()
+    found = near_duplicates(docs, id_col, text_col, words), similar.near_duplicates(docs, id_col, text_col, words)
+    near, alike = (df.filter("id > component").select("id", "component") for df in found)
+    parts = components(written(near.unionByName(alike).distinct(), "near"), "id", "component")
+    gone = parts.filter("node > component").select(F.col("node").alias("_gone_id"))
     named = docs.filter(F.col(id_col).isNotNull())
-    one = named.join(kept, named[id_col].cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
+    one = named.join(gone, named[id_col].cast("long") == F.col("_gone_id"), "left_anti").dropDuplicates([id_col])
     return one.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -4,6 +4,7 @@ import random
 import re
 
 import xxhash
+from pyspark.sql import functions as F
 
 from corpusloom.llm import graph, simhash
 
@@ -89,3 +90,12 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r["node"]: r["component"] for r in graph.components(df, "a", "b").collect()}
     want = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {200: 150, 150: 150}
     assert got == want
+
+
+def test_keep_one_goes_by_fingerprints_too(spark, monkeypatch):
+    """Documents that only their fingerprints link, as the shingles link nothing here."""
+    alone = lambda docs, id_col, text_col, words: docs.select(F.col(id_col).alias("id"), F.col(id_col).alias("component"))
+    monkeypatch.setattr(simhash.similar, "near_duplicates", alone)
+    text = "the same words in every copy of it"
+    df = spark.createDataFrame([(5, text, 1, "x"), (3, text.upper(), 2, "x"), (9, "another text that stands alone here", 4, "x")], SCHEMA)
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == [3, 9]
