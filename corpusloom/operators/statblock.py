@@ -71,9 +71,13 @@ def sections(rest: Column, least: int = 12) -> Column:
     """Structs section, text: prose cut at the capital headings; what comes first are traits."""
     mark = rx(r"\b(BONUS ACTIONS|LEGENDARY ACTIONS|REACTIONS|ACTIONS)\b")
     names = F.create_map(*[F.lit(x) for pair in fixed.SECTION_MARKS.items() for x in pair])
-    heads = F.concat(F.array(F.lit("traits")), F.transform(T.find_all(rest, mark, 1), lambda h: names[h]))
-    parts = F.transform(F.split(rest, mark, -1), lambda p, i: F.struct(F.get(heads, i).alias("section"), F.trim(p).alias("text")))
-    return F.filter(parts, lambda p: F.length(p.getField("text")) >= least)
+
+    def cut(t: Column) -> Column:
+        heads = F.concat(F.array(F.lit("traits")), F.transform(T.find_all(t, mark, 1), lambda h: names[h]))
+        each = lambda f: F.transform(f.getField("parts"), lambda p, i: F.struct(F.get(f.getField("heads"), i).alias("section"), F.trim(p).alias("text")))
+        return let(F.struct(heads.alias("heads"), F.split(t, mark, -1).alias("parts")), each)
+
+    return F.filter(let(rest, cut), lambda p: F.length(p.getField("text")) >= least)
 
 
 def fix_alignment(text: Column) -> Column:

@@ -28,7 +28,7 @@ def cases(name: str, make, *found: tuple[str, ...]) -> None:
     @query(name, f"SELECT p_partkey, {choice([c[-1] for c in found])} AS value FROM part")
     def run(spark, sf_dir):
         inputs = [F.expr(choice([c[i] for c in found])) for i in range(len(found[0]) - 1)]
-        rows = R.table(spark, sf_dir, "part").select("p_partkey", *[c.alias(f"c{i}") for i, c in enumerate(inputs)])
+        rows = R.dealt_table(spark, sf_dir, "part").select("p_partkey", *[c.alias(f"c{i}") for i, c in enumerate(inputs)])
         return rows.select("p_partkey", make(*[F.col(f"c{i}") for i in range(len(inputs))]).alias("value"))
 
 

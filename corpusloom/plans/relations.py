@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of short rows dealt over all cores: its file may be one split, and functions of a row cost more than its move."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: source is the root, language the extension."""
     d = table(spark, sf_dir, "documents")
