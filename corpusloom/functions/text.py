@@ -237,7 +237,6 @@ def ocr_noise(c: Column) -> Column:
 
 def normal_tokens(c: Column) -> Column:
     """Style tokens with their own delimiters again, whatever brackets they came back with; colours in lower case."""
-    t = F.regexp_replace(c, rx(fixed.TOKEN_PLAIN), "‹$1$2›")
     colour = rx(fixed.TOKEN_COLOUR)
     pieces = F.split(t, colour, -1)
     colours = find_all(t, colour, 1)
@@ -294,7 +293,8 @@ def unwrap_answer(c: Column) -> Column:
 
 
 def _letters_only(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(normal_tokens(c)), "[^a-záéíóúñüA-ZÁÉÍÓÚÑÜ]+", " "))
+    """Runs of letters in lower case. Style tokens give the same runs whatever their brackets, so they stay as they are."""
+    return F.trim(F.regexp_replace(F.lower(c), "[^a-záéíóúñüA-ZÁÉÍÓÚÑÜ]+", " "))
 
 
 def same_as_source(source: Column, target: Column) -> Column:
@@ -519,14 +519,20 @@ def accent_colour(c: Column) -> Column:
 
 def front_matter(c: Column) -> Column:
     """Keys and values between the first line of dashes and the next; the later of repeated keys holds."""
-    lines = F.split(c, "\r\n|\n|\r", -1)
-    body = F.slice(lines, F.lit(2), F.size(lines))
-    end = F.array_position(F.transform(body, lambda x: F.trim(x)), "---")
-    inside = F.filter(F.when(end > 0, F.slice(body, F.lit(1), (end - 1).cast("int"))).otherwise(body), lambda x: x.contains(":"))
     key = lambda x: F.trim(F.substring_index(x, ":", 1))
     value = lambda x: F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(x, "^[^:]*:", "")), '^"+|"+$', ""), "^'+|'+$", "")
-    entries = F.transform(inside, lambda x: F.struct(key(x).alias("k"), value(x).alias("v")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later.getField("k") == e.getField("k")))
-    valid = (F.size(lines) >= 3) & (F.trim(lines[0]) == "---")
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return F.when(valid, F.map_from_entries(last)).otherwise(empty)
+    later = lambda entries, e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x.getField("k") == e.getField("k"))
+    last = lambda entries: F.filter(entries, lambda e, i: ~later(entries, e, i))
+
+    def held(body: Column) -> Column:
+        end = F.array_position(F.transform(body, lambda x: F.trim(x)), "---")
+        block = let(end, lambda n: F.when(n > 0, F.slice(body, F.lit(1), (n - 1).cast("int"))).otherwise(body))
+        entries = F.transform(F.filter(block, lambda x: x.contains(":")), lambda x: F.struct(key(x).alias("k"), value(x).alias("v")))
+        return F.map_from_entries(let(entries, last))
+
+    def read(lines: Column) -> Column:
+        valid = (F.size(lines) >= 3) & (F.trim(lines[0]) == "---")
+        empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+        return F.when(valid, let(F.slice(lines, F.lit(2), F.size(lines)), held)).otherwise(empty)
+
+    return let(F.split(c, "\r\n|\n|\r", -1), read)

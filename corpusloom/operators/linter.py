@@ -31,7 +31,8 @@ def errors(folders: DataFrame, paths: DataFrame) -> DataFrame:
             F.when((name != "") & ~name.rlike(NAME), F.concat(F.lit("name '"), name, F.lit("' must be lowercase hyphen-case"))),
         )
     )
-    found = f.select("folder", F.explode(checks).alias("error"))
-    wanted = f.filter(present).select("folder", F.explode(links(F.col("content"))).alias("link")).filter(F.col("link").startswith("references/"))
+    # outer, as Spark otherwise computes the array again, twice, to leave out rows without an element
+    found = f.select("folder", F.explode_outer(checks).alias("error")).filter("error IS NOT NULL")
+    wanted = f.filter(present).select("folder", F.explode_outer(links(F.col("content"))).alias("link")).filter(F.col("link").startswith("references/"))
     missing = wanted.withColumn("target", F.concat_ws("/", "folder", "link")).join(paths.select(F.col("path").alias("_path")), F.col("target") == F.col("_path"), "left_anti")
     return found.unionByName(missing.select("folder", F.concat(F.lit("referenced file does not exist: "), F.col("link")).alias("error")))

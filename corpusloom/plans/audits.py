@@ -59,7 +59,7 @@ def links(spark, sf_dir):
 @query("lint_names", "SELECT 'x/' || p_name AS folder, 'name ''' || p_name || ' X'' must be lowercase hyphen-case' AS error FROM part UNION ALL SELECT 'x/' || p_name, 'name ''' || p_name || ' X'' does not match folder ''' || p_name || '''' FROM part")
 def lint_names(spark, sf_dir):
     name = F.col("p_name")
-    folders = R.table(spark, sf_dir, "part").select(F.concat(F.lit("x/"), name).alias("folder"), F.concat(F.lit("---\nname: "), name, F.lit(" X\ndescription: d\n---\n")).alias("content"))
+    folders = R.dealt_table(spark, sf_dir, "part").select(F.concat(F.lit("x/"), name).alias("folder"), F.concat(F.lit("---\nname: "), name, F.lit(" X\ndescription: d\n---\n")).alias("content"))
     return linter.errors(folders, spark.createDataFrame([], "path string"))
 
 
@@ -99,7 +99,7 @@ def manifest(spark, sf_dir):
        CASE WHEN p_size % 2 = 0 THEN 'referenced file does not exist: references/' || p_size || '.md' END]) AS error FROM part) WHERE error IS NOT NULL""",
 )
 def front_matter_lint(spark, sf_dir):
-    p = R.table(spark, sf_dir, "part")
+    p = R.dealt_table(spark, sf_dir, "part")
     key = F.col("p_partkey").cast("string")
     name = F.when(F.col("p_size") % 3 == 0, key).otherwise(F.concat(F.lit("part-"), key))
     about = F.when(F.col("p_size") % 5 == 0, F.lit("")).otherwise(F.lit('"a part"'))
