@@ -439,9 +439,16 @@ def align_damage(source: Column, target: Column) -> Column:
     kinds = find_all(F.lower(source), rx(rf"\b({alternatives(fixed.DAMAGE)})\s+damage\b"), 1)
     phrase = rx(rf"daño (?:de |por )?(?!(?i:(?:{alternatives(fixed.NOT_DAMAGE)})(?![a-záéíóúñA-ZÁÉÍÓÚÑ])))([a-záéíóúñA-ZÁÉÍÓÚÑ]{{3,}})")
     names = F.create_map(*[F.lit(x) for pair in fixed.DAMAGE.items() for x in pair])
-    gaps = F.split(target, phrase, -1)
-    joined = F.array_join(F.transform(gaps, lambda g, i: F.when(i == 0, g).otherwise(F.concat(F.lit("daño "), names[F.get(kinds, i - 1)], g))), "")
-    return F.when((F.size(kinds) > 0) & (F.size(kinds) == F.size(gaps) - 1), joined).otherwise(target)
+
+    def aligned(t: Column) -> Column:
+        def by(found: Column) -> Column:
+            kinds, gaps = found.getField("kinds"), found.getField("gaps")
+            joined = F.array_join(F.transform(gaps, lambda g, i: F.when(i == 0, g).otherwise(F.concat(F.lit("daño "), names[F.get(kinds, i - 1)], g))), "")
+            return F.when((F.size(kinds) > 0) & (F.size(kinds) == F.size(gaps) - 1), joined).otherwise(t)
+
+        return let(F.struct(kinds.alias("kinds"), F.split(t, phrase, -1).alias("gaps")), by)
+
+    return let(target, aligned)
 
 
 def map_terms(c: Column, table: dict[str, str]) -> Column:
