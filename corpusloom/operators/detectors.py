@@ -201,14 +201,14 @@ def divergent(pairs: DataFrame, least: int = 12, sites: int = 4) -> DataFrame:
 
     Sources and translations are grouped by their digests; of a source's sites only the first few are kept by a ranked
     limit, which starts before the shuffle, so a passage with countless translations costs no more than any other.
+    Two of them show that there is more than one, so comparable texts are made once, and only of sources long enough.
     """
-    k = translated(pairs).select("page", "block", T.norm(_en()).alias("source"), T.norm(_es()).alias("target"), F.substring(_es(), 1, 40).alias("es")).filter(F.length("source") >= least)
+    k = translated(pairs).filter(F.length(_en()) >= least).select("page", "block", T.norm(_en()).alias("source"), T.norm(_es()).alias("target"), F.substring(_es(), 1, 40).alias("es")).filter(F.length("source") >= least)
     keyed = k.select(F.md5("source").alias("key"), F.md5("target").alias("target"), F.struct("page", "block", "es", F.substring("source", 1, 40).alias("source")).alias("site"))
     versions = keyed.groupBy("key", "target").agg(F.min("site").alias("first"))
-    many = versions.groupBy("key").agg(F.count("*").alias("versions")).filter("versions > 1").select(F.col("key").alias("_many"))
-    ranked = versions.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("first"))).filter(F.col("_n") <= sites)
-    some = ranked.join(many, F.col("key") == F.col("_many")).groupBy("key").agg(F.array_sort(F.collect_list("first")).alias("sites"))
-    shown = F.array_join(F.transform("sites", lambda s: F.concat(F.lit("p"), s.getField("page"), F.lit(":"), s.getField("block"), F.lit("="), s.getField("es"))), " | ")
+    ranked = versions.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("first"))).filter(F.col("_n") <= max(sites, 2))
+    some = ranked.groupBy("key").agg(F.array_sort(F.collect_list("first")).alias("sites")).filter(F.size("sites") > 1)
+    shown = F.array_join(F.transform(F.slice("sites", 1, sites), lambda s: F.concat(F.lit("p"), s.getField("page"), F.lit(":"), s.getField("block"), F.lit("="), s.getField("es"))), " | ")
     top = F.col("sites")[0]
     return some.select(top["page"].alias("page"), top["block"].alias("block"), F.lit("DIVERGE").alias("kind"), F.concat(top["source"], F.lit(" → "), shown).alias("detail"))
 
