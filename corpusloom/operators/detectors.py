@@ -169,7 +169,7 @@ def length_ratio(pairs: DataFrame, least: int = 60, short: float = 0.45, long: f
         name = F.when(a >= least, F.when(b < a * short, "CORTO").when(b > a * long, "LARGO"))
         return F.struct(name.alias("kind"), F.concat(b, F.lit("/"), a, F.lit(" chars: "), F.substring(_es(), 1, 60)).alias("detail"))
 
-    found = long_enough.select("page", "block", F.explode(F.filter(F.array(T.let(sizes, kind)), lambda k: k.getField("kind").isNotNull())).alias("k"))
+    found = long_enough.select("page", "block", F.explode_outer(F.filter(F.array(T.let(sizes, kind)), lambda k: k.getField("kind").isNotNull())).alias("k")).filter("k IS NOT NULL")
     return found.select("page", "block", "k.kind", "k.detail")
 
 
@@ -219,11 +219,12 @@ def divergent(pairs: DataFrame, least: int = 12, sites: int = 4) -> DataFrame:
 def _sense(pairs: DataFrame, hits, first: str | None = None) -> DataFrame:
     """(page, block, hit) for each of ``hits(en, es)``, an array of strings in which nulls don't count.
 
-    Both comparable texts are computed once for a row; ``first`` is a pattern without which a source has no hit.
+    Both comparable texts are computed once for a row; ``first`` is a pattern without which a source has no hit. Arrays
+    are exploded as outer ones, as Spark otherwise computes them twice more to leave out rows without an element.
     """
     none = F.array().cast("array<string>")
     found = T.let(T.norm_sense(_en()), lambda en: F.when(F.lit(True) if first is None else en.rlike(first), T.let(T.norm_sense(_es()), lambda es: F.array_compact(hits(en, es)))).otherwise(none))
-    return translated(pairs).select("page", "block", F.explode(found).alias("hit"))
+    return translated(pairs).select("page", "block", F.explode_outer(found).alias("hit")).filter("hit IS NOT NULL")
 
 
 def false_friends(pairs: DataFrame, rules=fixed.FALSE_FRIENDS) -> DataFrame:
@@ -293,12 +294,12 @@ def range_words(pairs: DataFrame, table=fixed.RANGE_WORDS) -> DataFrame:
 
 def style_signals(targets: DataFrame, rules=fixed.STYLE_SIGNALS) -> DataFrame:
     """(page, block, kind, detail): every match of every style rule in ``es``, with its surroundings."""
-    found = F.flatten(F.array(*[_signal(p, meaning) for p, meaning in rules]))
-    return targets.filter(_es().isNotNull()).select("page", "block", F.explode(found).alias("s")).select("page", "block", F.col("s.kind").alias("kind"), F.col("s.detail").alias("detail"))
+    found = T.let(_es(), lambda es: F.flatten(F.array(*[_signal(es, p, meaning) for p, meaning in rules])))
+    return targets.filter(_es().isNotNull()).select("page", "block", F.explode_outer(found).alias("s")).filter("s IS NOT NULL").select("page", "block", F.col("s.kind").alias("kind"), F.col("s.detail").alias("detail"))
 
 
-def _signal(pattern: str, meaning: str) -> Column:
-    return F.transform(T.context_snippets(_es(), T.rx(pattern, "i")), lambda s: F.struct(F.lit(meaning).alias("kind"), s.alias("detail")))
+def _signal(es: Column, pattern: str, meaning: str) -> Column:
+    return F.transform(T.context_snippets(es, T.rx(pattern, "i")), lambda s: F.struct(F.lit(meaning).alias("kind"), s.alias("detail")))
 
 
 # whole pages: (page, en, es)
