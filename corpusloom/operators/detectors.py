@@ -190,9 +190,11 @@ def kept_names(glossary: DataFrame) -> DataFrame:
 def lost_names(pairs: DataFrame, names: DataFrame) -> DataFrame:
     """Kept names of the source that the target lacks, in sources of forty characters or more."""
     words = F.array_distinct(T.find_all(T.strip_tokens(_en()), T.rx(r"\b[A-Z][a-z]{3,}\b")))
-    each = translated(pairs).filter(F.length(T.norm(_en())) >= 40).select("page", "block", "es", F.explode(words).alias("word"))
-    held = joins.looked_up(each.withColumn("plain", T.norm(F.col("word"))), names.select(F.col("name").alias("_n")), F.col("plain") == F.col("_n"), "left_semi")
-    gone = held.filter(~T.norm(_es()).contains(F.col("plain")))
+    long_enough = translated(pairs).filter(F.length(_en()) >= 40)  # comparable text is never longer than the text
+    each = long_enough.select("page", "block", "en", "es", F.explode_outer(words).alias("word")).filter("word IS NOT NULL")
+    held = joins.looked_up(each.withColumn("plain", T.norm(F.col("word"))), names.select(F.col("name").alias("_n")).distinct(), F.col("plain") == F.col("_n"), "inner")
+    # both sides of the join stand in the condition, so comparable texts are made for names only
+    gone = held.filter(F.when(F.col("_n").isNotNull(), (F.length(T.norm(_en())) >= 40) & ~T.norm(_es()).contains(F.col("_n"))))
     return gone.groupBy("page", "block").agg(F.array_sort(F.collect_set("word")).alias("gone")).select("page", "block", F.lit("PERDIDO").alias("kind"), _shown(F.col("gone")).alias("detail"))
 
 
