@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as T
 from ..functions.text import let, rx
+from . import joins
 from .shape import first_seen, stable_id
 
 _ARMOUR, _HITS, _SPEED, _CHALLENGE = rx(fixed.ARMOUR), rx(fixed.HIT_POINTS), rx(fixed.SPEED + fixed.FIELD_END), rx(fixed.CHALLENGE)
@@ -138,11 +139,14 @@ def actors(panels: DataFrame) -> DataFrame:
         each = F.transform(names, lambda n, i: F.struct(F.substring(F.trim(n), 1, 60).alias("name"), F.concat(F.lit("<p><em>("), kind, F.lit(")</em></p>"), T.html_journal(F.trim(texts[i]))).alias("html")))
         return F.when(kind.isNotNull(), each).otherwise(F.array().cast("array<struct<name:string,html:string>>"))
 
-    a = panels.filter(F.coalesce("title", F.lit("")) != "").withColumn("fields", fields)
+    name = F.substring(T.title_case(F.col("title")), 1, 80)
+    # the first of a name is chosen on panels as they came: fields and the biography, which are long, don't go through the window
+    titled = joins.dealt(panels.filter(F.coalesce("title", F.lit("")) != "").withColumn("_name", F.lower(name)), "_name")
+    a = first_seen(titled, F.col("_name"), ["page", "place"]).withColumn("fields", fields)
     out = a.select(
         "page",
         "place",
-        F.substring(T.title_case(F.col("title")), 1, 80).alias("name"),
+        name.alias("name"),
         F.map_from_entries(scores).alias("abilities"),
         whole(fixed.PANEL_ARMOUR, 10).alias("ac"),
         whole(fixed.PANEL_HIT_POINTS, 10).alias("hp"),
@@ -153,7 +157,7 @@ def actors(panels: DataFrame) -> DataFrame:
         F.regexp_replace(F.coalesce("sub", F.lit("")), r"\*", "").alias("kind"),
         panel_html(F.col("title"), F.col("sub"), F.col("parts")).alias("biography"),
     )
-    return first_seen(out, F.lower("name"), ["page", "place"]).withColumn("id", stable_id(F.lower("name"))).withColumn("file", F.concat(T.slug(F.col("name")), F.lit(".json")))
+    return out.withColumn("id", stable_id(F.lower("name"))).withColumn("file", F.concat(T.slug(F.col("name")), F.lit(".json")))
 
 
 def roll_tables(texts: DataFrame) -> DataFrame:
