@@ -238,10 +238,14 @@ def ocr_noise(c: Column) -> Column:
 def normal_tokens(c: Column) -> Column:
     """Style tokens with their own delimiters again, whatever brackets they came back with; colours in lower case."""
     colour = rx(fixed.TOKEN_COLOUR)
-    pieces = F.split(t, colour, -1)
-    colours = find_all(t, colour, 1)
-    t = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("‹c:"), F.lower(F.get(colours, i - 1)), F.lit("›"), p))), "")
-    return F.regexp_replace(t, rx(fixed.TOKEN_COLOUR_END), "‹/c›")
+
+    def lowered(t: Column) -> Column:
+        found = F.struct(F.split(t, colour, -1).alias("pieces"), find_all(t, colour, 1).alias("colours"))
+        joined = lambda f: F.array_join(F.transform(f.getField("pieces"), lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("‹c:"), F.lower(F.get(f.getField("colours"), i - 1)), F.lit("›"), p))), "")
+        return F.when(t.rlike(colour), let(found, joined)).otherwise(t)
+
+    plain = F.regexp_replace(c, rx(fixed.TOKEN_PLAIN), "‹$1$2›")
+    return F.regexp_replace(let(plain, lowered), rx(fixed.TOKEN_COLOUR_END), "‹/c›")
 
 
 def repair_extraction(c: Column) -> Column:

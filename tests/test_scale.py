@@ -1,13 +1,14 @@
 """What must hold for large tables: no nested loops, no single task, no pair of all with all."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import geometry as G
 from corpusloom.functions import text as T
-from corpusloom.operators import audit, detectors, joins, layout, ranking, shape
+from corpusloom.operators import audit, detectors, folds, joins, layout, linter, ranking, shape, statblock
 
 
 def plan(df):
@@ -107,3 +108,78 @@ def test_divergent_keeps_a_few_sites_of_countless_versions(spark):
     got = found.collect()
     assert len(got) == 1 and got[0]["page"] == 0 and got[0]["detail"].count("versión") == 4
     assert "WindowGroupLimit" in plan(found)
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_styled_text_joins_nothing(spark):
+    rows = [(1, 0, "a", True, False, "Serif", 5, 10.0), (1, 1, "b", False, False, "Serif", None, 14.0), (1, 2, "c", False, False, "Serif", None, 10.0), (2, 0, " ", False, False, "Serif", 7, 9.0), (3, 0, "d", False, True, "X-SC", 9, 9.0)]
+    spans = spark.createDataFrame(rows, "page long, place int, text string, bold boolean, italic boolean, font string, color int, size double")
+    found = shape.styled_text(spans, ["page"])
+    assert {r["page"]: r["text"] for r in found.collect()} == {1: "**a** ‹g›b‹/g› c", 3: "‹sc›*d*‹/sc›"}
+    assert "Join" not in optimized(found)
+
+
+def test_list_items_of_repeated_rows(spark):
+    rows = [(1, y, 6 * (y % 2), "word") for y in range(4)] * 2
+    got = folds.list_items(spark.createDataFrame(rows, "page long, y long, x0 long, text string"), ["page"])
+    assert sorted((r["y"], r["item"]) for r in got.collect()) == [(0, 2), (0, 2), (1, 2), (1, 2), (2, 4), (2, 4), (3, 4), (3, 4)]
+
+
+def test_long_texts_are_read_once(spark):
+    """Each is linear in the length; reading the text again for every piece of it would take minutes."""
+    n = 20_000
+    colours = spark.range(1).select(F.repeat(F.lit("«c:00AAff»x"), n).alias("t"))
+    began = time.monotonic()
+    assert colours.select(T.normal_tokens(F.col("t")).alias("t")).first()["t"] == "‹c:00aaff›x" * n
+    damage = spark.range(1).select(F.repeat(F.lit("fire damage "), n).alias("en"), F.repeat(F.lit("daño ígneo "), n).alias("es"))
+    assert damage.select(T.align_damage(F.col("en"), F.col("es")).alias("t")).first()["t"] == "daño de fuego " * n
+    parts = spark.range(1).select(F.repeat(F.lit("ACTIONS a text long enough "), n).alias("t"))
+    assert parts.select(F.size(statblock.sections(F.col("t"))).alias("n")).first()["n"] == n
+    echoes = " ".join(f"w{i} w{i} x{i} y{i}" for i in range(3000))
+    assert folds.without_echo(echoes) == " ".join(f"w{i} x{i} y{i}" for i in range(3000))
+    assert time.monotonic() - began < 60
+
+
+def test_letters_are_the_same_with_any_brackets(spark):
+    rows = [("‹sc›El  Ser‹/sc› ‹c:00aaff›x‹/c›", "« sc »el ser< / sc > <c : 00AAFF>X« / c »", True), ("‹g›a‹/g›b", "gagb", False)]
+    got = spark.createDataFrame(rows, "a string, b string, same boolean").select(T.same_as_source(F.col("a"), F.col("b")).alias("got"), "same").collect()
+    assert all(r["got"] == r["same"] for r in got)
+
+
+def test_arrays_of_checks_are_computed_once(spark):
+    pairs = spark.createDataFrame([(1, 0, "Erthing and a text that is long enough for it", "eventualmente va, un chequeo y eso hace sentido")], "page long, block long, en string, es string")
+    names = spark.createDataFrame([("erthing",)], "name string")
+    folders = spark.createDataFrame([("a/b", "---\nname: c\n---\n[x](references/y.md)")], "folder string, content string")
+    found = {"style": (detectors.style_signals(pairs), 3), "names": (detectors.lost_names(pairs, names), 1), "lint": (linter.errors(folders, spark.createDataFrame([], "path string")), 3)}
+    for name, (df, n) in found.items():
+        assert df.count() == n, name
+        assert not [line for line in optimized(df).splitlines() if "Filter" in line and "size(" in line], name
+    versions = detectors.divergent(pairs)
+    assert versions.count() == 0 and "Join" not in optimized(versions)
+    two = detectors.divergent(pairs.unionByName(pairs.withColumn("es", F.lit("otro"))), sites=1)
+    assert [r["detail"].count("p1:0=") for r in two.collect()] == [1]
+
+
+def test_windows_are_dealt_by_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    assert joins.dealt(df, "k", rows=1000).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    assert joins.dealt(df, "k", rows=50).rdd.getNumPartitions() == 20
+
+
+def test_only_panels_as_they_came_go_through_the_window(spark):
+    parts = "array<struct<h:string,t:string,table:array<struct<k:string,v:string>>>>"
+    panels = spark.createDataFrame([(2, 0, "Jefe", None, []), (1, 0, "JEFE", "x", []), (3, 0, None, None, [])], f"page long, place int, title string, sub string, parts {parts}")
+    found = statblock.actors(panels)
+    assert [(r["page"], r["name"], r["kind"]) for r in found.collect()] == [(1, "Jefe", "x")]
+    assert "<h3>" not in optimized(found).split("Window", 1)[1]
+
+
+def test_wide_rectangles_cover_few_tiles(spark):
+    rects = spark.createDataFrame([(1, "r")], "page long, id string").withColumn("box", G.rect(F.lit(10.0), F.lit(40.0), F.lit(310.0), F.lit(140.0)))
+    cells = spark.range(30).select(F.lit(1).cast("long").alias("page"), G.rect(F.col("id") * 10.0, F.lit(50.0), F.col("id") * 10.0 + 5, F.lit(60.0)).alias("box"), F.when(F.col("id") % 2 == 0, "7").otherwise("w").alias("text"))
+    found = layout.table_regions(rects, cells)
+    assert [r["id"] for r in found.collect()] == ["r"]
+    assert "/ 250.0" in optimized(found) and "/ 50.0" not in optimized(found)
