@@ -65,7 +65,10 @@ def _key(i: int, first: Column, second: Column) -> Column:
 
 
 def links(classes: DataFrame) -> DataFrame:
-    """(a, b): representatives of every two classes (rep, fp) whose fingerprints differ in 1 to 3 bits."""
+    """(a, b): representatives of every two classes (rep, fp) whose fingerprints differ in 1 to 3 bits.
+
+    Spark sizes exploded rows as if they were no more than before, so without a hint it would broadcast 68 rows a class.
+    """
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     classes = classes.select("rep", "fp").repartition(n)  # few rows become many: spread before
     fp = F.col("fp")
@@ -78,7 +81,7 @@ def links(classes: DataFrame) -> DataFrame:
     for i in range(SEGMENTS):
         other = _segment(apart, i + 3)
         third = F.when(F.col("i") == i, F.bit_count(apart) - F.bit_count(other)).otherwise(third)
-    found = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("fa") < F.col("fb")) & (third <= 2) & (F.bit_count(apart) <= MAX_BITS))
+    found = left.join(right.hint("merge"), (F.col("key") == F.col("key_b")) & (F.col("fa") < F.col("fb")) & (third <= 2) & (F.bit_count(apart) <= MAX_BITS))
     return found.select("a", "b").distinct()
 
 
@@ -92,7 +95,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = written(fingerprints(docs, id_col, text_col, words), "simhash")
     classes = written(rows.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
     parts = components(links(classes.filter(F.col("rep").isNotNull())), "a", "b")
-    whole = classes.join(parts, classes["rep"] == parts["node"], "left").select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component"), "n")
+    whole = classes.join(parts.hint("merge"), classes["rep"] == parts["node"], "left").select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component"), "n")
     return spread(rows, written(whole, "whole"), "fp", "class_fp", "n").select("id", "fp", "component")
 
 

@@ -99,3 +99,10 @@ def test_keep_one_goes_by_fingerprints_too(spark, monkeypatch):
     text = "the same words in every copy of it"
     df = spark.createDataFrame([(5, text, 1, "x"), (3, text.upper(), 2, "x"), (9, "another text that stands alone here", 4, "x")], SCHEMA)
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == [3, 9]
+
+
+def test_exploded_keys_are_not_broadcast(spark):
+    classes = spark.range(2000).select(F.col("id").alias("rep"), F.xxhash64("id").alias("fp"))
+    found = simhash.links(classes)
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
