@@ -113,7 +113,10 @@ def _segment(code: Column, i: int) -> Column:
 
 def candidates(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(group, code_a, code_b) with code_a < code_b, from distinct (group, code): codes of one group (a long) that
-    share a segment up to one bit and differ in ``radius`` bits or fewer; each pair once."""
+    share a segment up to one bit and differ in ``radius`` bits or fewer; each pair once.
+
+    Spark sizes exploded rows as if they were no more than before, so without a hint it would broadcast 68 rows a code.
+    """
     n = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = codes.select("group", "code").repartition(n)  # few rows become many: spread before
     code = F.col("code")
@@ -121,7 +124,7 @@ def candidates(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     near = F.array(*[F.xxhash64("group", F.lit(i), _segment(code, i).bitwiseXOR(F.lit(flip).cast("long"))) for i in range(TABLES) for flip in [0, *(1 << j for j in range(WIDTH))]])
     left = dealt.select("group", F.col("code").alias("code_a"), F.explode(plain).alias("key"))
     right = dealt.select(F.col("group").alias("group_b"), F.col("code").alias("code_b"), F.explode(near).alias("key_b"))
-    met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("group") == F.col("group_b")) & (F.col("code_a") < F.col("code_b")) & (F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= radius))
+    met = left.join(right.hint("merge"), (F.col("key") == F.col("key_b")) & (F.col("group") == F.col("group_b")) & (F.col("code_a") < F.col("code_b")) & (F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= radius))
     return met.select("group", "code_a", "code_b").distinct()
 
 
@@ -201,10 +204,10 @@ def _compared(blocks: DataFrame, met: DataFrame, threshold: float, rotation: int
     full = lambda s: blocks.select(F.col("label").alias(f"l_{s}"), F.col("code").alias(f"d_{s}"), F.col("core").alias(f"k_{s}"), F.col("no").alias(f"n_{s}"), F.col("members").alias(f"m_{s}"))
     own = [F.col(c) == F.col(f"_{c}") for c in key]
     share = F.pmod(F.xxhash64("code_b", "core_b", "no_b"), F.col("shares")).cast("int").alias("share")
-    pairs = met.join(many, own).select(*key, "code_b", "core_b", "no_b", "same", share)
-    lead = many.select(*[F.col(f"_{c}").alias(c) for c in key], F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")).join(full("a"), at("a")).select(*key, "share", F.lit(0).alias("turn"), F.col("m_a").alias("members"))
+    pairs = met.join(many.hint("merge"), own).select(*key, "code_b", "core_b", "no_b", "same", share)
+    lead = many.select(*[F.col(f"_{c}").alias(c) for c in key], F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")).join(full("a").hint("merge"), at("a")).select(*key, "share", F.lit(0).alias("turn"), F.col("m_a").alias("members"))
     alone = pairs.filter("same").select(*key, "share", F.lit(1).alias("turn"), F.lit(None).cast(blocks.schema["members"].dataType).alias("members"))
-    others = pairs.filter("NOT same").join(full("b"), at("b")).select(*key, "share", F.lit(1).alias("turn"), F.col("m_b").alias("members"))
+    others = pairs.filter("NOT same").join(full("b").hint("merge"), at("b")).select(*key, "share", F.lit(1).alias("turn"), F.col("m_b").alias("members"))
     n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [*key, "share"]
     return lead.unionByName(alone).unionByName(others).repartition(n, *order).sortWithinPartitions(*order, "turn").select("turn", "members").mapInArrow(_rerank(threshold, rotation, radius), "a long, b long, n long")
@@ -289,7 +292,7 @@ def _linked(coded: DataFrame, rotation: int, threshold: float, radius: int, bloc
     pairs = written(own.unionByName(candidates(counted.select(group.alias("group"), "code"), radius)), "pairs")
     side = lambda s: blocks.select(F.col("label").alias(f"label_{s}"), F.xxhash64("label").alias(f"g_{s}"), F.col("code").alias(f"c_{s}"), F.col("core").alias(f"core_{s}"), F.col("no").alias(f"no_{s}"))
     on = lambda s: (F.col("group") == F.col(f"g_{s}")) & (F.col(f"code_{s}") == F.col(f"c_{s}"))
-    met = pairs.join(side("a"), on("a")).join(side("b"), on("b")).filter("label_a = label_b")
+    met = pairs.join(side("a").hint("merge"), on("a")).join(side("b").hint("merge"), on("b")).filter("label_a = label_b")
     within = F.col("code_a") == F.col("code_b")
     order = lambda s: F.struct(f"core_{s}", f"no_{s}")
     met = met.filter(~within | ((order("a") <= order("b")) & ~(F.col("core_a") & F.col("core_b"))))
@@ -301,11 +304,11 @@ def _linked(coded: DataFrame, rotation: int, threshold: float, radius: int, bloc
         cores = blocks.filter("core").groupBy("label", "code").agg(F.sum("total").alias("total"), F.min("least").alias("least"), F.max("angle").alias("angle"))
         cores = written(cores.join(pivots, here).drop("l", "c"), "cores")
         two = lambda s: cores.select(F.xxhash64("label").alias(f"g_{s}"), F.col("label").alias(f"label_{s}"), F.col("code").alias(f"c_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("total", "least", "angle", "pivot")])
-        near = pairs.filter(~within).join(two("a"), on("a")).join(two("b"), on("b")).filter("label_a = label_b")
+        near = lookup_join(lookup_join(pairs.filter(~within), two("a"), on("a"), "inner"), two("b"), on("b"), "inner").filter("label_a = label_b")
         near = written(near.mapInArrow(_decided(float(np.arccos(threshold))), "label_a string, code_a long, code_b long, joined boolean, total_a long, total_b long, least_a long, least_b long"), "decided")
         done = near.select(F.col("label_a").alias("d_label"), F.col("code_a").alias("d_a"), F.col("code_b").alias("d_b"))
         both = F.col("core_a") & F.col("core_b") & (F.col("label_a") == F.col("d_label")) & (F.col("code_a") == F.col("d_a")) & (F.col("code_b") == F.col("d_b"))
-        met = met.join(done, both, "left_anti")
+        met = lookup_join(met, done, both, "left_anti")
         linked = near.filter("joined")
         more = linked.select(F.col("label_a").alias("l"), F.col("code_a").alias("c"), F.col("total_b").alias("more")).unionByName(linked.select(F.col("label_a").alias("l"), F.col("code_b").alias("c"), F.col("total_a").alias("more")))
         more = more.groupBy("l", "c").agg(F.sum("more").alias("more"))
@@ -376,7 +379,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
 
     # copies: one vector each, that of the smallest id
     classes = written(usable.groupBy("digest").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies")), "classes")
-    single = usable.join(classes.select(F.col("first.row").alias("first_row"), "copies"), F.col("row") == F.col("first_row")).select("label", "row", "copies", "v", "digest")
+    single = usable.join(classes.select(F.col("first.row").alias("first_row"), "copies").hint("merge"), F.col("row") == F.col("first_row")).select("label", "row", "copies", "v", "digest")
     single = written(single, "single")
     fitted, unfit = {}, []
     for size, vectors in _sampled(single, 0 if exact else sample).items():
@@ -397,9 +400,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
         both = both.unionByName(t)
     counts = both.filter("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("others"))
     parts = written(components(both.filter("b is not null"), "a", "b"), "parts")
-    least = parts.join(classes.select(F.col("first.row").alias("r"), F.col("first.id").alias("i")), F.col("node") == F.col("r")).groupBy(F.col("component").alias("of_part")).agg(F.min("i").alias("top"), F.count("*").alias("size"))
+    least = parts.join(classes.select(F.col("first.row").alias("r"), F.col("first.id").alias("i")).hint("merge"), F.col("node") == F.col("r")).groupBy(F.col("component").alias("of_part")).agg(F.min("i").alias("top"), F.count("*").alias("size"))
     tops = spread(parts, written(least, "tops"), "component", "of_part", "size").select("node", "top")
-    known = classes.select("digest", "first", "copies").join(counts, F.col("first.row") == F.col("of"), "left").join(tops, F.col("first.row") == F.col("node"), "left")
+    known = classes.select("digest", "first", "copies").join(counts.hint("merge"), F.col("first.row") == F.col("of"), "left").join(tops.hint("merge"), F.col("first.row") == F.col("node"), "left")
     known = known.select(F.col("digest").alias("of_digest"), "copies", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("top", F.col("first.id")).alias("top"))
     linked = spread(usable.select("id", "digest"), written(known, "known"), "digest", "of_digest", "copies").select("id", F.col("links").cast("long").alias("n_links"), F.col("top").alias("component"))
     return linked.unionByName(rows.filter(F.col("v").isNull()).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component")))

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import neighbours
 
@@ -100,3 +101,10 @@ def test_all_pairs_where_codes_cannot_tell(spark, monkeypatch):
     for some in (neighbours.near_duplicates(df, block=64), neighbours.near_duplicates(df, block=64, exact=True)):
         got = {r["id"]: (r["n_links"], r["component"]) for r in some.collect()}
         assert got == {i: (links[i], top[i]) for i in links}
+
+
+def test_exploded_keys_are_not_broadcast(spark):
+    codes = spark.range(2000).select((F.col("id") % 3).alias("group"), F.xxhash64("id").alias("code"))
+    found = neighbours.candidates(codes)
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
