@@ -182,10 +182,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.col(f"doc.{text_col}")
     mixed = mix_sizes(whole.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{source_col}").cast("string").alias("source"), word_count(text).alias("size")), weights, share, cap, block_words, depth, seed)
     parts = mixed.blocks.groupBy(F.col("row").alias("of"), "pass").agg(F.array_sort(F.collect_list(F.struct(F.col("first_word").cast("int").alias("first"), F.col("words").cast("int").alias("n")))).alias("parts"), F.sum("words").alias("took"))
-    parts = parts.join(mixed.documents.select(F.col("row").alias("r"), "size"), F.col("of") == F.col("r"))
+    parts = parts.join(mixed.documents.select(F.col("row").alias("r"), "size").hint("merge"), F.col("of") == F.col("r"))
     cut = let(_pieces(text), lambda p: F.array_join(F.transform("parts", lambda b: F.array_join(F.slice(p, b.getField("first") + 1, b.getField("n")), "")), ""))
     taken = F.when(F.col("took") == F.col("size"), text).otherwise(cut)
-    out = whole.join(parts, F.col("row") == F.col("of")).select("doc", taken.alias("taken"))
+    out = whole.join(parts.hint("merge"), F.col("row") == F.col("of")).select("doc", taken.alias("taken"))
     names = [F.col("taken").alias(c) if c == text_col else F.length("taken").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(f"doc.{c}").alias(c) for c in docs.columns]
     return out.select(*names)
 

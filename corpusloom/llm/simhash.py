@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
-from .common import slices, spread, written
+from .common import lookup_join, slices, spread, written
 from .graph import components
 
 SEGMENTS, WIDTH, MAX_BITS = 4, 16, 3
@@ -112,5 +112,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     parts = components(written(near.unionByName(alike).distinct(), "near"), "id", "component")
     gone = parts.filter("node > component").select(F.col("node").alias("_gone_id"))
     named = docs.filter(F.col(id_col).isNotNull())
-    one = named.join(gone, named[id_col].cast("long") == F.col("_gone_id"), "left_anti").dropDuplicates([id_col])
+    one = lookup_join(named, gone, named[id_col].cast("long") == F.col("_gone_id"), "left_anti").dropDuplicates([id_col])
     return one.unionByName(docs.filter(F.col(id_col).isNull()))

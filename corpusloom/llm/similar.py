@@ -123,7 +123,7 @@ def _checked(pairs: DataFrame, held: DataFrame, column: str, good) -> DataFrame:
             keep = pa.array([good(*v) for v in zip(x, y, room)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(3)], ["a", "b", "room"])
 
-    ends = pairs.join(held.select(F.col("id").alias("a"), F.col(column).alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col(column).alias("y")), "b")
+    ends = pairs.join(held.select(F.col("id").alias("a"), F.col(column).alias("x")).hint("merge"), "a").join(held.select(F.col("id").alias("b"), F.col(column).alias("y")).hint("merge"), "b")
     return ends.select("a", "b", "room", "x", "y").mapInArrow(run, "a long, b long, room long")
 
 
@@ -151,7 +151,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = written(keyed(texts, words), "keyed")
     classes = written(rows.groupBy("sig").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
-    copies = written(rows.select("id", "sig").join(classes, "sig").filter("id > rep").select("id", "sig").distinct(), "copies")
+    copies = written(rows.select("id", "sig").join(classes.hint("merge"), "sig").filter("id > rep").select("id", "sig").distinct(), "copies")
     held = lookup_join(rows.filter("id IS NOT NULL AND n > 0"), copies, ["id", "sig"], "left_anti")
     one = held.select("id", "n", F.posexplode("keys").alias("pos", "key"))
     least = one.groupBy(F.col("key").alias("of_key")).agg(F.min(F.struct("id", "n")).alias("c"), F.count("*").alias("rows")).filter("rows > 1")
@@ -181,11 +181,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     longer, shorter = side(marked, "key", "a", "na", "i", "pa", "apart_a"), side(marked.filter("9 * pos <= n"), "key_b", "b", "nb", "j", "pb", "apart_b")
     total = F.col("na") + F.col("nb")
     able = (F.col("pa") != F.col("pb")) & (F.col("na") >= F.col("nb")) & (5 * F.col("nb") >= 4 * F.col("na")) & (9 * F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= 4 * total)
-    met = lambda x, y: x.join(y, (F.col("key") == F.col("key_b")) & able).select("a", "b", "na", "nb")
+    met = lambda x, y: x.join(y.hint("merge"), (F.col("key") == F.col("key_b")) & able).select("a", "b", "na", "nb")
     pairs = met(longer.filter("apart_a"), shorter).unionByName(met(longer.filter("NOT apart_a"), shorter.filter("apart_b")))
     rest = _links(pairs, held, texts, words)
     part = written(components(near.unionByName(rest), "a", "b"), "parts")
-    whole = classes.join(part, F.col("rep") == F.col("node"), "left").select(F.col("sig").alias("of_sig"), F.coalesce("component", "rep").alias("component"), "copies")
+    whole = classes.join(part.hint("merge"), F.col("rep") == F.col("node"), "left").select(F.col("sig").alias("of_sig"), F.coalesce("component", "rep").alias("component"), "copies")
     whole = written(whole, "whole")
     forget(shared, least, second, third)
     return spread(rows.select("id", "sig"), whole, "sig", "of_sig", "copies").select("id", "component")

@@ -4,6 +4,7 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import mixing
 
@@ -113,3 +114,11 @@ def test_empty_table(spark):
     mixed = mixing.mix(df)
     assert mixed.taken().collect() == [] and mixed.blocks.collect() == []
     assert mixing.mixed_documents(df).collect() == []
+
+
+def test_parts_of_documents_are_not_broadcast(spark):
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 20).alias("text"), F.lit("s").alias("source"), F.lit(100).cast("long").alias("n_chars"))
+    out = mixing.mixed_documents(docs)
+    assert out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("SortMergeJoin") >= 2

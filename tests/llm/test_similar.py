@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from corpusloom.llm import simhash, similar
 
@@ -87,3 +89,12 @@ def test_a_common_header_makes_no_pairs(spark, monkeypatch):
         made[n] = sum(counted)
         assert got == {i: i - n if i >= n else i for i in range(n + 50)}
     assert made[3000] <= 12 * made[300]
+
+
+def test_sides_that_grow_are_not_broadcast(spark):
+    held = spark.range(100).select("id", F.encode(F.lit("x"), "UTF-8").alias("bits"))
+    pairs = spark.range(99).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(1).cast("long").alias("room"))
+    found = similar._checked(pairs, held, "bits", lambda x, y, room: x == y)
+    assert found.count() == 99
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
